@@ -12,31 +12,36 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subpulse.rules import PRODUCTS
+from subpulse.rules import GAME_NAMES, PRODUCTS
 from subpulse.sources.readers import SourceRegistry, read_parquet
 
 
 @dataclass(frozen=True)
 class Tables:
     subscribers: DataFrame
-    events: DataFrame                   # every event, with its product
-    by_product: dict[str, DataFrame]    # the raw table of each product
+    events: DataFrame                # every event, with its product
+    columns: dict[str, list[str]]    # the columns of each product's raw table
 
     @classmethod
     def of(cls, subscribers: DataFrame, by_product: dict[str, DataFrame]) -> Tables:
-        """From separate tables: ``events`` is their union by column name."""
+        """From separate tables: ``events`` is their union by column name.
+
+        A filter on the product folds to a constant in each branch, so reading
+        one product back scans only its own table.
+        """
         tagged = [df.withColumn("product", F.lit(name)) for name, df in by_product.items()]
         events = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-        return cls(subscribers, events, dict(by_product))
+        return cls(subscribers, events, {name: df.columns for name, df in by_product.items()})
+
+    def product(self, name: str) -> DataFrame:
+        return self.events.filter(F.col("product") == name).select(*self.columns[name])
 
     def dataset(self, name: str) -> DataFrame:
         """A raw table by its dataset name, ``subscribers`` or ``events_<product>``."""
-        if name == "subscribers":
-            return self.subscribers
-        return self.by_product[name.removeprefix("events_")]
+        return self.subscribers if name == "subscribers" else self.product(name.removeprefix("events_"))
 
     def create_views(self, prefix: str = "raw_") -> list[str]:
-        names = ["subscribers"] + [f"events_{p}" for p in self.by_product]
+        names = ["subscribers"] + [f"events_{p}" for p in self.columns]
         for name in names:
             self.dataset(name).createOrReplaceTempView(prefix + name)
         return [prefix + name for name in names]
@@ -104,68 +109,84 @@ _OWN_COLUMNS = {
     "cooking": ["recipe_id", "recipe_category", "rating"],
     "athletic": ["sport", "article_id", "time_on_page_sec"],
 }
+DRIVER_COLUMNS = {p: [*_COMMON, *_OWN_COLUMNS[p], *_TAIL] for p in PRODUCTS}
+
+
+def _pick(values: list[str] | tuple[str, ...], index: str) -> str:
+    """The value at a 0-based position of a constant list."""
+    items = ", ".join(f"'{v}'" for v in values)
+    return f"get(array({items}), CAST({index} AS INT))"
+
 
+def _product_no(user_digit: int, event_digit: int) -> int:
+    """Product of a (user_id % 10, event_id % 4) cell."""
+    news, games, _, athletic = range(4)
+    if user_digit == 3:
+        return news
+    if user_digit in (4, 6):
+        other = games if user_digit == 4 else athletic
+        return news if event_digit % 2 == 0 else other
+    return event_digit
 
-def _only(products: str, value: str, name: str) -> str:
-    return f"CASE WHEN product IN ({products}) THEN {value} END AS {name}"
+
+_CELLS = [_product_no(user, event) for user in range(10) for event in range(4)]
+_CELL = "(user_id % 10 * 4 + event_id % 4)"
+
+
+def _for_products(wanted: str, value: str, name: str) -> str:
+    """``value`` for events of the wanted products, NULL for the others."""
+    return f"IF(no IN ({', '.join(str(PRODUCTS.index(p)) for p in wanted.split())}), {value}, NULL) AS {name}"
 
 
 def driver_events(events: DataFrame) -> DataFrame:
-    """Every product's events out of ``events``, in one pass."""
-    base = events.filter("user_id % 5 <> 0 OR ts < TIMESTAMP_NTZ '2024-01-08 00:00:00'").selectExpr(
-        "event_id", "ts AS event_timestamp", "value", "event_type AS et",
-        """CASE WHEN user_id % 10 = 3 THEN 'news'
-                WHEN user_id % 10 = 4 THEN CASE WHEN event_id % 2 = 0 THEN 'news' ELSE 'games' END
-                WHEN user_id % 10 = 6 THEN CASE WHEN event_id % 2 = 0 THEN 'news' ELSE 'athletic' END
-                WHEN event_id % 4 = 0 THEN 'news' WHEN event_id % 4 = 1 THEN 'games'
-                WHEN event_id % 4 = 2 THEN 'cooking' ELSE 'athletic' END AS product""",
+    """Every product's events out of ``events``, in one pass.
+
+    Products and event types are looked up in constant lists, so a filter on
+    them costs one lookup per row once it has been pushed below this projection.
+    """
+    products = _pick([PRODUCTS[no] for no in _CELLS], _CELL)
+    types = _pick([t for no in _CELLS for t in _EVENT_TYPE_OF[PRODUCTS[no]]], f"{_CELL} * 5 + kind")
+    return events.filter("user_id % 5 <> 0 OR ts < TIMESTAMP_NTZ '2024-01-08 00:00:00'").selectExpr(
+        "*",
+        f"get(array({', '.join(map(str, _CELLS))}), CAST({_CELL} AS INT)) AS no",
+        "CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'signup' THEN 2 "
+        "WHEN 'purchase' THEN 3 ELSE 4 END AS kind",
+    ).selectExpr(
+        f"{products} AS product",
+        "event_id",
         """CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 97 = 0 THEN 'ghost'
                 ELSE CAST(user_id AS STRING) END AS subscriber_id""",
-        f"{_cases('event_id % 3', ['web', 'ios'], 'android')} AS platform",
-        "CASE WHEN event_id % 10 = 0 THEN NULL ELSE value * 10 END AS dwell",
-    )
-    type_arms = " ".join(
-        f"WHEN '{p}' THEN CASE et WHEN 'view' THEN '{v}' WHEN 'click' THEN '{c}' WHEN 'signup' THEN '{s}' "
-        f"WHEN 'purchase' THEN '{b}' ELSE '{o}' END"
-        for p, (v, c, s, b, o) in _EVENT_TYPE_OF.items()
-    )
-    return base.selectExpr(
-        "product", "event_id", "subscriber_id",
-        f"CASE product {type_arms} END AS event_type",
-        """CASE product WHEN 'news' THEN concat('art_', CAST(event_id % 9000 AS STRING))
-                        WHEN 'athletic' THEN concat('ath_', CAST(event_id % 7000 AS STRING)) END AS article_id""",
-        _only("'news'", _cases("event_id % 7", ["politics", "technology", "arts", "sports", "science", "opinion"],
-                               "world"), "section"),
-        _only("'news', 'athletic'", "dwell", "time_on_page_sec"),
-        _only("'news'", _cases("event_id % 5", ["direct", "search", "social", "newsletter"], "push_notif"),
-              "referrer"),
-        _only("'games'", _cases("event_id % 5", ["wordle", "crossword", "spelling_bee", "connections"], "strands"),
-              "game_name"),
-        _only("'games'", "event_id % 101", "score"),
-        _only("'games'", "event_id % 121", "streak_days"),
-        _only("'games'", "value", "duration_sec"),
-        _only("'cooking'", "concat('rec_', CAST(event_id % 3000 AS STRING))", "recipe_id"),
-        _only("'cooking'", _cases("event_id % 3", ["baking", "desserts"], "drinks"), "recipe_category"),
-        _only("'cooking'", "CASE WHEN event_id % 10 < 3 THEN CAST(event_id % 5 + 1 AS DOUBLE) END", "rating"),
-        _only("'athletic'", _cases("event_id % 3", ["nfl", "nba"], "soccer"), "sport"),
-        "event_timestamp", "platform",
-        """event_timestamp + (CASE
-             WHEN (product = 'cooking' AND day(event_timestamp) % 10 <> 1)
-               OR (product <> 'cooking' AND day(event_timestamp) % 3 = 0)
-               OR event_id % 3 = 0 THEN (event_id * 7919) % 12
-             WHEN event_id % 3 = 1 THEN (event_id * 7919) % 270
-             ELSE (event_id * 7919) % 900 END) * INTERVAL '1' MINUTE AS arrival_ts""",
+        f"{types} AS event_type",
+        _for_products("news athletic",
+                      "concat(IF(no = 0, 'art_', 'ath_'), CAST(event_id % IF(no = 0, 9000, 7000) AS STRING))",
+                      "article_id"),
+        _for_products("news", _pick(["politics", "technology", "arts", "sports", "science", "opinion", "world"],
+                                    "event_id % 7"), "section"),
+        _for_products("news athletic", "IF(event_id % 10 <> 0, value * 10, NULL)", "time_on_page_sec"),
+        _for_products("news", _pick(["direct", "search", "social", "newsletter", "push_notif"], "event_id % 5"),
+                      "referrer"),
+        _for_products("games", _pick(GAME_NAMES, "event_id % 5"), "game_name"),
+        _for_products("games", "event_id % 101", "score"),
+        _for_products("games", "event_id % 121", "streak_days"),
+        _for_products("games", "value", "duration_sec"),
+        _for_products("cooking", "concat('rec_', CAST(event_id % 3000 AS STRING))", "recipe_id"),
+        _for_products("cooking", _pick(["baking", "desserts", "drinks"], "event_id % 3"), "recipe_category"),
+        _for_products("cooking", "IF(event_id % 10 < 3, CAST(event_id % 5 + 1 AS DOUBLE), NULL)", "rating"),
+        _for_products("athletic", _pick(["nfl", "nba", "soccer"], "event_id % 3"), "sport"),
+        "ts AS event_timestamp",
+        f"{_pick(['web', 'ios', 'android'], 'event_id % 3')} AS platform",
+        """ts + (CASE WHEN IF(no = 2, day(ts) % 10 <> 1, day(ts) % 3 = 0) OR event_id % 3 = 0
+                      THEN (event_id * 7919) % 12
+                      WHEN event_id % 3 = 1 THEN (event_id * 7919) % 270
+                      ELSE (event_id * 7919) % 900 END) * INTERVAL '1' MINUTE AS arrival_ts""",
     )
 
 
 def from_driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The five raw tables, derived from ``customer`` and ``events`` below ``sf_dir``."""
     customer = read_parquet(spark, f"{sf_dir}/customer.parquet", CUSTOMER_SCHEMA)
-    events = driver_events(read_parquet(spark, f"{sf_dir}/events.parquet", EVENTS_SCHEMA))
-    by_product = {
-        p: events.filter(F.col("product") == p).select(*_COMMON, *_OWN_COLUMNS[p], *_TAIL) for p in PRODUCTS
-    }
-    return Tables(driver_subscribers(customer), events, by_product)
+    events = read_parquet(spark, f"{sf_dir}/events.parquet", EVENTS_SCHEMA)
+    return Tables(driver_subscribers(customer), driver_events(events), DRIVER_COLUMNS)
 
 
 def per_product(arms: dict[str, Column]) -> Column:
