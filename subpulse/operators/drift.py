@@ -86,18 +86,18 @@ def enum_drift(violations: DataFrame) -> DataFrame:
     """
     keys = ["dataset", "column_name", "severity"]
     window = Window.partitionBy(*keys).orderBy("value")
-    first = (violations.select(*keys, "value").distinct().withColumn("rank", F.row_number().over(window))
-             .filter(F.col("rank") <= VALUES_IN_DETAIL)
-             .groupBy(*keys).agg(F.sort_array(F.collect_list("value")).alias("values")))
-    total = violations.groupBy(*keys).agg(F.count_distinct("value").alias("n_values"))
-    named = F.array_join(F.transform("values", lambda v: F.format_string("'%s'", v)), ", ")
-    more = F.when(F.col("n_values") > VALUES_IN_DETAIL,
-                  F.format_string(" and %d more", F.col("n_values") - VALUES_IN_DETAIL)).otherwise("")
-    missing = F.lit(None).cast("string")
-    return first.join(total, keys).select(
-        "dataset", "column_name", F.lit("ENUM_VIOLATION").alias("drift_type"), "severity",
-        missing.alias("expected"), missing.alias("actual"),
-        F.format_string("Unknown %s values: {%s}%s.", "column_name", named, more).alias("detail"))
+    values = violations.select(*keys, "value").distinct()
+    first = (values.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= VALUES_IN_DETAIL)
+             .groupBy(*keys).agg(F.sort_array(F.collect_list("value")).alias("shown")))
+    total = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_values"))
+    both = first.unionByName(total, allowMissingColumns=True).groupBy(*keys).agg(
+        F.any_value("shown", True).alias("shown"), F.max("n_values").alias("n_values"))
+    return both.selectExpr(
+        "dataset", "column_name", "'ENUM_VIOLATION' AS drift_type", "severity",
+        "CAST(NULL AS STRING) AS expected", "CAST(NULL AS STRING) AS actual",
+        """format_string('Unknown %s values: {%s}%s.', column_name,
+             array_join(transform(shown, v -> format_string("'%s'", v)), ', '), """
+        f"IF(n_values > {VALUES_IN_DETAIL}, format_string(' and %d more', n_values - {VALUES_IN_DETAIL}), '')) AS detail")
 
 
 def detect_drift(datasets: dict[str, DataFrame], registry: dict[str, list[tuple]] | None = None,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from subpulse import rules
@@ -91,13 +91,13 @@ def reprocessing_manifest(lagged: DataFrame) -> DataFrame:
     """
     per_day = lagged.groupBy("domain", "event_date").agg(
         F.count(F.lit(1)).alias("n"), F.count("event_id").alias("ids"), F.count_if("is_late").alias("late"))
-    totals = per_day.groupBy("domain").agg(F.sum("n").alias("domain_n"), F.sum("late").alias("domain_late"))
-    share = X.pct(F.col("domain_late"), F.col("domain_n"))
-    return (per_day.join(totals, "domain")
-            .withColumn("late_pct", X.pct(F.col("late"), F.col("ids")))
+    whole = Window.partitionBy("domain")
+    share = X.pct(F.sum("late").over(whole), F.sum("n").over(whole))
+    return (per_day
+            .withColumns({"domain_pct": share, "late_pct": X.pct(F.col("late"), F.col("ids"))})
             .filter(F.col("event_date").isNotNull() & (F.col("late_pct") > rules.REPROCESS_DAY_PCT))
             .select("domain", "event_date", "late_pct",
-                    F.when(share > rules.HIGH_PRIORITY_PCT, "high").otherwise("normal").alias("priority")))
+                    F.when(F.col("domain_pct") > rules.HIGH_PRIORITY_PCT, "high").otherwise("normal").alias("priority")))
 
 
 def late_summary(lagged: DataFrame) -> DataFrame:

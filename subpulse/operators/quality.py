@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from subpulse import rules
 from subpulse.functions import expressions as X
 from subpulse.operators.relational import membership_counts
-from subpulse.sources.tables import Tables, per_product
+from subpulse.sources.tables import Tables
 
 DIMENSIONS = list(rules.DQ_WEIGHTS)
 
@@ -145,74 +145,94 @@ def _worst_values(invalid: DataFrame, k: int = rules.TOP_INVALID) -> DataFrame:
 
 
 # --- dataset reports ---------------------------------------------------------
+# Written as SQL text: the rows of a profile decide the expressions, and one
+# string per column keeps planning short.
 
-def _profile_row(columns: dict[str, Column | None], profile: dict, now: Column, slots: int) -> dict[str, Column]:
-    """What the report needs of one row. A column of None is absent from the table."""
-    keys = profile["key_cols"]
+def _case(arms: dict[str, str]) -> str:
+    """The expression of the row's product; products that agree need no CASE."""
+    if len(set(arms.values())) == 1:
+        return next(iter(arms.values()))
+    return "CASE product " + " ".join(f"WHEN '{p}' THEN {text}" for p, text in arms.items()) + " END"
+
+
+def _profile_row(df: DataFrame, live: Sequence[str], profile: dict, now: str, slots: int) -> dict[str, str]:
+    """What the report needs of one row of a dataset that has the ``live`` columns."""
+    has_ts, has_value = profile["ts"] in live, profile["valid_col"] in live
+    ts = X.ts_sql(df, profile["ts"]) if has_ts else "NULL"
     row = {}
     for i in range(slots):
-        value = columns.get(keys[i]) if i < len(keys) else F.lit(0)
-        row[f"null_{i}"] = F.lit(True) if value is None else value.isNull()
-    ts, valid = columns.get(profile["ts"]), columns.get(profile["valid_col"])
-    pk, fk = columns.get(profile["pk"]), columns.get(profile["fk"])
-    missing = F.lit(None).cast("string")
-    row["future"] = F.lit(False) if ts is None else F.coalesce(ts > now, F.lit(False))
-    row["unparsed"] = F.lit(False) if ts is None else ts.isNull()
-    row["pk"] = missing if pk is None else pk.cast("string")
-    row["fk"] = missing if fk is None else fk.cast("string")
-    row["value"] = missing if valid is None else valid.cast("string")
-    row["invalid"] = F.lit(True) if valid is None else valid.isNotNull() & ~valid.isin(list(profile["allowed"]))
+        col = profile["key_cols"][i] if i < len(profile["key_cols"]) else None
+        row[f"null_{i}"] = "false" if col is None else "true" if col not in live else f"{col} IS NULL"
+    row["future"] = f"coalesce({ts} > {now}, false)" if has_ts else "false"
+    row["unparsed"] = f"{ts} IS NULL" if has_ts else "false"
+    for name in ("pk", "fk"):
+        row[name] = f"CAST({profile[name]} AS STRING)" if profile[name] in live else "CAST(NULL AS STRING)"
+    value = profile["valid_col"]
+    row["invalid"] = f"coalesce({value} NOT IN {X.in_list(profile['allowed'])}, false)" if has_value else "true"
+    row["value"] = f"CAST({value} AS STRING)" if has_value else "CAST(NULL AS STRING)"
     return row
 
 
-def _columns_of(df: DataFrame, names: Sequence[str], ts: str) -> dict[str, Column | None]:
-    return {c: X.parsed_ts(df, c) if c == ts else F.col(c) for c in names}
-
-
 def profiled_rows(tables: Tables, as_of: X.AsOf = None, profiles: dict[str, dict] | None = None) -> DataFrame:
     """Every row of the five datasets, reduced to the columns the checks read."""
     profiles = profiles or rules.DQ_PROFILES
-    now = X.as_of_ts(as_of)
-    slots = max(len(p["key_cols"]) for p in profiles.values())
-    subs_profile = profiles["subscribers"]
-    subs = _profile_row(_columns_of(tables.subscribers, tables.subscribers.columns, subs_profile["ts"]),
-                        subs_profile, now, slots)
-    arms = {
-        p: _profile_row(_columns_of(tables.events, tables.columns[p], profiles[f"events_{p}"]["ts"]),
-                        profiles[f"events_{p}"], now, slots)
-        for p in tables.columns
-    }
-    events = [per_product({p: row[name] for p, row in arms.items()}).alias(name) for name in subs]
-    return (tables.subscribers.select(F.lit("subscribers").alias("dataset_name"),
-                                      *[value.alias(name) for name, value in subs.items()])
-            .unionByName(tables.events.select(F.concat(F.lit("events_"), "product").alias("dataset_name"), *events)))
+    now, slots = X.now_sql(as_of), max(len(p["key_cols"]) for p in profiles.values())
+    subs = _profile_row(tables.subscribers, tables.subscribers.columns, profiles["subscribers"], now, slots)
+    arms = {p: _profile_row(tables.events, live, profiles[f"events_{p}"], now, slots)
+            for p, live in tables.columns.items()}
+    return tables.subscribers.selectExpr(
+        "'subscribers' AS dataset_name", *[f"{text} AS {name}" for name, text in subs.items()],
+    ).unionByName(tables.events.selectExpr(
+        "concat('events_', product) AS dataset_name",
+        *[f"{_case({p: row[name] for p, row in arms.items()})} AS {name}" for name in subs]))
+
+
+def _profile_table(tables: Tables, profiles: dict[str, dict]) -> DataFrame:
+    """One constant row per profile, with what its tables lack."""
+    live = {"subscribers": tables.subscribers.columns, **{f"events_{p}": c for p, c in tables.columns.items()}}
+    rows = ", ".join(
+        f"('{name}', '{p['domain']}', array{X.in_list(p['key_cols'])}, "
+        f"array({', '.join(str(c not in live[name]).lower() for c in p['key_cols'])}), "
+        f"'{p['pk']}', {p['pk'] in live[name]}, '{p['fk']}', {p['fk'] in live[name]}, "
+        f"'{p['valid_col']}', {p['valid_col'] in live[name]})"
+        for name, p in profiles.items())
+    return tables.events.sparkSession.sql(
+        f"SELECT * FROM VALUES {rows} AS t(dataset_name, domain, key_cols, key_absent, pk, pk_live, fk, fk_live, "
+        "valid_col, valid_live)")
 
 
 def quality_counts(tables: Tables, as_of: X.AsOf = None, profiles: dict[str, dict] | None = None) -> DataFrame:
     """One row per dataset with every count the scores derive from.
 
-    Three passes that each shuffle as little as they can: plain counts; distinct
-    primary keys (key column only); rows per foreign key against the subscribers.
+    Four passes that each read and shuffle as little as they can: plain counts;
+    distinct primary keys (key column only); rows per foreign key against the
+    subscribers; the most frequent invalid values.
     """
     profiles = profiles or rules.DQ_PROFILES
     rows = profiled_rows(tables, as_of, profiles)
     flags = [c for c in rows.columns if c.startswith("null_")] + ["future", "unparsed", "invalid"]
     plain = rows.groupBy("dataset_name").agg(
-        F.count(F.lit(1)).alias("total"), *[F.count_if(F.col(c)).alias(c) for c in flags])
-    keys = (rows.select("dataset_name", "pk").filter(F.col("pk").isNotNull()).distinct()
-            .groupBy("dataset_name").agg(F.count(F.lit(1)).alias("keys")))
+        F.expr("count(1) AS total"), *[F.expr(f"count_if({c}) AS {c}") for c in flags])
+    keys = (rows.select("dataset_name", "pk").filter("pk IS NOT NULL").distinct()
+            .groupBy("dataset_name").agg(F.expr("count(1) AS keys")))
     with_fk = [name for name, p in profiles.items() if p["fk"]]
-    links = membership_counts(rows.filter(F.col("dataset_name").isin(with_fk)), "fk",
+    links = membership_counts(rows.filter(f"dataset_name IN {X.in_list(with_fk)}"), "fk",
                               tables.subscribers, "subscriber_id", by=["dataset_name"])
-    worst = _worst_values(rows.filter("invalid").filter(F.col("value").isNotNull()).select("dataset_name", "value"))
+    worst = _worst_values(rows.filter("invalid AND value IS NOT NULL").select("dataset_name", "value"))
     # an empty dataset still gets its row
-    names = ", ".join(f"('{name}', 0L)" for name in profiles)
-    listed = rows.sparkSession.sql(f"SELECT * FROM VALUES {names} AS t(dataset_name, total)")
-    parts = [listed, plain, keys, links.select("dataset_name", "orphans", "nulls"), worst]
+    listed = _profile_table(tables, profiles)
+    parts = [listed.selectExpr("dataset_name", "0L AS total"), plain, keys,
+             links.select("dataset_name", "orphans", "nulls"), worst]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    carried = [c for c in merged.columns if c != "dataset_name"]
-    return merged.groupBy("dataset_name").agg(*[F.max(c).alias(c) for c in carried]).fillna(
-        0, subset=["keys", "orphans", "nulls", *flags])
+    counts = ["total", *flags, "keys", "orphans", "nulls"]
+    return merged.groupBy("dataset_name").agg(
+        *[F.expr(f"coalesce(max({c}), 0L) AS {c}") for c in counts], F.max("worst").alias("worst"),
+    ).join(listed, "dataset_name")
+
+
+def _message(count: str, text: str) -> str:
+    """SQL text: the count in front of a text expression, NULL when the count is 0."""
+    return f"IF({count} > 0, concat(format_number({count}, 0), {text}), NULL)"
 
 
 def quality_report(tables: Tables, as_of: X.AsOf = None, profiles: dict[str, dict] | None = None) -> DataFrame:
@@ -221,55 +241,48 @@ def quality_report(tables: Tables, as_of: X.AsOf = None, profiles: dict[str, dic
     Scores are percentages with two decimals; labels follow the unrounded score,
     the status follows the composite rounded to four decimals.
     """
-    profiles = profiles or rules.DQ_PROFILES
     counts = quality_counts(tables, as_of, profiles)
-    live = {"subscribers": tables.subscribers.columns, **{f"events_{p}": c for p, c in tables.columns.items()}}
-    total = F.col("total")
-    scores: dict[str, dict[str, Column]] = {d: {} for d in DIMENSIONS}
-    issues: dict[str, dict[str, Column]] = {d: {} for d in DIMENSIONS}
-    for name, p in profiles.items():
-        cols = p["key_cols"]
-        shares = [F.lit(1.0) - X.ratio(F.col(f"null_{i}"), total) if c in live[name] else F.lit(0.0)
-                  for i, c in enumerate(cols)]
-        scores["completeness"][name] = reduce(lambda a, b: a + b, shares) / F.lit(float(len(cols)))
-        issues["completeness"][name] = X.issue_list(*[
-            _null_issue(c, F.col(f"null_{i}"), total) if c in live[name] else _missing_issue(c)
-            for i, c in enumerate(cols)])
-        if p["pk"] in live[name]:
-            scores["uniqueness"][name] = F.when(total > 0, F.col("keys") / total).otherwise(F.lit(1.0))
-            issues["uniqueness"][name] = X.issue_list(
-                _if_any(total - F.col("keys"), f" duplicate '{p['pk']}' values detected"))
-        else:
-            scores["uniqueness"][name] = F.lit(0.0)
-            issues["uniqueness"][name] = X.issue_list(F.lit(f"PK column '{p['pk']}' not found"))
-        scores["timeliness"][name] = _share_kept(F.col("future") + F.col("unparsed"), total)
-        issues["timeliness"][name] = _timeliness_issues()
-        if p["fk"] and p["fk"] in live[name]:
-            scores["referential"][name] = _share_kept(F.col("orphans") + F.col("nulls"), total)
-            issues["referential"][name] = _referential_issues(p["fk"])
-        else:
-            scores["referential"][name] = F.lit(1.0)
-            issues["referential"][name] = F.array().cast("array<string>")
-        scores["validity"][name] = _share_kept(F.col("invalid"), total)
-        issues["validity"][name] = X.issue_list(
-            _if_any(F.col("invalid"), f" records with invalid '{p['valid_col']}' values: ", F.col("worst"))
-            if p["valid_col"] in live[name] else F.lit(f"Column '{p['valid_col']}' missing"))
-
-    def by_dataset(arms: dict[str, Column]) -> Column:
-        return reduce(lambda w, kv: w.when(F.col("dataset_name") == kv[0], kv[1]), arms.items(), F)
-
-    scored = counts.withColumns({f"_{d}": by_dataset(scores[d]) for d in DIMENSIONS})
-    composite = F.round(X.weighted([(F.col(f"_{d}"), w) for d, w in rules.DQ_WEIGHTS.items()]), 4)
-    domain = X.keyed(F.col("dataset_name"), {n: p["domain"] for n, p in profiles.items()})
-    per_dimension = []
-    for d in DIMENSIONS:
-        per_dimension += [F.round(F.col(f"_{d}") * 100, 2).alias(f"{d}_score"),
-                          X.score_label(F.col(f"_{d}")).alias(f"{d}_label"),
-                          by_dataset(issues[d]).alias(f"{d}_issues")]
-    return scored.select(
-        "dataset_name", domain.alias("domain"), X.as_of_ts(as_of).alias("run_at"), total.alias("total_records"),
-        F.round(composite * 100, 2).alias("composite_score"), X.score_label(composite).alias("status"),
-        *per_dimension)
+    slots = [c for c in counts.columns if c.startswith("null_")]
+
+    def kept(bad: str) -> str:
+        return f"IF(total > 0, 1.0D - ({bad}) / total, 1.0D)"
+
+    scores = {
+        "completeness": "aggregate(transform(key_nulls, n -> 1.0D - try_divide(n, total)), 0.0D, (a, s) -> a + s)"
+                        " / size(key_nulls)",
+        "uniqueness": "CASE WHEN NOT pk_live THEN 0.0D WHEN total > 0 THEN keys / total ELSE 1.0D END",
+        "timeliness": kept("future + unparsed"),
+        "referential": f"IF(fk_live, {kept('orphans + nulls')}, 1.0D)",
+        "validity": f"IF(valid_live, {kept('invalid')}, 0.0D)",
+    }
+    issues = {
+        "completeness": f"""transform(arrays_zip(key_cols, key_absent, key_nulls), k -> CASE
+            WHEN k.key_absent THEN format_string("Column '%s' missing entirely from dataset", k.key_cols)
+            WHEN try_divide(k.key_nulls, total) > {rules.NULL_SHARE_ISSUE}D
+            THEN format_string("'%s': %.1f%% null values (%d records)",
+                               k.key_cols, k.key_nulls / total * 100, k.key_nulls) END)""",
+        "uniqueness": "array(IF(pk_live, " + _message(
+            "(total - keys)", """format_string(" duplicate '%s' values detected", pk)""")
+            + """, format_string("PK column '%s' not found", pk)))""",
+        "timeliness": "array(" + _message("future", "' records have future timestamps (clock skew?)'") + ", "
+                      + _message("unparsed", "' records have unparseable timestamps'") + ")",
+        "referential": "array(" + _message("orphans", "' orphaned records (FK not in subscriber master)'") + ", "
+                       + _message("nulls", """format_string(" records with null '%s'", fk)""") + ")",
+        "validity": "array(IF(valid_live, " + _message(
+            "invalid", """format_string(" records with invalid '%s' values: %s", valid_col, worst)""")
+            + """, format_string("Column '%s' missing", valid_col)))""",
+    }
+    composite = "round(" + " + ".join(f"_{d} * {w}D" for d, w in rules.DQ_WEIGHTS.items()) + ", 4)"
+    return (counts
+            .selectExpr("*", f"slice(array({', '.join(slots)}), 1, size(key_cols)) AS key_nulls")
+            .selectExpr("*", *[f"{text} AS _{d}" for d, text in scores.items()],
+                        *[f"array_compact({text}) AS {d}_issues" for d, text in issues.items()])
+            .selectExpr("*", f"{composite} AS _composite")
+            .selectExpr("dataset_name", "domain", f"{X.now_sql(as_of)} AS run_at", "total AS total_records",
+                        "round(_composite * 100, 2) AS composite_score", f"{X.label_sql('_composite')} AS status",
+                        *[text for d in DIMENSIONS for text in (
+                            f"round(_{d} * 100, 2) AS {d}_score", f"{X.label_sql('_' + d)} AS {d}_label",
+                            f"{d}_issues")]))
 
 
 def composite_score(scores: DataFrame) -> DataFrame:

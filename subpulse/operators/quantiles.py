@@ -5,73 +5,68 @@ group in a single buffer. Here the wanted ranks are located by histograms at
 three resolutions (2^32, 2^16, 1). Each histogram is combined on the map side
 and covers only the buckets that hold a wanted rank, so a task never sees more
 than 65,536 buckets per rank, plus the top level's value range / 2^32.
+
+The located ranks are written between the levels. They are a few rows per group
+and probability, so the planner broadcasts them; for very many groups their true
+size makes it shuffle instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subpulse.session import broadcast_if_small, cut_lineage
+from subpulse.session import settle
 
-_SHIFTS = (32, 16, 0)
+_TOP, _BELOW = 32, ((32, 16), (16, 0))
 
 
-def _bucket(value: Column, shift: int) -> Column:
-    return F.shiftright(value, shift) if shift else value
+def _histogram(rows: DataFrame, group: Sequence[str], shift: int) -> DataFrame:
+    return rows.groupBy(*group, F.expr(f"shiftright(_v, {shift}) AS _bucket")).agg(F.expr("count(1) AS _n"))
 
 
-def _located(histogram: DataFrame, group: Sequence[str], wanted: DataFrame | None,
-             probabilities: Sequence[float]) -> DataFrame:
-    """For each wanted rank, the bucket it falls in and its rank inside that bucket."""
-    within = Window.partitionBy(*group)
-    running = (histogram
-               .withColumn("_upto", F.sum("_n").over(within.orderBy("_bucket")))
-               .withColumn("_before", F.col("_upto") - F.col("_n")))
-    if wanted is None:
-        # positions are (n - 1) * p, between the values ranked floor and ceiling
-        position = lambda p: (F.col("_total") - 1) * F.lit(float(p))
-        ranks = [
-            F.struct(F.lit(float(p)).alias("_p"), F.lit(side).alias("_side"),
-                     (position(p) - F.floor(position(p))).alias("_part"),
-                     edge(position(p)).cast("bigint").alias("_rank"))
-            for p in probabilities for side, edge in (("low", F.floor), ("high", F.ceil))
-        ]
-        hits = (running.withColumn("_total", F.sum("_n").over(within))
-                .select("*", F.inline(F.array(*ranks))))
-    else:
-        on = [running[g].eqNullSafe(wanted[f"{g}_w"]) for g in group]
-        hits = running.join(broadcast_if_small(wanted), on, "inner")
-    return hits.filter((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_upto"))).withColumn(
-        "_rank", F.col("_rank") - F.col("_before"))
+def _inside(columns: Sequence[str]) -> list[str]:
+    """The bucket a rank falls in becomes the parent of the next level, the rank relative to it."""
+    return [*columns, "_bucket AS _parent", "_p", "_side", "_part", "_rank - (_upto - _n) AS _rank"]
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
                       probabilities: dict[str, float]) -> DataFrame:
     """One row per group with a linearly interpolated percentile per name in ``probabilities``.
 
-    ``value`` is a whole-number column; NULL values are ignored, NULL keys form a group.
+    ``value`` is a whole-number column; rows with a NULL value or key are left out.
     """
-    carried = ["_p", "_side", "_part", "_rank"]
-    rows = df.select(*keys, F.col(value).cast("bigint").alias("_v")).filter(F.col("_v").isNotNull())
-    top = rows.groupBy(*keys, _bucket(F.col("_v"), _SHIFTS[0]).alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
-    wanted = cut_lineage(_located(top, keys, None, sorted(set(probabilities.values())))
-                         .select(*keys, F.col("_bucket").alias("_parent"), *carried))
-    for above, shift in zip(_SHIFTS, _SHIFTS[1:]):
-        group = [*keys, "_parent"]
-        parents = wanted.select(*[F.col(g).alias(f"{g}_w") for g in group]).distinct()
-        tagged = rows.withColumn("_parent", _bucket(F.col("_v"), above))
-        inside = tagged.join(broadcast_if_small(parents),
-                             [tagged[g].eqNullSafe(parents[f"{g}_w"]) for g in group], "left_semi")
-        histogram = inside.groupBy(*group, _bucket(F.col("_v"), shift).alias("_bucket")).agg(
-            F.count(F.lit(1)).alias("_n"))
-        targets = wanted.select(*[F.col(g).alias(f"{g}_w") for g in group], *carried)
-        wanted = cut_lineage(_located(histogram, group, targets, ())
-                             .select(*keys, F.col("_bucket").alias("_parent"), *carried))
-    found = F.col("_parent").cast("double")
-    at = lambda p, side: F.max(F.when((F.col("_p") == p) & (F.col("_side") == side), found))
-    part = lambda p: F.max(F.when(F.col("_p") == p, F.col("_part")))
+    rows = df.selectExpr(*keys, f"CAST({value} AS BIGINT) AS _v")
+    falls_here = "_rank >= _upto - _n AND _rank < _upto"
+
+    # positions are (n - 1) * p, between the values ranked floor and ceiling
+    ranks = ", ".join(
+        f"struct({p}D AS _p, '{side}' AS _side, (_total - 1) * {p}D - floor((_total - 1) * {p}D) AS _part, "
+        f"CAST({edge}((_total - 1) * {p}D) AS BIGINT) AS _rank)"
+        for p in sorted(set(probabilities.values())) for side, edge in (("low", "floor"), ("high", "ceil")))
+    over = f"OVER (PARTITION BY {', '.join(keys)}"
+    wanted = settle(
+        _histogram(rows.dropna(), keys, _TOP)
+        .selectExpr("*", f"sum(_n) {over} ORDER BY _bucket) AS _upto", f"sum(_n) {over}) AS _total")
+        .selectExpr("*", f"inline(array({ranks}))").filter(falls_here).selectExpr(*_inside(keys)))
+
+    # the joins below drop NULLs by themselves
+    group = [*keys, "_parent"]
+    over = f"OVER (PARTITION BY {', '.join(group)}"
+    for above, shift in _BELOW:
+        tagged = rows.selectExpr("*", f"shiftright(_v, {above}) AS _parent").join(
+            wanted.select(*group).distinct(), group, "left_semi")
+        wanted = settle(
+            _histogram(tagged, group, shift)
+            .selectExpr("*", f"sum(_n) {over} ORDER BY _bucket) AS _upto")
+            .join(wanted, group).filter(falls_here).selectExpr(*_inside(keys)))
+
+    def value_at(p: float, side: str) -> str:
+        return f"max(CAST(_parent AS DOUBLE)) FILTER (WHERE _p = {p}D AND _side = '{side}')"
+
     return wanted.groupBy(*keys).agg(*[
-        (at(p, "low") + (at(p, "high") - at(p, "low")) * part(p)).alias(name) for name, p in probabilities.items()])
+        F.expr(f"{value_at(p, 'low')} + ({value_at(p, 'high')} - {value_at(p, 'low')}) "
+               f"* max(_part) FILTER (WHERE _p = {p}D)").alias(name)
+        for name, p in probabilities.items()])

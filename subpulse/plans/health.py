@@ -23,11 +23,16 @@ MEASURES = {
 NULLABLE = {"news_avg_dwell_sec"} | {f"{p}_last_active_date" for p in rules.PRODUCTS}
 
 
-def _measures(product: str, mine: Column, distinct) -> list[Column]:
+def _measures(product: str, mine: Column) -> list[Column]:
     """Aggregates of one product over the rows where ``mine`` holds.
 
-    ``distinct`` counts the distinct values of a column.
+    Dates and game names are gathered as sets: a set holds at most the days of
+    the window or the games of the catalogue, and is merged before the shuffle,
+    so a subscriber (or NULL) with very many events sends one row per map task.
     """
+    def distinct(values: Column) -> Column:
+        return F.size(F.collect_set(values)).cast("bigint")
+
     def days() -> Column:
         return distinct(F.when(mine, F.col("event_date"))).alias(f"{product}_active_days")
 
@@ -62,23 +67,15 @@ def engagement(events: DataFrame, product: str, as_of: X.AsOf = None,
     rows = _in_window(events, as_of, lookback_days)
     if product == "news":
         rows = rows.filter(F.col("subscriber_id").isNotNull())
-    return rows.groupBy("subscriber_id").agg(*_measures(product, F.lit(True), F.count_distinct))
+    return rows.groupBy("subscriber_id").agg(*_measures(product, F.lit(True)))
 
 
 def engagement_all(events: DataFrame, as_of: X.AsOf = None,
                    lookback_days: int = rules.LOOKBACK_DAYS) -> DataFrame:
-    """Engagement with every product in one aggregation, one shuffle.
-
-    Dates and game names are gathered as sets: a set holds at most the days of
-    the window or the games of the catalogue, and is merged before the shuffle,
-    so a subscriber with very many events sends one row per map task.
-    """
+    """Engagement with every product in one aggregation, one shuffle."""
     rows = _in_window(events, as_of, lookback_days).filter(F.col("subscriber_id").isNotNull())
-    aggregates = [
-        column for p in rules.PRODUCTS
-        for column in _measures(p, F.col("product") == p, lambda c: F.size(F.collect_set(c)).cast("bigint"))
-    ]
-    return rows.groupBy("subscriber_id").agg(*aggregates)
+    return rows.groupBy("subscriber_id").agg(*[
+        column for p in rules.PRODUCTS for column in _measures(p, F.col("product") == p)])
 
 
 def subscriber_health(tables: Tables, as_of: X.AsOf = None, lookback_days: int = rules.LOOKBACK_DAYS) -> DataFrame:

@@ -6,9 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-SMALL_SIDE_ROWS = 100_000
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -62,20 +59,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: computed once, readable after executors are lost."""
-    shared_dir(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting at most ``max_rows`` rows.
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """``df`` written once to the shared folder and read back.
 
-    Call it on something cheap to recount (a checkpoint). A larger side gets no
-    hint, so the join shuffles and AQE handles its skew.
+    This cuts the lineage, survives lost executors, and gives the planner the
+    true size: a small result is broadcast by the planner's own threshold, a
+    large one is shuffled.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
