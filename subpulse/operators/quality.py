@@ -123,22 +123,22 @@ def validity(df: DataFrame, col: str, allowed: Sequence) -> DataFrame:
         return _absent(df, "validity", 0.0, f"Column '{col}' missing")
     invalid = F.col(col).isNotNull() & ~F.col(col).isin(list(allowed))
     counts = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(invalid).alias("invalid"))
-    worst = _worst_values(df.filter(invalid).select(F.lit("").alias("dataset_name"), F.col(col).alias("value")))
+    worst = _worst_values(df.select(F.lit("").alias("dataset_name"), F.when(invalid, F.col(col)).alias("value")))
     counts = counts.withColumn("worst", worst.select("worst").scalar())
     score = _share_kept(F.col("invalid"), F.col("total"))
     issues = X.issue_list(_if_any(F.col("invalid"), f" records with invalid '{col}' values: ", F.col("worst")))
     return counts.select(*_check("validity", score, issues))
 
 
-def _worst_values(invalid: DataFrame, k: int = rules.TOP_INVALID) -> DataFrame:
-    """Per dataset, the k most frequent invalid values as text.
+def _worst_values(values: DataFrame, k: int = rules.TOP_INVALID) -> DataFrame:
+    """Per dataset, the k most frequent ``value`` as text; NULL stands for a valid row.
 
     The rank filter keeps k rows per map partition before the shuffle, so a
     column full of distinct garbage is never gathered.
     """
-    counts = invalid.groupBy("dataset_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = values.groupBy("dataset_name", "value").agg(F.count("value").alias("n"))
     window = Window.partitionBy("dataset_name").orderBy(F.desc("n"), F.asc("value"))
-    top = counts.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
+    top = counts.withColumn("rank", F.row_number().over(window)).filter((F.col("rank") <= k) & (F.col("n") > 0))
     entry = F.struct("rank", F.format_string("'%s': %d", "value", "n").alias("text"))
     return top.groupBy("dataset_name").agg(F.concat(
         F.lit("{"), F.array_join(F.sort_array(F.collect_list(entry))["text"], ", "), F.lit("}")).alias("worst"))
@@ -165,16 +165,18 @@ def _profile_row(df: DataFrame, live: Sequence[str], profile: dict, now: str, sl
         row[f"null_{i}"] = "false" if col is None else "true" if col not in live else f"{col} IS NULL"
     row["future"] = f"coalesce({ts} > {now}, false)" if has_ts else "false"
     row["unparsed"] = f"{ts} IS NULL" if has_ts else "false"
-    for name in ("pk", "fk"):
-        row[name] = f"CAST({profile[name]} AS STRING)" if profile[name] in live else "CAST(NULL AS STRING)"
+    row["pk"] = profile["pk"] if profile["pk"] in live else "NULL"
+    row["fk"] = f"CAST({profile['fk']} AS STRING)" if profile["fk"] in live else "CAST(NULL AS STRING)"
     value = profile["valid_col"]
-    row["invalid"] = f"coalesce({value} NOT IN {X.in_list(profile['allowed'])}, false)" if has_value else "true"
-    row["value"] = f"CAST({value} AS STRING)" if has_value else "CAST(NULL AS STRING)"
+    outside = f"{value} NOT IN {X.in_list(profile['allowed'])}"
+    row["invalid"] = f"coalesce({outside}, false)" if has_value else "true"
+    row["bad_value"] = f"IF({outside}, CAST({value} AS STRING), NULL)" if has_value else "CAST(NULL AS STRING)"
     return row
 
 
-def profiled_rows(tables: Tables, as_of: X.AsOf = None, profiles: dict[str, dict] | None = None) -> DataFrame:
-    """Every row of the five datasets, reduced to the columns the checks read."""
+def profiled_rows(tables: Tables, as_of: X.AsOf = None,
+                  profiles: dict[str, dict] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Every row of subscribers and of the events, reduced to the columns the checks read."""
     profiles = profiles or rules.DQ_PROFILES
     now, slots = X.now_sql(as_of), max(len(p["key_cols"]) for p in profiles.values())
     subs = _profile_row(tables.subscribers, tables.subscribers.columns, profiles["subscribers"], now, slots)
@@ -182,9 +184,9 @@ def profiled_rows(tables: Tables, as_of: X.AsOf = None, profiles: dict[str, dict
             for p, live in tables.columns.items()}
     return tables.subscribers.selectExpr(
         "'subscribers' AS dataset_name", *[f"{text} AS {name}" for name, text in subs.items()],
-    ).unionByName(tables.events.selectExpr(
+    ), tables.events.selectExpr(
         "concat('events_', product) AS dataset_name",
-        *[f"{_case({p: row[name] for p, row in arms.items()})} AS {name}" for name in subs]))
+        *[f"{_case({p: row[name] for p, row in arms.items()})} AS {name}" for name in subs])
 
 
 def _profile_table(tables: Tables, profiles: dict[str, dict]) -> DataFrame:
@@ -209,16 +211,18 @@ def quality_counts(tables: Tables, as_of: X.AsOf = None, profiles: dict[str, dic
     subscribers; the most frequent invalid values.
     """
     profiles = profiles or rules.DQ_PROFILES
-    rows = profiled_rows(tables, as_of, profiles)
+    subs, events = profiled_rows(tables, as_of, profiles)
+    rows = subs.drop("pk").unionByName(events.drop("pk"))
     flags = [c for c in rows.columns if c.startswith("null_")] + ["future", "unparsed", "invalid"]
     plain = rows.groupBy("dataset_name").agg(
         F.expr("count(1) AS total"), *[F.expr(f"count_if({c}) AS {c}") for c in flags])
-    keys = (rows.select("dataset_name", "pk").filter("pk IS NOT NULL").distinct()
-            .groupBy("dataset_name").agg(F.expr("count(1) AS keys")))
+    # keys keep their own type
+    keys = reduce(DataFrame.unionByName, [
+        df.groupBy("dataset_name").agg(F.count_distinct("pk").alias("keys")) for df in (subs, events)])
     with_fk = [name for name, p in profiles.items() if p["fk"]]
-    links = membership_counts(rows.filter(f"dataset_name IN {X.in_list(with_fk)}"), "fk",
+    links = membership_counts(events.filter(f"dataset_name IN {X.in_list(with_fk)}"), "fk",
                               tables.subscribers, "subscriber_id", by=["dataset_name"])
-    worst = _worst_values(rows.filter("invalid AND value IS NOT NULL").select("dataset_name", "value"))
+    worst = _worst_values(rows.withColumnRenamed("bad_value", "value"))
     # an empty dataset still gets its row
     listed = _profile_table(tables, profiles)
     parts = [listed.selectExpr("dataset_name", "0L AS total"), plain, keys,

@@ -24,7 +24,7 @@ _TOP, _BELOW = 32, ((32, 16), (16, 0))
 
 
 def _histogram(rows: DataFrame, group: Sequence[str], shift: int) -> DataFrame:
-    return rows.groupBy(*group, F.expr(f"shiftright(_v, {shift}) AS _bucket")).agg(F.expr("count(1) AS _n"))
+    return rows.groupBy(*group, F.expr(f"shiftright(_v, {shift}) AS _bucket")).agg(F.expr("count(_v) AS _n"))
 
 
 def _inside(columns: Sequence[str]) -> list[str]:
@@ -48,15 +48,16 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
         for p in sorted(set(probabilities.values())) for side, edge in (("low", "floor"), ("high", "ceil")))
     over = f"OVER (PARTITION BY {', '.join(keys)}"
     wanted = settle(
-        _histogram(rows.dropna(), keys, _TOP)
+        _histogram(rows, keys, _TOP)
         .selectExpr("*", f"sum(_n) {over} ORDER BY _bucket) AS _upto", f"sum(_n) {over}) AS _total")
         .selectExpr("*", f"inline(array({ranks}))").filter(falls_here).selectExpr(*_inside(keys)))
 
-    # the joins below drop NULLs by themselves
+    # a NULL value counts 0 wherever it lands, a NULL key is dropped by the joins; neither
+    # needs a filter, which would evaluate the value once more in every scan
     group = [*keys, "_parent"]
     over = f"OVER (PARTITION BY {', '.join(group)}"
     for above, shift in _BELOW:
-        tagged = rows.selectExpr("*", f"shiftright(_v, {above}) AS _parent").join(
+        tagged = rows.selectExpr("*", f"coalesce(shiftright(_v, {above}), 0L) AS _parent").join(
             wanted.select(*group).distinct(), group, "left_semi")
         wanted = settle(
             _histogram(tagged, group, shift)

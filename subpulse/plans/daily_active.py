@@ -1,8 +1,8 @@
 """Daily active subscribers: one metric, at detail grain and across products.
 
-Each subscriber-day is reduced to one row before it meets the dimension, so a
-subscriber (or NULL) that owns a large share of the events costs one row per
-day, and every distinct count becomes a plain count.
+Activity is made distinct per subscriber, day and grain before it meets the
+dimension, so a subscriber (or NULL) that owns a large share of the events costs
+a few rows per day, and every distinct count becomes a plain count.
 """
 
 from __future__ import annotations
@@ -71,22 +71,20 @@ def _stamped(df: DataFrame, as_of: X.AsOf) -> DataFrame:
 def metric_of(activity: DataFrame, subscribers: DataFrame, as_of: X.AsOf = None) -> DataFrame:
     """The metric over qualifying activity.
 
-    1. one row per (subscriber, date), carrying the set of (product, platform)
-       pairs it was active on: at most products x platforms entries;
-    2. joined to the dimension on subscriber;
-    3. expanded into its detail rows plus one total row, then counted.
+    1. every event stands for its own product and platform, and for the day's total;
+    2. each subscriber counts once per day and grain: duplicates go on the map side;
+    3. the dimension joins what is left, a few rows per subscriber and day;
+    4. counting rows is then counting subscribers.
     """
-    days = activity.groupBy("subscriber_id", "event_date").agg(
-        F.collect_set(F.struct("product", "platform")).alias("seen"))
+    total = F.struct(F.lit(rules.ALL_PRODUCTS).alias("product"), F.lit(None).cast("string").alias("platform"))
+    active = (activity.select("event_date", "subscriber_id",
+                              F.inline(F.array(F.struct("product", "platform"), total))).distinct())
     dims = subscribers.select("subscriber_id", "bundle_tier", "country")
-    total = F.array(F.struct(F.lit(rules.ALL_PRODUCTS).alias("product"), F.lit(None).cast("string").alias("platform")))
-    rows = (days.join(dims, "subscriber_id", "left")
-            .withColumn("grain", F.explode(F.concat("seen", total)))
-            .withColumns({"product": F.col("grain.product"), "platform": F.col("grain.platform")}))
-    is_total = F.col("product") == rules.ALL_PRODUCTS
-    # the tier counts of a total need the tier, its group does not
-    counted = (rows.withColumn("group_tier", F.when(~is_total, F.col("bundle_tier")))
-               .withColumn("country", F.when(~is_total, F.col("country")))
+    rows = active.join(dims, "subscriber_id", "left")
+    # a total's group has neither tier nor country, its counts still need the tier
+    is_detail = F.col("product") != rules.ALL_PRODUCTS
+    counted = (rows.withColumns({"group_tier": F.when(is_detail, F.col("bundle_tier")),
+                                 "country": F.when(is_detail, F.col("country"))})
                .groupBy("event_date", "product", "platform", "group_tier", "country")
                .agg(*_tier_counts(F.col("subscriber_id").isNotNull()))
                .withColumnRenamed("group_tier", "bundle_tier"))
