@@ -39,7 +39,7 @@ def _if_any(n: Column, *parts: Column | str) -> Column:
 
 def _null_issue(col: str, nulls: Column, total: Column) -> Column:
     share = X.ratio(nulls, total)
-    text = F.format_string(f"'{col}': %.1f%%%% null values (%d records)", share * 100, nulls)
+    text = F.format_string(f"'{col}': %.1f%% null values (%d records)", share * 100, nulls)
     return F.when(share > rules.NULL_SHARE_ISSUE, text)
 
 

@@ -13,10 +13,8 @@ from subpulse.rules import REGISTRY
 
 def registered_schema(dataset: str) -> T.StructType:
     """The declared schema of a registered dataset, so no read has to infer one."""
-    schema = T.StructType()
-    for name, dtype, nullable, _ in REGISTRY[dataset]:
-        schema = schema.add(name, dtype, nullable)
-    return schema
+    return T.StructType.fromDDL(", ".join(
+        f"{name} {dtype}{'' if nullable else ' NOT NULL'}" for name, dtype, nullable, _ in REGISTRY[dataset]))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
