@@ -742,4 +742,21 @@ SELECT o_orderstatus, round(quantile_cont(c, 0.5), 3) AS p50, round(quantile_con
   round(quantile_cont(c, 0.99), 3) AS p99
 FROM (SELECT o_orderstatus, CAST(round(o_totalprice * 100) AS DOUBLE) AS c FROM orders) GROUP BY 1"""
 
+O["stg_news_by_date"] = O["stg_events_news"]
+O["late_report"] = late("""
+SELECT 'summary' AS section, 1 AS lines UNION ALL SELECT 'domain', COUNT(DISTINCT domain) FROM lagged
+UNION ALL SELECT 'platform', COUNT(*) FROM (SELECT DISTINCT domain, platform FROM lagged WHERE platform IS NOT NULL)
+UNION ALL SELECT 'bucket', 20 UNION ALL SELECT 'manifest', COUNT(*) FROM manifest""")
+_DASHBOARD = {"kpis": "kpis", "plan": "plan_distribution", "churn": "churn_by_plan",
+              "acquisition": "acquisition_distribution", "tier": "tier_distribution", "weekly_active": "weekly_active",
+              "game": "game_completions", "daily_readers": "daily_readers", "multi_product": "multi_product",
+              "risk": "risk_buckets", "section": "section_readers"}
+O["dashboard_report"] = " UNION ALL ".join(
+    f"SELECT '{section}' AS section, (SELECT COUNT(*) FROM ({O[name]}) x) AS lines"
+    for section, name in _DASHBOARD.items())
+O["drift_report"] = with_ctes("""
+SELECT 'registry' AS section, 1 AS lines UNION ALL SELECT 'summary', 1 UNION ALL SELECT 'dataset', 5
+UNION ALL SELECT 'event', COUNT(*) FROM drift_rows
+UNION ALL SELECT 'unknown_value', COUNT(*) FROM enum_values WHERE dataset = 'subscribers'""", DRIFTED)
+
 ORACLES = O

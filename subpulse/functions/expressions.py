@@ -138,7 +138,13 @@ def clamped_ts(ts: Column, now: Column) -> Column:
 
 
 def lag_us(event_ts: Column, arrival_ts: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", event_ts, arrival_ts)
+    """Whole microseconds between two zone-less timestamps.
+
+    Taken from their difference, which no time zone enters; ``timestampdiff``
+    would read both in the session's zone and lose or gain a clock change.
+    """
+    seconds = (arrival_ts - event_ts).cast("interval second").cast("decimal(24,6)")
+    return (seconds * F.lit(1_000_000)).cast("bigint")
 
 
 def us_to_hours(us: Column) -> Column:

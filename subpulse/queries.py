@@ -12,7 +12,7 @@ from subpulse import rules
 from subpulse.functions import expressions as X
 from subpulse.operators import checks, drift, late, quality, relational
 from subpulse.operators.quantiles import exact_percentiles
-from subpulse.plans import bundles, dashboard, health, maintenance, scorecard, staging
+from subpulse.plans import bundles, dashboard, health, maintenance, reports, scorecard, staging
 from subpulse.plans import daily_active as metric
 from subpulse.session import scratch_path
 from subpulse.sinks import writers
@@ -152,6 +152,38 @@ def q_json_report(spark, sf):
         "dataset_name string, domain string, total_records bigint, composite_score double, status string").json(path)
 
 
+def _sections(spark: SparkSession, name: str, lines: DataFrame) -> DataFrame:
+    """A report written as JSON lines and read back: lines per section."""
+    path = scratch_path(spark, name)
+    writers.write_json_report(lines, path)
+    return (spark.read.schema("section string, body string").json(path).groupBy("section")
+            .agg(F.count("body").alias("lines")))
+
+
+@query
+def q_late_report(spark, sf):
+    return _sections(spark, "late-report", reports.late_lines(from_driver_tables(spark, sf)))
+
+
+@query
+def q_dashboard_report(spark, sf):
+    return _sections(spark, "dashboard", reports.dashboard_lines(from_driver_tables(spark, sf), AS_OF))
+
+
+@query
+def q_drift_report(spark, sf):
+    return _sections(spark, "drift-report", reports.drift_lines(drifted(from_driver_tables(spark, sf))))
+
+
+@query
+def q_stg_news_by_date(spark, sf):
+    """Staged news as a table partitioned by date."""
+    path = scratch_path(spark, "stg-news")
+    staged = staging.stage_events(from_driver_tables(spark, sf).product("news"), AS_OF)
+    writers.write_by_date(staged, path, ("event_type",))
+    return spark.read.parquet(path)
+
+
 @query
 def q_asset_metadata(spark, sf):
     tables = from_driver_tables(spark, sf)

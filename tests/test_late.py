@@ -68,3 +68,14 @@ def test_percentiles_of_many_groups_with_a_hot_one(spark):
     want = {r.k: r.p for r in df.groupBy("k").agg(F.expr("percentile(v, 0.95)").alias("p")).collect()}
     assert got.keys() == want.keys()
     assert all(got[k] == pytest.approx(want[k], rel=1e-12) for k in want)
+
+
+def test_lag_does_not_depend_on_the_session_zone(spark):
+    # 2024-03-10 02:30 does not exist in New York
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = lagged(spark, ("news", "web", "2024-03-10 01:30:00", 120), ("news", "web", "2024-11-03 00:30:00", 180))
+        assert [r.lag_us for r in df.orderBy("event_id").collect()] == [120 * 60_000_000, 180 * 60_000_000]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
