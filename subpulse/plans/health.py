@@ -21,67 +21,70 @@ MEASURES = {
 }
 # kept NULL for a subscriber without activity; every other measure becomes 0
 NULLABLE = {"news_avg_dwell_sec"} | {f"{p}_last_active_date" for p in rules.PRODUCTS}
+# product -> event type counted by a measure; at most two per product
+EVENT_COUNTS = {
+    "news": {"article_view": "news_article_views", "article_complete": "news_articles_completed"},
+    "games": {"game_complete": "games_completed"},
+    "cooking": {"cook_mode_complete": "recipes_cooked", "save": "recipes_saved"},
+    "athletic": {"article_view": "athletic_article_views"},
+}
+_COUNTERS = ("first", "second")
 
 
-def _measures(product: str, mine: Column) -> list[Column]:
-    """Aggregates of one product over the rows where ``mine`` holds.
+def engagement_all(events: DataFrame, as_of: X.AsOf = None,
+                   lookback_days: int = rules.LOOKBACK_DAYS) -> DataFrame:
+    """Engagement with every product per subscriber, in one pass over the events.
 
-    Dates and game names are gathered as sets: a set holds at most the days of
-    the window or the games of the catalogue, and is merged before the shuffle,
-    so a subscriber (or NULL) with very many events sends one row per map task.
+    First per subscriber, product and day, with one more row per game played;
+    the distinct days and games of a subscriber are then plain counts of rows.
+    Both steps are hash aggregations combined on the map side: no sets are
+    gathered, and a subscriber with very many events sends a few rows per day.
     """
-    def distinct(values: Column) -> Column:
-        return F.size(F.collect_set(values)).cast("bigint")
-
-    def days() -> Column:
-        return distinct(F.when(mine, F.col("event_date"))).alias(f"{product}_active_days")
-
-    def of_type(event_type: str) -> Column:
-        return F.count_if(mine & (F.col("event_type") == event_type))
-
-    last = F.max(F.when(mine, F.col("event_date"))).alias(f"{product}_last_active_date")
-    if product == "news":
-        views, done = of_type("article_view"), of_type("article_complete")
-        return [days(), views.alias("news_article_views"), done.alias("news_articles_completed"),
-                X.ratio(done, views).alias("news_completion_rate"),
-                F.avg(F.when(mine, X.capped_dwell(F.col("time_on_page_sec")))).alias("news_avg_dwell_sec"), last]
-    if product == "games":
-        return [days(), of_type("game_complete").alias("games_completed"),
-                distinct(F.when(mine, F.col("game_name"))).alias("games_distinct_played"),
-                F.max(F.when(mine, F.col("streak_days"))).alias("games_max_streak"), last]
-    if product == "cooking":
-        return [days(), of_type("cook_mode_complete").alias("recipes_cooked"),
-                of_type("save").alias("recipes_saved"), last]
-    return [days(), of_type("article_view").alias("athletic_article_views"), last]
-
-
-def _in_window(events: DataFrame, as_of: X.AsOf, lookback_days: int) -> DataFrame:
     ts = X.parsed_ts(events, "event_timestamp")
-    return (events.filter(X.on_or_after(ts, X.lookback_start(as_of, lookback_days)))
-            .withColumn("event_date", ts.cast("date")))
+    absent = {c: F.lit(None).cast(t) for c, t in (
+        ("time_on_page_sec", "double"), ("game_name", "string"), ("streak_days", "bigint")) if c not in events.columns}
+    rows = (events.filter(X.on_or_after(ts, X.lookback_start(as_of, lookback_days)))
+            .withColumns({**absent, "event_date": ts.cast("date")})
+            .withColumn("dwell", F.when(F.col("product") == "news", X.capped_dwell(F.col("time_on_page_sec")))))
+    kinds = " ".join(
+        f"WHEN '{p}' THEN CASE event_type " + " ".join(f"WHEN '{e}' THEN '{c}'" for e, c in zip(counted, _COUNTERS))
+        + " END" for p, counted in EVENT_COUNTS.items())
+    day = "named_struct('day', event_date, 'game', CAST(NULL AS STRING))"
+    game = "named_struct('day', CAST(NULL AS DATE), 'game', game_name)"
+    keyed = rows.selectExpr(
+        "subscriber_id", "product", "dwell", "streak_days", f"CASE product {kinds} END AS kind",
+        f"inline(IF(product = 'games' AND game_name IS NOT NULL, array({day}, {game}), array({day})))")
+    daily = keyed.groupBy("subscriber_id", "product", "day", "game").agg(
+        *[F.expr(f"count_if(kind = '{c}') AS {c}") for c in _COUNTERS],
+        F.expr("sum(dwell) AS dwell_sum"), F.expr("count(dwell) AS dwell_n"), F.expr("max(streak_days) AS streak"))
+
+    def over(p: str, text: str) -> Column:
+        return F.expr(text.format(f"FILTER (WHERE product = '{p}' AND day IS NOT NULL)"))
+
+    per_product = [column for p, counted in EVENT_COUNTS.items() for column in (
+        over(p, f"count(1) {{}} AS {p}_active_days"), over(p, f"max(day) {{}} AS {p}_last_active_date"),
+        *[over(p, f"coalesce(sum({c}) {{}}, 0L) AS {name}") for name, c in zip(counted.values(), _COUNTERS)])]
+    totals = daily.groupBy("subscriber_id").agg(
+        *per_product, F.expr("try_divide(sum(dwell_sum), sum(dwell_n)) AS news_avg_dwell_sec"),
+        F.count("game").alias("games_distinct_played"), over("games", "max(streak) {} AS games_max_streak"))
+    rate = X.ratio(F.col("news_articles_completed"), F.col("news_article_views"))
+    return totals.withColumn("news_completion_rate", rate).select(
+        "subscriber_id", *[m for p in rules.PRODUCTS for m in MEASURES[p]])
 
 
 def engagement(events: DataFrame, product: str, as_of: X.AsOf = None,
                lookback_days: int = rules.LOOKBACK_DAYS) -> DataFrame:
     """Engagement of one product's raw events per subscriber; news leaves out orphans."""
-    rows = _in_window(events, as_of, lookback_days)
-    if product == "news":
-        rows = rows.filter(F.col("subscriber_id").isNotNull())
-    return rows.groupBy("subscriber_id").agg(*_measures(product, F.lit(True)))
-
-
-def engagement_all(events: DataFrame, as_of: X.AsOf = None,
-                   lookback_days: int = rules.LOOKBACK_DAYS) -> DataFrame:
-    """Engagement with every product in one aggregation, one shuffle."""
-    rows = _in_window(events, as_of, lookback_days).filter(F.col("subscriber_id").isNotNull())
-    return rows.groupBy("subscriber_id").agg(*[
-        column for p in rules.PRODUCTS for column in _measures(p, F.col("product") == p)])
+    rows = events.filter(F.col("subscriber_id").isNotNull()) if product == "news" else events
+    whole = engagement_all(rows.withColumn("product", F.lit(product)), as_of, lookback_days)
+    return whole.select("subscriber_id", *MEASURES[product])
 
 
 def subscriber_health(tables: Tables, as_of: X.AsOf = None, lookback_days: int = rules.LOOKBACK_DAYS) -> DataFrame:
     """Staged subscribers with engagement, breadth, recency, churn risk and revenue."""
     staged = stage_subscribers(tables.subscribers, as_of)
-    joined = staged.join(engagement_all(tables.events, as_of, lookback_days), "subscriber_id", "left")
+    known = tables.events.filter(F.col("subscriber_id").isNotNull())
+    joined = staged.join(engagement_all(known, as_of, lookback_days), "subscriber_id", "left")
     measures = [
         F.col(m) if m in NULLABLE else F.coalesce(F.col(m), F.lit(0)).alias(m)
         for p in rules.PRODUCTS for m in MEASURES[p]
