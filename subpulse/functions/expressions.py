@@ -66,9 +66,10 @@ def on_or_after(ts: Column, day: Column) -> Column:
     return ts >= day.cast("timestamp_ntz")
 
 
-def keyed(value: Column, mapping: dict[str, object], default: object = None) -> Column:
-    out = reduce(lambda w, kv: w.when(value == kv[0], F.lit(kv[1])), mapping.items(), F)
-    return out.otherwise(F.lit(default))
+def keyed(value: Column, mapping: dict, default: object = None) -> Column:
+    """Constant looked up by value. A map evaluates ``value`` once, a CASE once per arm."""
+    found = F.try_element_at(F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair]), value)
+    return found if default is None else F.coalesce(found, F.lit(default))
 
 
 def ratio(part: Column, whole: Column) -> Column:
