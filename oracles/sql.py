@@ -337,6 +337,7 @@ def late(body: str) -> str:
 
 # --- drift -------------------------------------------------------------------
 
+REGISTRY_ROWS = """
 subscribers subscriber_id string true, subscribers email_domain string false, subscribers plan_type string true,
 subscribers subscription_start_date string true, subscribers subscription_end_date string false,
 subscribers is_churned boolean true, subscribers acquisition_channel string false, subscribers country string false,
