@@ -2,16 +2,32 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subpulse.llm import exact_dedup, mixing, quality_cascade
-from subpulse.llm.common import table
+from subpulse.llm import exact_dedup, language_id, mixing, piece_codec, quality_cascade, toxicity
+from subpulse.llm.common import id_remainder, table
+
+#: Score from which a document counts as toxic, and the folds held out from learning.
+TOXIC_FROM = 0.3
+TOXIC_FOLDS, TOXIC_HELD_OUT = 4, 2
+LANG_FOLDS, LANG_HELD_OUT = 5, 0
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = id_remainder("doc_id", TOXIC_FOLDS) == TOXIC_HELD_OUT
+    model = toxicity.train(toxicity.training_rows(documents, labels.filter(~held_out)))
+    return toxicity.score(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
@@ -20,4 +36,18 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.quality(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op4_exact_dedup, op5_quality_rules)}
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = piece_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    return piece_codec.digested(encoded)
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", LANG_FOLDS) == LANG_HELD_OUT
+    dictionaries = language_id.learn_dictionaries(documents.filter(~held_out))
+    return language_id.identify(documents, dictionaries).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_toxicity, op4_exact_dedup, op5_quality_rules, op6_sentencepiece,
+                                  op9_language_id)}
