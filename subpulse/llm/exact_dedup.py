@@ -50,6 +50,7 @@ def _merge_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         if not batch.num_rows:
             continue
+        batch = pa.RecordBatch.from_arrays(batch.columns, names=batch.schema.names)  # every column may be NULL
         rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
         new = np.ones(rows.num_rows, bool)
         if rows.num_rows > 1:
