@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +20,19 @@ HOT_SHARE = 1000
 _ONE, _TWO, _THREE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Put this package on the path of Python workers that share the driver's files, wherever it was started.
+
+    Other clusters get the package with ``--py-files`` as usual.
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

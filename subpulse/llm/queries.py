@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subpulse.llm import exact_dedup, language_id, mixing, piece_codec, quality_cascade, toxicity
+from subpulse.llm import exact_dedup, language_id, mixing, ngram_join, piece_codec, quality_cascade, substring_dedup, toxicity
 from subpulse.llm.common import id_remainder, table
 
 #: Score from which a document counts as toxic, and the folds held out from learning.
@@ -28,6 +28,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), ngram_join.Likeness(words=3, least=90, of=100))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,11 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digested(encoded)
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=35).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = id_remainder("doc_id", LANG_FOLDS) == LANG_HELD_OUT
@@ -49,5 +58,6 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_toxicity, op4_exact_dedup, op5_quality_rules, op6_sentencepiece,
-                                  op9_language_id)}
+QUERIES = {f.__name__: f for f in (
+    op1_mix_sources, op2_toxicity, op3_ngram_jaccard, op4_exact_dedup, op5_quality_rules, op6_sentencepiece,
+    op7_substring_dedup, op9_language_id)}
