@@ -25,7 +25,7 @@ from math import ceil, log
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subpulse.llm.common import GAP, lookup
@@ -35,13 +35,21 @@ RUN = "digest binary, n_bytes long, proof long, keep_id long, keep_row long, gro
 KEY = ("digest", "n_bytes", "proof")
 
 
+def normalised() -> Column:
+    return F.regexp_replace(F.coalesce("text", F.lit("")), GAP, " ")
+
+
+def key_of(text: str) -> list[Column]:
+    """The key of a normalised text, as in ``KEY``."""
+    return [F.unhex(F.sha2(text, 256)).alias("digest"), F.octet_length(text).cast("long").alias("n_bytes"),
+            F.xxhash64(text).alias("proof")]
+
+
 def digests(documents: DataFrame) -> DataFrame:
     """(doc_id, row, digest, n_bytes, proof) of each row's normalised text, settled so that row numbers stay."""
-    text = F.regexp_replace(F.coalesce("text", F.lit("")), GAP, " ")
-    return settle(documents.select("doc_id", text.alias("t")).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
-        F.unhex(F.sha2("t", 256)).alias("digest"), F.octet_length("t").cast("long").alias("n_bytes"),
-        F.xxhash64("t").alias("proof")), "digests")
+    return settle(documents.select("doc_id", normalised().alias("t")).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), *key_of("t")),
+        "digests")
 
 
 def _merge_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,3 +108,24 @@ def dedup(documents: DataFrame) -> DataFrame:
     return lookup(found.select("doc_id", "row", key), groups, "key", found.count(), "group_size").select(
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("key.digest")).alias("text_sha256"))
+
+
+def keep_first(documents: DataFrame) -> DataFrame:
+    """The rows of ``documents`` that stay, with all their columns.
+
+    They are met by text and id, so copies with other ids go before a join has
+    many rows of one key. Rows that repeat both are told apart by nothing; of
+    those, which are known by their count, any one stays.
+    """
+    found = digests(documents)
+    repeated = found.groupBy(*KEY, "doc_id").count().filter("count > 1").select(
+        F.struct(*KEY).alias("_again"), F.col("doc_id").alias("_id"))
+    first = exact_groups(found).select(F.struct(*KEY).alias("_of"), "keep_id")
+    facts = settle(first.join(repeated, (F.col("_again") == F.col("_of")) & F.col("_id").eqNullSafe(F.col("keep_id")),
+                              "left").select("_of", "keep_id", F.col("_again").isNotNull().alias("repeated")), "stays")
+    rows = documents.select(F.struct("*").alias("_row"), normalised().alias("_text")).select(
+        "_row", F.struct(*key_of("_text")).alias("_key"))
+    kept = rows.join(facts, (F.col("_key") == F.col("_of"))
+                     & F.col("_row.doc_id").cast("long").eqNullSafe(F.col("keep_id")))
+    once = kept.filter("repeated").groupBy("_key", "keep_id").agg(F.first("_row").alias("_row"))
+    return kept.filter("NOT repeated").select("_row").unionByName(once.select("_row")).select("_row.*")

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subpulse.llm.common import id_text, n_words
@@ -67,16 +67,14 @@ def _refine(places: DataFrame, state: DataFrame, done: int, bits: int) -> DataFr
                     F.col("words").alias("at_words")))
 
 
-def mix(documents: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: int = 2,
-        seed: str = "mix") -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken.
+def place_of(seed: str) -> Column:
+    """A document's place: the digest of the salted id spreads ids evenly, and any engine can recompute it."""
+    digest = F.md5(F.concat(F.lit(seed + ":"), id_text("doc_id")))
+    return F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("long")
 
-    ``copies`` is how often the mix takes the document, ``taken`` = copies x size.
-    """
-    # the digest of the salted id spreads ids evenly and can be recomputed by any engine
-    place = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), id_text("doc_id"))), 1, HASH_DIGITS), 16, 10)
-    places = settle(documents.select("doc_id", "source", n_words("text").alias("size"),
-                                     place.cast("long").alias("place")), "mix-places")
+
+def mix_plan(places: DataFrame, weights: Sequence[int], share: float, most: int) -> DataFrame:
+    """One row per source (``of``): source_size, target, and ``whole``, ``threshold``, ``with_last`` for ``copies_of``."""
     sizes = places.groupBy("source").agg(F.sum("size").alias("source_size"))
     whole = F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)).cast("int")
     plan = settle(source_targets(sizes, weights, share, most).withColumn("whole", whole), "mix-plan")
@@ -88,10 +86,39 @@ def mix(documents: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float =
     # the document on which a budget ends is taken if that comes nearer to it
     ends = state.select(F.col("source").alias("ending"), F.col("prefix").alias("threshold"),
                         (F.col("left") * 2 >= F.col("at_words")).alias("with_last"))
-    facts = plan.join(ends, F.col("ending").eqNullSafe(F.col("source")), "left").withColumnRenamed("source", "of")
-    once_more = F.coalesce((F.col("place") < F.col("threshold"))
-                           | ((F.col("place") == F.col("threshold")) & F.col("with_last")), F.lit(False))
-    copies = F.col("whole") + once_more.cast("int")
-    return (places.join(settle(facts, "mix-facts"), F.col("of").eqNullSafe(F.col("source")))
-            .select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
-                    (copies * F.col("size")).cast("long").alias("taken")))
+    return settle(plan.join(ends, F.col("ending").eqNullSafe(F.col("source")), "left").drop("ending")
+                  .withColumnRenamed("source", "of"), "mix-facts")
+
+
+def copies_of(place: Column) -> Column:
+    """How often the mix takes a document at ``place``, given its source's row of the plan."""
+    once_more = F.coalesce((place < F.col("threshold")) | ((place == F.col("threshold")) & F.col("with_last")),
+                           F.lit(False))
+    return F.col("whole") + once_more.cast("int")
+
+
+def mix(documents: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: int = 2,
+        seed: str = "mix") -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies, taken.
+
+    ``copies`` is how often the mix takes the document, ``taken`` = copies x size.
+    """
+    places = settle(documents.select("doc_id", "source", n_words("text").alias("size"), place_of(seed).alias("place")),
+                    "mix-places")
+    plan = mix_plan(places, weights, share, most)
+    copies = copies_of(F.col("place"))
+    return places.join(plan, F.col("of").eqNullSafe(F.col("source"))).select(
+        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
+        (copies * F.col("size")).cast("long").alias("taken"))
+
+
+def mixed(documents: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: int = 2,
+          seed: str = "mix") -> DataFrame:
+    """The mix itself: the rows of ``documents``, each as often as it is taken. Texts are not shuffled."""
+    places = settle(documents.select("source", n_words("text").alias("size"), place_of(seed).alias("place")),
+                    "mix-places")
+    plan = mix_plan(places, weights, share, most).select(
+        F.struct("of", "whole", "threshold", "with_last").alias("_plan"))
+    rows = documents.select(F.struct("*").alias("_row"), F.col("source").alias("_source"), place_of(seed).alias("_place"))
+    taken = rows.join(plan, F.col("_plan.of").eqNullSafe(F.col("_source"))).select("_row", "_place", "_plan.*")
+    return taken.select("_row", F.explode(F.array_repeat(F.lit(True), copies_of(F.col("_place"))))).select("_row.*")

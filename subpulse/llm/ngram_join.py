@@ -41,7 +41,7 @@ from subpulse.llm.components import components
 from subpulse.session import settle
 
 SPARE = 2
-SIGNED = "doc_id long, node long, proof long, n_shingles long, signatures array<long>"
+SIGNED = "doc_id long, text_key long, node long, proof long, n_shingles long, signatures array<long>"
 
 
 @dataclass(frozen=True)
@@ -138,12 +138,12 @@ def sign(documents: DataFrame, like: Likeness) -> DataFrame:
                 seen.add(node)
             ends = np.cumsum([0, *map(len, signs)], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(proofs, pa.int64()),
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(proofs, pa.int64()),
                  pa.array(sizes, pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *signs])))],
-                ["doc_id", "node", "proof", "n_shingles", "signatures"])
+                ["doc_id", "text_key", "node", "proof", "n_shingles", "signatures"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"),
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
                             F.col("text").cast("binary").alias("text")).mapInArrow(run, SIGNED)
 
 
@@ -199,10 +199,14 @@ def _linked(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, like: Likeness = Likeness()) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest id of its group)."""
+    """One row per document: doc_id, text_key, n_shingles, component_id (the smallest id of its group) and keep_key.
+
+    ``keep_key`` is the ``text_key`` of the group's document with that id, the smallest if there are several.
+    """
     signed_docs = settle(sign(documents, like), "signed")
+    best = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     nodes = settle(signed_docs.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n_docs"),
+        F.min("doc_id").alias("doc_id"), F.min(best).alias("best"), F.count(F.lit(1)).alias("n_docs"),
         F.min("proof").alias("proof"), F.max("proof").alias("other")), "nodes")
     if not nodes.filter("proof <> other").isEmpty():
         raise ValueError("two sets share a 64-bit digest")
@@ -232,9 +236,24 @@ def near_duplicates(documents: DataFrame, like: Likeness = Likeness()) -> DataFr
     roots = components(links.union(more))
 
     placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    smallest = placed.groupBy("root").agg(F.min("best").alias("best")).select(
+        "root", F.col("best.doc_id").alias("component_id"), F.col("best.text_key").alias("keep_key"))
     facts = settle(placed.select("node", "root", "n_docs").join(smallest, "root").drop("root"), "placed")
-    found = signed_docs.select("doc_id", "node", "n_shingles")
-    alone = found.filter("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    found = signed_docs.select("doc_id", "text_key", "node", "n_shingles")
+    alone = found.filter("node IS NULL").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"),
+                                                F.col("text_key").alias("keep_key"))
     return lookup(found.filter("node IS NOT NULL"), facts, "node", found.count(), "n_docs").select(
-        "doc_id", "n_shingles", "component_id").unionByName(alone)
+        "doc_id", "text_key", "n_shingles", "component_id", "keep_key").unionByName(alone)
+
+
+def keep_one(documents: DataFrame, like: Likeness = Likeness()) -> DataFrame:
+    """The rows of ``documents`` without near duplicates: of each group the one with the smallest id stays.
+
+    Rows that repeat both id and text stay together; exact dedup tells them apart.
+    """
+    verdict = near_duplicates(documents, like)
+    stays = settle(verdict.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))
+                                  & (F.col("text_key") == F.col("keep_key")))
+                   .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text_key")), "stays")
+    return documents.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+                          & (F.xxhash64("text") == F.col("_text_key")), "left_semi")

@@ -6,13 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subpulse.llm import exact_dedup, language_id, mixing, ngram_join, piece_codec, quality_cascade, substring_dedup, toxicity
+from subpulse.llm import exact_dedup, language_id, mixing, ngram_join, pii_surrogates, piece_codec, quality_cascade, substring_dedup, toxicity, warc
 from subpulse.llm.common import id_remainder, table
 
 #: Score from which a document counts as toxic, and the folds held out from learning.
 TOXIC_FROM = 0.3
 TOXIC_FOLDS, TOXIC_HELD_OUT = 4, 2
 LANG_FOLDS, LANG_HELD_OUT = 5, 0
+#: The key of the registered query; who uses the operator passes a secret of their own.
+SURROGATE_KEY = "example"
+THREE_WORDS_90 = ngram_join.Likeness(words=3, least=90, of=100)
 PIECES = "piece_bpe_32k.model"
 
 
@@ -20,16 +23,22 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def toxicity_model(documents: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Learned from the rows that are not held out."""
+    learned = id_remainder("doc_id", TOXIC_FOLDS) != TOXIC_HELD_OUT
+    return toxicity.train(toxicity.training_rows(documents, labels.filter(learned)))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = id_remainder("doc_id", TOXIC_FOLDS) == TOXIC_HELD_OUT
-    model = toxicity.train(toxicity.training_rows(documents, labels.filter(~held_out)))
-    return toxicity.score(documents, model).select(
+    return toxicity.score(documents, toxicity_model(documents, labels)).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), ngram_join.Likeness(words=3, least=90, of=100))
+    found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"), THREE_WORDS_90)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +59,13 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    archives = warc.write_archives(warc.with_revisits(table(spark, sf_dir, "pages"), least_bytes=0), folder)
+    return warc.read_archives(archives, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = id_remainder("doc_id", LANG_FOLDS) == LANG_HELD_OUT
@@ -58,6 +74,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_surrogates.replace_pii(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_toxicity, op3_ngram_jaccard, op4_exact_dedup, op5_quality_rules, op6_sentencepiece,
-    op7_substring_dedup, op9_language_id)}
+    op7_substring_dedup, op8_warc, op9_language_id, op10_pii_surrogates)}

@@ -12,20 +12,19 @@ the worst passages found so far.
 The softmax of an average is linear in the n-grams, so scoring needs two
 numbers a word, a sum and a count, and running sums over the text.
 
-Defined results: a NULL or empty text scores what the softmax gives an empty
-passage; with no toxic or no other training rows every score is the share of
+Defined results: a NULL text or one without words scores 0; with no toxic or no other training rows every score is the share of
 toxic ones (0 without rows); repeated rows and NULL ids are rows like any
 others. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subpulse.llm.common import id_text, mix64
@@ -35,7 +34,6 @@ GRAMS = (3, 4, 5)
 BUCKETS, DIM = 1 << 17, 8
 #: The sample that teaches: at most so many labelled rows of each class, of at most so many characters each.
 ROWS_PER_CLASS, MOST_CHARS = {1: 1500, 0: 3000}, 20_000
-SCORED = "doc_id long, score double"
 #: Words whose evidence a worker keeps before it starts anew.
 MOST_KNOWN = 400_000
 TRIM = b".,;:!?|\"'()[]"
@@ -94,25 +92,22 @@ class Model:
 
     def spans(self, sums: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Log odds of every passage, one per start; a text shorter than a passage is one passage."""
-        offset = float(self.bias[1] - self.bias[0])
-        if not len(sums):
-            return np.array([offset])
         totals = np.zeros((len(sums) + 1, 2))
         np.cumsum(np.stack([sums, counts], 1), axis=0, out=totals[1:])
         width = min(PASSAGE, len(sums))
         spans = totals[width:] - totals[:-width]
-        return spans[:, 0] / spans[:, 1] + offset
+        return spans[:, 0] / spans[:, 1] + float(self.bias[1] - self.bias[0])
 
     def scores(self, texts: list[bytes]) -> list[float]:
         if self.prior is not None:
-            return [self.prior] * len(texts)
+            return [self.prior if text.split() else 0.0 for text in texts]
         split = [text.split() for text in texts]
         self.meet(split)
         worst = []
         for words in split:
             pairs = np.fromiter(map(self.known.__getitem__, words), complex, len(words))
-            worst.append(self.spans(pairs.real, pairs.imag).max())
-        return (1 / (1 + np.exp(-np.clip(worst, -40, 40)))).tolist()
+            worst.append(self.spans(pairs.real, pairs.imag).max() if words else -np.inf)
+        return [0.0 if w == -np.inf else float(1 / (1 + np.exp(-np.clip(w, -40, 40)))) for w in worst]
 
     def settle(self) -> None:
         """Forget what was derived from the parameters before their last change."""
@@ -207,17 +202,22 @@ def training_rows(documents: DataFrame, labels: DataFrame, rows_per_class: dict[
     return rows
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """One row per document: doc_id, score. Reads ids and whole texts only."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # a table of fixed size
+def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """A column function: the score of a whole text."""
+    shared = spark.sparkContext.broadcast(model)  # a table of fixed size
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = shared.value
         for batch in batches:
-            for part in (batch.slice(at, 64) for at in range(0, batch.num_rows, 64)):  # few, as texts may be long
-                scores = known.scores([text.as_py() or b"" for text in part.column("text")])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores, pa.float64())],
-                                                 ["doc_id", "score"])
+            texts = [text or b"" for text in batch]
+            found = [known.scores(texts[at:at + 64]) for at in range(0, len(texts), 64)]  # few, as texts may be long
+            yield pd.Series([score for part in found for score in part], dtype=float)
+
+    return lambda text: run(text.cast("binary"))
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"),
-                            F.col("text").cast("binary").alias("text")).mapInArrow(run, SCORED)
+
+def score(documents: DataFrame, model: Model) -> DataFrame:
+    """One row per document: doc_id, score. Reads ids and whole texts only."""
+    score_of = scorer(documents.sparkSession, model)
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), score_of(F.col("text")).alias("score"))
