@@ -48,10 +48,10 @@ FROM (SELECT event_id, ts, value, event_type AS et, user_id,
          WHEN user_id % 10 = 6 THEN CASE WHEN event_id % 2 = 0 THEN 'news' ELSE 'athletic' END
          WHEN event_id % 4 = 0 THEN 'news' WHEN event_id % 4 = 1 THEN 'games'
          WHEN event_id % 4 = 2 THEN 'cooking' ELSE 'athletic' END AS product,
-    CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 97 = 0 THEN 'ghost' ELSE CAST(user_id AS STRING) END AS subscriber_id,
+    CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 97 = 0 THEN 'ghost' ELSE CAST(CASE WHEN user_id % 5 = 0 AND ts >= TIMESTAMP '2024-01-08 00:00:00' THEN user_id + 1 ELSE user_id END AS STRING) END AS subscriber_id,
     CASE event_id % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'ios' ELSE 'android' END AS platform,
     CASE WHEN event_id % 10 = 0 THEN NULL ELSE value * 10 END AS time_on_page_sec
-  FROM events WHERE user_id % 5 <> 0 OR ts < TIMESTAMP '2024-01-08 00:00:00') b""",
+  FROM events) b""",
     "events_news": """
 SELECT event_id, subscriber_id,
   CASE et WHEN 'view' THEN 'article_view' WHEN 'click' THEN 'article_complete' WHEN 'signup' THEN 'save' WHEN 'purchase' THEN 'share' ELSE 'comment' END AS event_type,
@@ -387,22 +387,27 @@ def drift_ctes(games_col: str = "game_name", athletic_dwell: str = "double", ext
         "registry": registry,
         "live": live_rows(games_col, athletic_dwell, extra_news),
         "column_events": """SELECT r.dataset, r.column_name, 'MISSING_COLUMN' AS drift_type,
-  CASE WHEN r.breaking THEN 'BREAKING' ELSE 'WARNING' END AS severity, r.expected, CAST(NULL AS VARCHAR) AS actual
+  CASE WHEN r.breaking THEN 'BREAKING' ELSE 'WARNING' END AS severity, r.expected, CAST(NULL AS VARCHAR) AS actual,
+  'Column ''' || r.column_name || ''' is no longer delivered; it may have been renamed.' AS detail
 FROM registry r WHERE NOT EXISTS (SELECT 1 FROM live l WHERE l.dataset = r.dataset AND l.column_name = r.column_name)
 UNION ALL
 SELECT r.dataset, r.column_name, 'TYPE_CHANGE', CASE WHEN (r.expected = 'bigint' AND l.actual = 'double')
-  OR (r.expected = 'double' AND l.actual = 'float') THEN 'WARNING' ELSE 'BREAKING' END, r.expected, l.actual
+  OR (r.expected = 'double' AND l.actual = 'float') THEN 'WARNING' ELSE 'BREAKING' END, r.expected, l.actual,
+  'Type of ''' || r.column_name || ''' changed from ' || r.expected || ' to ' || l.actual || '.'
 FROM registry r JOIN live l ON l.dataset = r.dataset AND l.column_name = r.column_name WHERE r.expected <> l.actual
 UNION ALL
-SELECT l.dataset, l.column_name, 'NEW_COLUMN', 'WARNING', NULL, l.actual
+SELECT l.dataset, l.column_name, 'NEW_COLUMN', 'WARNING', NULL, l.actual,
+  'Column ''' || l.column_name || ''' is not in the registry; review and register it.'
 FROM live l WHERE NOT EXISTS (SELECT 1 FROM registry r WHERE l.dataset = r.dataset AND l.column_name = r.column_name)""",
         "enum_values": f"""SELECT 'subscribers' AS dataset, 'plan_type' AS column_name, 'BREAKING' AS severity,
   plan_type AS value, COUNT(*) AS n FROM raw_subscribers WHERE plan_type NOT IN {PLANS_6} GROUP BY plan_type
 UNION ALL SELECT 'events_games', 'game_name', 'WARNING', game_name, COUNT(*) FROM events_games
 WHERE game_name NOT IN {GAMES} GROUP BY game_name""",
         "drift_rows": """SELECT * FROM column_events UNION ALL
-SELECT DISTINCT dataset, column_name, 'ENUM_VIOLATION', severity, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
-FROM enum_values WHERE dataset = 'subscribers'""",
+SELECT dataset, column_name, 'ENUM_VIOLATION', severity, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+  'Unknown values of ''' || column_name || ''': ' || COUNT(*) || ', in ' || CAST(SUM(n) AS BIGINT)
+  || ' rows; the table of unknown values has them all.'
+FROM enum_values WHERE dataset = 'subscribers' GROUP BY dataset, column_name, severity""",
         "statuses": """SELECT d.dataset, CASE WHEN bool_or(e.severity = 'BREAKING') THEN 'BREAKING'
   WHEN bool_or(e.severity = 'WARNING') THEN 'WARNING' WHEN COUNT(e.severity) > 0 THEN 'INFO' ELSE 'CLEAN' END AS status,
   COUNT(e.severity) AS events
@@ -602,7 +607,7 @@ O["top_invalid_values"] = with_ctes(
     "GROUP BY 1 ORDER BY n DESC, plan_type LIMIT 5")
 
 O["drift_events"] = with_ctes("SELECT * FROM drift_rows", DRIFTED)
-O["drift_columns"] = with_ctes("SELECT * FROM column_events", drift_ctes())
+O["drift_columns"] = with_ctes("SELECT * EXCLUDE (detail) FROM column_events", drift_ctes())
 O["drift_enum"] = with_ctes("SELECT * FROM enum_values", drift_ctes())
 O["drift_status"] = with_ctes("SELECT * FROM statuses", DRIFTED)
 O["drift_summary"] = with_ctes("""SELECT COUNT(*) AS total_datasets, COUNT(*) FILTER (WHERE status = 'CLEAN') AS clean,

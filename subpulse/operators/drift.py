@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +14,6 @@ from subpulse.functions.expressions import keyed
 from subpulse.functions.local import constant_table
 
 EVENT_COLUMNS = ["dataset", "column_name", "drift_type", "severity", "expected", "actual", "detail"]
-VALUES_IN_DETAIL = 20
 
 
 class SchemaDriftError(RuntimeError):
@@ -80,24 +79,19 @@ def enum_violations(datasets: dict[str, DataFrame], enums: dict[str, tuple] | No
 
 
 def enum_drift(violations: DataFrame) -> DataFrame:
-    """One event per column with unknown values.
+    """One event per column with unknown values: how many, in how many rows.
 
-    The detail spells out the first few; :func:`enum_violations` holds them all.
+    The values themselves stay rows of :func:`enum_violations`, which holds them all.
     """
     keys = ["dataset", "column_name", "severity"]
-    window = Window.partitionBy(*keys).orderBy("value")
-    values = violations.select(*keys, "value").distinct()
-    first = (values.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= VALUES_IN_DETAIL)
-             .groupBy(*keys).agg(F.sort_array(F.collect_list("value")).alias("shown")))
-    total = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_values"))
-    both = first.unionByName(total, allowMissingColumns=True).groupBy(*keys).agg(
-        F.any_value("shown", True).alias("shown"), F.max("n_values").alias("n_values"))
-    return both.selectExpr(
-        "dataset", "column_name", "'ENUM_VIOLATION' AS drift_type", "severity",
-        "CAST(NULL AS STRING) AS expected", "CAST(NULL AS STRING) AS actual",
-        """format_string('Unknown %s values: {%s}%s.', column_name,
-             array_join(transform(shown, v -> format_string("'%s'", v)), ', '), """
-        f"IF(n_values > {VALUES_IN_DETAIL}, format_string(' and %d more', n_values - {VALUES_IN_DETAIL}), '')) AS detail")
+    per_value = violations.groupBy(*keys, "value").agg(F.sum("n").alias("n"))
+    counted = per_value.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_values"), F.sum("n").alias("n_rows"))
+    detail = F.format_string("Unknown values of '%s': %d, in %d rows; the table of unknown values has them all.",
+                             "column_name", "n_values", "n_rows")
+    absent = F.lit(None).cast("string")
+    return counted.select(
+        "dataset", "column_name", F.lit("ENUM_VIOLATION").alias("drift_type"), "severity", absent.alias("expected"),
+        absent.alias("actual"), detail.alias("detail"))
 
 
 def detect_drift(datasets: dict[str, DataFrame], registry: dict[str, list[tuple]] | None = None,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,9 +122,13 @@ def dates_to_reprocess(manifest: DataFrame) -> DataFrame:
     return manifest.select("event_date").distinct()
 
 
-def events_on(tables: Tables, dates: DataFrame) -> Tables:
-    """The tables, with events only of the given dates."""
-    keyed = tables.events.withColumn("_day", X.parsed_ts(tables.events, "event_timestamp").cast("date"))
-    # one row per calendar day, a few thousand bytes for a decade
-    kept = keyed.join(F.broadcast(dates.select(F.col("event_date").alias("_day"))), "_day", "left_semi").drop("_day")
+def events_on(tables: Tables, dates: DataFrame, first: date, last: date) -> Tables:
+    """The tables, with events only of the given dates, which lie from ``first`` to ``last``.
+
+    The bounds are written on the bare timestamp, so they reach the scan.
+    """
+    ts = X.parsed_ts(tables.events, "event_timestamp")
+    near = tables.events.filter(X.on_or_after(ts, F.lit(first)) & ~X.on_or_after(ts, F.lit(last + timedelta(days=1))))
+    keyed = near.withColumn("_day", ts.cast("date"))
+    kept = keyed.join(dates.select(F.col("event_date").alias("_day")), "_day", "left_semi").drop("_day")
     return Tables(tables.subscribers, kept, tables.columns)

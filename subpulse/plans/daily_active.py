@@ -26,11 +26,12 @@ def _qualifies(product: str) -> Column:
     return test if dwell is None else test & (F.col("time_on_page_sec") > dwell)
 
 
-def qualifying_activity(events: DataFrame, as_of: X.AsOf = None, lookback_days: int = rules.LOOKBACK_DAYS,
+def qualifying_activity(events: DataFrame, as_of: X.AsOf = None, lookback_days: int | None = rules.LOOKBACK_DAYS,
                         since: Column | None = None, drop_orphans: tuple[str, ...] = ("news",)) -> DataFrame:
     """Events that make a subscriber active, from ``lookback_days`` before ``as_of`` on.
 
-    ``since`` adds an inclusive lower bound on the date. News drops events
+    Without ``lookback_days`` all dates count. ``since`` adds an inclusive lower
+    bound on the date. News drops events
     without a subscriber; the other products keep them as their own groups.
     """
     ts = X.parsed_ts(events, "event_timestamp")
@@ -40,7 +41,9 @@ def qualifying_activity(events: DataFrame, as_of: X.AsOf = None, lookback_days:
         if product in drop_orphans:
             test = test & F.col("subscriber_id").isNotNull()
         keep = keep | test
-    rows = events.filter(X.on_or_after(ts, X.lookback_start(as_of, lookback_days))).filter(keep)
+    rows = events.filter(keep)
+    if lookback_days is not None:
+        rows = rows.filter(X.on_or_after(ts, X.lookback_start(as_of, lookback_days)))
     if since is not None:
         rows = rows.filter(X.on_or_after(ts, since))
     label = per_product({p: F.lit(rule[1]) for p, rule in rules.QUALIFYING.items()})
@@ -51,9 +54,17 @@ def qualifying_activity(events: DataFrame, as_of: X.AsOf = None, lookback_days:
 
 
 def enriched_activity(activity: DataFrame, subscribers: DataFrame) -> DataFrame:
-    """Qualifying activity with the subscriber's plan, tier, country and channel."""
-    dims = subscribers.select("subscriber_id", "plan_type", "bundle_tier", "country", "acquisition_channel")
-    return activity.join(dims, "subscriber_id", "left")
+    """Qualifying activity with the subscriber's plan, tier, country and channel.
+
+    The join key is a struct: ``subscribers`` is often partitioned by the bare id
+    already, and AQE splits a hot key only if both sides are shuffled for the
+    join itself. Its second field spreads activity without a subscriber.
+    """
+    own = ["plan_type", "bundle_tier", "country", "acquisition_channel"]
+    dims = subscribers.select(F.struct("subscriber_id", F.lit(0).cast("long").alias("spread")).alias("_key"), *own)
+    spread = F.when(F.col("subscriber_id").isNull(), F.xxhash64("event_date", "product", "platform")).otherwise(F.lit(0))
+    keyed = activity.withColumn("_key", F.struct("subscriber_id", spread.alias("spread")))
+    return keyed.join(dims, "_key", "left").drop("_key")
 
 
 def _tier_counts(counted: Column) -> list[Column]:
@@ -91,7 +102,7 @@ def metric_of(activity: DataFrame, subscribers: DataFrame, as_of: X.AsOf = None)
     return _stamped(counted, as_of)
 
 
-def daily_active(tables: Tables, as_of: X.AsOf = None, lookback_days: int = rules.LOOKBACK_DAYS,
+def daily_active(tables: Tables, as_of: X.AsOf = None, lookback_days: int | None = rules.LOOKBACK_DAYS,
                  since: Column | None = None, subscribers: DataFrame | None = None) -> DataFrame:
     """Detail rows plus one ALL_PRODUCTS row per date."""
     staged = subscribers if subscribers is not None else stage_subscribers(tables.subscribers, as_of)

@@ -11,6 +11,7 @@ from subpulse import rules
 from subpulse.functions import expressions as X
 from subpulse.operators.late import dates_to_reprocess, events_on, reprocessing_manifest, with_lag
 from subpulse.plans.daily_active import COLUMNS, daily_active
+from subpulse.session import settle
 from subpulse.sinks.writers import write_by_date
 from subpulse.sources.tables import Tables
 
@@ -44,12 +45,16 @@ def update_metric(spark: SparkSession, tables: Tables, path: str, as_of: X.AsOf,
     return newest
 
 
-def repair_metric(tables: Tables, path: str, as_of: X.AsOf, lookback_days: int = rules.LOOKBACK_DAYS,
-                  manifest: DataFrame | None = None) -> None:
+def repair_metric(tables: Tables, path: str, as_of: X.AsOf, manifest: DataFrame | None = None) -> None:
     """Recompute and replace the dates of the reprocessing manifest, and no others.
 
-    A date is recomputed for all products: its cross-product total depends on each.
+    A date is recomputed for all products: its cross-product total depends on
+    each. However old a flagged date is, it is repaired: the manifest's first and
+    last date bound the scan, not the lookback.
     """
     manifest = manifest if manifest is not None else reprocessing_manifest(with_lag(tables.events))
-    dated = events_on(tables, dates_to_reprocess(manifest))
-    write_by_date(daily_active(dated, as_of, lookback_days), path, CLUSTER)
+    dates = settle(dates_to_reprocess(manifest), "dates")
+    first, last = dates.agg(F.min("event_date"), F.max("event_date")).first()
+    if first is not None:
+        dated = events_on(tables, dates, first, last)
+        write_by_date(daily_active(dated, as_of, None), path, CLUSTER)

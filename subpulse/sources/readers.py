@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
@@ -17,9 +18,24 @@ def registered_schema(dataset: str) -> T.StructType:
         f"{name} {dtype}{'' if nullable else ' NOT NULL'}" for name, dtype, nullable, _ in REGISTRY[dataset]))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV with a header; a declared schema avoids the extra pass of inference."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, keep_extra: bool = False) -> DataFrame:
+    """CSV with a header: the declared columns, found by name and cast; text that does not parse is NULL.
+
+    Only the header is read ahead, no type is inferred. A declared column that
+    the file lacks is an error. With ``keep_extra`` undeclared columns follow as
+    text, so that a drift check sees them.
+    """
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    missing = [f.name for f in declared if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    extra = [c for c in raw.columns if c not in declared.names] if keep_extra else []
+    return raw.select(*[_quoted(f.name).try_cast(f.dataType).alias(f.name) for f in declared], *map(_quoted, extra))
+
+
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:

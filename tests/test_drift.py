@@ -43,7 +43,7 @@ def test_injected_drift(injected, rows):
         ("events_athletic", "time_on_page_sec", "TYPE_CHANGE", "BREAKING", "double", "bigint"),
         ("events_news", "scroll_depth_pct", "NEW_COLUMN", "WARNING", None, "double"),
         ("subscribers", "plan_type", "ENUM_VIOLATION", "BREAKING", None, None)], key=str)
-    assert "{'audio_only'}" in events.filter("drift_type = 'ENUM_VIOLATION'").first().detail
+    assert events.filter("drift_type = 'ENUM_VIOLATION'").first().detail.startswith("Unknown values of 'plan_type': 1, in 1 ")
     status = drift.drift_status(events, list(injected))
     assert drift.drift_summary(status).first().asDict() == {
         "total_datasets": 5, "clean": 1, "info": 0, "warning": 1, "breaking": 3, "total_events": 5}
@@ -70,7 +70,7 @@ def test_many_unknown_values_stay_whole_in_the_table(spark):
     found = drift.enum_violations({"events_games": games})
     assert found.count() == 45 and found.agg(F.sum("n")).first()[0] == 50
     detail = drift.enum_drift(found).first().detail
-    assert "'game_00'" in detail and "'game_19'" in detail and "'game_20'" not in detail and "and 25 more" in detail
+    assert detail == "Unknown values of 'game_name': 45, in 50 rows; the table of unknown values has them all."
 
 
 def test_latest_days(spark):

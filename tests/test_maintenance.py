@@ -4,13 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from subpulse.functions import expressions as X
+from subpulse.operators import drift
 from subpulse.plans import maintenance
 from subpulse.plans.daily_active import daily_active
 from subpulse.queries import AS_OF, FIRST_LOAD
 from subpulse.session import scratch_path, shared_dir
 from subpulse.sinks import writers
 from subpulse.sources import Tables, from_registry, read_parquet
-from subpulse.sources.readers import landing_registry
+from subpulse.sources.readers import landing_registry, read_csv, registered_schema
 
 
 @pytest.fixture
@@ -51,6 +52,39 @@ def test_a_repair_touches_only_the_given_dates(spark, tables, path):
     assert stored.exceptAll(full).count() == 0 and full.exceptAll(stored).count() == 0
 
 
+def test_a_repair_reaches_dates_before_the_lookback(spark, tables, path):
+    """A date 120 days back, stored without its late events, and one in between that nobody flagged."""
+    old = tables.events.withColumn("event_timestamp", F.expr("event_timestamp - INTERVAL '110' DAY"))
+    moved = Tables(tables.subscribers, old, tables.columns)
+    on_time = Tables(tables.subscribers, old.filter("event_id % 2 = 0"), tables.columns)
+    writers.write_by_date(daily_active(on_time, AS_OF, None), path, maintenance.CLUSTER)
+    first = files(path)
+    manifest = spark.sql("SELECT 'events_news' AS domain, DATE '2023-09-20' AS event_date "
+                         "UNION ALL SELECT 'events_games', DATE '2023-09-26'")
+    maintenance.repair_metric(moved, path, AS_OF, manifest=manifest)
+    changed = {d for d, stamp in files(path).items() if stamp != first.get(d)}
+    assert changed == {"event_date=2023-09-20", "event_date=2023-09-26"}
+    stored = maintenance.read_metric(spark, path).filter("event_date = DATE '2023-09-26'")
+    full = daily_active(moved, AS_OF, None).filter("event_date = DATE '2023-09-26'")
+    assert stored.exceptAll(full).isEmpty() and full.exceptAll(stored).isEmpty() and not full.isEmpty()
+    maintenance.repair_metric(moved, path, AS_OF, manifest=manifest.limit(0))  # nothing flagged, nothing done
+
+
+def test_csv_columns_are_found_by_name(spark, tables, tmp_path):
+    path, subs = f"file://{tmp_path}/subs", tables.subscribers.filter("CAST(subscriber_id AS INT) <= 20")
+    subs.select(*reversed(subs.columns)).withColumn("new col", F.lit("x")).write.option("header", True).csv(path)
+    schema = registered_schema("subscribers")
+    got = read_csv(spark, path, schema)
+    assert got.columns == schema.names
+    assert got.exceptAll(subs.select(*schema.names)).isEmpty()
+    seen = read_csv(spark, path, schema, keep_extra=True)
+    drifted = drift.column_drift(spark, {"subscribers": seen.schema}).collect()
+    assert [(r.column_name, r.drift_type) for r in drifted] == [("new col", "NEW_COLUMN")]
+    subs.drop("plan_type").write.option("header", True).csv(path + "-short")
+    with pytest.raises(ValueError, match="plan_type"):
+        read_csv(spark, path + "-short", schema)
+
+
 def test_files_of_the_metric_are_sorted(spark, tables, path):
     maintenance.build_metric(tables, path, AS_OF)
     one_day = spark.read.parquet(f"{path}/event_date=2024-01-10").select("product", "bundle_tier").collect()

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from conftest import SMALL
 from subpulse.operators.relational import first_per_key, membership_counts
-from subpulse.plans.daily_active import daily_active, daily_active_grouping_sets
+from subpulse.plans.daily_active import (daily_active, daily_active_grouping_sets, enriched_activity,
+                                          qualifying_activity)
 from subpulse.plans.health import subscriber_health
+from subpulse.plans.staging import stage_subscribers
 from subpulse.queries import AS_OF
 from subpulse.sources import Tables
 
@@ -77,3 +79,28 @@ def test_membership_sees_each_key_once(spark, no_broadcast):
     text = plan(got)
     # the aggregation on the key comes below the join
     assert text.index("SortMergeJoin") < text.index("partial_count(1)")
+
+
+def test_enriched_activity_splits_a_hot_subscriber(spark, tables, no_broadcast):
+    """The final plan shows the split; activity without a subscriber stays out of the join."""
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = skewed(tables)
+        # a hot partition is split between the tasks that wrote it
+        many = hot.events.repartition(8).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(20))))
+        activity = qualifying_activity(many, AS_OF)
+        staged = stage_subscribers(tables.subscribers, AS_OF)
+        df = enriched_activity(activity, staged)
+        assert df.count() == activity.count()
+        rows = df.filter("subscriber_id IS NOT NULL").select("plan_type")
+        rows.write.format("noop").mode("overwrite").save()
+        rows.collect()
+        assert "skew=true" in plan(rows)
+        assert df.filter("subscriber_id IS NULL AND plan_type IS NOT NULL").isEmpty()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
