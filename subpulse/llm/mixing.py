@@ -5,7 +5,7 @@ source's budget is met by taking all of its documents a whole number of times
 and, for what is left, those whose place lies below a threshold. The threshold
 comes from histograms of words over hash buckets: the first level covers all
 documents, and each further level only the bucket in which the budget ends.
-Nothing is sorted, and the levels hold at most 65,536 buckets a source.
+Nothing is sorted, and the levels hold at most 4,096 buckets a source.
 
 Defined results: NULL or empty texts have size 0 and add nothing, NULL sources
 form one source that comes last, NULL ids share the place of the empty text,
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from subpulse.llm.common import id_text, n_words
 from subpulse.session import settle
 
-HASH_DIGITS, LEVELS = 15, (16, 16, 16, 12)
+HASH_DIGITS, LEVELS = 15, (12, 12, 12, 12, 12)
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, most: float) -> DataFrame:
