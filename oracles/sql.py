@@ -214,9 +214,51 @@ def label(score: str) -> str:
     return f"CASE WHEN {score} >= 0.95 THEN 'PASS' WHEN {score} >= 0.85 THEN 'WARN' ELSE 'FAIL' END"
 
 
-def check_row(dataset: str, dimension: str, score: str, n_issues: str, source: str) -> str:
+def joined(texts: list[str]) -> str:
+    return "concat_ws(' ', " + ", ".join(texts or ["NULL"]) + ")"
+
+
+def check_row(dataset: str, dimension: str, score: str, issues: list[str], source: str) -> str:
     return (f"SELECT '{dataset}' AS dataset, '{dimension}' AS dimension, round(s, 6) AS score, {label('s')} AS label, "
-            f"CAST(i AS INTEGER) AS n_issues FROM (SELECT {score} AS s, {n_issues} AS i FROM {source})")
+            f"i AS issues FROM (SELECT {score} AS s, {joined(issues)} AS i FROM {source})")
+
+
+def when(cond: str, text: str) -> str:
+    return f"CASE WHEN {cond} THEN {text} END"
+
+
+def missing(col: str) -> str:
+    return when(f"{nulls(col)}::DOUBLE / COUNT(*) > 0.01",
+                f"'Column ''{col}'': ' || {nulls(col)} || ' of ' || COUNT(*) || ' values are missing.'")
+
+
+def absent(col: str) -> str:
+    return f"'Column ''{col}'' is absent.'"
+
+
+def repeated(col: str) -> str:
+    n = f"(COUNT(*) - COUNT(DISTINCT {col}))"
+    return when(f"{n} > 0", f"'Key ''{col}'': ' || {n} || ' rows repeat a value or have none.'")
+
+
+def untimely(ts: str, now: str) -> list[str]:
+    future = f"COUNT(*) FILTER (WHERE {ts} > {now})"
+    return [when(f"{future} > 0", f"{future} || ' timestamps lie in the future.'"),
+            when(f"{nulls(ts)} > 0", f"{nulls(ts)} || ' timestamps cannot be read.'")]
+
+
+def unlinked(fk: str, ref: str, ref_col: str) -> list[str]:
+    orphans = f"COUNT(*) FILTER (WHERE {fk} IS NOT NULL AND {fk} NOT IN (SELECT {ref_col} FROM {ref}))"
+    return [when(f"{orphans} > 0", f"{orphans} || ' rows refer to an unknown ''{fk}''.'"),
+            when(f"{nulls(fk)} > 0", f"{nulls(fk)} || ' rows have no ''{fk}''.'")]
+
+
+def not_allowed(col: str, allowed: str, table: str) -> str:
+    n = f"COUNT(*) FILTER (WHERE {col} NOT IN {allowed})"
+    worst = (f"(SELECT string_agg('''' || v || ''': ' || n, ', ' ORDER BY n DESC, v) FROM (SELECT {col} AS v, "
+             f"COUNT(*) AS n FROM {table} WHERE {col} NOT IN {allowed} GROUP BY 1 ORDER BY n DESC, v LIMIT 5))")
+    return when(f"{n} > 0",
+                f"'Column ''{col}'': ' || {n} || ' values are not allowed, most often {{' || {worst} || '}}.'")
 
 
 def nulls(col: str) -> str:
@@ -250,20 +292,18 @@ def _dq_counts() -> str:
     parts = []
     for name, (domain, table, keys, pk, ts, has_fk, valid, allowed) in PROFILES.items():
         completeness = "(" + " + ".join(share(k) for k in keys) + f") / {len(keys)}.0::DOUBLE"
-        c_issues = " + ".join(flag(f"{nulls(k)}::DOUBLE / COUNT(*) > 0.01") for k in keys)
         orphans = "COUNT(*) FILTER (WHERE subscriber_id IS NOT NULL AND subscriber_id NOT IN (SELECT subscriber_id FROM raw_subscribers))"
         no_fk = nulls("subscriber_id")
         referential = f"1.0::DOUBLE - ({orphans} + {no_fk})::DOUBLE / COUNT(*)" if has_fk else "1.0::DOUBLE"
-        r_issues = f"{flag(f'{orphans} > 0')} + {flag(f'{no_fk} > 0')}" if has_fk else "0"
         future, unparsed = f"COUNT(*) FILTER (WHERE {ts} > {NOW})", nulls(ts)
         invalid = f"COUNT(*) FILTER (WHERE {valid} IS NOT NULL AND {valid} NOT IN {allowed})"
         parts.append(f"""SELECT '{name}' AS dataset_name, '{domain}' AS domain, COUNT(*) AS total_records,
-  {completeness} AS completeness, {c_issues} AS completeness_i,
-  COUNT(DISTINCT {pk})::DOUBLE / COUNT(*) AS uniqueness, {flag(f'COUNT(DISTINCT {pk}) < COUNT(*)')} AS uniqueness_i,
-  1.0::DOUBLE - ({future} + {unparsed})::DOUBLE / COUNT(*) AS timeliness,
-  {flag(f'{future} > 0')} + {flag(f'{unparsed} > 0')} AS timeliness_i,
-  {referential} AS referential, {r_issues} AS referential_i,
-  1.0::DOUBLE - {invalid}::DOUBLE / COUNT(*) AS validity, {flag(f'{invalid} > 0')} AS validity_i
+  {completeness} AS completeness, {joined([missing(k) for k in keys])} AS completeness_i,
+  COUNT(DISTINCT {pk})::DOUBLE / COUNT(*) AS uniqueness, {joined([repeated(pk)])} AS uniqueness_i,
+  1.0::DOUBLE - ({future} + {unparsed})::DOUBLE / COUNT(*) AS timeliness, {joined(untimely(ts, NOW))} AS timeliness_i,
+  {referential} AS referential,
+  {joined(unlinked('subscriber_id', 'raw_subscribers', 'subscriber_id') if has_fk else [])} AS referential_i,
+  1.0::DOUBLE - {invalid}::DOUBLE / COUNT(*) AS validity, {joined([not_allowed(valid, allowed, table)])} AS validity_i
 FROM {table}""")
     return " UNION ALL ".join(parts)
 
@@ -276,7 +316,7 @@ DQ = {
     "dq_scored": f"SELECT *, {COMPOSITE} AS composite FROM dq_counts",
     "dq_rows": f"""SELECT dataset_name, domain, {NOW} AS run_at, total_records,
   round(composite * 100, 2) AS composite_score, {label('composite')} AS status,
-  {', '.join(f"round({d} * 100, 2) AS {d}_score, {label(d)} AS {d}_label, CAST({d}_i AS INTEGER) AS {d}_n_issues" for d in DIMS)}
+  {', '.join(f"round({d} * 100, 2) AS {d}_score, {label(d)} AS {d}_label, {d}_i AS {d}_issues" for d in DIMS)}
 FROM dq_scored""",
 }
 
@@ -328,6 +368,7 @@ FROM lagged GROUP BY domain""",
     "manifest": """SELECT d.domain, d.event_date, d.late_pct, CASE WHEN t.late_pct > 10 THEN 'high' ELSE 'normal' END AS priority
 FROM days d JOIN domains t ON d.domain = t.domain WHERE d.late_pct > 5.0""",
 }
+HALF_A_DAY = {name: text.replace(LATE_AFTER, "12") for name, text in LATE.items()}
 LABELS = ["<30min", "30min-2h", "2-6h", "6-12h", ">12h"]
 
 
@@ -337,55 +378,81 @@ def late(body: str) -> str:
 
 # --- drift -------------------------------------------------------------------
 
-REGISTRY_ROWS = """
-subscribers subscriber_id string true, subscribers email_domain string false, subscribers plan_type string true,
-subscribers subscription_start_date string true, subscribers subscription_end_date string false,
-subscribers is_churned boolean true, subscribers acquisition_channel string false, subscribers country string false,
-subscribers device_primary string false, subscribers created_at string false,
-events_games event_id string true, events_games subscriber_id string false, events_games game_name string true,
-events_games event_type string true, events_games score bigint false, events_games streak_days bigint false,
-events_games duration_sec double false, events_games event_timestamp string true, events_games platform string false,
-events_news event_id string true, events_news subscriber_id string false, events_news event_type string true,
-events_news article_id string true, events_news section string false, events_news time_on_page_sec double false,
-events_news event_timestamp string true, events_news platform string false, events_news referrer string false,
-events_cooking event_id string true, events_cooking subscriber_id string false, events_cooking recipe_id string true,
-events_cooking recipe_category string false, events_cooking event_type string true, events_cooking rating double false,
-events_cooking event_timestamp string true, events_cooking platform string false,
-events_athletic event_id string true, events_athletic subscriber_id string false, events_athletic sport string true,
-events_athletic article_id string true, events_athletic event_type string true,
-events_athletic time_on_page_sec double false, events_athletic event_timestamp string true,
-events_athletic platform string false"""
-
-
-def live_rows(games_col: str, athletic_dwell: str, extra_news: str) -> str:
-    tables = {
-        "subscribers": "subscriber_id string, email_domain string, plan_type string, subscription_start_date string, "
-                       "subscription_end_date string, is_churned boolean, acquisition_channel string, country string, "
-                       "device_primary string, created_at string",
-        "events_games": f"event_id bigint, subscriber_id string, {games_col} string, event_type string, score bigint, "
-                        "streak_days bigint, duration_sec double, event_timestamp timestamp_ntz, platform string, "
-                        "arrival_ts timestamp_ntz",
-        "events_news": "event_id bigint, subscriber_id string, event_type string, article_id string, section string, "
-                       "time_on_page_sec double, event_timestamp timestamp_ntz, platform string, referrer string, "
-                       "arrival_ts timestamp_ntz" + extra_news,
-        "events_cooking": "event_id bigint, subscriber_id string, recipe_id string, recipe_category string, "
-                          "event_type string, rating double, event_timestamp timestamp_ntz, platform string, "
-                          "arrival_ts timestamp_ntz",
-        "events_athletic": "event_id bigint, subscriber_id string, sport string, article_id string, event_type string, "
-                           f"time_on_page_sec {athletic_dwell}, event_timestamp timestamp_ntz, platform string, "
-                           "arrival_ts timestamp_ntz",
-    }
-    rows = [(t, *c.split()) for t, cols in tables.items() for c in cols.split(", ")]
-    return "SELECT * FROM (VALUES " + ", ".join(f"('{t}','{c}','{d}')" for t, c, d in rows) + ") v(dataset, column_name, actual)"
+# fixed values: dataset, column, type, breaking
+REGISTRY_ROWS = [
+    ("subscribers", "subscriber_id", "string", True),
+    ("subscribers", "email_domain", "string", False),
+    ("subscribers", "plan_type", "string", True),
+    ("subscribers", "subscription_start_date", "string", True),
+    ("subscribers", "subscription_end_date", "string", False),
+    ("subscribers", "is_churned", "boolean", True),
+    ("subscribers", "acquisition_channel", "string", False),
+    ("subscribers", "country", "string", False),
+    ("subscribers", "device_primary", "string", False),
+    ("subscribers", "created_at", "string", False),
+    ("events_games", "event_id", "string", True),
+    ("events_games", "subscriber_id", "string", False),
+    ("events_games", "game_name", "string", True),
+    ("events_games", "event_type", "string", True),
+    ("events_games", "score", "bigint", False),
+    ("events_games", "streak_days", "bigint", False),
+    ("events_games", "duration_sec", "double", False),
+    ("events_games", "event_timestamp", "string", True),
+    ("events_games", "platform", "string", False),
+    ("events_news", "event_id", "string", True),
+    ("events_news", "subscriber_id", "string", False),
+    ("events_news", "event_type", "string", True),
+    ("events_news", "article_id", "string", True),
+    ("events_news", "section", "string", False),
+    ("events_news", "time_on_page_sec", "double", False),
+    ("events_news", "event_timestamp", "string", True),
+    ("events_news", "platform", "string", False),
+    ("events_news", "referrer", "string", False),
+    ("events_cooking", "event_id", "string", True),
+    ("events_cooking", "subscriber_id", "string", False),
+    ("events_cooking", "recipe_id", "string", True),
+    ("events_cooking", "recipe_category", "string", False),
+    ("events_cooking", "event_type", "string", True),
+    ("events_cooking", "rating", "double", False),
+    ("events_cooking", "event_timestamp", "string", True),
+    ("events_cooking", "platform", "string", False),
+    ("events_athletic", "event_id", "string", True),
+    ("events_athletic", "subscriber_id", "string", False),
+    ("events_athletic", "sport", "string", True),
+    ("events_athletic", "article_id", "string", True),
+    ("events_athletic", "event_type", "string", True),
+    ("events_athletic", "time_on_page_sec", "double", False),
+    ("events_athletic", "event_timestamp", "string", True),
+    ("events_athletic", "platform", "string", False),
+]
+
+
+SPARK_TYPES = ("CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' "
+               "WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END")
+
 
+def described(dataset: str, query: str) -> str:
+    """(dataset, column_name, actual) of a query's own columns."""
+    return (f"SELECT '{dataset}' AS dataset, column_name, {SPARK_TYPES} AS actual FROM (DESCRIBE {query})")
 
-def drift_ctes(games_col: str = "game_name", athletic_dwell: str = "double", extra_news: str = "") -> dict[str, str]:
-    rows = [tuple(r.split()) for r in REGISTRY_ROWS.replace("\n", " ").split(", ")]
+
+def live_rows(drifted: bool) -> str:
+    changed = {
+        "events_games": "SELECT * RENAME (game_name AS game_title) FROM events_games",
+        "events_athletic": "SELECT * REPLACE (CAST(time_on_page_sec AS BIGINT) AS time_on_page_sec) FROM events_athletic",
+        "events_news": "SELECT *, 50.0::DOUBLE AS scroll_depth_pct FROM events_news",
+    } if drifted else {}
+    tables = {"subscribers": "SELECT * FROM raw_subscribers"} | {
+        f"events_{p}": changed.get(f"events_{p}", f"SELECT * FROM events_{p}") for p in PRODUCTS}
+    return " UNION ALL ".join(described(name, with_ctes(query)) for name, query in tables.items())
+
+
+def drift_ctes(drifted: bool = True) -> dict[str, str]:
     registry = "SELECT * FROM (VALUES " + ", ".join(
-        f"('{t}','{c}','{d}',{b})" for t, c, d, b in rows) + ") v(dataset, column_name, expected, breaking)"
+        f"('{t}','{c}','{d}',{b})" for t, c, d, b in REGISTRY_ROWS) + ") v(dataset, column_name, expected, breaking)"
     return {
         "registry": registry,
-        "live": live_rows(games_col, athletic_dwell, extra_news),
+        "live": live_rows(drifted),
         "column_events": """SELECT r.dataset, r.column_name, 'MISSING_COLUMN' AS drift_type,
   CASE WHEN r.breaking THEN 'BREAKING' ELSE 'WARNING' END AS severity, r.expected, CAST(NULL AS VARCHAR) AS actual,
   'Column ''' || r.column_name || ''' is no longer delivered; it may have been renamed.' AS detail
@@ -415,7 +482,7 @@ FROM (SELECT DISTINCT dataset FROM registry) d LEFT JOIN drift_rows e ON d.datas
     }
 
 
-DRIFTED = drift_ctes("game_title", "bigint", ", scroll_depth_pct double")
+DRIFTED = drift_ctes()
 
 
 # --- all queries -------------------------------------------------------------
@@ -505,22 +572,19 @@ FROM all_events WHERE CAST(event_timestamp AS DATE) >= {TODAY} - 30 AND event_ti
 O["dq_completeness"] = with_ctes(" UNION ALL ".join([
     check_row("subscribers", "completeness",
               "(" + " + ".join(share(k) for k in PROFILES["subscribers"][2]) + ") / 4.0::DOUBLE",
-              " + ".join(flag(f"{nulls(k)}::DOUBLE / COUNT(*) > 0.01") for k in PROFILES["subscribers"][2]),
-              "raw_subscribers"),
+              [missing(k) for k in PROFILES["subscribers"][2]], "raw_subscribers"),
     check_row("events_news", "completeness", f"({share('event_id')} + {share('subscriber_id')}) / 3.0::DOUBLE",
-              f"1 + {flag(nulls('event_id') + '::DOUBLE / COUNT(*) > 0.01')} + "
-              f"{flag(nulls('subscriber_id') + '::DOUBLE / COUNT(*) > 0.01')}", "events_news"),
+              [missing("event_id"), missing("subscriber_id"), absent("gone")], "events_news"),
     check_row("orders", "completeness", f"({share('o_orderkey')} + {share('o_orderdate')}) / 2.0::DOUBLE",
-              f"{flag(nulls('o_orderkey') + '::DOUBLE / COUNT(*) > 0.01')} + "
-              f"{flag(nulls('o_orderdate') + '::DOUBLE / COUNT(*) > 0.01')}", "orders"),
+              [missing("o_orderkey"), missing("o_orderdate")], "orders"),
 ]))
 O["dq_uniqueness"] = with_ctes(" UNION ALL ".join(
-    check_row(d, "uniqueness", f"COUNT(DISTINCT {c})::DOUBLE / COUNT(*)", flag(f"COUNT(DISTINCT {c}) < COUNT(*)"), t)
+    check_row(d, "uniqueness", f"COUNT(DISTINCT {c})::DOUBLE / COUNT(*)", [repeated(c)], t)
     for d, c, t in [("subscribers", "subscriber_id", "raw_subscribers"), ("events_news", "subscriber_id", "events_news"),
                     ("lineitem", "l_orderkey", "lineitem")]))
 O["dq_timeliness"] = with_ctes(" UNION ALL ".join(
     check_row(d, "timeliness", f"1.0::DOUBLE - COUNT(*) FILTER (WHERE {c} > {now} OR {c} IS NULL)::DOUBLE / COUNT(*)",
-              f"{flag(f'COUNT(*) FILTER (WHERE {c} > {now}) > 0')} + {flag(nulls(c) + ' > 0')}", t)
+              untimely(c, now), t)
     for d, c, t, now in [
         ("subscribers", "TRY_CAST(created_at AS TIMESTAMP)", "raw_subscribers", NOW),
         ("events_games", "event_timestamp", "events_games", NOW),
@@ -528,14 +592,13 @@ O["dq_timeliness"] = with_ctes(" UNION ALL ".join(
 O["dq_referential"] = with_ctes(" UNION ALL ".join(
     check_row(d, "referential",
               f"1.0::DOUBLE - COUNT(*) FILTER (WHERE {fk} IS NULL OR {fk} NOT IN (SELECT {rc} FROM {ref}))::DOUBLE / COUNT(*)",
-              f"{flag(f'COUNT(*) FILTER (WHERE {fk} IS NOT NULL AND {fk} NOT IN (SELECT {rc} FROM {ref})) > 0')} + "
-              f"{flag(nulls(fk) + ' > 0')}", t)
+              unlinked(fk, ref, rc), t)
     for d, fk, t, ref, rc in [("events_news", "subscriber_id", "events_news", "raw_subscribers", "subscriber_id"),
                               ("orders", "o_custkey", "orders", "customer", "c_custkey"),
                               ("customer", "c_custkey", "customer", "events", "user_id")]))
 O["dq_validity"] = with_ctes(" UNION ALL ".join(
     check_row(d, "validity", f"1.0::DOUBLE - COUNT(*) FILTER (WHERE {c} NOT IN {ok})::DOUBLE / COUNT(*)",
-              flag(f"COUNT(*) FILTER (WHERE {c} NOT IN {ok}) > 0"), t)
+              [not_allowed(c, ok, t)], t)
     for d, c, ok, t in [("subscribers_6", "plan_type", PLANS_6, "raw_subscribers"),
                         ("subscribers_7", "plan_type", PLANS_7, "raw_subscribers"),
                         ("orders", "o_orderstatus", "('F','O')", "orders")]))
@@ -552,7 +615,8 @@ O["dq_dimensions"] = with_ctes(" UNION ALL ".join(
 O["dq_summary"] = with_ctes("""SELECT COUNT(*) AS total_datasets, COUNT(*) FILTER (WHERE status = 'PASS') AS pass,
   COUNT(*) FILTER (WHERE status = 'WARN') AS warn, COUNT(*) FILTER (WHERE status = 'FAIL') AS fail,
   MIN(composite_score) AS min_score, round(AVG(composite_score), 2) AS avg_score FROM dq_rows""", DQ)
-O["json_report"] = with_ctes("SELECT dataset_name, domain, total_records, composite_score, status FROM dq_rows", DQ)
+O["dq_gates"] = with_ctes(
+    "SELECT dataset_name, status, status = 'FAIL' AS halts, status = 'WARN' AS warns FROM dq_rows", DQ)
 O["dq_scorecard"] = with_ctes(scorecard())
 
 _STG_NEWS = {"stg_events_news": staged("news")}
@@ -607,8 +671,35 @@ O["top_invalid_values"] = with_ctes(
     "GROUP BY 1 ORDER BY n DESC, plan_type LIMIT 5")
 
 O["drift_events"] = with_ctes("SELECT * FROM drift_rows", DRIFTED)
-O["drift_columns"] = with_ctes("SELECT * EXCLUDE (detail) FROM column_events", drift_ctes())
-O["drift_enum"] = with_ctes("SELECT * FROM enum_values", drift_ctes())
+FILES = {
+    "orders": [("o_orderkey", "bigint", True), ("o_custkey", "int", True), ("o_orderstatus", "string", False),
+               ("o_totalprice", "decimal(15,2)", True), ("o_orderdate", "timestamp_ntz", True),
+               ("o_clerk", "string", False)],
+    "customer": [("c_custkey", "bigint", True), ("c_name", "string", False), ("c_segment", "string", True)],
+    "events": [("event_id", "bigint", True), ("ts", "timestamp_ntz", True), ("user_id", "bigint", True),
+               ("event_type", "string", False), ("value", "double", False), ("props", "string", False)],
+}
+_FILE_COLUMNS = {"orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+                 "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+                 "events": "event_id ts user_id event_type value props"}
+O["drift_columns"] = ("WITH registry AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{t}','{c}','{d}',{b})" for t, cols in FILES.items() for c, d, b in cols)
+    + ") v(dataset, column_name, expected, breaking)), live AS (" + " UNION ALL ".join(
+    described(t, f"SELECT * FROM {t}") for t in FILES) + "), column_events AS (" + DRIFTED["column_events"]
+    + "), filled AS (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS dataset, '{c}' AS column_name, COUNT(*) AS n_rows, COUNT({c}) AS n_filled FROM {t}"
+    for t, cols in _FILE_COLUMNS.items() for c in cols.split())
+    + ") SELECT e.*, f.n_rows, f.n_filled FROM column_events e LEFT JOIN filled f USING (dataset, column_name)")
+_PRESENT = {"news": "subscriber_id section time_on_page_sec", "games": "subscriber_id game_name score",
+            "cooking": "subscriber_id rating", "athletic": "subscriber_id time_on_page_sec sport"}
+_DTYPES = {"subscriber_id": "string", "section": "string", "time_on_page_sec": "double", "game_name": "string",
+           "score": "bigint", "rating": "double", "sport": "string"}
+O["drift_partitions"] = with_ctes(" UNION ALL ".join(
+    f"SELECT '{p}' AS product, CAST(event_timestamp AS DATE) AS event_date, '{c}' AS column_name, '{d}' AS dtype, "
+    f"COUNT(*) AS n_rows, {f'COUNT({c})' if c in _PRESENT[p].split() else '0::BIGINT'} AS n_filled "
+    f"FROM events_{p} GROUP BY 2" for p in PRODUCTS for c, d in _DTYPES.items()))
+O["drift_gates"] = with_ctes("SELECT dataset, status, status = 'BREAKING' AS halts FROM statuses", DRIFTED)
+O["drift_enum"] = with_ctes("SELECT * FROM enum_values", drift_ctes(False))
 O["drift_status"] = with_ctes("SELECT * FROM statuses", DRIFTED)
 O["drift_summary"] = with_ctes("""SELECT COUNT(*) AS total_datasets, COUNT(*) FILTER (WHERE status = 'CLEAN') AS clean,
   COUNT(*) FILTER (WHERE status = 'INFO') AS info, COUNT(*) FILTER (WHERE status = 'WARNING') AS warning,
@@ -747,20 +838,40 @@ SELECT o_orderstatus, round(quantile_cont(c, 0.5), 3) AS p50, round(quantile_con
 FROM (SELECT o_orderstatus, CAST(round(o_totalprice * 100) AS DOUBLE) AS c FROM orders) GROUP BY 1"""
 
 O["stg_news_by_date"] = O["stg_events_news"]
-O["late_report"] = late("""
-SELECT 'summary' AS section, 1 AS lines UNION ALL SELECT 'domain', COUNT(DISTINCT domain) FROM lagged
-UNION ALL SELECT 'platform', COUNT(*) FROM (SELECT DISTINCT domain, platform FROM lagged WHERE platform IS NOT NULL)
-UNION ALL SELECT 'bucket', 20 UNION ALL SELECT 'manifest', COUNT(*) FROM manifest""")
-_DASHBOARD = {"kpis": "kpis", "plan": "plan_distribution", "churn": "churn_by_plan",
-              "acquisition": "acquisition_distribution", "tier": "tier_distribution", "weekly_active": "weekly_active",
-              "game": "game_completions", "daily_readers": "daily_readers", "multi_product": "multi_product",
-              "risk": "risk_buckets", "section": "section_readers"}
-O["dashboard_report"] = " UNION ALL ".join(
-    f"SELECT '{section}' AS section, (SELECT COUNT(*) FROM ({O[name]}) x) AS lines"
-    for section, name in _DASHBOARD.items())
-O["drift_report"] = with_ctes("""
-SELECT 'registry' AS section, 1 AS lines UNION ALL SELECT 'summary', 1 UNION ALL SELECT 'dataset', 5
-UNION ALL SELECT 'event', COUNT(*) FROM drift_rows
-UNION ALL SELECT 'unknown_value', COUNT(*) FROM enum_values WHERE dataset = 'subscribers'""", DRIFTED)
+O["late_manifest_12_hours"] = with_ctes("SELECT * FROM manifest", HALF_A_DAY)
+O["late_summary_12_hours"] = O["late_summary"].replace(LATE_AFTER, "12")
+
+
+def report(parts: dict[str, str]) -> str:
+    """Every row of every part: its values as text, in text order."""
+    return " UNION ALL ".join(
+        f"SELECT '{section}' AS section, "
+        f"array_to_string(list_sort(json_extract_string(to_json(t), '$.*')), '|') AS line FROM ({query}) t"
+        for section, query in parts.items())
+
+
+_LIMITS = [*((f"late after hours: events_{p}", h) for p, h in THRESHOLDS.items()), ("late after hours: other", 2),
+           ("recompute a date above percent", 5), ("high priority above percent", 10), ("warning above percent", 2)]
+O["late_report"] = report({
+    "summary": O["late_summary"], "domain": O["late_domain_stats"], "platform": O["late_platform"],
+    "bucket": O["late_buckets"], "manifest": O["late_manifest"],
+    "limits": "SELECT * FROM (VALUES " + ", ".join(f"('{n}', {v}::DOUBLE)" for n, v in _LIMITS) + ") v(name, value)"})
+O["dashboard_report"] = report({
+    "kpis": O["kpis"], "plan": O["plan_distribution"], "churn": O["churn_by_plan"],
+    "acquisition": O["acquisition_distribution"], "tier": O["tier_distribution"], "weekly_active": O["weekly_active"],
+    "game": O["game_completions"], "daily_readers": O["daily_readers"], "multi_product": O["multi_product"],
+    "risk": O["risk_buckets"], "section": O["section_readers"]})
+O["drift_report"] = report({
+    "registry": "SELECT '2024.Q1.3' AS version", "summary": O["drift_summary"], "dataset": O["drift_status"],
+    "event": O["drift_events"], "gate": O["drift_gates"],
+    "columns": with_ctes("""SELECT dataset, (SELECT COUNT(*) FROM registry r WHERE r.dataset = l.dataset) AS columns_expected,
+  COUNT(*) AS columns_found FROM live l GROUP BY dataset""", DRIFTED),
+    "unknown_value": with_ctes("SELECT * FROM enum_values WHERE dataset = 'subscribers'", DRIFTED)})
+O["json_report"] = report({
+    "summary": O["dq_summary"], "gate": O["dq_gates"],
+    "dataset": with_ctes("SELECT dataset_name, domain, run_at, total_records, composite_score, status FROM dq_rows", DQ),
+    "dimension": with_ctes(" UNION ALL ".join(
+        f"SELECT dataset_name, '{d}' AS dimension, {d}_score AS score, {d}_label AS label, {d}_issues AS issues FROM dq_rows"
+        for d in DIMS), DQ)})
 
 ORACLES = O

@@ -38,29 +38,6 @@ def parsed_ts(df: DataFrame, name: str) -> Column:
     return F.col(name).try_cast("timestamp_ntz")
 
 
-def now_sql(as_of: AsOf) -> str:
-    """``as_of_ts`` as SQL text."""
-    return "localtimestamp()" if as_of is None else f"TIMESTAMP_NTZ '{as_of}'"
-
-
-def ts_sql(df: DataFrame, name: str) -> str:
-    """``parsed_ts`` as SQL text."""
-    if df.schema[name].dataType.simpleString() == "timestamp_ntz":
-        return name
-    return f"try_cast({name} AS TIMESTAMP_NTZ)"
-
-
-def in_list(values) -> str:
-    """Constants as a parenthesised SQL list."""
-    return "(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values) + ")"
-
-
-def label_sql(score: str) -> str:
-    """``score_label`` as SQL text."""
-    return (f"CASE WHEN {score} >= {rules.PASS_AT}D THEN 'PASS' WHEN {score} >= {rules.WARN_AT}D THEN 'WARN' "
-            "ELSE 'FAIL' END")
-
-
 def on_or_after(ts: Column, day: Column) -> Column:
     """``date(ts) >= day`` written on the bare column, so a scan can push it down."""
     return ts >= day.cast("timestamp_ntz")
@@ -152,10 +129,6 @@ def us_to_hours(us: Column) -> Column:
     return us / F.lit(3_600_000_000.0)
 
 
-def late_threshold_hours(domain: Column) -> Column:
-    return keyed(domain, rules.LATE_AFTER_HOURS, rules.DEFAULT_LATE_AFTER_HOURS)
-
-
 def lag_bucket(hours: Column) -> Column:
     """Right-closed bins; a lag of zero or less, or none, has no bucket."""
     out = F.when(~(hours > 0) | hours.isNull(), F.lit(None).cast("string"))

@@ -127,6 +127,35 @@ def drift_gate(status: DataFrame) -> None:
         raise SchemaDriftError(f"breaking schema drift: {', '.join(broken)}")
 
 
+def drift_gates(status: DataFrame) -> DataFrame:
+    """What the gate decides, a row per dataset: (dataset, status, halts)."""
+    return status.select("dataset", "status", (F.col("status") == "BREAKING").alias("halts"))
+
+
+def column_counts(spark: SparkSession, schemas: dict[str, T.StructType],
+                  registry: dict[str, list[tuple]] | None = None) -> DataFrame:
+    """(dataset, columns_expected, columns_found) for the header of a report."""
+    known = registry or rules.REGISTRY
+    return constant_table(spark, {"dataset": "string", "columns_expected": "bigint", "columns_found": "bigint"},
+                          [(name, len(known[name]), len(schema.fields)) for name, schema in schemas.items()])
+
+
+def column_presence(df: DataFrame, by: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """(*by, column_name, dtype, n_rows, n_filled) per group and column, from the rows themselves.
+
+    A schema covers all files of a table; a column that newer files or single
+    partitions no longer fill only shows in their rows. Group by the partition's
+    date or by ``_metadata.file_name``. One pass, combined on the map side.
+    """
+    names = [c for c in columns or df.columns if c not in by]
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
+                                 *[F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(names)])
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
+                               F.col("_n").alias("n_rows"), F.col(f"_{i}").alias("n_filled"))
+                      for i, c in enumerate(names)])
+    return counts.select(*by, F.inline(cells))
+
+
 def latest_days(df: DataFrame, date_col: str, days: int = 1) -> DataFrame:
     """Rows of the newest ``days`` dates, so a daily check reads only the newest partitions."""
     newest = df.agg(F.max(date_col)).scalar()

@@ -1,8 +1,12 @@
-"""Five-dimension data quality: single checks, dataset reports and the gate."""
+"""Five-dimension data quality: single checks, dataset reports and the gate.
+
+Scores and issue texts are written once, over counts: a single check counts one
+table, the report counts all of them together.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,10 +14,12 @@ from pyspark.sql import functions as F
 
 from subpulse import rules
 from subpulse.functions import expressions as X
+from subpulse.functions.local import constant_table
 from subpulse.operators.relational import membership_counts
 from subpulse.sources.tables import Tables
 
 DIMENSIONS = list(rules.DQ_WEIGHTS)
+SHARES = 32
 
 
 class QualityGateError(RuntimeError):
@@ -27,218 +33,245 @@ def _share_kept(bad: Column, total: Column) -> Column:
     return F.when(total > 0, F.lit(1.0) - bad / total).otherwise(F.lit(1.0))
 
 
-def _thousands(n: Column) -> Column:
-    return F.format_number(n, 0)
+def _distinct_share(keys: Column, total: Column) -> Column:
+    return F.when(total > 0, keys / total).otherwise(F.lit(1.0))
 
 
-def _if_any(n: Column, *parts: Column | str) -> Column:
-    """The message when ``n`` is positive."""
-    text = F.concat(_thousands(n), *[F.lit(p) if isinstance(p, str) else p for p in parts])
-    return F.when(n > 0, text)
+# --- issue texts out of counts; NULL when there is nothing to say -------------
 
+def _if_any(n: Column, text: str, *values: Column) -> Column:
+    return F.when(n > 0, F.format_string(text, *values))
 
-def _null_issue(col: str, nulls: Column, total: Column) -> Column:
-    share = X.ratio(nulls, total)
-    text = F.format_string(f"'{col}': %.1f%% null values (%d records)", share * 100, nulls)
-    return F.when(share > rules.NULL_SHARE_ISSUE, text)
 
+def _absent(name: Column) -> Column:
+    return F.format_string("Column '%s' is absent.", name)
 
-def _missing_issue(col: str) -> Column:
-    return F.lit(f"Column '{col}' missing entirely from dataset")
 
+def _missing(name: Column, nulls: Column, total: Column) -> Column:
+    return F.when(X.ratio(nulls, total) > rules.NULL_SHARE_ISSUE,
+                  F.format_string("Column '%s': %d of %d values are missing.", name, nulls, total))
 
-def _check(name: str, score: Column, issues: Column) -> list[Column]:
-    return [F.lit(name).alias("dimension"), score.alias("score"), X.score_label(score).alias("label"),
-            issues.alias("issues")]
 
+def _repeated(name: Column, n: Column) -> Column:
+    return _if_any(n, "Key '%s': %d rows repeat a value or have none.", name, n)
+
+
+def _untimely(future: Column, unparsed: Column) -> list[Column]:
+    return [_if_any(future, "%d timestamps lie in the future.", future),
+            _if_any(unparsed, "%d timestamps cannot be read.", unparsed)]
+
+
+def _unlinked(name: Column, orphans: Column, nulls: Column) -> list[Column]:
+    return [_if_any(orphans, "%d rows refer to an unknown '%s'.", orphans, name),
+            _if_any(nulls, "%d rows have no '%s'.", nulls, name)]
 
-def _absent(df: DataFrame, name: str, score: float, issue: str | None = None) -> DataFrame:
-    """One row for a check whose column does not exist."""
-    issues = X.issue_list(F.lit(issue).cast("string"))
-    return df.agg(F.count(F.lit(1)).alias("_n")).select(*_check(name, F.lit(score), issues))
+
+def _not_allowed(name: Column, n: Column, worst: Column) -> Column:
+    return _if_any(n, "Column '%s': %d values are not allowed, most often {%s}.", name, n, worst)
 
 
 # --- single checks: one row (dimension, score, label, issues) ----------------
 
+def _check(name: str, score: Column, *issues: Column) -> list[Column]:
+    return [F.lit(name).alias("dimension"), score.alias("score"), X.score_label(score).alias("label"),
+            X.issue_list(*(issues or [F.lit(None).cast("string")])).alias("issues")]
+
+
+def _without(df: DataFrame, name: str, score: float, *issues: Column) -> DataFrame:
+    """One row for a check whose column does not exist."""
+    return df.agg(F.count(F.lit(1)).alias("_n")).select(*_check(name, F.lit(score), *issues))
+
+
 def completeness(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     """Mean non-null share of the key columns; an absent column counts 0."""
     if not key_cols:
-        return _absent(df, "completeness", 0.0)
-    present = [c for c in key_cols if c in df.columns]
+        return _without(df, "completeness", 0.0)
+    present = {c: f"null_{i}" for i, c in enumerate(key_cols) if c in df.columns}
     counts = df.agg(F.count(F.lit(1)).alias("total"),
-                    *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in present])
+                    *[F.count_if(F.col(c).isNull()).alias(slot) for c, slot in present.items()])
     total = F.col("total")
-    shares = [F.lit(1.0) - X.ratio(F.col(f"null_{c}"), total) for c in present]
+    shares = [F.lit(1.0) - X.ratio(F.col(slot), total) for slot in present.values()]
     score = reduce(lambda a, b: a + b, shares, F.lit(0.0)) / F.lit(float(len(key_cols)))
-    issues = X.issue_list(*[
-        _null_issue(c, F.col(f"null_{c}"), total) if c in present else _missing_issue(c) for c in key_cols])
-    return counts.select(*_check("completeness", score, issues))
+    return counts.select(*_check("completeness", score, *[
+        _missing(F.lit(c), F.col(present[c]), total) if c in present else _absent(F.lit(c)) for c in key_cols]))
 
 
 def uniqueness(df: DataFrame, pk: str) -> DataFrame:
     """Distinct keys over rows; NULL is not a distinct key."""
     if pk not in df.columns:
-        return _absent(df, "uniqueness", 0.0, f"PK column '{pk}' not found")
+        return _without(df, "uniqueness", 0.0, _absent(F.lit(pk)))
     counts = df.agg(F.count(F.lit(1)).alias("total"), F.count_distinct(pk).alias("keys"))
-    score = F.when(F.col("total") > 0, F.col("keys") / F.col("total")).otherwise(F.lit(1.0))
-    issues = X.issue_list(_if_any(F.col("total") - F.col("keys"), f" duplicate '{pk}' values detected"))
-    return counts.select(*_check("uniqueness", score, issues))
+    keys, total = F.col("keys"), F.col("total")
+    return counts.select(*_check("uniqueness", _distinct_share(keys, total), _repeated(F.lit(pk), total - keys)))
 
 
 def timeliness(df: DataFrame, ts_col: str, as_of: X.AsOf = None) -> DataFrame:
     """Share of rows whose time parses and is not in the future."""
     if ts_col not in df.columns:
-        return _absent(df, "timeliness", 1.0)
+        return _without(df, "timeliness", 1.0)
     ts = X.parsed_ts(df, ts_col)
     counts = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(ts > X.as_of_ts(as_of)).alias("future"),
                     F.count_if(ts.isNull()).alias("unparsed"))
-    score = _share_kept(F.col("future") + F.col("unparsed"), F.col("total"))
-    return counts.select(*_check("timeliness", score, _timeliness_issues()))
-
-
-def _timeliness_issues() -> Column:
-    return X.issue_list(
-        _if_any(F.col("future"), " records have future timestamps (clock skew?)"),
-        _if_any(F.col("unparsed"), " records have unparseable timestamps"))
+    future, unparsed = F.col("future"), F.col("unparsed")
+    return counts.select(*_check("timeliness", _share_kept(future + unparsed, F.col("total")),
+                                 *_untimely(future, unparsed)))
 
 
 def referential(df: DataFrame, fk: str, ref: DataFrame, ref_col: str) -> DataFrame:
     """Share of rows whose key is not NULL and exists in ``ref``."""
     if fk not in df.columns:
-        return _absent(df, "referential", 1.0)
+        return _without(df, "referential", 1.0)
     counts = membership_counts(df, fk, ref, ref_col)
-    score = _share_kept(F.col("orphans") + F.col("nulls"), F.col("total"))
-    return counts.select(*_check("referential", score, _referential_issues(fk)))
+    orphans, nulls = F.col("orphans"), F.col("nulls")
+    return counts.select(*_check("referential", _share_kept(orphans + nulls, F.col("total")),
+                                 *_unlinked(F.lit(fk), orphans, nulls)))
 
 
-def _referential_issues(fk: str) -> Column:
-    return X.issue_list(
-        _if_any(F.col("orphans"), " orphaned records (FK not in subscriber master)"),
-        _if_any(F.col("nulls"), f" records with null '{fk}'"))
+def _outside(col: str, allowed: Sequence) -> Column:
+    return F.coalesce(~F.col(col).isin(list(allowed)), F.lit(False))
 
 
 def validity(df: DataFrame, col: str, allowed: Sequence) -> DataFrame:
     """Share of rows whose value is allowed; NULL counts as valid here."""
     if col not in df.columns:
-        return _absent(df, "validity", 0.0, f"Column '{col}' missing")
-    invalid = F.col(col).isNotNull() & ~F.col(col).isin(list(allowed))
-    counts = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(invalid).alias("invalid"))
-    worst = _worst_values(df.select(F.lit("").alias("dataset_name"), F.when(invalid, F.col(col)).alias("value")))
-    counts = counts.withColumn("worst", worst.select("worst").scalar())
-    score = _share_kept(F.col("invalid"), F.col("total"))
-    issues = X.issue_list(_if_any(F.col("invalid"), f" records with invalid '{col}' values: ", F.col("worst")))
-    return counts.select(*_check("validity", score, issues))
+        return _without(df, "validity", 0.0, _absent(F.lit(col)))
+    counts = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(_outside(col, allowed)).alias("invalid"))
+    values = df.filter(_outside(col, allowed)).groupBy(F.lit("").alias("dataset_name"), F.col(col).alias("value")).agg(
+        F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("worst", _worst_values(values).select("worst").scalar())
+    invalid = F.col("invalid")
+    return counts.select(*_check("validity", _share_kept(invalid, F.col("total")),
+                                 _not_allowed(F.lit(col), invalid, F.col("worst"))))
 
 
-def _worst_values(values: DataFrame, k: int = rules.TOP_INVALID) -> DataFrame:
-    """Per dataset, the k most frequent ``value`` as text; NULL stands for a valid row.
+def _worst_values(counts: DataFrame, k: int = rules.TOP_INVALID) -> DataFrame:
+    """Per dataset, the k most frequent of (dataset_name, value, n) as text.
 
     The rank filter keeps k rows per map partition before the shuffle, so a
     column full of distinct garbage is never gathered.
     """
-    counts = values.groupBy("dataset_name", "value").agg(F.count("value").alias("n"))
     window = Window.partitionBy("dataset_name").orderBy(F.desc("n"), F.asc("value"))
-    top = counts.withColumn("rank", F.row_number().over(window)).filter((F.col("rank") <= k) & (F.col("n") > 0))
+    top = counts.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
     entry = F.struct("rank", F.format_string("'%s': %d", "value", "n").alias("text"))
-    return top.groupBy("dataset_name").agg(F.concat(
-        F.lit("{"), F.array_join(F.sort_array(F.collect_list(entry))["text"], ", "), F.lit("}")).alias("worst"))
+    return top.groupBy("dataset_name").agg(
+        F.array_join(F.sort_array(F.collect_list(entry))["text"], ", ").alias("worst"))
 
 
 # --- dataset reports ---------------------------------------------------------
-# Written as SQL text: the rows of a profile decide the expressions, and one
-# string per column keeps planning short.
-
-def _case(arms: dict[str, str]) -> str:
-    """The expression of the row's product; products that agree need no CASE."""
-    if len(set(arms.values())) == 1:
-        return next(iter(arms.values()))
-    return "CASE product " + " ".join(f"WHEN '{p}' THEN {text}" for p, text in arms.items()) + " END"
-
-
-def _profile_row(df: DataFrame, live: Sequence[str], profile: dict, now: str, slots: int) -> dict[str, str]:
-    """What the report needs of one row of a dataset that has the ``live`` columns."""
-    has_ts, has_value = profile["ts"] in live, profile["valid_col"] in live
-    ts = X.ts_sql(df, profile["ts"]) if has_ts else "NULL"
-    row = {}
-    for i in range(slots):
-        col = profile["key_cols"][i] if i < len(profile["key_cols"]) else None
-        row[f"null_{i}"] = "false" if col is None else "true" if col not in live else f"{col} IS NULL"
-    row["future"] = f"coalesce({ts} > {now}, false)" if has_ts else "false"
-    row["unparsed"] = f"{ts} IS NULL" if has_ts else "false"
-    row["pk"] = profile["pk"] if profile["pk"] in live else "NULL"
-    row["fk"] = f"CAST({profile['fk']} AS STRING)" if profile["fk"] in live else "CAST(NULL AS STRING)"
-    value = profile["valid_col"]
-    outside = f"{value} NOT IN {X.in_list(profile['allowed'])}"
-    row["invalid"] = f"coalesce({outside}, false)" if has_value else "true"
-    row["bad_value"] = f"IF({outside}, CAST({value} AS STRING), NULL)" if has_value else "CAST(NULL AS STRING)"
-    return row
-
-
-def profiled_rows(tables: Tables, as_of: X.AsOf = None,
-                  profiles: dict[str, dict] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Every row of subscribers and of the events, reduced to the columns the checks read."""
-    profiles = profiles or rules.DQ_PROFILES
-    now, slots = X.now_sql(as_of), max(len(p["key_cols"]) for p in profiles.values())
-    subs = _profile_row(tables.subscribers, tables.subscribers.columns, profiles["subscribers"], now, slots)
-    arms = {p: _profile_row(tables.events, live, profiles[f"events_{p}"], now, slots)
-            for p, live in tables.columns.items()}
-    return tables.subscribers.selectExpr(
-        "'subscribers' AS dataset_name", *[f"{text} AS {name}" for name, text in subs.items()],
-    ), tables.events.selectExpr(
-        "concat('events_', product) AS dataset_name",
-        *[f"{_case({p: row[name] for p, row in arms.items()})} AS {name}" for name in subs])
+
+def _live(tables: Tables) -> dict[str, Sequence[str]]:
+    return {"subscribers": tables.subscribers.columns, **{f"events_{p}": c for p, c in tables.columns.items()}}
+
+
+def _checked(df: DataFrame, dataset: Column, arms: dict[str, tuple[Sequence[str], dict]], as_of: X.AsOf,
+             slots: int) -> DataFrame:
+    """The rows of ``df``, reduced to what the checks read; ``arms`` are the (live columns, profile) of its datasets.
+
+    Datasets that agree on a column share one expression; the others are told
+    apart by ``dataset``.
+    """
+    def by_dataset(make: Callable[[Sequence[str], dict], tuple[str, Column]]) -> Column:
+        made: dict[str, tuple[Column, list[str]]] = {}
+        for name, (live, profile) in arms.items():
+            key, column = make(live, profile)
+            made.setdefault(key, (column, []))[1].append(name)
+        (first, _), *others = made.values()
+        for column, names in others:
+            first = F.when(dataset.isin(names), column).otherwise(first)
+        return first
+
+    def null(slot: int):
+        def make(live, profile):
+            col = profile["key_cols"][slot] if slot < len(profile["key_cols"]) else None
+            absent = col is not None and col not in live
+            return (col, F.col(col).isNull()) if col in live else (str(absent), F.lit(absent))
+        return make
+
+    def when(found: Callable[[str], Column], field: str, otherwise: Column):
+        return lambda live, profile: (
+            (str((profile[field], profile["allowed"] if field == "valid_col" else None)), found(profile))
+            if profile[field] in live else ("", otherwise))
+
+    text = F.lit(None).cast("string")
+    now = X.as_of_ts(as_of)
+    return df.select(
+        dataset.alias("dataset_name"),
+        by_dataset(when(lambda p: F.col(p["pk"]).cast("string"), "pk", text)).alias("pk"),
+        by_dataset(when(lambda p: F.col(p["fk"]).cast("string"), "fk", text)).alias("fk"),
+        by_dataset(when(lambda p: F.when(_outside(p["valid_col"], p["allowed"]), F.col(p["valid_col"]).cast("string")),
+                        "valid_col", text)).alias("value"),
+        by_dataset(when(lambda p: F.coalesce(X.parsed_ts(df, p["ts"]) > now, F.lit(False)), "ts", F.lit(False))).alias(
+            "future"),
+        by_dataset(when(lambda p: X.parsed_ts(df, p["ts"]).isNull(), "ts", F.lit(False))).alias("unparsed"),
+        *[by_dataset(null(i)).alias(f"null_{i}") for i in range(slots)])
 
 
 def _profile_table(tables: Tables, profiles: dict[str, dict]) -> DataFrame:
-    """One constant row per profile, with what its tables lack."""
-    live = {"subscribers": tables.subscribers.columns, **{f"events_{p}": c for p, c in tables.columns.items()}}
-    rows = ", ".join(
-        f"('{name}', '{p['domain']}', array{X.in_list(p['key_cols'])}, "
-        f"array({', '.join(str(c not in live[name]).lower() for c in p['key_cols'])}), "
-        f"'{p['pk']}', {p['pk'] in live[name]}, '{p['fk']}', {p['fk'] in live[name]}, "
-        f"'{p['valid_col']}', {p['valid_col'] in live[name]})"
-        for name, p in profiles.items())
-    return tables.events.sparkSession.sql(
-        f"SELECT * FROM VALUES {rows} AS t(dataset_name, domain, key_cols, key_absent, pk, pk_live, fk, fk_live, "
-        "valid_col, valid_live)")
+    """One constant row per profile: its columns, and which of them its table has."""
+    live, slots = _live(tables), max(len(p["key_cols"]) for p in profiles.values())
+    columns = {"dataset_name": "string", "domain": "string", "n_keys": "int", "pk": "string", "pk_live": "boolean",
+               "fk": "string", "fk_live": "boolean", "valid_col": "string", "valid_live": "boolean",
+               **{f"key_{i}": "string" for i in range(slots)}, **{f"absent_{i}": "boolean" for i in range(slots)}}
+    rows = []
+    for name, p in profiles.items():
+        keys = [*p["key_cols"], *[None] * (slots - len(p["key_cols"]))]
+        rows.append((name, p["domain"], len(p["key_cols"]), p["pk"], p["pk"] in live[name], p["fk"],
+                     p["fk"] in live[name], p["valid_col"], p["valid_col"] in live[name], *keys,
+                     *[k is not None and k not in live[name] for k in keys]))
+    return constant_table(tables.events.sparkSession, columns, rows)
 
 
 def quality_counts(tables: Tables, as_of: X.AsOf = None, profiles: dict[str, dict] | None = None) -> DataFrame:
     """One row per dataset with every count the scores derive from.
 
-    Four passes that each read and shuffle as little as they can: plain counts;
-    distinct primary keys (key column only); rows per foreign key against the
-    subscribers; the most frequent invalid values.
+    Two passes: one aggregation by (dataset, foreign key, bad value) gives the
+    plain counts, the orphans and the most frequent bad values once it is rolled
+    up; the other one counts distinct primary keys.
     """
     profiles = profiles or rules.DQ_PROFILES
-    subs, events = profiled_rows(tables, as_of, profiles)
-    rows = subs.drop("pk").unionByName(events.drop("pk"))
-    flags = [c for c in rows.columns if c.startswith("null_")] + ["future", "unparsed", "invalid"]
-    plain = rows.groupBy("dataset_name").agg(
-        F.expr("count(1) AS total"), *[F.expr(f"count_if({c}) AS {c}") for c in flags])
-    # keys keep their own type
-    keys = reduce(DataFrame.unionByName, [
-        df.groupBy("dataset_name").agg(F.count_distinct("pk").alias("keys")) for df in (subs, events)])
-    with_fk = [name for name, p in profiles.items() if p["fk"]]
-    links = membership_counts(events.filter(f"dataset_name IN {X.in_list(with_fk)}"), "fk",
-                              tables.subscribers, "subscriber_id", by=["dataset_name"])
-    worst = _worst_values(rows.withColumnRenamed("bad_value", "value"))
+    slots = max(len(p["key_cols"]) for p in profiles.values())
+    live = _live(tables)
+    arms = {name: (live[name], p) for name, p in profiles.items()}
+    subs = _checked(tables.subscribers, F.lit("subscribers"), {"subscribers": arms["subscribers"]}, as_of, slots)
+    events = _checked(tables.events, F.concat(F.lit("events_"), "product"),
+                      {name: arm for name, arm in arms.items() if name != "subscribers"}, as_of, slots)
+    rows = subs.unionByName(events)
+    flags = ["future", "unparsed", *[f"null_{i}" for i in range(slots)]]
+
+    per_link = rows.groupBy("dataset_name", "fk", "value").agg(
+        F.count(F.lit(1)).alias("total"), *[F.count_if(c).alias(c) for c in flags])
+    known = tables.subscribers.select(F.col("subscriber_id").cast("string").alias("fk")).dropna().distinct().withColumn(
+        "known", F.lit(True))
+    linked = F.col("dataset_name").isin([name for name, p in profiles.items() if p["fk"] in live[name]])
+    per_value = per_link.join(known, "fk", "left").groupBy("dataset_name", "value").agg(
+        F.sum("total").alias("total"), *[F.sum(c).alias(c) for c in flags],
+        F.sum(F.when(linked & F.col("fk").isNotNull() & F.col("known").isNull(), F.col("total"))).alias("orphans"),
+        F.sum(F.when(linked & F.col("fk").isNull(), F.col("total"))).alias("nulls"))
+    # the worst values of each of some shares of a dataset, then of the dataset: no task sorts all of a garbage column
+    rank = F.row_number().over(Window.partitionBy("dataset_name", "share").orderBy(
+        F.col("value").isNull(), F.desc("total"), "value"))
+    few = F.when((F.col("rank") <= rules.TOP_INVALID) & F.col("value").isNotNull(),
+                 F.struct((-F.col("total")).alias("order"), "value"))
+    sums = ["total", *flags, "orphans", "nulls", "invalid"]
+    shares = (per_value.withColumn("share", F.pmod(F.xxhash64("value"), F.lit(SHARES))).withColumn("rank", rank)
+              .groupBy("dataset_name", "share").agg(
+        *[F.sum(c).alias(c) for c in sums[:-1]], F.sum(F.when(F.col("value").isNotNull(), F.col("total"))).alias("invalid"),
+        F.collect_list(few).alias("worst")))
+    worst = F.slice(F.array_sort(F.flatten(F.collect_list("worst"))), 1, rules.TOP_INVALID)
+    plain = shares.groupBy("dataset_name").agg(
+        *[F.sum(c).alias(c) for c in sums],
+        F.array_join(F.transform(worst, lambda x: F.format_string("'%s': %d", x["value"], -x["order"])), ", ").alias("worst"))
+    keys = rows.groupBy("dataset_name").agg(F.count_distinct("pk").alias("keys"))
     # an empty dataset still gets its row
     listed = _profile_table(tables, profiles)
-    parts = [listed.selectExpr("dataset_name", "0L AS total"), plain, keys,
-             links.select("dataset_name", "orphans", "nulls"), worst]
-    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    counts = ["total", *flags, "keys", "orphans", "nulls"]
+    counts = ["total", *flags, "orphans", "nulls", "invalid", "keys"]
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                    [listed.select("dataset_name", F.lit(0).cast("long").alias("total")), plain, keys])
     return merged.groupBy("dataset_name").agg(
-        *[F.expr(f"coalesce(max({c}), 0L) AS {c}") for c in counts], F.max("worst").alias("worst"),
+        *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in counts], F.max("worst").alias("worst"),
     ).join(listed, "dataset_name")
 
 
-def _message(count: str, text: str) -> str:
-    """SQL text: the count in front of a text expression, NULL when the count is 0."""
-    return f"IF({count} > 0, concat(format_number({count}, 0), {text}), NULL)"
-
-
 def quality_report(tables: Tables, as_of: X.AsOf = None, profiles: dict[str, dict] | None = None) -> DataFrame:
     """One row per dataset: composite score, status, and (score, label, issues) per dimension.
 
@@ -246,47 +279,43 @@ def quality_report(tables: Tables, as_of: X.AsOf = None, profiles: dict[str, dic
     the status follows the composite rounded to four decimals.
     """
     counts = quality_counts(tables, as_of, profiles)
-    slots = [c for c in counts.columns if c.startswith("null_")]
+    slots = range(sum(c.startswith("absent_") for c in counts.columns))
+    total, none = F.col("total"), F.lit(None).cast("string")
 
-    def kept(bad: str) -> str:
-        return f"IF(total > 0, 1.0D - ({bad}) / total, 1.0D)"
+    def kept(*bad: str) -> Column:
+        return _share_kept(reduce(lambda a, b: a + b, map(F.col, bad)), total)
 
+    # an absent column has no value in any row
+    nulls = [F.when(F.col(f"absent_{i}"), total).otherwise(F.col(f"null_{i}")) for i in slots]
+    shares = [F.when(F.col("n_keys") <= i, 0.0).when(F.col(f"absent_{i}"), 0.0)
+              .otherwise(F.lit(1.0) - X.ratio(nulls[i], total)) for i in slots]
     scores = {
-        "completeness": "aggregate(transform(key_nulls, n -> 1.0D - try_divide(n, total)), 0.0D, (a, s) -> a + s)"
-                        " / size(key_nulls)",
-        "uniqueness": "CASE WHEN NOT pk_live THEN 0.0D WHEN total > 0 THEN keys / total ELSE 1.0D END",
-        "timeliness": kept("future + unparsed"),
-        "referential": f"IF(fk_live, {kept('orphans + nulls')}, 1.0D)",
-        "validity": f"IF(valid_live, {kept('invalid')}, 0.0D)",
+        "completeness": reduce(lambda a, b: a + b, shares) / F.col("n_keys"),
+        "uniqueness": F.when(F.col("pk_live"), _distinct_share(F.col("keys"), total)).otherwise(0.0),
+        "timeliness": kept("future", "unparsed"),
+        "referential": F.when(F.col("fk_live"), kept("orphans", "nulls")).otherwise(1.0),
+        "validity": F.when(F.col("valid_live"), kept("invalid")).otherwise(0.0),
     }
     issues = {
-        "completeness": f"""transform(arrays_zip(key_cols, key_absent, key_nulls), k -> CASE
-            WHEN k.key_absent THEN format_string("Column '%s' missing entirely from dataset", k.key_cols)
-            WHEN try_divide(k.key_nulls, total) > {rules.NULL_SHARE_ISSUE}D
-            THEN format_string("'%s': %.1f%% null values (%d records)",
-                               k.key_cols, k.key_nulls / total * 100, k.key_nulls) END)""",
-        "uniqueness": "array(IF(pk_live, " + _message(
-            "(total - keys)", """format_string(" duplicate '%s' values detected", pk)""")
-            + """, format_string("PK column '%s' not found", pk)))""",
-        "timeliness": "array(" + _message("future", "' records have future timestamps (clock skew?)'") + ", "
-                      + _message("unparsed", "' records have unparseable timestamps'") + ")",
-        "referential": "array(" + _message("orphans", "' orphaned records (FK not in subscriber master)'") + ", "
-                       + _message("nulls", """format_string(" records with null '%s'", fk)""") + ")",
-        "validity": "array(IF(valid_live, " + _message(
-            "invalid", """format_string(" records with invalid '%s' values: %s", valid_col, worst)""")
-            + """, format_string("Column '%s' missing", valid_col)))""",
+        "completeness": [F.when(F.col("n_keys") <= i, none).when(F.col(f"absent_{i}"), _absent(F.col(f"key_{i}")))
+                         .otherwise(_missing(F.col(f"key_{i}"), nulls[i], total)) for i in slots],
+        "uniqueness": [F.when(F.col("pk_live"), _repeated(F.col("pk"), total - F.col("keys")))
+                       .otherwise(_absent(F.col("pk")))],
+        "timeliness": _untimely(F.col("future"), F.col("unparsed")),
+        "referential": _unlinked(F.col("fk"), F.col("orphans"), F.col("nulls")),
+        "validity": [F.when(F.col("valid_live"), _not_allowed(F.col("valid_col"), F.col("invalid"), F.col("worst")))
+                     .otherwise(_absent(F.col("valid_col")))],
     }
-    composite = "round(" + " + ".join(f"_{d} * {w}D" for d, w in rules.DQ_WEIGHTS.items()) + ", 4)"
-    return (counts
-            .selectExpr("*", f"slice(array({', '.join(slots)}), 1, size(key_cols)) AS key_nulls")
-            .selectExpr("*", *[f"{text} AS _{d}" for d, text in scores.items()],
-                        *[f"array_compact({text}) AS {d}_issues" for d, text in issues.items()])
-            .selectExpr("*", f"{composite} AS _composite")
-            .selectExpr("dataset_name", "domain", f"{X.now_sql(as_of)} AS run_at", "total AS total_records",
-                        "round(_composite * 100, 2) AS composite_score", f"{X.label_sql('_composite')} AS status",
-                        *[text for d in DIMENSIONS for text in (
-                            f"round(_{d} * 100, 2) AS {d}_score", f"{X.label_sql('_' + d)} AS {d}_label",
-                            f"{d}_issues")]))
+    scored = counts.select("dataset_name", "domain", "total", *[v.alias(f"_{d}") for d, v in scores.items()],
+                           *[X.issue_list(*v).alias(f"{d}_issues") for d, v in issues.items()])
+    composite = F.round(X.weighted([(F.col(f"_{d}"), w) for d, w in rules.DQ_WEIGHTS.items()]), 4)
+    return scored.withColumn("_composite", composite).select(
+        "dataset_name", "domain", X.as_of_ts(as_of).alias("run_at"), F.col("total").alias("total_records"),
+        F.round(F.col("_composite") * 100, 2).alias("composite_score"),
+        X.score_label(F.col("_composite")).alias("status"),
+        *[c for d in DIMENSIONS for c in (
+            F.round(F.col(f"_{d}") * 100, 2).alias(f"{d}_score"), X.score_label(F.col(f"_{d}")).alias(f"{d}_label"),
+            F.col(f"{d}_issues"))])
 
 
 def composite_score(scores: DataFrame) -> DataFrame:
@@ -322,3 +351,9 @@ def quality_gate(report: DataFrame) -> list[str]:
     if failed:
         raise QualityGateError(f"data quality FAIL: {', '.join(failed)}")
     return sorted(r.dataset_name for r in rows)
+
+
+def quality_gates(report: DataFrame) -> DataFrame:
+    """What the gate decides, a row per dataset: (dataset_name, status, halts, warns)."""
+    return report.select("dataset_name", "status", (F.col("status") == "FAIL").alias("halts"),
+                         (F.col("status") == "WARN").alias("warns"))

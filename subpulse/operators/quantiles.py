@@ -1,14 +1,14 @@
 """Exact interpolated percentiles of whole-number columns, without a group in one task.
 
 The built-in exact ``percentile`` keeps one counter per distinct value of a
-group in a single buffer. Here the wanted ranks are located by histograms at
-three resolutions (2^32, 2^16, 1). Each histogram is combined on the map side
-and covers only the buckets that hold a wanted rank, so a task never sees more
-than 65,536 buckets per rank, plus the top level's value range / 2^32.
-
-The located ranks are written between the levels. They are a few rows per group
-and probability, so the planner broadcasts them; for very many groups their true
-size makes it shuffle instead.
+group in a single buffer. Here rows are counted per value once, and these counts
+are rolled up to histograms of ever wider buckets, 2^16 values of one level to a
+bucket of the next. The wanted ranks are then followed down from the top. A
+bucket holds at most 65,536 buckets of the level below, and only those meet the
+ranks, so no task sees more of a group, however its values are spread.
+
+Building the frame runs no job, and the source is read once: every level comes
+out of the same counts, whose shuffle Spark reuses.
 """
 
 from __future__ import annotations
@@ -18,18 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subpulse.session import settle
-
-_TOP, _BELOW = 32, ((32, 16), (16, 0))
-
-
-def _histogram(rows: DataFrame, group: Sequence[str], shift: int) -> DataFrame:
-    return rows.groupBy(*group, F.expr(f"shiftright(_v, {shift}) AS _bucket")).agg(F.expr("count(_v) AS _n"))
-
-
-def _inside(columns: Sequence[str]) -> list[str]:
-    """The bucket a rank falls in becomes the parent of the next level, the rank relative to it."""
-    return [*columns, "_bucket AS _parent", "_p", "_side", "_part", "_rank - (_upto - _n) AS _rank"]
+_BITS, _LEVELS = 16, 4  # four levels of 16 bits are all of a bigint
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
@@ -38,31 +27,29 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
 
     ``value`` is a whole-number column; rows with a NULL value or key are left out.
     """
-    rows = df.selectExpr(*keys, f"CAST({value} AS BIGINT) AS _v")
-    falls_here = "_rank >= _upto - _n AND _rank < _upto"
+    rows = df.selectExpr(*keys, f"CAST({value} AS BIGINT) AS _bucket").dropna()
+    levels = [rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))]
+    for _ in range(_LEVELS - 1):
+        levels.append(levels[-1].groupBy(*keys, F.shiftright("_bucket", _BITS).alias("_bucket")).agg(
+            F.sum("_n").alias("_n")))
 
     # positions are (n - 1) * p, between the values ranked floor and ceiling
     ranks = ", ".join(
         f"struct({p}D AS _p, '{side}' AS _side, (_total - 1) * {p}D - floor((_total - 1) * {p}D) AS _part, "
         f"CAST({edge}((_total - 1) * {p}D) AS BIGINT) AS _rank)"
         for p in sorted(set(probabilities.values())) for side, edge in (("low", "floor"), ("high", "ceil")))
-    over = f"OVER (PARTITION BY {', '.join(keys)}"
-    wanted = settle(
-        _histogram(rows, keys, _TOP)
-        .selectExpr("*", f"sum(_n) {over} ORDER BY _bucket) AS _upto", f"sum(_n) {over}) AS _total")
-        .selectExpr("*", f"inline(array({ranks}))").filter(falls_here).selectExpr(*_inside(keys)))
-
-    # a NULL value counts 0 wherever it lands, a NULL key is dropped by the joins; neither
-    # needs a filter, which would evaluate the value once more in every scan
-    group = [*keys, "_parent"]
-    over = f"OVER (PARTITION BY {', '.join(group)}"
-    for above, shift in _BELOW:
-        tagged = rows.selectExpr("*", f"coalesce(shiftright(_v, {above}), 0L) AS _parent").join(
-            wanted.select(*group).distinct(), group, "left_semi")
-        wanted = settle(
-            _histogram(tagged, group, shift)
-            .selectExpr("*", f"sum(_n) {over} ORDER BY _bucket) AS _upto")
-            .join(wanted, group).filter(falls_here).selectExpr(*_inside(keys)))
+    group = ", ".join(keys)
+    falls_here = "_rank >= _upto - _n AND _rank < _upto"
+    # the bucket a rank falls in becomes the parent of the next level, the rank relative to it
+    inside = [*keys, "_bucket AS _parent", "_p", "_side", "_part", "_rank - (_upto - _n) AS _rank"]
+    top = levels.pop().selectExpr("*", f"sum(_n) OVER (PARTITION BY {group} ORDER BY _bucket) AS _upto",
+                                  f"sum(_n) OVER (PARTITION BY {group}) AS _total")
+    wanted = top.selectExpr("*", f"inline(array({ranks}))").filter(falls_here).selectExpr(*inside)
+    while levels:
+        below = levels.pop().withColumn("_parent", F.shiftright("_bucket", _BITS))
+        wanted = (below.join(wanted, [*keys, "_parent"])
+                  .selectExpr("*", f"sum(_n) OVER (PARTITION BY {group}, _p, _side ORDER BY _bucket) AS _upto")
+                  .filter(falls_here).selectExpr(*inside))
 
     def value_at(p: float, side: str) -> str:
         return f"max(CAST(_parent AS DOUBLE)) FILTER (WHERE _p = {p}D AND _side = '{side}')"

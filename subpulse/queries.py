@@ -138,7 +138,7 @@ def q_daily_active_incremental(spark, sf):
 def q_reprocess_partitions(spark, sf):
     """A metric built without the late events, then repaired by the manifest."""
     tables, path = from_driver_tables(spark, sf), scratch_path(spark, "metric")
-    late_after = X.late_threshold_hours(F.concat(F.lit("events_"), "product"))
+    late_after = late.LateLimits().of(F.concat(F.lit("events_"), "product"))
     on_time = X.us_to_hours(X.lag_us(F.col("event_timestamp"), F.col("arrival_ts"))) <= late_after
     maintenance.build_metric(Tables(tables.subscribers, tables.events.filter(on_time), tables.columns), path,
                              FIRST_LOAD)
@@ -146,35 +146,41 @@ def q_reprocess_partitions(spark, sf):
     return maintenance.read_metric(spark, path)
 
 
-@query
-def q_json_report(spark, sf):
-    path = scratch_path(spark, "dq-report")
-    writers.write_json_report(quality.quality_report(from_driver_tables(spark, sf), AS_OF), path)
-    return spark.read.schema(
-        "dataset_name string, domain string, total_records bigint, composite_score double, status string").json(path)
+def _read_back(spark: SparkSession, name: str, parts: dict[str, DataFrame]) -> DataFrame:
+    """A report written as JSON lines, read back and parsed: every row's values in text order, joined by '|'."""
+    path = scratch_path(spark, name)
+    writers.write_json_report(reports.report_lines(parts), path)
+    lines = spark.read.schema("section string, body string").json(path)
+    return union([
+        df.select(F.lit(section).alias("section"), F.array_join(F.array_sort(F.array_compact(F.array(
+            *[_as_text(df, c) for c in df.columns]))), "|").alias("line"))
+        for section, df in reports.read_lines(lines, parts).items()])
 
 
-def _sections(spark: SparkSession, name: str, lines: DataFrame) -> DataFrame:
-    """A report written as JSON lines and read back: lines per section."""
-    path = scratch_path(spark, name)
-    writers.write_json_report(lines, path)
-    return (spark.read.schema("section string, body string").json(path).groupBy("section")
-            .agg(F.count("body").alias("lines")))
+def _as_text(df: DataFrame, col: str):
+    if df.schema[col].dataType.typeName() == "array":
+        return F.array_join(col, " ")
+    return F.col(col).cast("string")
+
+
+@query
+def q_json_report(spark, sf):
+    return _read_back(spark, "dq-report", reports.quality_parts(from_driver_tables(spark, sf), AS_OF))
 
 
 @query
 def q_late_report(spark, sf):
-    return _sections(spark, "late-report", reports.late_lines(from_driver_tables(spark, sf)))
+    return _read_back(spark, "late-report", reports.late_parts(from_driver_tables(spark, sf)))
 
 
 @query
 def q_dashboard_report(spark, sf):
-    return _sections(spark, "dashboard", reports.dashboard_lines(from_driver_tables(spark, sf), AS_OF))
+    return _read_back(spark, "dashboard", reports.dashboard_parts(from_driver_tables(spark, sf), AS_OF))
 
 
 @query
 def q_drift_report(spark, sf):
-    return _sections(spark, "drift-report", reports.drift_lines(drifted(from_driver_tables(spark, sf))))
+    return _read_back(spark, "drift-report", reports.drift_parts(drifted(from_driver_tables(spark, sf))))
 
 
 @query
@@ -246,7 +252,7 @@ on_tables("engagement_velocity", lambda t: health.engagement_velocity(t.events,
 
 def _scored(name: str, check: DataFrame) -> DataFrame:
     return check.select(F.lit(name).alias("dataset"), "dimension", F.round("score", 6).alias("score"), "label",
-                        F.size("issues").alias("n_issues"))
+                        F.array_join("issues", " ").alias("issues"))
 
 
 @query
@@ -320,13 +326,14 @@ def _report_numbers(report: DataFrame) -> DataFrame:
     return report.select(
         "dataset_name", "domain", "run_at", "total_records", "composite_score", "status",
         *[F.col(f"{d}_{c}") for d in quality.DIMENSIONS for c in ("score", "label")],
-        *[F.size(f"{d}_issues").alias(f"{d}_n_issues") for d in quality.DIMENSIONS])
+        *[F.array_join(f"{d}_issues", " ").alias(f"{d}_issues") for d in quality.DIMENSIONS])
 
 
 on_tables("dq_report", lambda t: _report_numbers(quality.quality_report(t, AS_OF)))
 on_tables("dq_dimensions", lambda t: quality.quality_dimensions(quality.quality_report(t, AS_OF)).select(
     "dataset_name", "dimension", "score", "label"))
 on_tables("dq_summary", lambda t: quality.quality_summary(quality.quality_report(t, AS_OF)))
+on_tables("dq_gates", lambda t: quality.quality_gates(quality.quality_report(t, AS_OF)))
 on_tables("dq_scorecard", lambda t: rounded(
     scorecard.worst_first(scorecard.quality_scorecard(t, AS_OF)), *scorecard.RATIOS))
 
@@ -368,14 +375,41 @@ def drifted(t: Tables) -> dict[str, DataFrame]:
 
 
 on_tables("drift_events", lambda t: drift.detect_drift(drifted(t)))
-on_tables("drift_columns", lambda t: drift.column_drift(
-    t.subscribers.sparkSession, {n: t.dataset(n).schema for n in rules.REGISTRY}).drop("detail"))
+# fixed values: what a reader of three of the given files might expect of them
+FILE_REGISTRY = {
+    "orders": [("o_orderkey", "bigint", False, True), ("o_custkey", "int", False, True),
+               ("o_orderstatus", "string", True, False), ("o_totalprice", "decimal(15,2)", True, True),
+               ("o_orderdate", "timestamp_ntz", True, True), ("o_clerk", "string", True, False)],
+    "customer": [("c_custkey", "bigint", False, True), ("c_name", "string", True, False),
+                 ("c_segment", "string", True, True)],
+    "events": [("event_id", "bigint", False, True), ("ts", "timestamp_ntz", False, True),
+               ("user_id", "bigint", False, True), ("event_type", "string", True, False),
+               ("value", "double", True, False), ("props", "string", True, False)],
+}
+
+
+@query
+def q_drift_columns(spark, sf):
+    """The files' own schemas against expectations, with how many rows have a value in each drifted column."""
+    files = {name: native(spark, sf, name) for name in FILE_REGISTRY}
+    found = drift.column_drift(spark, {name: df.schema for name, df in files.items()}, FILE_REGISTRY)
+    filled = union([drift.column_presence(df.withColumn("dataset", F.lit(name)), ["dataset"]) for name, df in files.items()])
+    return found.join(filled.select("dataset", "column_name", "n_rows", "n_filled"), ["dataset", "column_name"], "left")
+
+
 on_tables("drift_enum", lambda t: drift.enum_violations({n: t.dataset(n) for n in rules.REGISTRY}))
 on_tables("drift_status", lambda t: drift.drift_status(drift.detect_drift(drifted(t)), list(rules.REGISTRY)))
 on_tables("drift_summary", lambda t: drift.drift_summary(
     drift.drift_status(drift.detect_drift(drifted(t)), list(rules.REGISTRY))))
 
 
+on_tables("drift_gates", lambda t: drift.drift_gates(
+    drift.drift_status(drift.detect_drift(drifted(t)), list(rules.REGISTRY))))
+on_tables("drift_partitions", lambda t: drift.column_presence(
+    t.events.withColumn("event_date", F.to_date("event_timestamp")), ["product", "event_date"],
+    ["subscriber_id", "section", "time_on_page_sec", "game_name", "score", "rating", "sport"]))
+
+
 @query
 def q_drift_latest_day(spark, sf):
     """The enumeration check on the newest date of the games events, against a shorter list of games."""
@@ -400,6 +434,9 @@ on_lag("late_days", late.late_days)
 on_lag("late_buckets", late.late_buckets)
 on_lag("late_manifest", late.reprocessing_manifest)
 on_lag("late_summary", late.late_summary)
+HALF_A_DAY = late.LateLimits.after(12)
+on_tables("late_manifest_12_hours", lambda t: late.reprocessing_manifest(late.with_lag(t.events, HALF_A_DAY), HALF_A_DAY))
+on_tables("late_summary_12_hours", lambda t: late.late_summary(late.with_lag(t.events, HALF_A_DAY), HALF_A_DAY))
 
 # --- dashboard ---------------------------------------------------------------
 

@@ -25,9 +25,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-        "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false",
     }
+    if (master or "").startswith("local"):
+        settings |= {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(extra or {})
@@ -55,8 +55,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below this application's folder in the shared one.
+
+    Results are read lazily, so scratch tables stay while the session may need
+    them; the file system removes the application's folder when the driver ends.
+    """
+    context = spark.sparkContext
+    root = f"{shared_dir(spark)}/scratch-{context.applicationId}"
+    folder = context._jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    if files.mkdirs(folder):
+        files.deleteOnExit(folder)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:

@@ -1,3 +1,5 @@
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -134,3 +136,14 @@ def test_json_report_keeps_nulls(spark, tmp_path):
 def test_scratch_lies_in_the_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/scratch-")
+
+
+def test_scratch_goes_with_the_driver(tmp_path):
+    """A driver of its own settles a table and ends."""
+    code = ("from subpulse.session import build_session, settle; import pathlib, sys; "
+            f"spark = build_session('local[1]', 1, 'scratch', {{'spark.checkpoint.dir': 'file://{tmp_path}/shared'}}); "
+            f"settle(spark.range(3)); assert list(pathlib.Path('{tmp_path}/shared').rglob('*.parquet'))")
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120, capture_output=True,
+                   cwd=Path(__file__).resolve().parents[1])
+    assert not list(tmp_path.rglob("*.parquet"))
