@@ -33,7 +33,7 @@ PASSAGE = 8
 GRAMS = (3, 4, 5)
 BUCKETS, DIM = 1 << 17, 8
 #: The sample that teaches: at most so many labelled rows of each class, of at most so many characters each.
-ROWS_PER_CLASS, MOST_CHARS = {1: 1500, 0: 3000}, 20_000
+ROWS_PER_CLASS, MOST_CHARS = {1: 1000, 0: 2000}, 8_000
 #: Words whose evidence a worker keeps before it starts anew.
 MOST_KNOWN = 400_000
 TRIM = b".,;:!?|\"'()[]"
@@ -124,8 +124,9 @@ class Bags:
 
     @staticmethod
     def of(vocabulary: list[bytes]) -> Bags:
-        ids, counts = subwords(vocabulary)
-        return Bags(ids, np.cumsum(counts) - counts, counts)
+        parts = [subwords(vocabulary[at:at + 20_000]) for at in range(0, len(vocabulary), 20_000)]  # to save memory
+        counts = np.concatenate([n for _, n in parts])
+        return Bags(np.concatenate([ids for ids, _ in parts]), np.cumsum(counts) - counts, counts)
 
     def gather(self, words: np.ndarray) -> np.ndarray:
         """The subwords of these words, side by side."""

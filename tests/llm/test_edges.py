@@ -1,0 +1,219 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from subpulse.llm import (exact_dedup, language_id, mixing, ngram_join, pii_surrogates, piece_codec, quality_cascade,
+                          substring_dedup, toxicity, warc)
+from subpulse.llm.queries import PIECES, TOXIC_FROM
+from tests.llm.conftest import LONG
+
+PIECE_MODEL = public_tokenizers.path(PIECES)
+MODEL = toxicity.train([("you utter moron go away", 1), ("what a fine day it is", 0)] * 4)
+
+OPERATORS = {
+    "mix": mixing.mix,
+    "toxicity": lambda d: toxicity.score(d, MODEL),
+    "ngrams": ngram_join.near_duplicates,
+    "dedup": exact_dedup.dedup,
+    "quality": quality_cascade.quality,
+    "pieces": lambda d: piece_codec.digested(piece_codec.round_trip(d, PIECE_MODEL)),
+    "substrings": substring_dedup.remove_repeats,
+    "language": lambda d: language_id.identify(d, language_id.learn_dictionaries(d)),
+    "pii": lambda d: pii_surrogates.replace_pii(d, "k"),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_one_row_per_document(awkward, nothing, name):
+    got = OPERATORS[name](awkward).collect()
+    assert sorted(r.doc_id or 0 for r in got) == sorted(r.doc_id or 0 for r in awkward.collect())
+    empty = OPERATORS[name](nothing)
+    assert empty.count() == 0 and empty.columns == OPERATORS[name](awkward).columns
+
+
+@pytest.fixture(scope="module")
+def by_id(awkward):
+    def collect(name):
+        out = {}
+        for r in OPERATORS[name](awkward).collect():
+            out.setdefault(r.doc_id, []).append(r)
+        return out
+    return collect
+
+
+def test_mix(by_id):
+    got = by_id("mix")
+    assert [r.taken for i in (3, 4, 5) for r in got[i]] == [0, 0, 0]
+    assert {r.taken for r in got[2]} in ({0}, {60}, {120})  # repeated ids together
+    assert got[10][0].size == 1
+
+
+def test_toxicity(by_id):
+    got = by_id("toxicity")
+    assert [r.score for i in (3, 4, 5) for r in got[i]] == [0.0, 0.0, 0.0]
+    assert all(0 <= r.score <= 1 for rows in got.values() for r in rows)
+    assert toxicity.train([]).scores([b"a", b""]) == [0.0, 0.0]
+    assert toxicity.train([("a", 1)]).scores([b"a"]) == [1.0]
+
+
+def test_toxicity_of_unseen_misspellings_and_long_texts():
+    clean = [f"the {a} {b} runs over {c} hills today" for a in ("red", "big", "old", "shy") for b in ("fox", "cat", "dog")
+             for c in ("green", "far")]
+    toxic = [t.replace("runs", w) for t, w in zip(clean, ["morons", "idiotic", "moron"] * 8, strict=True)]
+    model = toxicity.train([(t, 0) for t in clean] + [(t, 1) for t in toxic], rounds=60)
+    unseen, long, fine = model.scores([b"the moronn runs", b" ".join([b"the old dog runs"] * 3000 + [b"moron"]),
+                                       b" ".join([b"the old dog runs"] * 3000)])
+    assert unseen >= TOXIC_FROM and long > 4 * fine
+
+
+def test_ngrams(by_id):
+    got = by_id("ngrams")
+    assert {r.component_id for r in got[1] + got[2]} == {1}
+    assert {(r.n_shingles, r.component_id) for i in (3, 4, 5) for r in got[i]} == {(0, 3), (0, 4), (0, 5)}
+    assert got[7][0].component_id == 6 and got[10][0].n_shingles == 1
+    assert 1 in {r.component_id for r in got[None]}  # the copy without an id
+
+
+def test_dedup(by_id):
+    got = by_id("dedup")
+    kept = [r for i in (1, 2, None) for r in got[i] if r.group_size == 4]
+    assert len(kept) == 4 and {r.keep_id for r in kept} == {1} and sum(r.kept for r in kept) == 1
+    assert {r.keep_id for r in got[3] + got[4]} == {3} and got[5][0].group_size == 1
+    null_rows = [r for r in got[None] if r.keep_id == 3]
+    assert len(null_rows) == 1 and not null_rows[0].kept
+
+
+def test_dedup_keeps_one_of_rows_that_repeat_all(spark):
+    df = spark.createDataFrame([(5, "a  b", "x"), (5, "a b", "x"), (5, "a\tb", "x"), (9, "a b", "y"), (None, "c", "z"),
+                                (None, "c", "z")], "doc_id long, text string, digest string")
+    rows = exact_dedup.dedup(df).collect()
+    assert sum(r.kept for r in rows) == 2 and len(rows) == 6
+    kept = exact_dedup.keep_first(df)
+    assert kept.columns == df.columns and sorted(r.digest for r in kept.collect()) == ["x", "z"]
+
+
+def test_merging_runs_in_any_number_of_rounds(spark):
+    df = spark.range(4000).select("id", F.concat(F.lit("t"), F.col("id") % 700).alias("text")).repartition(13)
+    found = exact_dedup.digests(df.withColumnRenamed("id", "doc_id"))
+    entries = found.select(*exact_dedup.KEY, F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"),
+                           F.lit(1).cast("long").alias("group_size"))
+    for width in (2, 9, 300):
+        got = exact_dedup.merge_runs(entries, width).select("keep_id", "group_size").collect()
+        assert sorted(r.keep_id for r in got) == list(range(700))
+        assert sum(r.group_size for r in got) == 4000
+
+
+def test_quality(by_id):
+    got = by_id("quality")
+    assert all(r.base_failed and not r.kept and r.n_words == 0 for i in (3, 4, 5) for r in got[i])
+    assert got[1][0].n_repeat_words == 60 and got[6][0].n_repeat_words == 0 and got[6][0].n_words == 20_000
+    cheap = quality_cascade.Rule("cheap", lambda: F.col("n_words") >= 20)
+    dear = quality_cascade.Rule("dear", lambda: F.regexp_count("text", F.lit("(a|b)*c")) > 10 ** 9)
+    assert [r.name for r, _, _ in quality_cascade.plan_cascade(
+        quality_cascade.base_counts(_frame(got)), (dear, cheap))] == ["cheap", "dear"]
+
+
+def _frame(rows):
+    from pyspark.sql import SparkSession
+    return SparkSession.getActiveSession().createDataFrame([(i, "some words " * 30) for i in range(50)],
+                                                           "doc_id long, text string")
+
+
+def test_pieces(by_id):
+    import hashlib
+
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+    got = by_id("pieces")
+    assert [r.n_tokens for i in (3, 4) for r in got[i]] == [0, 0]
+    for i, text in ((5, " \t\n "), (6, LONG), (10, "x" * 50_000), (11, "Ünïcödé   wörds\n\n▁ mark   end")):
+        ids = model.encode(text)
+        assert got[i][0].n_tokens == len(ids)
+        assert got[i][0].decoded_sha256 == hashlib.sha256(model.decode(ids).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("ids", [[], [5, 6, 300], [200, 201, 13, 400], [259, 259, 400], [0, 1, 2, 400], [1, 400, 401]])
+def test_decoding_any_ids(ids):
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+    assert piece_codec.PieceCodec(PIECE_MODEL).decode(ids) == model.decode(ids)
+
+
+def test_substrings(by_id):
+    got = by_id("substrings")
+    assert {(r.n_words, r.n_removed) for r in got[1] + got[2]} == {(60, 60)}
+    assert got[6][0].n_removed == 20_000 and got[7][0].kept_text == "end"
+    assert [r.kept_text for i in (3, 4, 5) for r in got[i]] == ["", "", ""]
+
+
+def test_language(by_id):
+    got = by_id("language")
+    assert all(r.lang_pred == "und" and r.score == 0 for i in (3, 4, 5, 9) for r in got[i])
+    assert all(0 <= r.score <= 1 for rows in got.values() for r in rows)
+
+
+def test_pii(spark, by_id):
+    got = by_id("pii")
+    assert got[3][0].text is None and got[4][0].text == "" and got[6][0].text == LONG
+    text = ("Mr. John Smith and Mrs. Anna Smith, +1 (988) 555-2485, +1 988 555 2485, 4155456180797176, "
+            "4155-4561-8079-7176, 1234567890123456, 10.0.0.1, госпожа Ирина Петрова, version 3.14 of 2024-01-02")
+    new = pii_surrogates.replace_pii(spark.createDataFrame([(1, text)], "doc_id long, text string"), "k").first()
+    out = new.text
+    assert new.kinds == "card,ip,person,phone" and new.n_entities == 8
+    names = out.split(",")[0].split(" ")
+    assert names[1] in pii_surrogates.GIVEN["Latin", "m"] and names[5] in pii_surrogates.GIVEN["Latin", "f"]
+    assert names[2] == names[6] != "Smith"  # one family stays one family
+    phones = [p.strip() for p in out.split(",")[1:3]]
+    assert phones[0].replace("(", "").replace(")", "").replace("-", " ") == phones[1] != "+1 988 555 2485"
+    cards = [p.strip() for p in out.split(",")[3:5]]
+    assert cards[0] == cards[1].replace("-", "") != "4155456180797176" and cards[0][0] == "4"
+    assert "1234567890123456" in out and out.endswith("version 3.14 of 2024-01-02")
+    assert out.split("госпожа ")[1].split(" ")[0] in pii_surrogates.GIVEN["Cyrillic", "f"]
+    other = pii_surrogates.replace_pii(spark.createDataFrame([(1, text)], "doc_id long, text string"), "other").first()
+    assert other.text != out
+
+
+def test_pii_surrogates_stay_distinct(spark):
+    """More people than given names: collisions are found and resolved."""
+    rows = [(i, f"Frau {chr(65 + i % 26)}{chr(97 + i // 26)}na Muster{chr(97 + i % 7)}") for i in range(300)]
+    got = pii_surrogates.replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()
+    assert len({r.text for r in got}) == len({t for _, t in rows})
+    assert not {r.text.split()[1] for r in got} & {t.split()[1] for _, t in rows}
+
+
+def test_warc(spark, tmp_path):
+    rows = [(1, "http://a/ b", "same"), (3, None, "same"), (2, "http://c/", "same"), (3, "http://again/", "same"),
+            (4, "u", None), (5, "u", ""), (None, "u", "same"), (None, None, "alone"), (6, "u", "ü" * 300_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns(
+        {"payload": F.lit("clash"), "digest": F.lit("clash"), "pages": F.lit("clash")})
+    folder = f"file://{tmp_path}/warc"
+    archives = warc.write_archives(warc.with_revisits(pages), folder)
+    got = warc.read_archives(archives, folder).collect()
+    kinds = sorted((r.page_id or 0, r.record_type, r.refers_to or 0, r.payload_bytes) for r in got)
+    assert kinds == [(0, "response", 0, 5), (0, "revisit", 3, 4), (1, "revisit", 3, 4), (2, "revisit", 3, 4),
+                     (3, "response", 0, 4), (3, "response", 0, 4), (4, "revisit", 5, 0), (5, "response", 0, 0),
+                     (6, "response", 0, 600_000)]
+    assert {r.url for r in got} == {"http://a/%20b", "http://c/", "http://again/", "u", None}
+    assert archives.agg(F.sum("records")).first()[0] == 9
+    least = warc.with_revisits(pages, least_bytes=1).filter("page_id = 4").first()
+    assert least.refers_to is None
+    none = warc.write_archives(warc.with_revisits(pages.limit(0)), folder)
+    assert warc.read_archives(none, folder).count() == 0
+
+
+def test_warc_archives_are_frames_behind_a_dictionary(spark, tmp_path):
+    import struct
+    rows = [(i, f"http://x/{i}", f"<html>{'some text of a page ' * 20}{i}</html>") for i in range(3000)]
+    folder = f"file://{tmp_path}/warc"
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    archives = warc.write_archives(warc.with_revisits(pages).coalesce(1), folder)
+    path = next(tmp_path.glob("warc/*.warc.zst"))
+    raw = path.read_bytes()
+    magic, size = struct.unpack("<II", raw[:8])
+    assert magic == 0x184D2A5D and raw[8:12] == raw[8 + size:12 + size] == b"\x28\xb5\x2f\xfd"
+    assert warc.read_archives(archives, folder).count() == 3000
+    path.write_bytes(raw[:-5])
+    with pytest.raises(Exception, match="inside a record"):
+        warc.read_archives(archives, folder).count()
