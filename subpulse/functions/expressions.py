@@ -38,6 +38,30 @@ def parsed_ts(df: DataFrame, name: str) -> Column:
     return F.col(name).try_cast("timestamp_ntz")
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(value) -> str:
+    """A constant as SQL text."""
+    if not isinstance(value, str):
+        return str(value)
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def now_sql(as_of: AsOf) -> str:
+    """``as_of_ts`` as SQL text."""
+    return "localtimestamp()" if as_of is None else f"TIMESTAMP_NTZ {literal(str(as_of))}"
+
+
+def ts_sql(df: DataFrame, name: str) -> str:
+    """``parsed_ts`` as SQL text."""
+    if df.schema[name].dataType.simpleString() == "timestamp_ntz":
+        return quoted(name)
+    return f"try_cast({quoted(name)} AS TIMESTAMP_NTZ)"
+
+
 def on_or_after(ts: Column, day: Column) -> Column:
     """``date(ts) >= day`` written on the bare column, so a scan can push it down."""
     return ts >= day.cast("timestamp_ntz")

@@ -1,7 +1,9 @@
 """Five-dimension data quality: single checks, dataset reports and the gate.
 
-Scores and issue texts are written once, over counts: a single check counts one
-table, the report counts all of them together.
+Scores and issue texts are written once, as SQL text over counts: a single check
+counts one table, the report counts all of them together. Text keeps the driver
+quick, one string a column; names and values in it are quoted by ``X.quoted`` and
+``X.literal``.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subpulse import rules
@@ -20,6 +22,7 @@ from subpulse.sources.tables import Tables
 
 DIMENSIONS = list(rules.DQ_WEIGHTS)
 SHARES = 32
+ABSENT = "CAST(NULL AS STRING)"
 
 
 class QualityGateError(RuntimeError):
@@ -28,133 +31,134 @@ class QualityGateError(RuntimeError):
 
 # --- scores out of counts ----------------------------------------------------
 
-def _share_kept(bad: Column, total: Column) -> Column:
+def _share_kept(bad: str, total: str = "total") -> str:
     """1 - bad / total, 1 for an empty table."""
-    return F.when(total > 0, F.lit(1.0) - bad / total).otherwise(F.lit(1.0))
+    return f"IF({total} > 0, 1.0D - ({bad}) / {total}, 1.0D)"
 
 
-def _distinct_share(keys: Column, total: Column) -> Column:
-    return F.when(total > 0, keys / total).otherwise(F.lit(1.0))
+def _distinct_share(keys: str = "keys", total: str = "total") -> str:
+    return f"IF({total} > 0, {keys} / {total}, 1.0D)"
 
 
-# --- issue texts out of counts; NULL when there is nothing to say -------------
+def _filled_share(nulls: str, total: str = "total") -> str:
+    return f"1.0D - try_divide({nulls}, {total})"
+
 
-def _if_any(n: Column, text: str, *values: Column) -> Column:
-    return F.when(n > 0, F.format_string(text, *values))
+def _label(score: str) -> str:
+    return (f"CASE WHEN {score} >= {rules.PASS_AT}D THEN 'PASS' WHEN {score} >= {rules.WARN_AT}D THEN 'WARN' "
+            "ELSE 'FAIL' END")
 
 
-def _absent(name: Column) -> Column:
-    return F.format_string("Column '%s' is absent.", name)
+# --- issue texts out of counts; NULL when there is nothing to say -------------
+# ``name`` is SQL text: a literal or a column that holds the name
+
+def _absent(name: str) -> str:
+    return f"""format_string("Column '%s' is absent.", {name})"""
 
 
-def _missing(name: Column, nulls: Column, total: Column) -> Column:
-    return F.when(X.ratio(nulls, total) > rules.NULL_SHARE_ISSUE,
-                  F.format_string("Column '%s': %d of %d values are missing.", name, nulls, total))
+def _missing(name: str, nulls: str, total: str = "total") -> str:
+    return (f"IF(try_divide({nulls}, {total}) > {rules.NULL_SHARE_ISSUE}D, "
+            f"""format_string("Column '%s': %d of %d values are missing.", {name}, {nulls}, {total}), NULL)""")
 
 
-def _repeated(name: Column, n: Column) -> Column:
-    return _if_any(n, "Key '%s': %d rows repeat a value or have none.", name, n)
+def _repeated(name: str, n: str = "total - keys") -> str:
+    return f"""IF({n} > 0, format_string("Key '%s': %d rows repeat a value or have none.", {name}, {n}), NULL)"""
 
 
-def _untimely(future: Column, unparsed: Column) -> list[Column]:
-    return [_if_any(future, "%d timestamps lie in the future.", future),
-            _if_any(unparsed, "%d timestamps cannot be read.", unparsed)]
+UNTIMELY = ["IF(future > 0, format_string('%d timestamps lie in the future.', future), NULL)",
+            "IF(unparsed > 0, format_string('%d timestamps cannot be read.', unparsed), NULL)"]
 
 
-def _unlinked(name: Column, orphans: Column, nulls: Column) -> list[Column]:
-    return [_if_any(orphans, "%d rows refer to an unknown '%s'.", orphans, name),
-            _if_any(nulls, "%d rows have no '%s'.", nulls, name)]
+def _unlinked(name: str) -> list[str]:
+    return [f"""IF(orphans > 0, format_string("%d rows refer to an unknown '%s'.", orphans, {name}), NULL)""",
+            f"""IF(nulls > 0, format_string("%d rows have no '%s'.", nulls, {name}), NULL)"""]
 
 
-def _not_allowed(name: Column, n: Column, worst: Column) -> Column:
-    return _if_any(n, "Column '%s': %d values are not allowed, most often {%s}.", name, n, worst)
+def _not_allowed(name: str) -> str:
+    return ("IF(invalid > 0, format_string(\"Column '%s': %d values are not allowed, most often {%s}.\", "
+            f"{name}, invalid, worst), NULL)")
 
 
 # --- single checks: one row (dimension, score, label, issues) ----------------
 
-def _check(name: str, score: Column, *issues: Column) -> list[Column]:
-    return [F.lit(name).alias("dimension"), score.alias("score"), X.score_label(score).alias("label"),
-            X.issue_list(*(issues or [F.lit(None).cast("string")])).alias("issues")]
+def _check(counts: DataFrame, name: str, score: str, issues: Sequence[str] = ()) -> DataFrame:
+    return counts.selectExpr(f"'{name}' AS dimension", f"CAST({score} AS DOUBLE) AS score",
+                             f"{_label(score)} AS label", f"array_compact(array({', '.join(issues or [ABSENT])})) AS issues")
 
 
-def _without(df: DataFrame, name: str, score: float, *issues: Column) -> DataFrame:
-    """One row for a check whose column does not exist."""
-    return df.agg(F.count(F.lit(1)).alias("_n")).select(*_check(name, F.lit(score), *issues))
+def _total(df: DataFrame, *counts: str) -> DataFrame:
+    return df.agg(F.expr("count(1) AS total"), *map(F.expr, counts))
 
 
 def completeness(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     """Mean non-null share of the key columns; an absent column counts 0."""
     if not key_cols:
-        return _without(df, "completeness", 0.0)
+        return _check(_total(df), "completeness", "0.0D")
     present = {c: f"null_{i}" for i, c in enumerate(key_cols) if c in df.columns}
-    counts = df.agg(F.count(F.lit(1)).alias("total"),
-                    *[F.count_if(F.col(c).isNull()).alias(slot) for c, slot in present.items()])
-    total = F.col("total")
-    shares = [F.lit(1.0) - X.ratio(F.col(slot), total) for slot in present.values()]
-    score = reduce(lambda a, b: a + b, shares, F.lit(0.0)) / F.lit(float(len(key_cols)))
-    return counts.select(*_check("completeness", score, *[
-        _missing(F.lit(c), F.col(present[c]), total) if c in present else _absent(F.lit(c)) for c in key_cols]))
+    counts = _total(df, *[f"count_if({X.quoted(c)} IS NULL) AS {slot}" for c, slot in present.items()])
+    shares = " + ".join(["0.0D", *map(_filled_share, present.values())])
+    return _check(counts, "completeness", f"({shares}) / {len(key_cols)}", [
+        _missing(X.literal(c), present[c]) if c in present else _absent(X.literal(c)) for c in key_cols])
 
 
 def uniqueness(df: DataFrame, pk: str) -> DataFrame:
     """Distinct keys over rows; NULL is not a distinct key."""
     if pk not in df.columns:
-        return _without(df, "uniqueness", 0.0, _absent(F.lit(pk)))
-    counts = df.agg(F.count(F.lit(1)).alias("total"), F.count_distinct(pk).alias("keys"))
-    keys, total = F.col("keys"), F.col("total")
-    return counts.select(*_check("uniqueness", _distinct_share(keys, total), _repeated(F.lit(pk), total - keys)))
+        return _check(_total(df), "uniqueness", "0.0D", [_absent(X.literal(pk))])
+    return _check(_total(df, f"count(DISTINCT {X.quoted(pk)}) AS keys"), "uniqueness", _distinct_share(),
+                  [_repeated(X.literal(pk))])
 
 
 def timeliness(df: DataFrame, ts_col: str, as_of: X.AsOf = None) -> DataFrame:
     """Share of rows whose time parses and is not in the future."""
     if ts_col not in df.columns:
-        return _without(df, "timeliness", 1.0)
-    ts = X.parsed_ts(df, ts_col)
-    counts = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(ts > X.as_of_ts(as_of)).alias("future"),
-                    F.count_if(ts.isNull()).alias("unparsed"))
-    future, unparsed = F.col("future"), F.col("unparsed")
-    return counts.select(*_check("timeliness", _share_kept(future + unparsed, F.col("total")),
-                                 *_untimely(future, unparsed)))
+        return _check(_total(df), "timeliness", "1.0D")
+    ts = X.ts_sql(df, ts_col)
+    counts = _total(df, f"count_if({ts} > {X.now_sql(as_of)}) AS future", f"count_if({ts} IS NULL) AS unparsed")
+    return _check(counts, "timeliness", _share_kept("future + unparsed"), UNTIMELY)
 
 
 def referential(df: DataFrame, fk: str, ref: DataFrame, ref_col: str) -> DataFrame:
     """Share of rows whose key is not NULL and exists in ``ref``."""
     if fk not in df.columns:
-        return _without(df, "referential", 1.0)
-    counts = membership_counts(df, fk, ref, ref_col)
-    orphans, nulls = F.col("orphans"), F.col("nulls")
-    return counts.select(*_check("referential", _share_kept(orphans + nulls, F.col("total")),
-                                 *_unlinked(F.lit(fk), orphans, nulls)))
+        return _check(_total(df), "referential", "1.0D")
+    return _check(membership_counts(df, fk, ref, ref_col), "referential", _share_kept("orphans + nulls"),
+                  _unlinked(X.literal(fk)))
 
 
-def _outside(col: str, allowed: Sequence) -> Column:
-    return F.coalesce(~F.col(col).isin(list(allowed)), F.lit(False))
+def _outside(col: str, allowed: Sequence) -> str:
+    return f"coalesce({X.quoted(col)} NOT IN ({', '.join(map(X.literal, allowed))}), false)"
 
 
 def validity(df: DataFrame, col: str, allowed: Sequence) -> DataFrame:
     """Share of rows whose value is allowed; NULL counts as valid here."""
     if col not in df.columns:
-        return _without(df, "validity", 0.0, _absent(F.lit(col)))
-    counts = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(_outside(col, allowed)).alias("invalid"))
-    values = df.filter(_outside(col, allowed)).groupBy(F.lit("").alias("dataset_name"), F.col(col).alias("value")).agg(
-        F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("worst", _worst_values(values).select("worst").scalar())
-    invalid = F.col("invalid")
-    return counts.select(*_check("validity", _share_kept(invalid, F.col("total")),
-                                 _not_allowed(F.lit(col), invalid, F.col("worst"))))
+        return _check(_total(df), "validity", "0.0D", [_absent(X.literal(col))])
+    bad = _outside(col, allowed)
+    per_value = df.selectExpr("'' AS dataset_name", f"IF({bad}, CAST({X.quoted(col)} AS STRING), NULL) AS value").groupBy(
+        "dataset_name", "value").agg(F.expr("count(1) AS total"))
+    counts = _with_worst(per_value, []).agg(F.expr("coalesce(max(total), 0L) AS total"),
+                                            F.expr("coalesce(max(invalid), 0L) AS invalid"), F.expr("max(worst) AS worst"))
+    return _check(counts, "validity", _share_kept("invalid"), [_not_allowed(X.literal(col))])
 
 
-def _worst_values(counts: DataFrame, k: int = rules.TOP_INVALID) -> DataFrame:
-    """Per dataset, the k most frequent of (dataset_name, value, n) as text.
+def _with_worst(per_value: DataFrame, sums: Sequence[str]) -> DataFrame:
+    """(dataset_name, value, total, *sums) rolled up per dataset, with ``invalid`` rows and the ``worst`` values as text.
 
-    The rank filter keeps k rows per map partition before the shuffle, so a
-    column full of distinct garbage is never gathered.
+    The worst values are found in each of some shares of a dataset first, so no
+    task sorts all of a column full of distinct garbage.
     """
-    window = Window.partitionBy("dataset_name").orderBy(F.desc("n"), F.asc("value"))
-    top = counts.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
-    entry = F.struct("rank", F.format_string("'%s': %d", "value", "n").alias("text"))
-    return top.groupBy("dataset_name").agg(
-        F.array_join(F.sort_array(F.collect_list(entry))["text"], ", ").alias("worst"))
+    summed = [f"sum({c}) AS {c}" for c in ("total", *sums)]
+    return per_value.selectExpr(
+        "*", "pmod(xxhash64(value), {n}) AS share".format(n=SHARES)).selectExpr(
+        "*", "row_number() OVER (PARTITION BY dataset_name, share ORDER BY value IS NULL, total DESC, value) AS rank"
+    ).groupBy("dataset_name", "share").agg(
+        *map(F.expr, summed), F.expr("sum(IF(value IS NOT NULL, total, 0L)) AS invalid"),
+        F.expr(f"collect_list(IF(rank <= {rules.TOP_INVALID} AND value IS NOT NULL, struct(-total AS n, value), NULL)) AS top")
+    ).groupBy("dataset_name").agg(
+        *map(F.expr, summed), F.expr("sum(invalid) AS invalid"),
+        F.expr(f"""array_join(transform(slice(array_sort(flatten(collect_list(top))), 1, {rules.TOP_INVALID}),
+                   x -> format_string("'%s': %d", x.value, -x.n)), ', ') AS worst"""))
 
 
 # --- dataset reports ---------------------------------------------------------
@@ -163,47 +167,41 @@ def _live(tables: Tables) -> dict[str, Sequence[str]]:
     return {"subscribers": tables.subscribers.columns, **{f"events_{p}": c for p, c in tables.columns.items()}}
 
 
-def _checked(df: DataFrame, dataset: Column, arms: dict[str, tuple[Sequence[str], dict]], as_of: X.AsOf,
+def _checked(df: DataFrame, dataset: str, arms: dict[str, tuple[Sequence[str], dict]], as_of: X.AsOf,
              slots: int) -> DataFrame:
     """The rows of ``df``, reduced to what the checks read; ``arms`` are the (live columns, profile) of its datasets.
 
     Datasets that agree on a column share one expression; the others are told
-    apart by ``dataset``.
+    apart by the name that the expression ``dataset`` gives.
     """
-    def by_dataset(make: Callable[[Sequence[str], dict], tuple[str, Column]]) -> Column:
-        made: dict[str, tuple[Column, list[str]]] = {}
+    def by_dataset(make: Callable[[Sequence[str], dict], str]) -> str:
+        made: dict[str, list[str]] = {}
         for name, (live, profile) in arms.items():
-            key, column = make(live, profile)
-            made.setdefault(key, (column, []))[1].append(name)
-        (first, _), *others = made.values()
-        for column, names in others:
-            first = F.when(dataset.isin(names), column).otherwise(first)
-        return first
-
-    def null(slot: int):
+            made.setdefault(make(live, profile), []).append(name)
+        out, *others = made
+        for text in others:
+            out = f"CASE WHEN {dataset} IN ({', '.join(map(X.literal, made[text]))}) THEN {text} ELSE {out} END"
+        return out
+
+    def null(slot: int) -> Callable[[Sequence[str], dict], str]:
         def make(live, profile):
             col = profile["key_cols"][slot] if slot < len(profile["key_cols"]) else None
-            absent = col is not None and col not in live
-            return (col, F.col(col).isNull()) if col in live else (str(absent), F.lit(absent))
+            return f"{X.quoted(col)} IS NULL" if col in live else "false"
         return make
 
-    def when(found: Callable[[str], Column], field: str, otherwise: Column):
-        return lambda live, profile: (
-            (str((profile[field], profile["allowed"] if field == "valid_col" else None)), found(profile))
-            if profile[field] in live else ("", otherwise))
-
-    text = F.lit(None).cast("string")
-    now = X.as_of_ts(as_of)
-    return df.select(
-        dataset.alias("dataset_name"),
-        by_dataset(when(lambda p: F.col(p["pk"]).cast("string"), "pk", text)).alias("pk"),
-        by_dataset(when(lambda p: F.col(p["fk"]).cast("string"), "fk", text)).alias("fk"),
-        by_dataset(when(lambda p: F.when(_outside(p["valid_col"], p["allowed"]), F.col(p["valid_col"]).cast("string")),
-                        "valid_col", text)).alias("value"),
-        by_dataset(when(lambda p: F.coalesce(X.parsed_ts(df, p["ts"]) > now, F.lit(False)), "ts", F.lit(False))).alias(
-            "future"),
-        by_dataset(when(lambda p: X.parsed_ts(df, p["ts"]).isNull(), "ts", F.lit(False))).alias("unparsed"),
-        *[by_dataset(null(i)).alias(f"null_{i}") for i in range(slots)])
+    def of(field: str, found: Callable[[dict], str], otherwise: str) -> str:
+        return by_dataset(lambda live, profile: found(profile) if profile[field] in live else otherwise)
+
+    now = X.now_sql(as_of)
+    return df.selectExpr(
+        f"{dataset} AS dataset_name",
+        of("pk", lambda p: f"CAST({X.quoted(p['pk'])} AS STRING)", ABSENT) + " AS pk",
+        of("fk", lambda p: f"CAST({X.quoted(p['fk'])} AS STRING)", ABSENT) + " AS fk",
+        of("valid_col", lambda p: f"IF({_outside(p['valid_col'], p['allowed'])}, "
+                                  f"CAST({X.quoted(p['valid_col'])} AS STRING), NULL)", ABSENT) + " AS value",
+        of("ts", lambda p: f"coalesce({X.ts_sql(df, p['ts'])} > {now}, false)", "false") + " AS future",
+        of("ts", lambda p: f"{X.ts_sql(df, p['ts'])} IS NULL", "false") + " AS unparsed",
+        *[f"{by_dataset(null(i))} AS null_{i}" for i in range(slots)])
 
 
 def _profile_table(tables: Tables, profiles: dict[str, dict]) -> DataFrame:
@@ -232,43 +230,28 @@ def quality_counts(tables: Tables, as_of: X.AsOf = None, profiles: dict[str, dic
     slots = max(len(p["key_cols"]) for p in profiles.values())
     live = _live(tables)
     arms = {name: (live[name], p) for name, p in profiles.items()}
-    subs = _checked(tables.subscribers, F.lit("subscribers"), {"subscribers": arms["subscribers"]}, as_of, slots)
-    events = _checked(tables.events, F.concat(F.lit("events_"), "product"),
+    subs = _checked(tables.subscribers, "'subscribers'", {"subscribers": arms["subscribers"]}, as_of, slots)
+    events = _checked(tables.events, "concat('events_', product)",
                       {name: arm for name, arm in arms.items() if name != "subscribers"}, as_of, slots)
-    rows = subs.unionByName(events)
+    rows = subs.union(events)
     flags = ["future", "unparsed", *[f"null_{i}" for i in range(slots)]]
-
     per_link = rows.groupBy("dataset_name", "fk", "value").agg(
-        F.count(F.lit(1)).alias("total"), *[F.count_if(c).alias(c) for c in flags])
-    known = tables.subscribers.select(F.col("subscriber_id").cast("string").alias("fk")).dropna().distinct().withColumn(
-        "known", F.lit(True))
-    linked = F.col("dataset_name").isin([name for name, p in profiles.items() if p["fk"] in live[name]])
+        F.expr("count(1) AS total"), *[F.expr(f"count_if({c}) AS {c}") for c in flags])
+    known = tables.subscribers.selectExpr("CAST(subscriber_id AS STRING) AS fk").distinct().selectExpr("fk", "true AS known")
+    linked = ", ".join(X.literal(name) for name, p in profiles.items() if p["fk"] in live[name]) or "NULL"
     per_value = per_link.join(known, "fk", "left").groupBy("dataset_name", "value").agg(
-        F.sum("total").alias("total"), *[F.sum(c).alias(c) for c in flags],
-        F.sum(F.when(linked & F.col("fk").isNotNull() & F.col("known").isNull(), F.col("total"))).alias("orphans"),
-        F.sum(F.when(linked & F.col("fk").isNull(), F.col("total"))).alias("nulls"))
-    # the worst values of each of some shares of a dataset, then of the dataset: no task sorts all of a garbage column
-    rank = F.row_number().over(Window.partitionBy("dataset_name", "share").orderBy(
-        F.col("value").isNull(), F.desc("total"), "value"))
-    few = F.when((F.col("rank") <= rules.TOP_INVALID) & F.col("value").isNotNull(),
-                 F.struct((-F.col("total")).alias("order"), "value"))
-    sums = ["total", *flags, "orphans", "nulls", "invalid"]
-    shares = (per_value.withColumn("share", F.pmod(F.xxhash64("value"), F.lit(SHARES))).withColumn("rank", rank)
-              .groupBy("dataset_name", "share").agg(
-        *[F.sum(c).alias(c) for c in sums[:-1]], F.sum(F.when(F.col("value").isNotNull(), F.col("total"))).alias("invalid"),
-        F.collect_list(few).alias("worst")))
-    worst = F.slice(F.array_sort(F.flatten(F.collect_list("worst"))), 1, rules.TOP_INVALID)
-    plain = shares.groupBy("dataset_name").agg(
-        *[F.sum(c).alias(c) for c in sums],
-        F.array_join(F.transform(worst, lambda x: F.format_string("'%s': %d", x["value"], -x["order"])), ", ").alias("worst"))
-    keys = rows.groupBy("dataset_name").agg(F.count_distinct("pk").alias("keys"))
+        *[F.expr(f"sum({c}) AS {c}") for c in ("total", *flags)],
+        F.expr(f"sum(IF(dataset_name IN ({linked}) AND fk IS NOT NULL AND known IS NULL, total, 0L)) AS orphans"),
+        F.expr(f"sum(IF(dataset_name IN ({linked}) AND fk IS NULL, total, 0L)) AS nulls"))
+    plain = _with_worst(per_value, [*flags, "orphans", "nulls"])
+    keys = rows.groupBy("dataset_name").agg(F.expr("count(DISTINCT pk) AS keys"))
     # an empty dataset still gets its row
     listed = _profile_table(tables, profiles)
     counts = ["total", *flags, "orphans", "nulls", "invalid", "keys"]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                    [listed.select("dataset_name", F.lit(0).cast("long").alias("total")), plain, keys])
+                    [listed.selectExpr("dataset_name", "0L AS total"), plain, keys])
     return merged.groupBy("dataset_name").agg(
-        *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in counts], F.max("worst").alias("worst"),
+        *[F.expr(f"coalesce(max({c}), 0L) AS {c}") for c in counts], F.expr("max(worst) AS worst"),
     ).join(listed, "dataset_name")
 
 
@@ -280,42 +263,32 @@ def quality_report(tables: Tables, as_of: X.AsOf = None, profiles: dict[str, dic
     """
     counts = quality_counts(tables, as_of, profiles)
     slots = range(sum(c.startswith("absent_") for c in counts.columns))
-    total, none = F.col("total"), F.lit(None).cast("string")
-
-    def kept(*bad: str) -> Column:
-        return _share_kept(reduce(lambda a, b: a + b, map(F.col, bad)), total)
 
-    # an absent column has no value in any row
-    nulls = [F.when(F.col(f"absent_{i}"), total).otherwise(F.col(f"null_{i}")) for i in slots]
-    shares = [F.when(F.col("n_keys") <= i, 0.0).when(F.col(f"absent_{i}"), 0.0)
-              .otherwise(F.lit(1.0) - X.ratio(nulls[i], total)) for i in slots]
+    shares = [f"IF(n_keys <= {i} OR absent_{i}, 0.0D, {_filled_share(f'null_{i}')})" for i in slots]
     scores = {
-        "completeness": reduce(lambda a, b: a + b, shares) / F.col("n_keys"),
-        "uniqueness": F.when(F.col("pk_live"), _distinct_share(F.col("keys"), total)).otherwise(0.0),
-        "timeliness": kept("future", "unparsed"),
-        "referential": F.when(F.col("fk_live"), kept("orphans", "nulls")).otherwise(1.0),
-        "validity": F.when(F.col("valid_live"), kept("invalid")).otherwise(0.0),
+        "completeness": f"({' + '.join(shares)}) / n_keys",
+        "uniqueness": f"IF(pk_live, {_distinct_share()}, 0.0D)",
+        "timeliness": _share_kept("future + unparsed"),
+        "referential": f"IF(fk_live, {_share_kept('orphans + nulls')}, 1.0D)",
+        "validity": f"IF(valid_live, {_share_kept('invalid')}, 0.0D)",
     }
     issues = {
-        "completeness": [F.when(F.col("n_keys") <= i, none).when(F.col(f"absent_{i}"), _absent(F.col(f"key_{i}")))
-                         .otherwise(_missing(F.col(f"key_{i}"), nulls[i], total)) for i in slots],
-        "uniqueness": [F.when(F.col("pk_live"), _repeated(F.col("pk"), total - F.col("keys")))
-                       .otherwise(_absent(F.col("pk")))],
-        "timeliness": _untimely(F.col("future"), F.col("unparsed")),
-        "referential": _unlinked(F.col("fk"), F.col("orphans"), F.col("nulls")),
-        "validity": [F.when(F.col("valid_live"), _not_allowed(F.col("valid_col"), F.col("invalid"), F.col("worst")))
-                     .otherwise(_absent(F.col("valid_col")))],
+        "completeness": [f"CASE WHEN n_keys <= {i} THEN NULL WHEN absent_{i} THEN {_absent(f'key_{i}')} "
+                         f"ELSE {_missing(f'key_{i}', f'null_{i}')} END" for i in slots],
+        "uniqueness": [f"IF(pk_live, {_repeated('pk')}, {_absent('pk')})"],
+        "timeliness": UNTIMELY,
+        "referential": _unlinked("fk"),
+        "validity": [f"IF(valid_live, {_not_allowed('valid_col')}, {_absent('valid_col')})"],
     }
-    scored = counts.select("dataset_name", "domain", "total", *[v.alias(f"_{d}") for d, v in scores.items()],
-                           *[X.issue_list(*v).alias(f"{d}_issues") for d, v in issues.items()])
-    composite = F.round(X.weighted([(F.col(f"_{d}"), w) for d, w in rules.DQ_WEIGHTS.items()]), 4)
-    return scored.withColumn("_composite", composite).select(
-        "dataset_name", "domain", X.as_of_ts(as_of).alias("run_at"), F.col("total").alias("total_records"),
-        F.round(F.col("_composite") * 100, 2).alias("composite_score"),
-        X.score_label(F.col("_composite")).alias("status"),
-        *[c for d in DIMENSIONS for c in (
-            F.round(F.col(f"_{d}") * 100, 2).alias(f"{d}_score"), X.score_label(F.col(f"_{d}")).alias(f"{d}_label"),
-            F.col(f"{d}_issues"))])
+    composite = "round(" + " + ".join(f"_{d} * {w}D" for d, w in rules.DQ_WEIGHTS.items()) + ", 4)"
+    return counts.selectExpr(
+        "dataset_name", "domain", "total", *[f"CAST({text} AS DOUBLE) AS _{d}" for d, text in scores.items()],
+        *[f"array_compact(array({', '.join(texts)})) AS {d}_issues" for d, texts in issues.items()],
+    ).selectExpr("*", f"{composite} AS _composite").selectExpr(
+        "dataset_name", "domain", f"{X.now_sql(as_of)} AS run_at", "total AS total_records",
+        "round(_composite * 100, 2) AS composite_score", f"{_label('_composite')} AS status",
+        *[text for d in DIMENSIONS for text in (
+            f"round(_{d} * 100, 2) AS {d}_score", f"{_label('_' + d)} AS {d}_label", f"{d}_issues")])
 
 
 def composite_score(scores: DataFrame) -> DataFrame:

@@ -36,6 +36,11 @@ def on_tables(name: str, fn: Callable[[Tables], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf: fn(from_driver_tables(spark, sf))
 
 
+def on_files(name: str, fn: Callable[[Tables], DataFrame]) -> None:
+    """The same, with the types that the files have."""
+    QUERIES[name] = lambda spark, sf: fn(from_driver_tables(spark, sf, own_types=True))
+
+
 def native(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{sf}/{name}.parquet")
 
@@ -180,7 +185,7 @@ def q_dashboard_report(spark, sf):
 
 @query
 def q_drift_report(spark, sf):
-    return _read_back(spark, "drift-report", reports.drift_parts(drifted(from_driver_tables(spark, sf))))
+    return _read_back(spark, "drift-report", reports.drift_parts(drifted(from_driver_tables(spark, sf, own_types=True))))
 
 
 @query
@@ -374,7 +379,7 @@ def drifted(t: Tables) -> dict[str, DataFrame]:
     }
 
 
-on_tables("drift_events", lambda t: drift.detect_drift(drifted(t)))
+on_files("drift_events", lambda t: drift.detect_drift(drifted(t)))
 # fixed values: what a reader of three of the given files might expect of them
 FILE_REGISTRY = {
     "orders": [("o_orderkey", "bigint", False, True), ("o_custkey", "int", False, True),
@@ -397,15 +402,15 @@ def q_drift_columns(spark, sf):
     return found.join(filled.select("dataset", "column_name", "n_rows", "n_filled"), ["dataset", "column_name"], "left")
 
 
-on_tables("drift_enum", lambda t: drift.enum_violations({n: t.dataset(n) for n in rules.REGISTRY}))
-on_tables("drift_status", lambda t: drift.drift_status(drift.detect_drift(drifted(t)), list(rules.REGISTRY)))
-on_tables("drift_summary", lambda t: drift.drift_summary(
+on_files("drift_enum", lambda t: drift.enum_violations({n: t.dataset(n) for n in rules.REGISTRY}))
+on_files("drift_status", lambda t: drift.drift_status(drift.detect_drift(drifted(t)), list(rules.REGISTRY)))
+on_files("drift_summary", lambda t: drift.drift_summary(
     drift.drift_status(drift.detect_drift(drifted(t)), list(rules.REGISTRY))))
 
 
-on_tables("drift_gates", lambda t: drift.drift_gates(
+on_files("drift_gates", lambda t: drift.drift_gates(
     drift.drift_status(drift.detect_drift(drifted(t)), list(rules.REGISTRY))))
-on_tables("drift_partitions", lambda t: drift.column_presence(
+on_files("drift_partitions", lambda t: drift.column_presence(
     t.events.withColumn("event_date", F.to_date("event_timestamp")), ["product", "event_date"],
     ["subscriber_id", "section", "time_on_page_sec", "game_name", "score", "rating", "sport"]))
 

@@ -56,6 +56,10 @@ def from_registry(spark: SparkSession, registry: SourceRegistry, variant: str =
 
 # --- adapter from the generic customer / events tables ----------------------
 
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+CUSTOMER_SCHEMA = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+
+
 def _cases(key: str, values: list[str], otherwise: str) -> str:
     """CASE over small integers 0, 1, 2, ... of ``key``."""
     arms = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
@@ -184,10 +188,14 @@ def driver_events(events: DataFrame) -> DataFrame:
     )
 
 
-def from_driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """The five raw tables, derived from ``customer`` and ``events`` below ``sf_dir``, with the files' own types."""
-    customer = read_parquet(spark, f"{sf_dir}/customer.parquet")
-    events = read_parquet(spark, f"{sf_dir}/events.parquet")
+def from_driver_tables(spark: SparkSession, sf_dir: str, own_types: bool = False) -> Tables:
+    """The five raw tables, derived from ``customer`` and ``events`` below ``sf_dir``.
+
+    Declared schemas save a look into the files; ``own_types`` takes theirs, as a
+    check for drift must.
+    """
+    customer = read_parquet(spark, f"{sf_dir}/customer.parquet", None if own_types else CUSTOMER_SCHEMA)
+    events = read_parquet(spark, f"{sf_dir}/events.parquet", None if own_types else EVENTS_SCHEMA)
     return Tables(driver_subscribers(customer), driver_events(events), DRIVER_COLUMNS)
 
 
