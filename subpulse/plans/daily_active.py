@@ -90,6 +90,11 @@ def metric_of(activity: DataFrame, subscribers: DataFrame, as_of: X.AsOf = None)
     total = F.struct(F.lit(rules.ALL_PRODUCTS).alias("product"), F.lit(None).cast("string").alias("platform"))
     active = (activity.select("event_date", "subscriber_id",
                               F.inline(F.array(F.struct("product", "platform"), total))).distinct())
+    return _counted(active, subscribers, as_of)
+
+
+def _counted(active: DataFrame, subscribers: DataFrame, as_of: X.AsOf) -> DataFrame:
+    """The metric over activity that is distinct per (event_date, product, platform, subscriber_id), totals included."""
     dims = subscribers.select("subscriber_id", "bundle_tier", "country")
     rows = active.join(dims, "subscriber_id", "left")
     # a total's group has neither tier nor country, its counts still need the tier
@@ -111,20 +116,14 @@ def daily_active(tables: Tables, as_of: X.AsOf = None, lookback_days: int | None
 
 def daily_active_grouping_sets(tables: Tables, as_of: X.AsOf = None,
                                lookback_days: int = rules.LOOKBACK_DAYS) -> DataFrame:
-    """The same metric as GROUPING SETS with distinct counts over de-duplicated activity.
+    """The same metric with GROUPING SETS: one Expand makes activity distinct at both grains, the rest counts rows.
 
-    Totals are told from unmatched subscribers by ``grouping()``, not by NULLs.
+    Totals are told from missing products by ``grouping()``, not by NULLs.
     """
     activity = qualifying_activity(tables.events, as_of, lookback_days)
-    active = activity.select("event_date", "product", "platform", "subscriber_id").distinct()
-    staged = stage_subscribers(tables.subscribers, as_of).select("subscriber_id", "bundle_tier", "country")
-    rows = active.join(staged, "subscriber_id", "left").withColumn("tier", F.col("bundle_tier"))
-    distinct = [F.count_distinct("subscriber_id").alias(COUNTS[0])] + [
-        F.count_distinct(F.when(F.col("tier") == t, F.col("subscriber_id"))).alias(f"daily_active_{t}")
-        for t in rules.TIERS
-    ]
-    grouped = rows.groupingSets([DETAIL, ["event_date"]], *DETAIL).agg(
-        F.grouping("product").alias("is_total"), *distinct)
-    named = grouped.withColumn("product", F.when(F.col("is_total") == 1, rules.ALL_PRODUCTS)
-                               .otherwise(F.col("product")))
-    return _stamped(named, as_of)
+    detail = ["event_date", "product", "platform", "subscriber_id"]
+    grains = activity.groupingSets([detail, ["event_date", "subscriber_id"]], *detail).agg(
+        F.grouping("product").alias("is_total"))
+    active = grains.withColumn("product", F.when(F.col("is_total") == 1, rules.ALL_PRODUCTS).otherwise(
+        F.col("product"))).drop("is_total")
+    return _counted(active, stage_subscribers(tables.subscribers, as_of), as_of)

@@ -346,7 +346,8 @@ on_tables("dq_scorecard", lambda t: rounded(
 @query
 def q_column_tests(spark, sf):
     t = from_driver_tables(spark, sf)
-    relations = {f"raw.{n}": t.dataset(n) for n in rules.REGISTRY}
+    relations = {"raw.subscribers": t.subscribers,
+                 **{f"raw.events_{p}": (t.events, "product", p) for p in rules.PRODUCTS}}
     relations["stg.subscribers"] = staging.stage_subscribers(t.subscribers, AS_OF)
     relations["stg.events_news"] = staging.stage_events(t.product("news"), AS_OF)
     return checks.run_column_tests(relations, rules.COLUMN_TESTS)
