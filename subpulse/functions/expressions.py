@@ -114,17 +114,18 @@ def tenure_to_date(start: Column, today: Column) -> Column:
 
 
 def simple_risk(churned: Column, tenure: Column, plan: Column) -> Column:
-    return (F.when(churned, "Churned").when(tenure < 30, "New (<30d)")
-            .when(plan.isin(rules.BUNDLE_PLANS), "Low Risk").otherwise("Medium Risk"))
+    """The dashboard's bucket; the first that holds."""
+    label = rules.RISK_BUCKETS
+    return (F.when(churned, label["churned"]).when(tenure < rules.NEW_BELOW_DAYS, label["new"])
+            .when(plan.isin(rules.BUNDLE_PLANS), label["bundle"]).otherwise(label["other"]))
 
 
 def churn_risk_tier(days_idle: Column, tier: Column, products_engaged: Column) -> Column:
-    """First rule that holds. A full bundle idle for 30 days meets none of the idle rules."""
-    return (F.when((days_idle >= 30) & (tier == "single_product"), "high")
-            .when((days_idle >= 30) & (tier == "partial_bundle"), "high")
-            .when(days_idle.between(14, 29), "medium")
-            .when((products_engaged == 1) & tier.isin("full_bundle", "partial_bundle"), "medium")
-            .otherwise("low"))
+    """First rule that holds. A full bundle idle for longer than dormant meets none of the idle rules."""
+    gone = (days_idle >= rules.HIGH_RISK_IDLE_DAYS) & tier.isin(rules.HIGH_RISK_TIERS)
+    cooling = days_idle.between(*rules.DORMANT_DAYS) | ((products_engaged == 1) & tier.isin(rules.BUNDLE_TIERS))
+    return (F.when(gone, rules.RISK_TIERS["high"]).when(cooling, rules.RISK_TIERS["medium"])
+            .otherwise(rules.RISK_TIERS["low"]))
 
 
 # --- events ------------------------------------------------------------------

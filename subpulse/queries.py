@@ -370,7 +370,10 @@ on_tables("top_invalid_values", lambda t: relational.most_frequent(
 
 
 def drifted(t: Tables) -> dict[str, DataFrame]:
-    """The raw tables after a rename, a narrowed type and an unannounced column."""
+    """The raw tables after a rename, a narrowed type and an unannounced column.
+
+    The names are fixed values: a published report of this scenario has them.
+    """
     return {
         "subscribers": t.subscribers,
         "events_games": t.product("games").withColumnRenamed("game_name", "game_title"),

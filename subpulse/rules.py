@@ -58,6 +58,18 @@ DOMAIN_WARNING_PCT = 2.0
 # upper bound in hours (inclusive) -> label; the last bucket is open
 LAG_BUCKETS = [(0.5, "<30min"), (2.0, "30min-2h"), (6.0, "2-6h"), (12.0, "6-12h"), (None, ">12h")]
 
+# --- Fixed values: churn risk --------------------------------------------------
+# the mart's tiers: idle days from which a tier without the full bundle is at high
+# risk, and the range that counts as dormant
+HIGH_RISK_IDLE_DAYS = 30
+HIGH_RISK_TIERS = ["single_product", "partial_bundle"]
+DORMANT_DAYS = (14, 29)
+BUNDLE_TIERS = ["full_bundle", "partial_bundle"]
+RISK_TIERS = {"high": "high", "medium": "medium", "low": "low"}
+# the dashboard's buckets
+NEW_BELOW_DAYS = 30
+RISK_BUCKETS = {"churned": "Churned", "new": "New (<30d)", "bundle": "Low Risk", "other": "Medium Risk"}
+
 # --- Fixed values: what each dataset is scored on ---------------------------
 # Every event table shares pk, timestamp and foreign key.
 DQ_PROFILES = {

@@ -94,6 +94,11 @@ def driver_subscribers(customer: DataFrame) -> DataFrame:
 
 
 # Fixed values of the mapping, repeated by the oracles:
+SECTIONS = ["politics", "technology", "arts", "sports", "science", "opinion", "world"]
+REFERRERS = ["direct", "search", "social", "newsletter", "push_notif"]
+RECIPE_CATEGORIES = ["baking", "desserts", "drinks"]
+SPORTS = ["nfl", "nba", "soccer"]
+PLATFORMS = ["web", "ios", "android"]
 # event type of each product for view, click, signup, purchase and anything else
 _EVENT_TYPE_OF = {
     "news": ("article_view", "article_complete", "save", "share", "comment"),
@@ -166,21 +171,21 @@ def driver_events(events: DataFrame) -> DataFrame:
         _for_products("news athletic",
                       "concat(IF(no = 0, 'art_', 'ath_'), CAST(event_id % IF(no = 0, 9000, 7000) AS STRING))",
                       "article_id"),
-        _for_products("news", _pick(["politics", "technology", "arts", "sports", "science", "opinion", "world"],
+        _for_products("news", _pick(SECTIONS,
                                     "event_id % 7"), "section"),
         _for_products("news athletic", "IF(event_id % 10 <> 0, value * 10, NULL)", "time_on_page_sec"),
-        _for_products("news", _pick(["direct", "search", "social", "newsletter", "push_notif"], "event_id % 5"),
+        _for_products("news", _pick(REFERRERS, "event_id % 5"),
                       "referrer"),
         _for_products("games", _pick(GAME_NAMES, "event_id % 5"), "game_name"),
         _for_products("games", "event_id % 101", "score"),
         _for_products("games", "event_id % 121", "streak_days"),
         _for_products("games", "value", "duration_sec"),
         _for_products("cooking", "concat('rec_', CAST(event_id % 3000 AS STRING))", "recipe_id"),
-        _for_products("cooking", _pick(["baking", "desserts", "drinks"], "event_id % 3"), "recipe_category"),
+        _for_products("cooking", _pick(RECIPE_CATEGORIES, "event_id % 3"), "recipe_category"),
         _for_products("cooking", "IF(event_id % 10 < 3, CAST(event_id % 5 + 1 AS DOUBLE), NULL)", "rating"),
-        _for_products("athletic", _pick(["nfl", "nba", "soccer"], "event_id % 3"), "sport"),
+        _for_products("athletic", _pick(SPORTS, "event_id % 3"), "sport"),
         "ts AS event_timestamp",
-        f"{_pick(['web', 'ios', 'android'], 'event_id % 3')} AS platform",
+        f"{_pick(PLATFORMS, 'event_id % 3')} AS platform",
         """ts + (CASE WHEN IF(no = 2, day(ts) % 10 <> 1, day(ts) % 3 = 0) OR event_id % 3 = 0
                       THEN (event_id * 7919) % 12
                       WHEN event_id % 3 = 1 THEN (event_id * 7919) % 270
