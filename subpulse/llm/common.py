@@ -10,6 +10,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subpulse.session import settle
+
 #: A word is a run of anything but ASCII white space. ``bytes.split()`` cuts at the same six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
@@ -63,6 +65,20 @@ def lookup(rows: DataFrame, facts: DataFrame, key: str, total: int, weight: str)
     return rows.join(hot_facts, key).unionByName(cold_rows.join(facts.filter(~hot), key))
 
 
+def settle_lean(df: DataFrame, name: str) -> DataFrame:
+    """``settle``, after which the shuffle files of the job that wrote the table are removed.
+
+    Steps that follow each other then need the disk of the largest, not of all.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return settle(df, name)
+    finally:
+        conf.set(key, before)
+
+
 class WordHashes(dict):
     """word -> 64-bit hash, computed once per distinct word. Emptied when full, so memory stays bounded."""
 

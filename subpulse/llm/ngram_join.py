@@ -9,11 +9,13 @@ are equal. A signature is the content of two of the three: similar sets share
 one. Two spare first-level partitions make up for contents that are empty on
 both sides: only a set with more than two such places needs to sign them.
 
-Equal sets are one node, however many documents have them. Sets that share a
-signature are compared with the smallest node seen with them first, and the
-links found are contracted into groups. Only then are the pairs looked at that
-share a signature and are not yet in one group, so a group of n copies costs n
-comparisons and no link between groups is lost.
+Equal sets are one node, however many documents have them. Each node is compared
+first with the node that shares most signatures among those it meets, and the
+links found are contracted into groups: copies of one original, however many, are
+one group after as many comparisons. Only then are the pairs looked at that share
+a signature and are not yet in one group, so no link between groups is lost.
+Before sets are compared, sketches rule out pairs that differ too much; they can
+not rule out a similar one.
 
 Comparisons are exact on 64-bit n-gram hashes. Nodes are 64-bit digests of whole
 sets; two sets with one digest are noticed by a second digest and refused.
@@ -29,19 +31,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subpulse.llm.common import WordHashes, lookup, mix64, signed
+from subpulse.llm.common import WordHashes, lookup, mix64, settle_lean, signed
 from subpulse.llm.components import components
 from subpulse.session import settle
 
 SPARE = 2
-SIGNED = "doc_id long, text_key long, node long, proof long, n_shingles long, signatures array<long>"
+DIGESTED = "doc_id long, text_key long, node long, proof long, n_shingles long, sketch array<long>"
+SKETCH_PARTS, SKETCH_PLANES = 256, 4
 
 
 @dataclass(frozen=True)
@@ -121,30 +124,71 @@ def digest(shingle_set: np.ndarray) -> tuple[int, int]:
     return int(node), int(proof)
 
 
-def sign(documents: DataFrame, like: Likeness) -> DataFrame:
-    """Each document's node and size; signatures come with a node's first document in a batch."""
+def sketch(shingle_set: np.ndarray) -> np.ndarray:
+    """Four bits of the content of each of 256 partitions of the domain, as 16 words.
+
+    Every partition in which two sketches differ holds at least one element that
+    the sets differ in, so sketches never rule out a similar pair.
+    """
+    at = np.concatenate([[0], np.searchsorted(shingle_set, _edges(SKETCH_PARTS)), [len(shingle_set)]])
+    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(shingle_set))])
+    content = mix64(np.diff(running[at]))
+    planes = [np.packbits((content >> np.uint64(60 + i) & np.uint64(1)).astype(np.uint8)) for i in range(SKETCH_PLANES)]
+    return np.concatenate(planes).view(np.int64)
+
+
+def _may_be_alike(a: str, b: str, like: Likeness) -> Column:
+    """False if sizes or sketches of (``a``_n, ``a``_sketch) and ``b``'s show too many differences."""
+    words = SKETCH_PARTS // 64
+    differing = [reduce(lambda x, y: x.bitwiseOR(y), [
+        F.get(f"{a}_sketch", F.lit(plane * words + w)).bitwiseXOR(F.get(f"{b}_sketch", F.lit(plane * words + w)))
+        for plane in range(SKETCH_PLANES)]) for w in range(words)]
+    differing = reduce(lambda x, y: x + y, map(F.bit_count, differing))
+    n_a, n_b = F.col(f"{a}_n"), F.col(f"{b}_n")
+    return ((differing * (like.of + like.least) <= (n_a + n_b) * (like.of - like.least))
+            & (n_a * like.of >= n_b * like.least) & (n_b * like.of >= n_a * like.least))
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
+                            F.col("text").cast("binary").alias("text"))
+
+
+def digested(documents: DataFrame, like: Likeness) -> DataFrame:
+    """Each document's node, its second digest, its size and its sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes(lower=True)
         for batch in batches:
-            nodes, proofs, sizes, signs, seen = [], [], [], [], set()
+            sets = [shingles(text.as_py() or b"", like.words, hashes) for text in batch.column("text")]
+            both = [digest(x) if len(x) else (None, None) for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_key"), pa.array([d for d, _ in both], pa.int64()),
+                 pa.array([d for _, d in both], pa.int64()), pa.array([len(x) for x in sets], pa.int64()),
+                 pa.array([sketch(x) for x in sets], pa.list_(pa.int64()))],
+                ["doc_id", "text_key", "node", "proof", "n_shingles", "sketch"])
+
+    return _texts(documents).mapInArrow(run, DIGESTED)
+
+
+def signed_nodes(documents: DataFrame, like: Likeness) -> DataFrame:
+    """(signature, node): a node signs with its first document in a batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes(lower=True)
+        for batch in batches:
+            seen, signs, nodes = set(), [], []
             for text in batch.column("text"):
                 found = shingles(text.as_py() or b"", like.words, hashes)
-                node, proof = digest(found) if len(found) else (None, None)
-                nodes.append(node)
-                proofs.append(proof)
-                sizes.append(len(found))
-                signs.append(signed(signatures(found, like)) if len(found) and node not in seen
-                             else np.zeros(0, np.int64))
+                if not len(found) or (node := digest(found)[0]) in seen:
+                    continue
                 seen.add(node)
-            ends = np.cumsum([0, *map(len, signs)], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(nodes, pa.int64()), pa.array(proofs, pa.int64()),
-                 pa.array(sizes, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *signs])))],
-                ["doc_id", "text_key", "node", "proof", "n_shingles", "signatures"])
+                signs.append(signed(signatures(found, like)))
+                nodes.append(node)
+            if signs:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(signs)), pa.array(np.repeat(nodes, [len(x) for x in signs]))],
+                    ["signature", "node"])
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
-                            F.col("text").cast("binary").alias("text")).mapInArrow(run, SIGNED)
+    return _texts(documents).select("text").mapInArrow(run, "signature long, node long")
 
 
 def _with_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +211,7 @@ def _with_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["signature", "first", "node"])
 
 
-def _alike(a: str, b: str, like: Likeness):
+def _alike(a: str, b: str, like: Likeness) -> Column:
     both = F.size(F.array_intersect(a, b))
     return both * like.of >= (F.size(a) + F.size(b) - both) * like.least
 
@@ -186,16 +230,21 @@ def _sets(documents: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
                 ["node", "set"])
 
     ids = wanted.select(F.col("doc_id").alias("wanted_id"))
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return (texts.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
+    return (_texts(documents).join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
             .filter("text IS NOT NULL").mapInArrow(run, "node long, set array<long>"))
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """Those (a, b) of ``pairs`` that are alike."""
+def _linked(pairs: DataFrame, documents: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
+    """Those (a, b) of ``pairs`` that are alike. Only sets whose sketches leave it open are built again."""
+    known = nodes.select("node", "n", "sketch")
+    likely = settle_lean(pairs.join(known.toDF("a", "a_n", "a_sketch"), "a").join(known.toDF("b", "b_n", "b_sketch"), "b")
+                         .filter(_may_be_alike("a", "b", like)).select("a", "b"), "likely")
+    either = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+    sets = settle_lean(_sets(documents, nodes.join(either, "node", "left_semi"), like), "sets")
     set_a = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     set_b = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-    return pairs.join(set_b, "b").join(set_a, "a").filter(_alike("set_a", "set_b", like)).select("a", "b")
+    return settle_lean(likely.join(set_b, "b").join(set_a, "a").filter(_alike("set_a", "set_b", like)).select("a", "b"),
+                       "links")
 
 
 def near_duplicates(documents: DataFrame, like: Likeness = Likeness()) -> DataFrame:
@@ -203,43 +252,50 @@ def near_duplicates(documents: DataFrame, like: Likeness = Likeness()) -> DataFr
 
     ``keep_key`` is the ``text_key`` of the group's document with that id, the smallest if there are several.
     """
-    signed_docs = settle(sign(documents, like), "signed")
+    found_docs = settle(digested(documents, like), "digested")
     best = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
-    nodes = settle(signed_docs.filter("node IS NOT NULL").groupBy("node").agg(
+    nodes = settle(found_docs.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.min(best).alias("best"), F.count(F.lit(1)).alias("n_docs"),
-        F.min("proof").alias("proof"), F.max("proof").alias("other")), "nodes")
+        F.min("proof").alias("proof"), F.max("proof").alias("other"), F.max("n_shingles").alias("n"),
+        F.any_value("sketch").alias("sketch")), "nodes")
     if not nodes.filter("proof <> other").isEmpty():
         raise ValueError("two sets share a 64-bit digest")
-    rows = signed_docs.select(F.explode("signatures").alias("signature"), "node")
-    shared = settle(rows.repartition("signature").sortWithinPartitions("signature", "node")
-                    .mapInArrow(_with_first, "signature long, first long, node long"), "shared")
-
-    # first each node with the smallest one that it shares a signature with
-    nearest = settle(shared.groupBy("node").agg(F.min("first").alias("first")), "nearest")
-    either = nearest.select("node").union(nearest.select("first")).distinct()
-    sets = settle(_sets(documents, nodes.join(either, "node", "left_semi"), like), "sets")
-    links = settle(_linked(nearest.select(F.col("first").alias("a"), F.col("node").alias("b")), sets, like), "links")
+    shared = settle_lean(signed_nodes(documents, like).repartition("signature").sortWithinPartitions("signature", "node")
+                         .mapInArrow(_with_first, "signature long, first long, node long"), "shared")
+    members = shared.select("signature", "node").union(shared.select("signature", F.col("first").alias("node")).distinct())
+    members = settle_lean(members, "members")
+
+    # first each node with the one that shares most signatures with any: of copies of copies that is the original
+    rank = members.groupBy("node").agg(F.struct(F.count(F.lit(1)), "node").alias("rank"))
+    ranked = members.join(rank, "node")
+    hubs = ranked.groupBy("signature").agg(F.max("rank").alias("hub"))
+    nearest = settle_lean(ranked.join(hubs, "signature").groupBy("node").agg(
+        F.max("hub").alias("hub")), "nearest")
+    star = nearest.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).filter("a <> b")
+    links = _linked(star, documents, nodes, like)
     roots = components(links)
 
     # then what shares a signature across the groups so far
-    members = (shared.select("signature", "node").union(shared.select("signature", F.col("first").alias("node")))
-               .distinct().join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    members = settle(members, "members")
+    members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = settle_lean(members, "members")
     mixed = members.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(
         "low <> high").select("signature")
-    left = members.join(mixed, "signature", "left_semi")
-    a, b = left.toDF("signature", "a", "root_a"), left.toDF("signature", "b", "root_b")
-    across = (a.join(b, "signature").filter("root_a < root_b").select("a", "b").distinct()
-              .join(nearest.select(F.col("first").alias("a"), F.col("node").alias("b")), ["a", "b"], "left_anti")
-              .join(nearest.select(F.col("first").alias("b"), F.col("node").alias("a")), ["a", "b"], "left_anti"))
-    more = settle(_linked(settle(across, "across"), sets, like), "links")
-    roots = components(links.union(more))
-
-    placed = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    left = members.join(mixed, "signature", "left_semi").join(nodes.select("node", "n", "sketch"), "node")
+    a = left.select("signature", *[F.col(c).alias(f"a_{c}") for c in ("node", "root", "n", "sketch")])
+    b = left.select("signature", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "n", "sketch")])
+    across = a.join(b, (a["signature"] == b["signature"]) & (F.col("a_root") < F.col("b_root"))
+                    & _may_be_alike("a", "b", like)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    more = _linked(settle_lean(across.distinct(), "across"), documents, nodes, like)
+    ends = members.select("node", "root").distinct()
+    joined = (more.join(ends.toDF("a", "root_a"), "a").join(ends.toDF("b", "root_b"), "b").select("root_a", "root_b"))
+    tops = components(joined, "root_a", "root_b").toDF("root", "top")
+
+    placed = (nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+              .join(tops, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top"))
     smallest = placed.groupBy("root").agg(F.min("best").alias("best")).select(
         "root", F.col("best.doc_id").alias("component_id"), F.col("best.text_key").alias("keep_key"))
     facts = settle(placed.select("node", "root", "n_docs").join(smallest, "root").drop("root"), "placed")
-    found = signed_docs.select("doc_id", "text_key", "node", "n_shingles")
+    found = found_docs.select("doc_id", "text_key", "node", "n_shingles")
     alone = found.filter("node IS NULL").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"),
                                                 F.col("text_key").alias("keep_key"))
     return lookup(found.filter("node IS NOT NULL"), facts, "node", found.count(), "n_docs").select(
