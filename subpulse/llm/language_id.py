@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subpulse.llm.common import id_text
+from subpulse.session import settle
 
 #: The sample that teaches a language: at most this many excerpts of at most this many characters each.
 EXCERPTS, EXCERPT_CHARS = 400, 280
@@ -43,12 +44,18 @@ def letters(text: str) -> Column:
 def learn_dictionaries(labelled: DataFrame, excerpts: int = EXCERPTS, chars: int = EXCERPT_CHARS) -> dict[str, bytes]:
     """lang -> dictionary, from the excerpts of the rows that come first by the hash of their ids.
 
-    Only excerpts travel, and each task keeps ``excerpts`` of them a language.
+    Languages are counted first. A share of each, by hash, that leaves about four
+    times the excerpts needed goes on, so no task sees more than that of a
+    language, however many rows it has.
     """
-    order = F.xxhash64(id_text("doc_id"), F.lit("language"))
-    start = F.pmod(order, F.greatest(F.length("text") - chars, F.lit(0)) + 1).cast("int") + 1
-    picked = (labelled.filter("lang IS NOT NULL AND length(text) > 0")
-              .withColumn("text", letters("text")).select("lang", order.alias("place"), F.substring(F.col("text"), start, F.lit(chars)).alias("excerpt"))
+    place = F.xxhash64(id_text("doc_id"), F.lit("language"))
+    counts = labelled.filter("lang IS NOT NULL").groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("rows"))
+    among = F.pmod("place", F.lit(1 << 40)) * F.col("rows").cast("double") < float(4 * excerpts * (1 << 40))
+    start = F.pmod("place", F.greatest(F.length("text") - chars, F.lit(0)) + 1).cast("int") + 1
+    few = (labelled.select("lang", "text", place.alias("place"))
+           .join(settle(counts, "languages"), F.col("lang") == F.col("of")).filter(among).drop("rows", "of")
+           .filter("length(text) > 0").withColumn("text", letters("text")))
+    picked = (few.select("lang", "place", F.substring(F.col("text"), start, F.lit(chars)).alias("excerpt"))
               .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("place", "excerpt")))
               .filter(F.col("n") <= excerpts).orderBy("lang", "n").collect())
     return {lang: "\n".join(r.excerpt for r in picked if r.lang == lang).encode()
