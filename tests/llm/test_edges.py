@@ -217,3 +217,43 @@ def test_warc_archives_are_frames_behind_a_dictionary(spark, tmp_path):
     path.write_bytes(raw[:-5])
     with pytest.raises(Exception, match="inside a record"):
         warc.read_archives(archives, folder).count()
+
+
+def test_signatures_that_go_on_over_batches():
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    rows = sorted(zip(rng.integers(0, 40, 600).tolist(), rng.integers(0, 12, 600).tolist(), strict=True))
+    want, first = set(), {}
+    for sign, node in rows:
+        first.setdefault(sign, node)
+        if node != first[sign]:
+            want.add((sign, first[sign], node))
+    for size in (1, 2, 7, 600):
+        batches = [pa.RecordBatch.from_pydict({"signature": [s for s, _ in rows[i:i + size]],
+                                               "node": [n for _, n in rows[i:i + size]]}) for i in range(0, 600, size)]
+        got = [tuple(r.values()) for b in ngram_join._with_first(iter(batches)) for r in b.to_pylist()]
+        assert sorted(got) == sorted(want)
+
+
+def test_phrases_that_go_on_over_batches(spark):
+    """One part and batches of few rows give what one batch gives."""
+    rows = [(i, " ".join(f"w{(i // 3) * 50 + j % (40 + i % 2)}" for j in range(90))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    whole = sorted(map(tuple, substring_dedup.remove_repeats(df).collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert sorted(map(tuple, substring_dedup.remove_repeats(df).collect())) == whole
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert any(r[2] for r in whole)
+
+
+def test_runs_merge_over_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        df = spark.createDataFrame([(i, f"t{i % 5}") for i in range(40)], "doc_id long, text string").repartition(3)
+        rows = exact_dedup.dedup(df).collect()
+        assert all(r.keep_id == r.doc_id % 5 and r.group_size == 8 for r in rows) and sum(r.kept for r in rows) == 5
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
