@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from subpulse.functions import expressions as X
+from subpulse.operators import quality
 from subpulse.operators.relational import first_per_key, most_frequent
 from subpulse.plans.staging import quarantine_events, stage_events, stage_subscribers
 from subpulse.sources.readers import registered_schema
@@ -90,7 +91,7 @@ def test_lag_buckets_are_right_closed(spark):
 @pytest.mark.parametrize("score, label", [(0.95, "PASS"), (0.9499999, "WARN"), (0.85, "WARN"), (0.8499, "FAIL")])
 def test_score_labels(spark, score, label):
     assert spark.range(1).select(X.score_label(F.lit(score))).first()[0] == label
-    assert spark.range(1).selectExpr(X.label_sql(f"{score}D")).first()[0] == label
+    assert spark.range(1).selectExpr(quality._label(f"{score}D")).first()[0] == label
 
 
 @pytest.mark.parametrize("idle, tier, products, risk", [
