@@ -44,7 +44,7 @@ from subpulse.session import settle
 
 SPARE = 2
 DIGESTED = "doc_id long, text_key long, node long, proof long, n_shingles long, sketch array<long>"
-SKETCH_PARTS, SKETCH_PLANES = 256, 4
+SKETCH_PARTS, SKETCH_PLANES = 1024, 4
 
 
 @dataclass(frozen=True)
@@ -125,7 +125,7 @@ def digest(shingle_set: np.ndarray) -> tuple[int, int]:
 
 
 def sketch(shingle_set: np.ndarray) -> np.ndarray:
-    """Four bits of the content of each of 256 partitions of the domain, as 16 words.
+    """Four bits of the content of each of 1,024 partitions of the domain, as 64 words.
 
     Every partition in which two sketches differ holds at least one element that
     the sets differ in, so sketches never rule out a similar pair.
@@ -137,12 +137,12 @@ def sketch(shingle_set: np.ndarray) -> np.ndarray:
     return np.concatenate(planes).view(np.int64)
 
 
-def _may_be_alike(a: str, b: str, like: Likeness) -> Column:
-    """False if sizes or sketches of (``a``_n, ``a``_sketch) and ``b``'s show too many differences."""
+def _may_be_alike(a: str, b: str, like: Likeness, planes: int) -> Column:
+    """False if sizes ``a``_n, ``b``_n or the first planes of their sketches, ``a``_w0 ..., differ too much."""
     words = SKETCH_PARTS // 64
     differing = [reduce(lambda x, y: x.bitwiseOR(y), [
-        F.get(f"{a}_sketch", F.lit(plane * words + w)).bitwiseXOR(F.get(f"{b}_sketch", F.lit(plane * words + w)))
-        for plane in range(SKETCH_PLANES)]) for w in range(words)]
+        F.col(f"{a}_w{plane * words + w}").bitwiseXOR(F.col(f"{b}_w{plane * words + w}")) for plane in range(planes)])
+        for w in range(words)]
     differing = reduce(lambda x, y: x + y, map(F.bit_count, differing))
     n_a, n_b = F.col(f"{a}_n"), F.col(f"{b}_n")
     return ((differing * (like.of + like.least) <= (n_a + n_b) * (like.of - like.least))
@@ -236,9 +236,11 @@ def _sets(documents: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
 
 def _linked(pairs: DataFrame, documents: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
     """Those (a, b) of ``pairs`` that are alike. Only sets whose sketches leave it open are built again."""
-    known = nodes.select("node", "n", "sketch")
-    likely = settle_lean(pairs.join(known.toDF("a", "a_n", "a_sketch"), "a").join(known.toDF("b", "b_n", "b_sketch"), "b")
-                         .filter(_may_be_alike("a", "b", like)).select("a", "b"), "likely")
+    known = nodes.select("node", "n", *[F.get("sketch", F.lit(i)).alias(f"w{i}")
+                                        for i in range(SKETCH_PLANES * SKETCH_PARTS // 64)])
+    sides = [known.toDF(*[side if c == "node" else f"{side}_{c}" for c in known.columns]) for side in "ab"]
+    likely = settle_lean(pairs.join(sides[0], "a").join(sides[1], "b").filter(
+        _may_be_alike("a", "b", like, SKETCH_PLANES)).select("a", "b"), "likely")
     either = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
     sets = settle_lean(_sets(documents, nodes.join(either, "node", "left_semi"), like), "sets")
     set_a = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
@@ -278,13 +280,20 @@ def near_duplicates(documents: DataFrame, like: Likeness = Likeness()) -> DataFr
     # then what shares a signature across the groups so far
     members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     members = settle_lean(members, "members")
-    mixed = members.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter(
-        "low <> high").select("signature")
-    left = members.join(mixed, "signature", "left_semi").join(nodes.select("node", "n", "sketch"), "node")
-    a = left.select("signature", *[F.col(c).alias(f"a_{c}") for c in ("node", "root", "n", "sketch")])
-    b = left.select("signature", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "n", "sketch")])
-    across = a.join(b, (a["signature"] == b["signature"]) & (F.col("a_root") < F.col("b_root"))
-                    & _may_be_alike("a", "b", like)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    buckets = settle_lean(members.groupBy("signature").agg(
+        F.count(F.lit(1)).alias("size"), F.min("node").alias("a"), F.max("node").alias("b"),
+        F.bit_xor(F.xxhash64("node")).alias("xor_1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("xor_2"),
+        F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").drop("low", "high"), "buckets")
+    pairs = buckets.filter("size = 2").select("a", "b").distinct()
+    # larger ones with the same nodes are one; the nodes are told by their number and two xored hashes
+    mixed = buckets.filter("size > 2").groupBy("size", "xor_1", "xor_2").agg(F.min("signature").alias("signature"))
+    words = [F.get("sketch", F.lit(i)).alias(f"w{i}") for i in range(2 * SKETCH_PARTS // 64)]
+    left = members.join(settle_lean(mixed.select("signature"), "mixed"), "signature", "left_semi").join(
+        nodes.select("node", "n", *words), "node")
+    a, b = (left.toDF(*[c if c == "signature" else f"{side}_{c}" for c in left.columns]) for side in "ab")
+    within = a.join(b, "signature").filter((F.col("a_root") < F.col("b_root")) & _may_be_alike("a", "b", like, 2)).select(
+        F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    across = within.union(pairs)
     more = _linked(settle_lean(across.distinct(), "across"), documents, nodes, like)
     ends = members.select("node", "root").distinct()
     joined = (more.join(ends.toDF("a", "root_a"), "a").join(ends.toDF("b", "root_b"), "b").select("root_a", "root_b"))
