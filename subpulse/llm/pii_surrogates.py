@@ -7,7 +7,9 @@ keeps its punctuation and a name its title. Surrogates fit their type: card
 numbers pass the Luhn check, addresses are valid, given names follow the gender
 of the title and the script of the name. A surrogate that two entities share,
 or that is an entity of the corpus itself, is made again from the next attempt
-until all are distinct.
+until all are distinct. Attempts make room: names gain a syllable each, and what
+is short, like mailboxes, secrets and phones, gains digits (``GROWS``), so there
+are surrogates for any number of entities.
 
 Everything is column expressions. Texts without a character that any entity
 needs are passed through; the others meet their replacements by id and text.
@@ -68,6 +70,10 @@ PATTERN = "|".join(KINDS.values())
 #: A text without any of these holds no entity.
 NEEDED = rf"[@=:\d]|[0-9a-f]{{32}}|{_TITLE} \p{{Lu}}"
 MOST_ATTEMPTS = 40
+#: From this attempt on a surrogate is longer than its entity, by so many digits an attempt.
+GROWS = {"email": (1, 2), "secret": (1, 2), "phone": (4, 1), "ssn": (20, 1)}
+#: From this attempt on an IP address is one of version 6, as there are only so many of version 4.
+SIXTH_FROM = 20
 
 
 def _digits(c: str | Column) -> Column:
@@ -110,7 +116,7 @@ def _luhn_sum(digits: Column, doubled_first: bool) -> Column:
 
 
 def _refill(written: str, digits: str) -> Column:
-    """``written`` with its digits replaced, one by one, by those of ``digits``."""
+    """``written`` with its digits replaced, one by one, by those of ``digits``; what is left of these ends it."""
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("k"))
 
     def step(done: Column, char: Column) -> Column:
@@ -119,7 +125,8 @@ def _refill(written: str, digits: str) -> Column:
         return F.struct(F.concat(done["out"], new).alias("out"),
                         F.when(digit, done["k"] + 1).otherwise(done["k"]).alias("k"))
 
-    return F.aggregate(_chars(F.col(written)), start, step, lambda x: x["out"])
+    return F.aggregate(_chars(F.col(written)), start, step,
+                       lambda x: F.concat(x["out"], F.substring(F.col(digits), x["k"] + 1, F.length(digits))))
 
 
 def mentions(documents: DataFrame) -> DataFrame:
@@ -161,10 +168,16 @@ def _made(key: str) -> Column:
     domain = F.substring_index(canon, "@", -1)
     domain_seed = F.sha2(F.concat_ws("\n", F.lit(key), F.lit("domain"), domain), 512)
     top = F.substring_index(domain, ".", -1)
-    email = F.concat(_shape(F.substring_index(canon, "@", 1), seed), F.lit("@"),
+    grown = F.lit(0)
+    for kind, (first, digits) in GROWS.items():
+        grown = F.when(F.col("kind") == kind, F.greatest(attempt - first + 1, F.lit(0)) * digits).otherwise(grown)
+    tail = F.when(grown > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(grown, F.lit(1))), lambda i: (
+        _number(seed, 61 - i) % 10).cast("string")), "")).otherwise(F.lit(""))
+    email = F.concat(_shape(F.substring_index(canon, "@", 1), seed), tail, F.lit("@"),
                      _shape(F.expr("substring(canon, instr(canon, '@') + 1, length(canon) - instr(canon, '@') - "
                                    "length(substring_index(canon, '.', -1)))"), domain_seed), top)
     octets = F.concat_ws(".", *((_number(seed, i) % 254 + 1).cast("string") for i in range(4)))
+    sixth = F.concat(F.lit("fd00:"), F.array_join(F.array(*(F.substring(seed, 1 + 4 * i, 4) for i in range(7))), ":"))
     country = F.greatest(F.length(canon) - 10, F.lit(0))
     phone = F.concat(F.expr("substring(canon, 1, greatest(length(canon) - 10, 0))"),
                      (_number(seed, 60) % 8 + 2).cast("string"),
@@ -175,7 +188,8 @@ def _made(key: str) -> Column:
     secret = F.when(canon.rlike("^[0-9a-f]{1,1024}$"), hexed).otherwise(_shape(canon, seed))
 
     def name(script: str) -> Column:
-        syllables = F.initcap(F.concat(*(_pick(SYLLABLES[script], seed, 8 + 4 * i) for i in range(3))))
+        places = F.sequence(F.lit(0), F.least(attempt, F.lit(12)) + 2)
+        syllables = F.initcap(F.array_join(F.transform(places, lambda i: _pick(SYLLABLES[script], seed, i * 4 + 8)), ""))
         made = F.when(F.col("kind") == "family", syllables)
         for gender in TITLES:
             first, second = (_pick(GIVEN[script, gender], seed, i) for i in (0, 4))
@@ -184,10 +198,12 @@ def _made(key: str) -> Column:
             made = made.when(F.col("kind") == f"given_{gender}", F.concat(first, more))
         return made
 
-    return (F.when(F.col("kind") == "email", email).when(F.col("kind") == "ip", octets)
-            .when(F.col("kind") == "phone", F.when(country >= 0, phone)).when(F.col("kind") == "card", card)
-            .when(F.col("kind") == "ssn", _shape(canon, seed)).when(F.col("kind") == "hex", hexed)
-            .when(F.col("kind") == "secret", secret)
+    return (F.when(F.col("kind") == "email", email)
+            .when(F.col("kind") == "ip", F.when(attempt < SIXTH_FROM, octets).otherwise(sixth))
+            .when(F.col("kind") == "phone", F.when(country >= 0, F.concat(phone, tail)))
+            .when(F.col("kind") == "card", card)
+            .when(F.col("kind") == "ssn", F.concat(_shape(canon, seed), tail)).when(F.col("kind") == "hex", hexed)
+            .when(F.col("kind") == "secret", F.concat(secret, tail))
             .when(F.col("kind") == "key", F.concat(F.lit("AKIA"), _shape(F.expr("substring(canon, 5)"), seed)))
             .when(canon.rlike(CYRILLIC), name("Cyrillic")).otherwise(name("Latin")))
 

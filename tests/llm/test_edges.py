@@ -183,6 +183,24 @@ def test_pii_surrogates_stay_distinct(spark):
     assert not {r.text.split()[1] for r in got} & {t.split()[1] for _, t in rows}
 
 
+def test_pii_surrogates_for_more_entities_than_short_ones(spark):
+    """Many family names, all mailboxes of a letter, all secrets of four digits, half of all phones of four."""
+    rows = [("family", f"Aa{i}") for i in range(50_000)] + [("family", f"Яя{i}") for i in range(14_000)]
+    rows += [("email", f"{c}@{d}.com") for c in "abcdefghijklmnopqrstuvwxyz0123456789" for d in "pq"]
+    rows += [("secret", f"{i:04}") for i in range(10_000)] + [("phone", f"{i:04}") for i in range(5_000)]
+    made = pii_surrogates.surrogates(spark.createDataFrame(rows, "kind string, canon string"), "k").collect()
+    assert sorted((r.kind, r.canon) for r in made) == sorted(rows)
+    new = {(r.kind, r.surrogate) for r in made}
+    assert len(new) == len(rows) and not new & set(rows) and all(r.surrogate for r in made)
+
+
+def test_pii_short_phones_that_grow(spark):
+    rows = [(i, f"+1 {i // 100:02} {i % 100:02}.") for i in range(6_000)]
+    got = pii_surrogates.replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()
+    assert len({r.text for r in got}) == len(rows) and not {r.text for r in got} & {t for _, t in rows}
+    assert all(r.text.startswith("+") and r.text.endswith(".") for r in got)
+
+
 def test_warc(spark, tmp_path):
     rows = [(1, "http://a/ b", "same"), (3, None, "same"), (2, "http://c/", "same"), (3, "http://again/", "same"),
             (4, "u", None), (5, "u", ""), (None, "u", "same"), (None, None, "alone"), (6, "u", "ü" * 300_000)]
