@@ -16,7 +16,8 @@ needs are passed through; the others meet their replacements by id and text.
 
 Defined results: NULL and empty texts stay as they are; repeated rows get equal
 results; NULL ids are kept; digits that look like a card number but fail its
-check are left alone; one string is one type, in the order of ``KINDS``. An
+check are left alone, and so are masked secrets, one sign again and again
+('password=****'); one string is one type, in the order of ``KINDS``. An
 empty table gives no rows. Extra columns are ignored.
 """
 
@@ -50,7 +51,7 @@ SYLLABLES = {
 }
 #: The alphabets whose letters and digits a shape is refilled with.
 ALPHABETS = {r"\d": "0123456789", r"[a-z]": "abcdefghijklmnopqrstuvwxyz", r"[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-             r"\p{IsCyrillic}": "абвгдежзиклмнопрстуфхцчшэюя", r"\p{L}": "abcdefghijklmnopqrstuvwxyz"}
+             r"\p{IsCyrillic}": "абвгдежзиклмнопрстуфхцчшэюя", r"\p{L}": "abcdefghijklmnopqrstuvwxyz", r"\p{N}": "0123456789"}
 CYRILLIC = r"\p{IsCyrillic}"
 
 _TITLE = "(?:" + "|".join(t for titles in TITLES.values() for t in sorted(titles, key=len, reverse=True)) + r")\.?"
@@ -66,6 +67,7 @@ KINDS = {
     "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?|\(\d{2,4}\)[ .-]?)\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)",
     "person": rf"(?<!\w){_TITLE}(?: \p{{Lu}}[\p{{L}}'’-]+){{1,3}}",
 }
+SECRET_VALUE = r"^[^=:]+[=:](.*)$"
 PATTERN = "|".join(KINDS.values())
 #: A text without any of these holds no entity.
 NEEDED = rf"[@=:\d]|[0-9a-f]{{32}}|{_TITLE} \p{{Lu}}"
@@ -148,13 +150,15 @@ def classified(found: DataFrame) -> DataFrame:
         F.when(i == F.size("names") - 1, F.lit("family")).otherwise(F.concat(F.lit("given_"), F.col("gender"))).alias(
             "kind"), n.alias("canon")))
     canon = (F.when(F.col("kind") == "email", F.lower("mention"))
-             .when(F.col("kind") == "secret", F.regexp_extract("mention", r"^[^=:]+[=:](.*)$", 1))
+             .when(F.col("kind") == "secret", F.regexp_extract("mention", SECRET_VALUE, 1))
              .when(F.col("kind").isin("card", "ssn", "phone"), _digits("mention")).otherwise(F.col("mention")))
     counted = found.select(F.explode("mentions").alias("mention")).groupBy("mention").agg(
         F.count(F.lit(1)).alias("n"))
     kinds = counted.withColumn("kind", kind)
+    masked = F.regexp_extract("mention", SECRET_VALUE, 1).rlike(r"^([^\p{L}\p{N}])\1*$")
     kinds = kinds.withColumn("kind", F.when((F.col("kind") == "card") & (_luhn_sum(_digits("mention"), False) % 10 != 0),
-                                            F.lit(None)).otherwise(F.col("kind")))
+                                            F.lit(None)).when((F.col("kind") == "secret") & masked, F.lit(None)).otherwise(
+                                                F.col("kind")))
     return (kinds.withColumns({"title": title, "gender": gender}).withColumn("names", names)
             .withColumn("entities", F.when(F.col("kind") == "person", tokens).otherwise(
                 F.array(F.struct(F.col("kind").alias("kind"), canon.alias("canon")))))
@@ -185,7 +189,8 @@ def _made(key: str) -> Column:
     body = F.concat(F.substring(canon, 1, 1), _shape(F.expr("substring(canon, 2, length(canon) - 2)"), seed))
     card = F.concat(body, ((10 - _luhn_sum(body, True) % 10) % 10).cast("string"))
     hexed = F.substring(F.repeat(seed, 8), F.lit(1), F.length(canon))
-    secret = F.when(canon.rlike("^[0-9a-f]{1,1024}$"), hexed).otherwise(_shape(canon, seed))
+    # signs alone have nothing to be refilled with
+    secret = F.when(canon.rlike("^[0-9a-f]{1,1024}$") | ~canon.rlike(r"[\p{L}\p{N}]"), hexed).otherwise(_shape(canon, seed))
 
     def name(script: str) -> Column:
         places = F.sequence(F.lit(0), F.least(attempt, F.lit(12)) + 2)

@@ -194,6 +194,17 @@ def test_pii_surrogates_for_more_entities_than_short_ones(spark):
     assert len(new) == len(rows) and not new & set(rows) and all(r.surrogate for r in made)
 
 
+def test_pii_secrets_without_letters_or_digits(spark):
+    rows = [(1, "Password:____ or password=**** or token:-----"), (2, "pwd=!?%$#!"), (3, "pwd=٣٤٥٦٧"),
+            (4, "pwd=hunter22")]
+    got = {r.doc_id: r for r in pii_surrogates.replace_pii(
+        spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    assert tuple(got[1]) == (1, rows[0][1], 0, "")
+    for i, text in rows[1:]:
+        assert got[i].n_entities == 1 and got[i].kinds == "secret" and got[i].text.startswith("pwd=")
+        assert got[i].text != text and not set(text[4:]) & set(got[i].text[4:]) - set("hunter2")
+
+
 def test_pii_short_phones_that_grow(spark):
     rows = [(i, f"+1 {i // 100:02} {i % 100:02}.") for i in range(6_000)]
     got = pii_surrogates.replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()
