@@ -3,7 +3,9 @@
 Detection is one pattern over the text. Every distinct entity of the corpus gets
 one surrogate, made from a keyed digest of its type and canonical form, so the
 same entity reads the same everywhere, however it is written: a phone number
-keeps its punctuation and a name its title. Surrogates fit their type: card
+keeps its punctuation and a name its title. Phones are told by their last ten
+digits, with or without what dials a country. Names are found after titles; a
+second pass replaces them wherever else their own text has them. Surrogates fit their type: card
 numbers pass the Luhn check, addresses are valid, given names follow the gender
 of the title and the script of the name. A surrogate that two entities share,
 or that is an entity of the corpus itself, is made again from the next attempt
@@ -55,19 +57,33 @@ ALPHABETS = {r"\d": "0123456789", r"[a-z]": "abcdefghijklmnopqrstuvwxyz", r"[A-Z
 CYRILLIC = r"\p{IsCyrillic}"
 
 _TITLE = "(?:" + "|".join(t for titles in TITLES.values() for t in sorted(titles, key=len, reverse=True)) + r")\.?"
+#: A capitalised word, without the s of the genitive.
+_NAME = r"\p{Lu}(?:\p{L}|['’](?!s(?!\p{L}))(?=\p{L})|-(?=\p{L}))++"
+#: North American groups; French pairs; other numbers from a trunk 0 or 00 on. Dates have fewer digits.
+_PLAIN_PHONE = (r"(?<![\w.,/-])(?=\d)(?:(?:1[-. ])?\d{3}[-.]\d{3}[-.]\d{4}|(?:1 )?[2-9]\d\d \d{3}[- ]\d{4}"
+                r"|0[1-9](?:[ .-]\d\d){4}|0[1-9]\d{1,4}[-/ ]\d{5,8}|0\d{1,4}[- ]\d{3,4}[- ]\d{3,4}"
+                r"|0[1-9]\d{2,3}(?:[ -]\d{2,4}){3}|00[1-9]\d{0,2}(?:[ .-]\d{2,4}){2,5})(?![\w/-]|[.,]\d)")
+#: Seven digits or more after a word for phones, however they are grouped.
+_LABELLED_PHONE = (r"(?<!\w)(?i:tel(?:ephone)?|phone|mobile|cell|fax)(?i: no\.?| number)?[.:]?[ \t]{0,3}"
+                   r"(?=\(?\d(?:[ ./()-]{0,2}\d){6})\(?\d{2,5}\)?(?:[ ./-]{0,2}\d{2,5}){1,5}(?!\w)")
 #: In order: what matches first at a place is taken. Secrets keep the label before them.
 KINDS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
-    "secret": r"(?<!\w)(?i:password|passwd|pwd|secret|token|api_?key)[=:][^\s\"',;]{4,}",
+    # prose goes on after 'secret: ', so an unquoted value has a digit there
+    "secret": r"(?<!\w)(?:(?i:password|passwd|pwd|api[_ -]?key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}|(?i:secret|token)[\"']?"
+              r"(?:[=:](?=\S)|[ \t]{0,3}[=:][ \t]{0,3}(?=[\"']|[^\s\"',;]*\d)))"
+              r"(?:\"[^\"\r\n]{4,128}\"|'[^'\r\n]{4,128}'|[\"']?[^\s\"',;]{4,})",
     "key": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)",
     "hex": r"(?<!\w)[0-9a-f]{32,64}(?!\w)",
     "card": r"(?<![\w.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)",
-    "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?|\(\d{2,4}\)[ .-]?)\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)",
-    "person": rf"(?<!\w){_TITLE}(?: \p{{Lu}}[\p{{L}}'’-]+){{1,3}}",
+    "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?|\(\d{2,4}\)[ .-]?)\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)"
+             rf"|{_PLAIN_PHONE}|{_LABELLED_PHONE}",
+    "person": rf"(?<!\w){_TITLE}(?: {_NAME}){{1,3}}",
 }
-SECRET_VALUE = r"^[^=:]+[=:](.*)$"
+SECRET_HEAD, SECRET_VALUE = r"^[^=:]+[=:][ \t]*[\"']?", r"^[^=:]+[=:][ \t]*[\"']?(.*?)[\"']?$"
+WORD_OR_NAME = rf"(?<![\p{{L}}\p{{N}}_]){_NAME}"
 PATTERN = "|".join(KINDS.values())
 #: A text without any of these holds no entity.
 NEEDED = rf"[@=:\d]|[0-9a-f]{{32}}|{_TITLE} \p{{Lu}}"
@@ -82,6 +98,11 @@ def _digits(c: str | Column) -> Column:
     return F.regexp_replace(c, r"\D", "")
 
 
+def _phone_end(digits: Column) -> Column:
+    """What tells a phone: its last ten digits, without zeros that lead."""
+    return F.right(F.regexp_replace(digits, "^0+(?=[1-9])", ""), F.lit(10))
+
+
 def _chars(c: Column) -> Column:
     return F.filter(F.split(c, ""), lambda x: x != "")
 
@@ -151,7 +172,8 @@ def classified(found: DataFrame) -> DataFrame:
             "kind"), n.alias("canon")))
     canon = (F.when(F.col("kind") == "email", F.lower("mention"))
              .when(F.col("kind") == "secret", F.regexp_extract("mention", SECRET_VALUE, 1))
-             .when(F.col("kind").isin("card", "ssn", "phone"), _digits("mention")).otherwise(F.col("mention")))
+             .when(F.col("kind") == "phone", _phone_end(_digits("mention")))
+             .when(F.col("kind").isin("card", "ssn"), _digits("mention")).otherwise(F.col("mention")))
     counted = found.select(F.explode("mentions").alias("mention")).groupBy("mention").agg(
         F.count(F.lit(1)).alias("n"))
     kinds = counted.withColumn("kind", kind)
@@ -182,10 +204,7 @@ def _made(key: str) -> Column:
                                    "length(substring_index(canon, '.', -1)))"), domain_seed), top)
     octets = F.concat_ws(".", *((_number(seed, i) % 254 + 1).cast("string") for i in range(4)))
     sixth = F.concat(F.lit("fd00:"), F.array_join(F.array(*(F.substring(seed, 1 + 4 * i, 4) for i in range(7))), ":"))
-    country = F.greatest(F.length(canon) - 10, F.lit(0))
-    phone = F.concat(F.expr("substring(canon, 1, greatest(length(canon) - 10, 0))"),
-                     (_number(seed, 60) % 8 + 2).cast("string"),
-                     _shape(F.expr("substring(canon, greatest(length(canon) - 10, 0) + 2)"), seed))
+    phone = F.concat((_number(seed, 60) % 8 + 2).cast("string"), _shape(F.expr("substring(canon, 2)"), seed))
     body = F.concat(F.substring(canon, 1, 1), _shape(F.expr("substring(canon, 2, length(canon) - 2)"), seed))
     card = F.concat(body, ((10 - _luhn_sum(body, True) % 10) % 10).cast("string"))
     hexed = F.substring(F.repeat(seed, 8), F.lit(1), F.length(canon))
@@ -205,7 +224,7 @@ def _made(key: str) -> Column:
 
     return (F.when(F.col("kind") == "email", email)
             .when(F.col("kind") == "ip", F.when(attempt < SIXTH_FROM, octets).otherwise(sixth))
-            .when(F.col("kind") == "phone", F.when(country >= 0, F.concat(phone, tail)))
+            .when(F.col("kind") == "phone", F.concat(phone, tail))
             .when(F.col("kind") == "card", card)
             .when(F.col("kind") == "ssn", F.concat(_shape(canon, seed), tail)).when(F.col("kind") == "hex", hexed)
             .when(F.col("kind") == "secret", F.concat(secret, tail))
@@ -240,15 +259,43 @@ def replacements(found: DataFrame, key: str) -> DataFrame:
     joined = parts.join(made, ["kind", "canon"]).groupBy("mention").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "surrogate"))),
                                  lambda x: x["surrogate"]), " ").alias("surrogate"))
+    digits = _digits("mention")
+    country = F.substring(digits, F.lit(1), F.length(digits) - F.length(_phone_end(digits)))
+    joined = known.join(joined, "mention", "left").withColumn(
+        "surrogate", F.when(F.col("kind") == "phone", F.concat(country, "surrogate")).otherwise(F.col("surrogate")))
     written = (F.when(F.col("kind").isin("card", "ssn", "phone"), _refill("mention", "surrogate"))
-               .when(F.col("kind") == "secret", F.concat(F.regexp_extract("mention", r"^([^=:]+[=:])", 1), "surrogate"))
+               .when(F.col("kind") == "secret", F.concat(F.regexp_extract("mention", SECRET_HEAD, 0), "surrogate",
+                                                         F.regexp_extract("mention", "[\"']?$", 0)))
                .when(F.col("kind") == "person", F.concat_ws(" ", "title", "surrogate"))
                .otherwise(F.col("surrogate")))
-    return settle(known.join(joined, "mention", "left").select(
+    return settle(joined.select(
         "mention", "n", "kind", F.coalesce(F.when(F.col("kind").isNotNull(), written), "mention").alias("replacement")),
         "replacements")
 
 
+def _names(new: str) -> Column:
+    """'name surrogate' of each name in a text's persons."""
+    persons = F.filter(F.col(new), lambda x: x["kind"] == "person")
+    words = [lambda x, c=c: F.slice(F.split(x[c], " "), 2, 3) for c in ("mention", "replacement")]
+    return F.array_distinct(F.flatten(F.transform(persons, lambda x: F.zip_with(
+        words[0](x), words[1](x), lambda a, b: F.concat(a, F.lit(" "), b)))))
+
+
+def _untitled(part: Column) -> Column:
+    """The pieces (out, hit) of a text between entities, with ``names`` as their ``stands``; the first one counts."""
+    def stand(word: Column) -> Column:
+        return F.get(F.col("stands"), (F.array_position("names", word) - 1).cast("int"))
+
+    def piece(gap: Column, word: Column) -> Column:
+        head = F.substring_index(word, "-", 1)  # Smith-led
+        new = F.coalesce(stand(word), F.concat(stand(head), F.substring(word, F.length(head) + 1, F.length(word))))
+        return F.struct(F.concat(gap, F.coalesce(new, word, F.lit(""))).alias("out"), new.isNotNull().alias("hit"))
+
+    return F.when(F.size("names") > 0, F.zip_with(
+        F.split(part, WORD_OR_NAME, -1), F.regexp_extract_all(part, F.lit(WORD_OR_NAME), F.lit(0)), piece)).otherwise(
+            F.array(F.struct(part.alias("out"), F.lit(False).alias("hit"))))
+
+
 def replace_pii(documents: DataFrame, key: str) -> DataFrame:
     """One row per document: doc_id, text with surrogates, n_entities, kinds (sorted, joined by commas)."""
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
@@ -258,18 +305,24 @@ def replace_pii(documents: DataFrame, key: str) -> DataFrame:
     rows = found.select("doc_id", "text_key", F.posexplode("mentions").alias("at", "mention"))
     total = facts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     lists = lookup(rows, facts, "mention", total, "n").groupBy("doc_id", "text_key").agg(  # one text's at most
-        F.array_sort(F.collect_list(F.struct("at", "replacement", "kind"))).alias("new")).select(
-        F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "new")
+        F.array_sort(F.collect_list(F.struct("at", "replacement", "kind", F.when(
+            F.col("kind") == "person", F.col("mention")).alias("mention")))).alias("new"))
+    lists = lists.withColumn("pairs", _names("new")).select(
+        F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), F.transform("new", lambda x: F.struct(
+            x["replacement"].alias("replacement"), x["kind"].alias("kind"))).alias("new"),
+        F.transform("pairs", lambda p: F.substring_index(p, " ", 1)).alias("names"),
+        F.transform("pairs", lambda p: F.substring_index(p, " ", -1)).alias("stands"))
     may_have = F.coalesce(F.col("text").rlike(NEEDED), F.lit(False))
     joined = documents.filter(may_have).join(
         settle(lists, "lists"), F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key")), "left")
     between = F.split("text", PATTERN, -1)
-    parts = F.transform(between, lambda part, i: F.concat(part, F.coalesce(F.get(F.col("new"), i)["replacement"],
-                                                                          F.lit(""))))
+    pieces = F.flatten(F.transform(between, lambda part, i: F.concat(_untitled(part), F.array(F.struct(
+        F.coalesce(F.get(F.col("new"), i)["replacement"], F.lit("")).alias("out"), F.lit(False).alias("hit"))))))
     kinds = F.filter(F.transform("new", lambda x: x["kind"]), lambda k: k.isNotNull())
-    changed = joined.select(
-        "doc_id", F.when(F.col("new").isNull(), F.col("text")).otherwise(F.array_join(parts, "")).alias("text"),
-        F.coalesce(F.size(kinds), F.lit(0)).cast("long").alias("n_entities"),
+    hits = F.size(F.filter("pieces", lambda x: x["hit"]))
+    changed = joined.withColumn("pieces", F.when(F.col("new").isNotNull(), pieces)).select(
+        "doc_id", F.when(F.col("new").isNull(), F.col("text")).otherwise(F.array_join(F.col("pieces.out"), "")).alias("text"),
+        F.coalesce(F.size(kinds) + hits, F.lit(0)).cast("long").alias("n_entities"),
         F.coalesce(F.array_join(F.array_sort(F.array_distinct(kinds)), ","), F.lit("")).alias("kinds"))
     return changed.unionByName(documents.filter(~may_have).select(
         "doc_id", "text", F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("kinds")))

@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import re
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -205,6 +207,29 @@ def test_pii_secrets_without_letters_or_digits(spark):
         assert got[i].text != text and not set(text[4:]) & set(got[i].text[4:]) - set("hunter2")
 
 
+def test_pii_plain_phones_spaced_secrets_and_untitled_names(spark):
+    texts = ["a 555-123-4567, 0171-2345678, (0171) 2345678, +1 555 123 4567, 01 23 45 67 89 b",
+             "Tel: 555-1234 or 5551234 on 2024-01-02, 01-02-2024, 1990-2000, 3.14",
+             "password: hunter22 and password=\"hunter22\" and pwd = 'hunter22' and api_key = abcdEFGH12",
+             "the secret: never stop. A token: word",
+             "Mr John Smith met John Smith. Smith's dog, John, Smith-led, Smithson. Ms Smith’s son",
+             "Smith is nobody here, mail a@b.org"]
+    got = [r for r in sorted(pii_surrogates.replace_pii(spark.createDataFrame(
+        list(enumerate(texts)), "doc_id long, text string"), "k").collect())]
+    a = got[0].text[2:-2].split(", ")
+    assert got[0].n_entities == 5 and not set(a) & set(texts[0][2:-2].split(", "))
+    assert a[0].replace("-", " ") == a[3][3:] and a[1] == a[2].replace("(", "").replace(") ", "-") and a[1][0] == "0"
+    assert got[1].n_entities == 1 and got[1].text[13:] == texts[1][13:] and got[1].text[:13] != texts[1][:13]
+    b = re.fullmatch(r"password: (\w+) and password=\"(\w+)\" and pwd = '(\w+)' and api_key = (\w+)", got[2].text)
+    assert b[1] == b[2] == b[3] != "hunter22" and b[4] != "abcdEFGH12" and got[2].n_entities == 4
+    assert got[3].text == texts[3] and got[3].n_entities == 0
+    first, last = got[4].text.split(" ")[1:3]
+    assert got[4].text == texts[4].replace("Smithson", "#").replace("Smith", last).replace("John", first).replace(
+        "#", "Smithson") and got[4].n_entities == 7
+    assert "Smith" not in got[4].text.replace("Smithson", "")
+    assert got[5].text.startswith("Smith is nobody here") and got[5].kinds == "email"
+
+
 def test_pii_short_phones_that_grow(spark):
     rows = [(i, f"+1 {i // 100:02} {i % 100:02}.") for i in range(6_000)]
     got = pii_surrogates.replace_pii(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()
