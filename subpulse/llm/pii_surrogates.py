@@ -60,18 +60,21 @@ _TITLE = "(?:" + "|".join(t for titles in TITLES.values() for t in sorted(titles
 #: A capitalised word, without the s of the genitive.
 _NAME = r"\p{Lu}(?:\p{L}|['’](?!s(?!\p{L}))(?=\p{L})|-(?=\p{L}))++"
 #: North American groups; French pairs; other numbers from a trunk 0 or 00 on. Dates have fewer digits.
-_PLAIN_PHONE = (r"(?<![\w.,/-])(?=\d)(?:(?:1[-. ])?\d{3}[-.]\d{3}[-.]\d{4}|(?:1 )?[2-9]\d\d \d{3}[- ]\d{4}"
+_PLAIN_PHONE = (r"(?=\d)(?<![\w.,/-])(?:(?:1[-. ])?\d{3}[-.]\d{3}[-.]\d{4}|(?:1 )?[2-9]\d\d \d{3}[- ]\d{4}"
                 r"|0[1-9](?:[ .-]\d\d){4}|0[1-9]\d{1,4}[-/ ]\d{5,8}|0\d{1,4}[- ]\d{3,4}[- ]\d{3,4}"
                 r"|0[1-9]\d{2,3}(?:[ -]\d{2,4}){3}|00[1-9]\d{0,2}(?:[ .-]\d{2,4}){2,5})(?![\w/-]|[.,]\d)")
 #: Seven digits or more after a word for phones, however they are grouped.
-_LABELLED_PHONE = (r"(?<!\w)(?i:tel(?:ephone)?|phone|mobile|cell|fax)(?i: no\.?| number)?[.:]?[ \t]{0,3}"
+_LABELLED_PHONE = (r"(?=[tpmcfTPMCF])(?<!\w)(?i:tel(?:ephone)?|phone|mobile|cell|fax)(?i: no\.?| number)?[.:]?[ \t]{0,3}"
                    r"(?=\(?\d(?:[ ./()-]{0,2}\d){6})\(?\d{2,5}\)?(?:[ ./-]{0,2}\d{2,5}){1,5}(?!\w)")
+#: A hex digest or key, which is of its own kind also where it stands behind a label and a space or quote.
+_DIGEST = r"(?:[0-9a-f]{32,64}|AKIA[0-9A-Z]{16})(?!\w)"
 #: In order: what matches first at a place is taken. Secrets keep the label before them.
 KINDS = {
     "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
     # prose goes on after 'secret: ', so an unquoted value has a digit there
-    "secret": r"(?<!\w)(?:(?i:password|passwd|pwd|api[_ -]?key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}|(?i:secret|token)[\"']?"
+    "secret": r"(?=[pstaPSTA])(?<!\w)(?:(?i:password|passwd|pwd|api[_ -]?key)[\"']?[ \t]{0,3}[=:][ \t]{0,3}|(?i:secret|token)[\"']?"
               r"(?:[=:](?=\S)|[ \t]{0,3}[=:][ \t]{0,3}(?=[\"']|[^\s\"',;]*\d)))"
+              rf"(?![\"']{_DIGEST}|(?<!\w[=:]){_DIGEST})"
               r"(?:\"[^\"\r\n]{4,128}\"|'[^'\r\n]{4,128}'|[\"']?[^\s\"',;]{4,})",
     "key": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)",
     "hex": r"(?<!\w)[0-9a-f]{32,64}(?!\w)",

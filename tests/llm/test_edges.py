@@ -213,7 +213,7 @@ def test_pii_plain_phones_spaced_secrets_and_untitled_names(spark):
              "password: hunter22 and password=\"hunter22\" and pwd = 'hunter22' and api_key = abcdEFGH12",
              "the secret: never stop. A token: word",
              "Mr John Smith met John Smith. Smith's dog, John, Smith-led, Smithson. Ms Smith’s son",
-             "Smith is nobody here, mail a@b.org"]
+             "Smith is nobody here, mail a@b.org", f"token = \"{'0a' * 20}\" is {'0a' * 20}"]
     got = [r for r in sorted(pii_surrogates.replace_pii(spark.createDataFrame(
         list(enumerate(texts)), "doc_id long, text string"), "k").collect())]
     a = got[0].text[2:-2].split(", ")
@@ -227,6 +227,7 @@ def test_pii_plain_phones_spaced_secrets_and_untitled_names(spark):
     assert got[4].text == texts[4].replace("Smithson", "#").replace("Smith", last).replace("John", first).replace(
         "#", "Smithson") and got[4].n_entities == 7
     assert "Smith" not in got[4].text.replace("Smithson", "")
+    assert got[6].kinds == "hex" and len(set(re.findall("[0-9a-f]{40}", got[6].text))) == 1  # one string is one type
     assert got[5].text.startswith("Smith is nobody here") and got[5].kinds == "email"
 
 
