@@ -81,4 +81,142 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM base
 """
 
-ORACLES = {"op1_mix_sources": MIX, "op4_exact_dedup": DEDUP, "op5_quality_rules": QUALITY}
+# crc32 of the UTF-8 bytes: the table by its rule, one lookup a byte
+CRC_TABLE = r"""
+crc_table AS (
+  SELECT list(list_reduce(list_prepend(i::BIGINT, range(8)),
+                          lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crcs
+  FROM range(256) AS t(i))"""
+
+
+def crc_of(text: str) -> str:
+    """SQL for the crc32 of ``text``; ``crcs`` is in scope."""
+    codes = f"[('0x' || hex(encode({text}))[2 * k + 1:2 * k + 2])::BIGINT FOR k IN range(length(hex(encode({text}))) // 2)]"
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {codes}), "
+            "lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])))")
+
+
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+PLAIN_WORDS = f"regexp_extract_all({LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+IMPORTANCE = rf"""
+WITH {CRC_TABLE.strip()},
+texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce({PLAIN_WORDS}, []) AS words FROM documents),
+item_words AS (SELECT unnest({PLAIN_WORDS}) AS word FROM benchmark),
+doc_words AS (SELECT row_id, unnest(words) AS word FROM texts),
+known AS (SELECT word, {crc_of("word")} % 10000 AS bucket
+          FROM (SELECT word FROM doc_words UNION SELECT word FROM item_words), crc_table),
+s AS (SELECT bucket, count(*) AS n FROM doc_words JOIN known USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM item_words JOIN known USING (word) GROUP BY bucket),
+gains AS (
+  SELECT b AS bucket,
+         floor(1000 * ln((coalesce(t.n, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM doc_words) + 10000.0::DOUBLE)
+               / ((coalesce(s.n, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM item_words) + 10000.0::DOUBLE))))::BIGINT AS gain
+  FROM range(10000) AS r(b) LEFT JOIN s ON s.bucket = b LEFT JOIN t ON t.bucket = b),
+weights AS (
+  SELECT row_id, floor(sum(gain) / count(*))::BIGINT AS weight
+  FROM doc_words JOIN known USING (word) JOIN gains USING (bucket) GROUP BY row_id),
+scores AS (
+  SELECT row_id, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln(
+           (('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+           / 4294967296.0::DOUBLE)))::BIGINT AS score
+  FROM texts LEFT JOIN weights USING (row_id)),
+places AS (
+  SELECT row_id, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS place, count(*) OVER () AS n
+  FROM scores WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scores LEFT JOIN places USING (row_id)
+"""
+
+CLEAN = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce({PLAIN_WORDS}, []) AS words FROM documents),
+items AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {PLAIN_WORDS} AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(words), 10) AS size, unnest([array_to_string(words[k:k + least(len(words), 10) - 1], ' ')
+         FOR k IN range(1, greatest(len(words) - 9, 1) + 1)]) AS win
+  FROM items WHERE len(words) > 0),
+sizes AS (SELECT DISTINCT size FROM windows),
+starts AS (
+  SELECT row_id, size, unnest(range(1, len(words) - size + 2)) AS k, words FROM texts, sizes WHERE len(words) >= size),
+hits AS (
+  SELECT row_id, k, s.size, item
+  FROM (SELECT row_id, size, k, array_to_string(words[k:k + size - 1], ' ') AS win FROM starts) s
+  JOIN windows w ON s.win = w.win AND s.size = w.size),
+covered AS (
+  SELECT row_id, count(DISTINCT place)::BIGINT AS n_hit
+  FROM (SELECT row_id, unnest(range(k, k + size)) AS place FROM hits) GROUP BY row_id),
+met AS (
+  SELECT row_id, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row_id, item FROM hits) GROUP BY row_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN covered USING (row_id) LEFT JOIN met USING (row_id)
+"""
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(
+        f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')"
+        for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+MANIFEST = rf"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+raw AS (
+  SELECT doc_id, lang, {_leaf("text")} AS leaf, {_leaf(LOWER.format("text"))} AS changed,
+         {crc_of("coalesce(doc_id::VARCHAR, '')")} % 3 = 0 AS tampered
+  FROM documents, crc_table),
+leaves AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS spot,
+         count(*) OVER (PARTITION BY lang) AS width
+  FROM raw),
+nodes(tree, level, spot, width, digest) AS (
+  SELECT tree, 0, spot, width, leaf FROM leaves
+  UNION ALL
+  SELECT tree, any_value(level) + 1, spot // 8, (any_value(width) + 7) // 8, sha256(string_agg(digest, '' ORDER BY spot))
+  FROM nodes WHERE width > 1 GROUP BY tree, spot // 8),
+subroots AS (SELECT tree, level AS height, digest FROM nodes WHERE width = 1),
+tops(level, spot, width, digest) AS (
+  SELECT 0, tree, count(*) OVER (), digest FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, spot // 8, (any_value(width) + 7) // 8, sha256(string_agg(digest, '' ORDER BY spot))
+  FROM tops WHERE width > 1 GROUP BY spot // 8),
+root AS (SELECT digest AS root FROM tops WHERE width = 1),
+beside AS (
+  SELECT n.tree, n.level, n.spot, coalesce(string_agg(o.digest, '' ORDER BY o.spot) FILTER (o.spot < n.spot), '') AS lefts,
+         coalesce(string_agg(o.digest, '' ORDER BY o.spot) FILTER (o.spot > n.spot), '') AS rights
+  FROM nodes n JOIN nodes o ON n.tree = o.tree AND n.level = o.level AND n.spot // 8 = o.spot // 8
+  WHERE n.width > 1 GROUP BY n.tree, n.level, n.spot),
+top_beside AS (
+  SELECT n.level, n.spot, coalesce(string_agg(o.digest, '' ORDER BY o.spot) FILTER (o.spot < n.spot), '') AS lefts,
+         coalesce(string_agg(o.digest, '' ORDER BY o.spot) FILTER (o.spot > n.spot), '') AS rights
+  FROM tops n JOIN tops o ON n.level = o.level AND n.spot // 8 = o.spot // 8
+  WHERE n.width > 1 GROUP BY n.level, n.spot),
+ways AS (
+  SELECT l.tree, l.spot AS leaf_at, b.level AS step, b.lefts, b.rights
+  FROM leaves l JOIN beside b ON l.tree = b.tree AND b.spot = l.spot // (8 ** b.level)::BIGINT
+  UNION ALL
+  SELECT l.tree, l.spot, s.height + b.level, b.lefts, b.rights
+  FROM leaves l JOIN subroots s ON l.tree = s.tree JOIN top_beside b ON b.spot = l.tree // (8 ** b.level)::BIGINT),
+proofs AS (
+  SELECT tree, leaf_at, list(lefts ORDER BY step) AS lefts, list(rights ORDER BY step) AS rights,
+         string_agg(lefts || rights, '' ORDER BY step) AS siblings
+  FROM ways GROUP BY tree, leaf_at),
+fold(tree, spot, step, digest, lefts, rights) AS (
+  SELECT l.tree, l.spot, 0, CASE WHEN tampered THEN changed ELSE leaf END, coalesce(lefts, []), coalesce(rights, [])
+  FROM leaves l LEFT JOIN proofs p ON l.tree = p.tree AND l.spot = p.leaf_at
+  UNION ALL
+  SELECT tree, spot, step + 1, sha256(lefts[step + 1] || digest || rights[step + 1]), lefts, rights
+  FROM fold WHERE step < len(lefts))
+SELECT l.doc_id, l.leaf, s.digest AS subroot, root, sha256(coalesce(p.siblings, '')) AS proof_sha256,
+       f.digest AS folded_root, f.digest = root AS verified
+FROM leaves l JOIN subroots s ON l.tree = s.tree JOIN fold f ON f.tree = l.tree AND f.spot = l.spot AND f.step = len(f.lefts)
+LEFT JOIN proofs p ON p.tree = l.tree AND p.leaf_at = l.spot, root
+"""
+
+ORACLES = {"op1_mix_sources": MIX, "op4_exact_dedup": DEDUP, "op5_quality_rules": QUALITY,
+           "op11_importance_resampling": IMPORTANCE, "op12_decontamination": CLEAN, "op13_merkle_manifest": MANIFEST}
