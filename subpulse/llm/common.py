@@ -79,6 +79,15 @@ def settle_lean(df: DataFrame, name: str) -> DataFrame:
         conf.set(key, before)
 
 
+def discard(*settled: DataFrame) -> None:
+    """Delete settled tables that nothing reads any more: whatever came from them is settled too."""
+    for df in settled:
+        context = df.sparkSession.sparkContext
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()[:1]}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class WordHashes(dict):
     """word -> 64-bit hash, computed once per distinct word. Emptied when full, so memory stays bounded."""
 

@@ -6,16 +6,32 @@ similar enough if its sets differ in at most k elements. The domain of n-gram
 hashes is cut into first-level partitions, more than k / 2 of them, so in one of
 them at most one element differs; each is cut into three, so two of those three
 are equal. A signature is the content of two of the three: similar sets share
-one. Two spare first-level partitions make up for contents that are empty on
-both sides: only a set with more than two such places needs to sign them.
+one. Spare first-level partitions make up for contents that are empty on both
+sides. A set with more empty places than that cuts the domain anew, by other
+hashes, and signs that too: a pair is found by the first cut in which one of its
+sets has few empty places. The smallest sets sign by elements, as many as they
+could not all miss.
 
 Equal sets are one node, however many documents have them. Each node is compared
 first with the node that shares most signatures among those it meets, and the
 links found are contracted into groups: copies of one original, however many, are
-one group after as many comparisons. Only then are the pairs looked at that share
-a signature and are not yet in one group, so no link between groups is lost.
-Before sets are compared, sketches rule out pairs that differ too much; they can
-not rule out a similar one.
+one group after as many comparisons. Of what shares a signature and is not yet
+one group, up to ``LEAF`` nodes are compared with each other. More of them are
+compared with one, the hub, and keep only what they differ in from it. Neither of
+two such nodes is alike to the other unless they share enough of these
+differences, so they are joined on their rarest ones (as many as they could not
+all miss) and only where what follows can still reach the overlap needed. No
+signature makes all pairs of a group, and no link between groups is lost.
+
+Before sets are compared, sketches rule out pairs that differ too much: one bit
+per partition of the domain, twice as many as the set has elements, tells
+whether the number of elements there is odd. They can not rule out a similar
+pair. A set travels only for pairs that sketches leave open, and once for each
+hub.
+
+Signatures that very many nodes share are known from a sample of documents. Their
+rows need not meet to be told that they do; the sample decides only where rows
+go, not what is found.
 
 Comparisons are exact on 64-bit n-gram hashes. Nodes are 64-bit digests of whole
 sets; two sets with one digest are noticed by a second digest and refused.
@@ -31,20 +47,27 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from subpulse.llm.common import WordHashes, lookup, mix64, settle_lean, signed
+from subpulse.llm.common import WordHashes, discard, lookup, mix64, settle_lean, signed
 from subpulse.llm.components import components
 from subpulse.session import settle
 
 SPARE = 2
-DIGESTED = "doc_id long, text_key long, node long, proof long, n_shingles long, sketch array<long>"
-SKETCH_PARTS, SKETCH_PLANES = 1024, 4
+#: Sets of so many elements sign by elements; larger ones cut the domain anew where too much of it is empty, so often.
+TINY, TRIALS = 12, 8
+TWO = ((0, 1), (0, 2), (1, 2))
+DIGESTED = "doc_id long, text_key long, node long, proof long, n_shingles long, sketch binary"
+LEAST_SKETCH = 512
+#: Nodes of a signature that are compared with each other; where there are more, differences from a hub decide.
+LEAF = 16
+#: One document in so many tells which signatures are frequent: those with more than a share of all rows, fewer than MOST_HOT.
+SAMPLED, HOT_SIGNATURE, MOST_HOT = 64, 500, 10_000
 
 
 @dataclass(frozen=True)
@@ -91,28 +114,41 @@ def _edges(parts: int) -> np.ndarray:
     return np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
 
 
+def _contents(shingle_set: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """The content of each second-level partition, as one number, and which hold nothing; (first, 3) each."""
+    # a partition is a range of hashes, so the set's part in it is a slice, summed up by differences of running sums
+    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(shingle_set))])
+    at = np.concatenate([[0], np.searchsorted(shingle_set, _edges(3 * first)), [len(shingle_set)]])
+    content = np.diff(running[at]) + np.arange(3 * first, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return mix64(content).reshape(first, 3), np.diff(at).reshape(first, 3) == 0
+
+
 def signatures(shingle_set: np.ndarray, like: Likeness) -> np.ndarray:
     """The signatures of a sorted set, for its own band and, if a partner may be there, for the next."""
     size = len(shingle_set)
     bands = _bands(like, size)
     own = like.band(size)[0]
-    # a partition is a range of hashes, so the set's part in it is a slice, summed up by differences of running sums
-    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(shingle_set))])
     out = []
     for number, low, high in bands[own:own + 2]:
         k = like.differences(high)
         if not k or (number > own and size * like.of < like.least * low):
             continue  # only equal sets are alike there, or none can be
-        first = k // 2 + 1 + SPARE
-        at = np.concatenate([[0], np.searchsorted(shingle_set, _edges(3 * first)), [size]])
-        held = np.diff(at).reshape(first, 3)
-        content = np.diff(running[at]) + np.arange(3 * first, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        content = mix64(content).reshape(first, 3)
-        two = [content[:, i] + content[:, j] + np.uint64(3 * number + m)
-               for m, (i, j) in enumerate(((0, 1), (0, 2), (1, 2)))]
-        empty = np.stack([held[:, i] + held[:, j] == 0 for i, j in ((0, 1), (0, 2), (1, 2))], 1)
-        signed_parts = mix64(np.stack(two, 1))
-        out.append(signed_parts.ravel() if empty.any(1).sum() > SPARE else signed_parts[~empty])
+        if high <= TINY:
+            needed = -(-size * like.least // like.of)
+            out.append(mix64(shingle_set[:size - needed + 1] ^ np.uint64(number)))
+            continue
+        spare = max(SPARE, (k // 2 + 1) // 8)
+        first, trial_set = k // 2 + 1 + spare, shingle_set
+        for trial in range(TRIALS):
+            content, empty = _contents(trial_set, first)
+            kind = np.uint64(3 * (number * TRIALS + trial))
+            two = mix64(np.stack([content[:, i] + content[:, j] + kind + np.uint64(m) for m, (i, j) in enumerate(TWO)], 1))
+            nothing = np.stack([empty[:, i] & empty[:, j] for i, j in TWO], 1)
+            enough = nothing.any(1).sum() <= spare
+            out.append(two[~nothing] if enough or trial < TRIALS - 1 else two.ravel())
+            if enough:
+                break
+            trial_set = np.sort(mix64(shingle_set + np.uint64(trial + 1)))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -124,29 +160,44 @@ def digest(shingle_set: np.ndarray) -> tuple[int, int]:
     return int(node), int(proof)
 
 
-def sketch(shingle_set: np.ndarray) -> np.ndarray:
-    """Four bits of the content of each of 1,024 partitions of the domain, as 64 words.
+def sketch(shingle_set: np.ndarray) -> bytes:
+    """For each of at least twice as many partitions as there are elements, whether it holds an odd number of them.
 
     Every partition in which two sketches differ holds at least one element that
-    the sets differ in, so sketches never rule out a similar pair.
+    the sets differ in, so sketches never rule out a similar pair. The halves of a
+    sketch make the sketch of half as many partitions.
     """
-    at = np.concatenate([[0], np.searchsorted(shingle_set, _edges(SKETCH_PARTS)), [len(shingle_set)]])
-    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(shingle_set))])
-    content = mix64(np.diff(running[at]))
-    planes = [np.packbits((content >> np.uint64(60 + i) & np.uint64(1)).astype(np.uint8)) for i in range(SKETCH_PLANES)]
-    return np.concatenate(planes).view(np.int64)
+    parts = max(LEAST_SKETCH, 1 << (2 * len(shingle_set) - 1).bit_length())
+    odd = np.bincount((shingle_set & np.uint64(parts - 1)).astype(np.int64), minlength=parts) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def _may_be_alike(a: str, b: str, like: Likeness, planes: int) -> Column:
-    """False if sizes ``a``_n, ``b``_n or the first planes of their sketches, ``a``_w0 ..., differ too much."""
-    words = SKETCH_PARTS // 64
-    differing = [reduce(lambda x, y: x.bitwiseOR(y), [
-        F.col(f"{a}_w{plane * words + w}").bitwiseXOR(F.col(f"{b}_w{plane * words + w}")) for plane in range(planes)])
-        for w in range(words)]
-    differing = reduce(lambda x, y: x + y, map(F.bit_count, differing))
-    n_a, n_b = F.col(f"{a}_n"), F.col(f"{b}_n")
-    return ((differing * (like.of + like.least) <= (n_a + n_b) * (like.of - like.least))
-            & (n_a * like.of >= n_b * like.least) & (n_b * like.of >= n_a * like.least))
+def _differing(a: bytes, b: bytes) -> int:
+    """In how many partitions two sketches differ: the sets differ in at least as many elements."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) != len(y):
+        if len(x) > len(y):
+            x = x[:len(x) // 2] ^ x[len(x) // 2:]
+        else:
+            y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _sizes_fit(n_a: Column, n_b: Column, like: Likeness) -> Column:
+    return (n_a * like.of >= n_b * like.least) & (n_b * like.of >= n_a * like.least)
+
+
+def _may_be_alike(like: Likeness):
+    """Rows (a, b, n_a, n_b, sketch_a, sketch_b) -> the (a, b) that sketches leave open."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = (batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()) * (like.of - like.least)
+            differing = [_differing(x.as_py(), y.as_py())
+                         for x, y in zip(batch.column("sketch_a"), batch.column("sketch_b"), strict=True)]
+            stays = pa.array(np.array(differing, np.int64) * (like.of + like.least) <= both)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(stays) for c in "ab"], ["a", "b"])
+
+    return run
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -164,16 +215,18 @@ def digested(documents: DataFrame, like: Likeness) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array([d for d, _ in both], pa.int64()),
                  pa.array([d for _, d in both], pa.int64()), pa.array([len(x) for x in sets], pa.int64()),
-                 pa.array([sketch(x) for x in sets], pa.list_(pa.int64()))],
+                 pa.array([sketch(x) if len(x) else None for x in sets], pa.binary())],
                 ["doc_id", "text_key", "node", "proof", "n_shingles", "sketch"])
 
     return _texts(documents).mapInArrow(run, DIGESTED)
 
 
-def signed_nodes(documents: DataFrame, like: Likeness) -> DataFrame:
-    """(signature, node): a node signs with its first document in a batch."""
+def signed_nodes(documents: DataFrame, like: Likeness, hot: np.ndarray | None = None) -> DataFrame:
+    """(signature, node, is_hot): a node signs with its first document in a batch. ``hot`` is sorted."""
+    shared = documents.sparkSession.sparkContext.broadcast(np.zeros(0, np.int64) if hot is None else hot)  # MOST_HOT numbers
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes(lower=True)
+        hashes, known = WordHashes(lower=True), shared.value
         for batch in batches:
             seen, signs, nodes = set(), [], []
             for text in batch.column("text"):
@@ -184,11 +237,25 @@ def signed_nodes(documents: DataFrame, like: Likeness) -> DataFrame:
                 signs.append(signed(signatures(found, like)))
                 nodes.append(node)
             if signs:
+                signature = np.concatenate(signs)
+                at = np.minimum(np.searchsorted(known, signature), max(len(known) - 1, 0))
+                is_hot = known[at] == signature if len(known) else np.zeros(len(signature), bool)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(signs)), pa.array(np.repeat(nodes, [len(x) for x in signs]))],
-                    ["signature", "node"])
+                    [pa.array(signature), pa.array(np.repeat(nodes, [len(x) for x in signs])), pa.array(is_hot)],
+                    ["signature", "node", "is_hot"])
+
+    return _texts(documents).select("text").mapInArrow(run, "signature long, node long, is_hot boolean")
+
 
-    return _texts(documents).select("text").mapInArrow(run, "signature long, node long")
+def hot_signatures(documents: DataFrame, like: Likeness) -> np.ndarray:
+    """The sorted signatures that many nodes of a sample share: they are known to be shared without meeting."""
+    some = documents.filter(F.pmod(F.xxhash64("text", F.lit("sampled")), F.lit(SAMPLED)) == 0)
+    counts = settle_lean(signed_nodes(some, like).groupBy("signature").agg(F.approx_count_distinct("node").alias("n"))
+                         .filter("n > 2"), "sampled")
+    n_texts = some.select("text").distinct().count()
+    rows = counts.filter(F.col("n") * HOT_SIGNATURE > n_texts).orderBy(F.desc("n"), "signature").limit(MOST_HOT).collect()
+    discard(counts)
+    return np.sort(np.array([r.signature for r in rows], np.int64))
 
 
 def _with_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,17 +303,90 @@ def _sets(documents: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
 
 def _linked(pairs: DataFrame, documents: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
     """Those (a, b) of ``pairs`` that are alike. Only sets whose sketches leave it open are built again."""
-    known = nodes.select("node", "n", *[F.get("sketch", F.lit(i)).alias(f"w{i}")
-                                        for i in range(SKETCH_PLANES * SKETCH_PARTS // 64)])
-    sides = [known.toDF(*[side if c == "node" else f"{side}_{c}" for c in known.columns]) for side in "ab"]
-    likely = settle_lean(pairs.join(sides[0], "a").join(sides[1], "b").filter(
-        _may_be_alike("a", "b", like, SKETCH_PLANES)).select("a", "b"), "likely")
+    sides = [nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+             for x in "ab"]
+    # a may be a hub, with many pairs: its sketch and its set join last
+    fit = pairs.join(sides[1], "b").join(sides[0], "a").filter(_sizes_fit(F.col("n_a"), F.col("n_b"), like))
+    likely = settle_lean(fit.mapInArrow(_may_be_alike(like), "a long, b long"), "likely")
     either = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
     sets = settle_lean(_sets(documents, nodes.join(either, "node", "left_semi"), like), "sets")
     set_a = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     set_b = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-    return settle_lean(likely.join(set_b, "b").join(set_a, "a").filter(_alike("set_a", "set_b", like)).select("a", "b"),
-                       "links")
+    links = settle_lean(likely.join(set_b, "b").join(set_a, "a").filter(_alike("set_a", "set_b", like)).select("a", "b"),
+                        "links")
+    discard(likely, sets)
+    return links
+
+
+def _differences(like: Likeness):
+    """Rows (hub, node, root, hub_set, node_set) -> what each node differs in from its hub, and whether they are alike."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, sizes, alike = [], [], []
+            for hub, node in zip(batch.column("hub_set"), batch.column("node_set"), strict=True):
+                hub, node = hub.values.to_numpy(), node.values.to_numpy()
+                differs = np.setxor1d(hub, node, assume_unique=True)
+                found.append(differs)
+                sizes.append(len(node))
+                alike.append(len(differs) * (like.of + like.least) <= (len(hub) + len(node)) * (like.of - like.least))
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("hub"), batch.column("node"), batch.column("root"), pa.array(sizes, pa.int64()),
+                 pa.array(alike, pa.bool_()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))],
+                ["hub", "node", "root", "n", "alike", "differences"])
+
+    return run
+
+
+def _from_hubs(stars: DataFrame, documents: DataFrame, nodes: DataFrame, like: Likeness) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) between hubs and nodes of ``stars`` (hub, node, root), and pairs of a hub's nodes that may be alike.
+
+    Let two nodes differ from their hub in p and q elements and share s of these.
+    They differ from each other in p + q - 2 s, which must not exceed the limit,
+    so s is at least (p + q - limit) / 2; that is more than 0 unless both are alike
+    to the hub, and then they are in one group already.
+    """
+    either = stars.select(F.col("hub").alias("node")).union(stars.select("node")).distinct()
+    sets = settle_lean(_sets(documents, nodes.join(either, "node", "left_semi"), like).dropDuplicates(["node"]), "sets")
+    both = (stars.join(sets.withColumnRenamed("set", "node_set"), "node")
+            .join(sets.select(F.col("node").alias("hub"), F.col("set").alias("hub_set")), "hub"))
+    differ = settle_lean(both.select("hub", "node", "root", "hub_set", "node_set").mapInArrow(
+        _differences(like), "hub long, node long, root long, n long, alike boolean, differences array<long>"), "differences")
+    each = differ.withColumn("element", F.explode("differences")).select(
+        F.struct("hub", "element").alias("key"), "node", "root", "n", F.size("differences").alias("d"))
+    counts = settle_lean(each.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), "counts")
+    total = differ.agg(F.sum(F.size("differences"))).first()[0] or 0
+    # rarest first; those that no other node has come before all, and need not be joined
+    in_order = Window.partitionBy("key.hub", "node").orderBy("held", "key.element")
+    met = lookup(each, counts, "key", total, "held")
+    place = (F.col("d") - F.count(F.lit(1)).over(Window.partitionBy("key.hub", "node")) + F.row_number().over(in_order) - 1)
+    most = F.floor(F.col("n") * (like.of - like.least) / like.least)  # the elements that any partner may differ in
+    rarest = settle_lean(met.withColumn("place", place).filter(F.col("place") <= most).drop("held"), "rarest")
+    a, b = (rarest.toDF(*[c if c == "key" else f"{x}_{c}" for c in rarest.columns]) for x in "ab")
+    still = F.least(F.col("a_d") - F.col("a_place"), F.col("b_d") - F.col("b_place"))
+    pairs = a.join(b, "key").filter(
+        (F.col("a_root") != F.col("b_root")) & (F.col("a_node") < F.col("b_node"))
+        & _sizes_fit(F.col("a_n"), F.col("b_n"), like)
+        & ((F.col("a_d") + F.col("b_d") - 2 * still) * (like.of + like.least)
+           <= (F.col("a_n") + F.col("b_n")) * (like.of - like.least)))
+    pairs = settle_lean(pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), "pairs")
+    links = settle_lean(differ.filter("alike").select(F.col("hub").alias("a"), F.col("node").alias("b")), "hub_links")
+    discard(sets, differ, counts, rarest)
+    return links, pairs
+
+
+def _members(documents: DataFrame, like: Likeness) -> DataFrame:
+    """(signature, node) of every signature that more than one node has."""
+    rows = signed_nodes(documents, like, hot_signatures(documents, like))
+    met = rows.filter("NOT is_hot").select("signature", "node").repartition("signature").sortWithinPartitions(
+        "signature", "node").mapInArrow(_with_first, "signature long, first long, node long")
+    hot = rows.filter("is_hot").select("signature", F.lit(None).cast("long").alias("first"), "node").distinct()
+    shared = settle_lean(met.unionByName(hot), "shared")
+    firsts = shared.filter("first IS NOT NULL").select("signature", F.col("first").alias("node")).distinct()
+    members = settle_lean(shared.select("signature", "node").union(firsts), "members")
+    discard(shared)
+    return members
 
 
 def near_duplicates(documents: DataFrame, like: Likeness = Likeness()) -> DataFrame:
@@ -256,54 +396,56 @@ def near_duplicates(documents: DataFrame, like: Likeness = Likeness()) -> DataFr
     """
     found_docs = settle(digested(documents, like), "digested")
     best = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
-    nodes = settle(found_docs.filter("node IS NOT NULL").groupBy("node").agg(
+    nodes = settle_lean(found_docs.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.min(best).alias("best"), F.count(F.lit(1)).alias("n_docs"),
         F.min("proof").alias("proof"), F.max("proof").alias("other"), F.max("n_shingles").alias("n"),
         F.any_value("sketch").alias("sketch")), "nodes")
     if not nodes.filter("proof <> other").isEmpty():
         raise ValueError("two sets share a 64-bit digest")
-    shared = settle_lean(signed_nodes(documents, like).repartition("signature").sortWithinPartitions("signature", "node")
-                         .mapInArrow(_with_first, "signature long, first long, node long"), "shared")
-    members = shared.select("signature", "node").union(shared.select("signature", F.col("first").alias("node")).distinct())
-    members = settle_lean(members, "members")
+    members = _members(documents, like)
 
     # first each node with the one that shares most signatures with any: of copies of copies that is the original
     rank = members.groupBy("node").agg(F.struct(F.count(F.lit(1)), "node").alias("rank"))
-    ranked = members.join(rank, "node")
-    hubs = ranked.groupBy("signature").agg(F.max("rank").alias("hub"))
-    nearest = settle_lean(ranked.join(hubs, "signature").groupBy("node").agg(
-        F.max("hub").alias("hub")), "nearest")
+    ranked = settle_lean(members.join(rank, "node"), "ranked")
+    hubs = settle_lean(ranked.groupBy("signature").agg(F.max("rank").alias("hub")), "hubs")
+    nearest = settle_lean(ranked.join(hubs, "signature").groupBy("node").agg(F.max("hub").alias("hub")), "nearest")
     star = nearest.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).filter("a <> b")
     links = _linked(star, documents, nodes, like)
     roots = components(links)
+    discard(ranked, nearest)
 
     # then what shares a signature across the groups so far
-    members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    members = settle_lean(members, "members")
-    buckets = settle_lean(members.groupBy("signature").agg(
+    placed_members = settle_lean(members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
+    discard(members)
+    buckets = settle_lean(placed_members.groupBy("signature").agg(
         F.count(F.lit(1)).alias("size"), F.min("node").alias("a"), F.max("node").alias("b"),
         F.bit_xor(F.xxhash64("node")).alias("xor_1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("xor_2"),
         F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").drop("low", "high"), "buckets")
-    pairs = buckets.filter("size = 2").select("a", "b").distinct()
-    # larger ones with the same nodes are one; the nodes are told by their number and two xored hashes
-    mixed = buckets.filter("size > 2").groupBy("size", "xor_1", "xor_2").agg(F.min("signature").alias("signature"))
-    words = [F.get("sketch", F.lit(i)).alias(f"w{i}") for i in range(2 * SKETCH_PARTS // 64)]
-    left = members.join(settle_lean(mixed.select("signature"), "mixed"), "signature", "left_semi").join(
-        nodes.select("node", "n", *words), "node")
-    a, b = (left.toDF(*[c if c == "signature" else f"{side}_{c}" for c in left.columns]) for side in "ab")
-    within = a.join(b, "signature").filter((F.col("a_root") < F.col("b_root")) & _may_be_alike("a", "b", like, 2)).select(
-        F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    across = within.union(pairs)
-    more = _linked(settle_lean(across.distinct(), "across"), documents, nodes, like)
-    ends = members.select("node", "root").distinct()
+    # those with the same nodes are one; the nodes are told by their number and two xored hashes
+    mixed = settle_lean(buckets.filter("size > 2").groupBy("size", "xor_1", "xor_2").agg(
+        F.min("signature").alias("signature")).select("signature", "size"), "mixed")
+    open_members = settle_lean(placed_members.join(mixed, "signature").join(nodes.select("node", "n"), "node"), "open")
+    few = open_members.filter(F.col("size") <= LEAF).drop("size")
+    a, b = (few.toDF(*[c if c == "signature" else f"{x}_{c}" for c in few.columns]) for x in "ab")
+    within = a.join(b, "signature").filter(
+        (F.col("a_root") != F.col("b_root")) & (F.col("a_node") < F.col("b_node"))
+        & _sizes_fit(F.col("a_n"), F.col("b_n"), like)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    stars = settle_lean(open_members.filter(F.col("size") > LEAF).join(hubs, "signature").select(
+        F.col("hub.node").alias("hub"), "node", "root").filter("hub <> node").distinct(), "stars")
+    hub_links, may_be = _from_hubs(stars, documents, nodes, like)
+    across = settle_lean(buckets.filter("size = 2").select("a", "b").union(within).union(may_be).distinct(), "across")
+    discard(buckets, mixed, open_members, hubs, stars, may_be)
+    more = _linked(across, documents, nodes, like).union(hub_links)
+    ends = nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     joined = (more.join(ends.toDF("a", "root_a"), "a").join(ends.toDF("b", "root_b"), "b").select("root_a", "root_b"))
     tops = components(joined, "root_a", "root_b").toDF("root", "top")
+    discard(across, placed_members)
 
     placed = (nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
               .join(tops, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top"))
     smallest = placed.groupBy("root").agg(F.min("best").alias("best")).select(
         "root", F.col("best.doc_id").alias("component_id"), F.col("best.text_key").alias("keep_key"))
-    facts = settle(placed.select("node", "root", "n_docs").join(smallest, "root").drop("root"), "placed")
+    facts = settle_lean(placed.select("node", "root", "n_docs").join(smallest, "root").drop("root"), "facts")
     found = found_docs.select("doc_id", "text_key", "node", "n_shingles")
     alone = found.filter("node IS NULL").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"),
                                                 F.col("text_key").alias("keep_key"))
