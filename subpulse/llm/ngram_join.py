@@ -61,13 +61,13 @@ from subpulse.session import settle
 SPARE = 2
 #: Sets of so many elements sign by elements; larger ones cut the domain anew where too much of it is empty, so often.
 TINY, TRIALS = 12, 8
-TWO = ((0, 1), (0, 2), (1, 2))
+FIRST_OF_TWO, SECOND_OF_TWO = [0, 0, 1], [1, 2, 2]
 DIGESTED = "doc_id long, text_key long, node long, proof long, n_shingles long, sketch binary"
 LEAST_SKETCH = 512
 #: Nodes of a signature that are compared with each other; where there are more, differences from a hub decide.
 LEAF = 16
 #: One document in so many tells which signatures are frequent: those with more than a share of all rows, fewer than MOST_HOT.
-SAMPLED, HOT_SIGNATURE, MOST_HOT = 64, 500, 10_000
+SAMPLED, HOT_SIGNATURE, MOST_HOT, SALTS = 64, 500, 10_000, 100
 
 
 @dataclass(frozen=True)
@@ -114,11 +114,17 @@ def _edges(parts: int) -> np.ndarray:
     return np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
 
 
-def _contents(shingle_set: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+def _running(shingle_set: np.ndarray) -> np.ndarray:
+    sums = np.zeros(len(shingle_set) + 1, np.uint64)
+    np.cumsum(mix64(shingle_set), out=sums[1:])
+    return sums
+
+
+def _contents(shingle_set: np.ndarray, running: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
     """The content of each second-level partition, as one number, and which hold nothing; (first, 3) each."""
     # a partition is a range of hashes, so the set's part in it is a slice, summed up by differences of running sums
-    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(shingle_set))])
-    at = np.concatenate([[0], np.searchsorted(shingle_set, _edges(3 * first)), [len(shingle_set)]])
+    at = np.zeros(3 * first + 1, np.int64)
+    at[1:-1], at[-1] = np.searchsorted(shingle_set, _edges(3 * first)), len(shingle_set)
     content = np.diff(running[at]) + np.arange(3 * first, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return mix64(content).reshape(first, 3), np.diff(at).reshape(first, 3) == 0
 
@@ -128,7 +134,7 @@ def signatures(shingle_set: np.ndarray, like: Likeness) -> np.ndarray:
     size = len(shingle_set)
     bands = _bands(like, size)
     own = like.band(size)[0]
-    out = []
+    out, running = [], None
     for number, low, high in bands[own:own + 2]:
         k = like.differences(high)
         if not k or (number > own and size * like.of < like.least * low):
@@ -139,16 +145,18 @@ def signatures(shingle_set: np.ndarray, like: Likeness) -> np.ndarray:
             continue
         spare = max(SPARE, (k // 2 + 1) // 8)
         first, trial_set = k // 2 + 1 + spare, shingle_set
+        running = trial_running = _running(shingle_set) if running is None else running
         for trial in range(TRIALS):
-            content, empty = _contents(trial_set, first)
+            content, empty = _contents(trial_set, trial_running, first)
             kind = np.uint64(3 * (number * TRIALS + trial))
-            two = mix64(np.stack([content[:, i] + content[:, j] + kind + np.uint64(m) for m, (i, j) in enumerate(TWO)], 1))
-            nothing = np.stack([empty[:, i] & empty[:, j] for i, j in TWO], 1)
-            enough = nothing.any(1).sum() <= spare
+            two = mix64(content[:, FIRST_OF_TWO] + content[:, SECOND_OF_TWO] + (kind + np.arange(3, dtype=np.uint64)))
+            nothing = empty[:, FIRST_OF_TWO] & empty[:, SECOND_OF_TWO]
+            enough = np.count_nonzero(nothing.any(1)) <= spare
             out.append(two[~nothing] if enough or trial < TRIALS - 1 else two.ravel())
             if enough:
                 break
             trial_set = np.sort(mix64(shingle_set + np.uint64(trial + 1)))
+            trial_running = _running(trial_set)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -222,7 +230,10 @@ def digested(documents: DataFrame, like: Likeness) -> DataFrame:
 
 
 def signed_nodes(documents: DataFrame, like: Likeness, hot: np.ndarray | None = None) -> DataFrame:
-    """(signature, node, is_hot): a node signs with its first document in a batch. ``hot`` is sorted."""
+    """(signature, salt, node): a node signs with its first document in a batch.
+
+    Signatures in ``hot``, sorted, have a salt from 1 to SALTS by their node, all others 0.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(np.zeros(0, np.int64) if hot is None else hot)  # MOST_HOT numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,45 +248,54 @@ def signed_nodes(documents: DataFrame, like: Likeness, hot: np.ndarray | None =
                 signs.append(signed(signatures(found, like)))
                 nodes.append(node)
             if signs:
-                signature = np.concatenate(signs)
-                at = np.minimum(np.searchsorted(known, signature), max(len(known) - 1, 0))
-                is_hot = known[at] == signature if len(known) else np.zeros(len(signature), bool)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signature), pa.array(np.repeat(nodes, [len(x) for x in signs])), pa.array(is_hot)],
-                    ["signature", "node", "is_hot"])
+                signature, node = np.concatenate(signs), np.repeat(nodes, [len(x) for x in signs])
+                salt = np.zeros(len(signature), np.int8)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, signature), len(known) - 1)
+                    salt[known[at] == signature] = 1
+                    salt *= (1 + node % SALTS).astype(np.int8)
+                yield pa.RecordBatch.from_arrays([pa.array(signature), pa.array(salt), pa.array(node)],
+                                                 ["signature", "salt", "node"])
 
-    return _texts(documents).select("text").mapInArrow(run, "signature long, node long, is_hot boolean")
+    return documents.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "signature long, salt byte, node long")
 
 
 def hot_signatures(documents: DataFrame, like: Likeness) -> np.ndarray:
     """The sorted signatures that many nodes of a sample share: they are known to be shared without meeting."""
-    some = documents.filter(F.pmod(F.xxhash64("text", F.lit("sampled")), F.lit(SAMPLED)) == 0)
-    counts = settle_lean(signed_nodes(some, like).groupBy("signature").agg(F.approx_count_distinct("node").alias("n"))
-                         .filter("n > 2"), "sampled")
-    n_texts = some.select("text").distinct().count()
-    rows = counts.filter(F.col("n") * HOT_SIGNATURE > n_texts).orderBy(F.desc("n"), "signature").limit(MOST_HOT).collect()
-    discard(counts)
+    some = settle_lean(documents.select("text").filter(F.pmod(F.xxhash64("text", F.lit("sampled")), F.lit(SAMPLED)) == 0)
+                       .distinct(), "sampled")
+    most = some.count()
+    counts = signed_nodes(some, like).groupBy("signature").agg(F.count(F.lit(1)).alias("n")).filter(
+        (F.col("n") > 2) & (F.col("n") * HOT_SIGNATURE > most))
+    rows = counts.orderBy(F.desc("n"), "signature").limit(MOST_HOT).collect()
+    discard(some)
     return np.sort(np.array([r.signature for r in rows], np.int64))
 
 
 def _with_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (signature, node) in order: every further node of a signature, beside the signature's first."""
+    """Rows (signature, node[, salt]) in order: every further node of a signature, beside the signature's first.
+
+    Of salted signatures every node, beside NULL: the others are elsewhere.
+    """
     last_sign = last_first = last_node = None
     for batch in batches:
         if not batch.num_rows:
             continue
         sign, node = (batch.column(i).to_numpy() for i in range(2))
+        salted = batch.column(2).to_numpy() > 0 if batch.num_columns > 2 else np.zeros(len(sign), bool)
         new = np.ones(len(sign), bool)
         new[1:] = sign[1:] != sign[:-1]
         before = np.concatenate([node[:1], node[:-1]])
+        fresh = new | (node != before)
         firsts = node[new]
         if last_sign is not None and sign[0] == last_sign:  # the first signature goes on from the batch before
-            firsts[0], before[0] = last_first, last_node
+            firsts[0], before[0], fresh[0] = last_first, last_node, node[0] != last_node
         first = firsts[np.cumsum(new) - 1]
-        again = (node != before) & (node != first)
+        again = np.where(salted, fresh, (node != before) & (node != first))
         last_sign, last_first, last_node = sign[-1], first[-1], node[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(x[again]) for x in (sign, first, node)],
-                                         ["signature", "first", "node"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(sign[again]), pa.array(first[again], mask=salted[again]), pa.array(node[again])],
+            ["signature", "first", "node"])
 
 
 def _alike(a: str, b: str, like: Likeness) -> Column:
@@ -378,11 +398,9 @@ def _from_hubs(stars: DataFrame, documents: DataFrame, nodes: DataFrame, like: L
 
 def _members(documents: DataFrame, like: Likeness) -> DataFrame:
     """(signature, node) of every signature that more than one node has."""
-    rows = signed_nodes(documents, like, hot_signatures(documents, like))
-    met = rows.filter("NOT is_hot").select("signature", "node").repartition("signature").sortWithinPartitions(
-        "signature", "node").mapInArrow(_with_first, "signature long, first long, node long")
-    hot = rows.filter("is_hot").select("signature", F.lit(None).cast("long").alias("first"), "node").distinct()
-    shared = settle_lean(met.unionByName(hot), "shared")
+    rows = signed_nodes(documents, like, hot_signatures(documents, like)).repartition("signature", "salt")
+    met = rows.select("signature", "node", "salt").sortWithinPartitions("signature", "node")
+    shared = settle_lean(met.mapInArrow(_with_first, "signature long, first long, node long"), "shared")
     firsts = shared.filter("first IS NOT NULL").select("signature", F.col("first").alias("node")).distinct()
     members = settle_lean(shared.select("signature", "node").union(firsts), "members")
     discard(shared)

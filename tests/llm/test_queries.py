@@ -2,9 +2,11 @@
 
 import base64
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -113,6 +115,58 @@ def test_ngram_join_around_its_threshold(spark, n, least):
     assert 1 < len({c for _, c in want.values()}) < len(texts)
 
 
+def groups_of(spark, texts, like):
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(df, like).collect()}
+
+
+def test_siblings_below_the_threshold(spark):
+    """Copies of one text with other words in two places each: all share signatures, few are alike."""
+    rng, texts = random.Random(11), {}
+    base = [f"b{j}" for j in range(60)]
+    for i in range(2000):
+        words = list(base)
+        for at in rng.sample(range(60), 2):
+            words[at] = f"n{rng.randrange(9)}" if i % 3 == 0 else f"s{i}a{at}"
+        texts[i] = " ".join(words)
+    want = brute_force_groups(texts, 3, 90, 100)
+    assert groups_of(spark, texts, ngram_join.Likeness(3, 90, 100)) == want
+    assert 1 < len({c for _, c in want.values()}) < len(texts)
+
+
+@pytest.mark.parametrize(("n", "least"), [(3, 90), (5, 80)])
+def test_differences_from_hubs(spark, monkeypatch, n, least):
+    """With leaves of two nodes every larger signature goes by its hub; pairs lie on both sides of the threshold."""
+    monkeypatch.setattr(ngram_join, "LEAF", 2)
+    rng, texts = random.Random(3), {}
+    for family in range(12):
+        size = rng.choice([13, 14, 20, 40, 41, 90, 300])
+        base = [f"f{family}w{j}" for j in range(size)]
+        for i in range(25):
+            words = list(base)
+            for at in rng.sample(range(size), rng.randrange(1 + max(2, size // (8 if n == 5 else 16)))):
+                words[at] = rng.choice(["x", "y", f"u{i}"])
+            texts[len(texts)] = " ".join(words)
+    want = brute_force_groups(texts, n, least, 100)
+    assert groups_of(spark, texts, ngram_join.Likeness(n, least, 100)) == want
+    assert 12 < len({c for _, c in want.values()}) < len(texts)
+
+
+@pytest.mark.parametrize("size", [3, 9, 13, 17, 25, 60, 900])
+def test_alike_sets_share_a_signature(size):
+    """Over many random pairs at the very limit, also of two sizes."""
+    rng, like = np.random.default_rng(size), ngram_join.Likeness(5, 80, 100)
+    for _ in range(200):
+        common = rng.integers(0, 2 ** 63, size, np.uint64)
+        for extra in {0, min(1, size // 4), size // 8, size // 4}:
+            a = np.unique(np.concatenate([common, rng.integers(0, 2 ** 63, extra, np.uint64)]))
+            b = np.unique(np.concatenate([common, rng.integers(0, 2 ** 63, size // 4 - extra, np.uint64)]))
+            if len(a) * 100 < 80 * len(b) or len(b) * 100 < 80 * len(a) or set(a) == set(b):
+                continue
+            assert set(ngram_join.signatures(a, like).tolist()) & set(ngram_join.signatures(b, like).tolist())
+            assert ngram_join._differing(ngram_join.sketch(a), ngram_join.sketch(b)) <= size // 4
+
+
 def test_sentencepiece_against_the_library(spark, docs):
     model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     want = {}
