@@ -690,6 +690,30 @@ O["drift_columns"] = ("WITH registry AS (SELECT * FROM (VALUES " + ", ".join(
     f"SELECT '{t}' AS dataset, '{c}' AS column_name, COUNT(*) AS n_rows, COUNT({c}) AS n_filled FROM {t}"
     for t, cols in _FILE_COLUMNS.items() for c in cols.split())
     + ") SELECT e.*, f.n_rows, f.n_filled FROM column_events e LEFT JOIN filled f USING (dataset, column_name)")
+# the files' own footers; all scale factors have the same columns and types
+FOOTER_FILES = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+
+
+def footer(name: str) -> str:
+    return f"""SELECT '{name}.parquet' AS file, name AS column_name,
+  CASE WHEN type = 'INT64' AND logical_type::VARCHAR LIKE 'TimestampType%' THEN 'timestamp_ntz'
+       WHEN converted_type = 'DECIMAL' THEN 'decimal(' || "precision" || ',' || scale || ')'
+       WHEN converted_type = 'DATE' THEN 'date' WHEN converted_type = 'UTF8' THEN 'string'
+       WHEN type = 'INT64' THEN 'bigint' WHEN type = 'INT32' THEN 'int' ELSE lower(type) END AS dtype
+FROM parquet_schema('/root/testdata/sf0.01/{name}.parquet') WHERE num_children IS NULL"""
+
+
+O["file_schemas"] = " UNION ALL ".join(map(footer, FOOTER_FILES))
+O["drift_files"] = ("WITH registry AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{t}','{c}','{d}',{b})" for t, cols in FILES.items() for c, d, b in cols)
+    + ") v(dataset, column_name, expected, breaking)), live AS (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS dataset, * FROM ({footer(t)})" for t in FILES) + """)
+SELECT coalesce(l.file, r.dataset || '.parquet') AS file, column_name, dataset,
+       CASE WHEN l.dtype IS NULL THEN 'MISSING_COLUMN' WHEN r.expected IS NULL THEN 'NEW_COLUMN' ELSE 'TYPE_CHANGE' END
+         AS drift_type,
+       CASE WHEN l.dtype IS NULL AND breaking THEN 'BREAKING' WHEN l.dtype IS NULL OR r.expected IS NULL THEN 'WARNING'
+            ELSE 'BREAKING' END AS severity, r.expected, l.dtype AS actual
+FROM registry r FULL JOIN live l USING (dataset, column_name) WHERE l.dtype IS DISTINCT FROM r.expected""")
 _PRESENT = {"news": "subscriber_id section time_on_page_sec", "games": "subscriber_id game_name score",
             "cooking": "subscriber_id rating", "athletic": "subscriber_id time_on_page_sec sport"}
 _DTYPES = {"subscriber_id": "string", "section": "string", "time_on_page_sec": "double", "game_name": "string",
@@ -843,13 +867,21 @@ O["late_summary_12_hours"] = O["late_summary"].replace(LATE_AFTER, "12")
 
 
 def report(parts: dict[str, str]) -> str:
-    """Every row of every part: its values as text, in text order."""
+    """Every row of every part: its name=value pairs as text, in text order; NULLs left out."""
     return " UNION ALL ".join(
         f"SELECT '{section}' AS section, "
-        f"array_to_string(list_sort(json_extract_string(to_json(t), '$.*')), '|') AS line FROM ({query}) t"
+        f"array_to_string(list_sort([k || '=' || (j ->> ('$.\"' || k || '\"')) FOR k IN json_keys(j) "
+        f"IF (j ->> ('$.\"' || k || '\"')) IS NOT NULL]), '|') AS line FROM (SELECT to_json(t) AS j FROM ({query}) t)"
         for section, query in parts.items())
 
 
+for _name in ("daily_active", "weekly_active", "daily_readers"):
+    O[f"{_name}_from_state"] = O[_name]
+O["active_between"] = with_ctes("""
+SELECT COUNT(DISTINCT subscriber_id) AS active_subscribers FROM (
+  SELECT subscriber_id, event_timestamp FROM events_news UNION ALL
+  SELECT subscriber_id, event_timestamp FROM events_games)
+WHERE CAST(event_timestamp AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-18'""")
 _LIMITS = [*((f"late after hours: events_{p}", h) for p, h in THRESHOLDS.items()), ("late after hours: other", 2),
            ("recompute a date above percent", 5), ("high priority above percent", 10), ("warning above percent", 2)]
 O["late_report"] = report({

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -156,6 +157,88 @@ def column_presence(df: DataFrame, by: Sequence[str], columns: Sequence[str] | N
     return counts.select(*by, F.inline(cells))
 
 
+#: Spark's names of the types that Parquet files have; decimals, lists, maps and structs are put together from them.
+_SPARK_TYPES = {
+    "bool": "boolean", "int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "float": "float",
+    "double": "double", "string": "string", "large_string": "string", "binary": "binary", "large_binary": "binary",
+    "date32[day]": "date", "uint8": "smallint", "uint16": "int", "uint32": "bigint", "uint64": "decimal(20,0)",
+}
+
+
+def spark_type(dtype: pa.DataType) -> str:
+    """The type that Spark reads a column of this file type as."""
+    if pa.types.is_timestamp(dtype):
+        return "timestamp" if dtype.tz else "timestamp_ntz"
+    if pa.types.is_decimal(dtype):
+        return f"decimal({dtype.precision},{dtype.scale})"
+    if pa.types.is_map(dtype):
+        return f"map<{spark_type(dtype.key_type)},{spark_type(dtype.item_type)}>"
+    if pa.types.is_list(dtype) or pa.types.is_large_list(dtype):
+        return f"array<{spark_type(dtype.value_type)}>"
+    if pa.types.is_struct(dtype):
+        return f"struct<{','.join(f'{f.name}:{spark_type(f.type)}' for f in dtype)}>"
+    return _SPARK_TYPES.get(str(dtype), str(dtype))
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paths of Parquet files -> a row per file and column. Reads footers only."""
+    import pyarrow.fs as stores
+    import pyarrow.parquet as pq
+
+    for batch in batches:
+        out: list[tuple[str, str, str, int]] = []
+        for path in batch.column(0).to_pylist():
+            store, inside = stores.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith(
+                "file:/") and not path.startswith("file://") else path)
+            with store.open_input_file(inside) as file:
+                footer = pq.ParquetFile(file)
+                out += [(path, f.name, spark_type(f.type), footer.metadata.num_rows) for f in footer.schema_arrow]
+        columns = list(zip(*out, strict=True)) or [(), (), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
+                                          pa.array(columns[2], pa.string()), pa.array(columns[3], pa.int64())],
+                                         ["file", "column_name", "dtype", "n_rows"])
+
+
+def file_schemas(spark: SparkSession, *paths: str) -> DataFrame:
+    """(file, column_name, dtype, n_rows) of every Parquet file below the paths, as each file itself declares it.
+
+    Spark lists the files and deals them out; tasks read their footers. Neither
+    the files nor their schemas pass through the driver, and no two files need to
+    agree, where a read of the table would take the first one's types or fail.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+        "recursiveFileLookup", True).load(list(paths)).select("path")  # without the content, which stays unread
+    dealt = listed.repartition(F.xxhash64("path"))
+    return dealt.mapInArrow(_footers, "file string, column_name string, dtype string, n_rows long")
+
+
+def file_drift(schemas: DataFrame, registry: list[tuple]) -> DataFrame:
+    """Missing, retyped and new columns per file against one dataset's registered columns.
+
+    Every file is written out with the registered columns and joined with its own
+    by (file, column): what either side lacks, or has otherwise, is an event.
+    """
+    columns = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("expected"), F.lit(b).alias("breaking"))
+                        for c, t, _, b in registry])
+    wanted = schemas.select("file").distinct().select("file", F.inline(columns))
+    both = wanted.join(schemas.withColumnRenamed("dtype", "actual"), ["file", "column_name"], "full")
+    tolerated = reduce(lambda a, b: a | b, [(F.col("expected") == e) & (F.col("actual") == a)
+                                            for e, a in rules.TOLERATED_TYPE_CHANGES], F.lit(False))
+    kind = (F.when(F.col("actual").isNull(), "MISSING_COLUMN").when(F.col("expected").isNull(), "NEW_COLUMN")
+            .when(F.col("expected") != F.col("actual"), "TYPE_CHANGE"))
+    severity = (F.when(F.col("actual").isNull(), F.when(F.col("breaking"), "BREAKING").otherwise("WARNING"))
+                .when(F.col("expected").isNull() | tolerated, "WARNING").otherwise("BREAKING"))
+    return both.withColumns({"drift_type": kind, "severity": severity}).filter("drift_type IS NOT NULL").select(
+        "file", "column_name", "drift_type", "severity", "expected", "actual")
+
+
+def file_conflicts(schemas: DataFrame) -> DataFrame:
+    """(column_name, dtype, n_files, n_rows) of every column that files disagree on, a row per type."""
+    types = schemas.groupBy("column_name", "dtype").agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").alias("n_rows"))
+    several = types.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("column_name")
+    return types.join(several, "column_name")
+
+
 def latest_days(df: DataFrame, date_col: str, days: int = 1) -> DataFrame:
     """Rows of the newest ``days`` dates, so a daily check reads only the newest partitions."""
     newest = df.agg(F.max(date_col)).scalar()

@@ -8,12 +8,15 @@ bucket holds at most 65,536 buckets of the level below, and only those meet the
 ranks, so no task sees more of a group, however its values are spread.
 
 Building the frame runs no job, and the source is read once: every level comes
-out of the same counts, whose shuffle Spark reuses.
+out of the same counts, whose shuffle Spark reuses. For that the branches must
+scan alike, so they are joined by null-safe equality: from a plain one Spark
+would infer filters that differ from branch to branch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +30,8 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
 
     ``value`` is a whole-number column; rows with a NULL value or key are left out.
     """
-    rows = df.selectExpr(*keys, f"CAST({value} AS BIGINT) AS _bucket").dropna()
+    rows = df.selectExpr(*keys, f"CAST({value} AS BIGINT) AS _bucket").filter(
+        " AND ".join(f"{c} IS NOT NULL" for c in [*keys, "_bucket"]))
     levels = [rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))]
     for _ in range(_LEVELS - 1):
         levels.append(levels[-1].groupBy(*keys, F.shiftright("_bucket", _BITS).alias("_bucket")).agg(
@@ -47,7 +51,9 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     wanted = top.selectExpr("*", f"inline(array({ranks}))").filter(falls_here).selectExpr(*inside)
     while levels:
         below = levels.pop().withColumn("_parent", F.shiftright("_bucket", _BITS))
-        wanted = (below.join(wanted, [*keys, "_parent"])
+        above = wanted.withColumnsRenamed({c: f"_its_{c}" for c in (*keys, "_parent")})
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_its_{c}")) for c in (*keys, "_parent")])
+        wanted = (below.join(above, same)
                   .selectExpr("*", f"sum(_n) OVER (PARTITION BY {group}, _p, _side ORDER BY _bucket) AS _upto")
                   .filter(falls_here).selectExpr(*inside))
 

@@ -12,7 +12,7 @@ from subpulse import rules
 from subpulse.functions import expressions as X
 from subpulse.operators import checks, drift, late, quality, relational
 from subpulse.operators.quantiles import exact_percentiles
-from subpulse.plans import bundles, dashboard, health, maintenance, reports, scorecard, staging
+from subpulse.plans import activity_state, bundles, dashboard, health, maintenance, reports, scorecard, staging
 from subpulse.plans import daily_active as metric
 from subpulse.session import scratch_path
 from subpulse.sinks import writers
@@ -151,14 +151,45 @@ def q_reprocess_partitions(spark, sf):
     return maintenance.read_metric(spark, path)
 
 
+def _state(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored bitmaps after a first load and after what arrived since, which also belongs to older dates."""
+    tables, path = from_driver_tables(spark, sf), scratch_path(spark, "activity")
+    early = F.coalesce(F.col("arrival_ts") < X.as_of_ts(FIRST_LOAD), F.lit(False))
+    for arrived in (early, ~early):
+        activity_state.add_activity(spark, Tables(tables.subscribers, tables.events.filter(arrived), tables.columns), path,
+                                    AS_OF)
+    return activity_state.read_state(spark, path)
+
+
+@query
+def q_daily_active_from_state(spark, sf):
+    return activity_state.daily_active_of(_state(spark, sf), AS_OF)
+
+
+@query
+def q_weekly_active_from_state(spark, sf):
+    return activity_state.weekly_active_of(_state(spark, sf))
+
+
+@query
+def q_daily_readers_from_state(spark, sf):
+    return activity_state.daily_readers_of(_state(spark, sf))
+
+
+@query
+def q_active_between(spark, sf):
+    """Distinct subscribers of news or games over two weeks, from stored bitmaps."""
+    return activity_state.active_between(_state(spark, sf), "2024-01-05", "2024-01-18", ("news", "games"))
+
+
 def _read_back(spark: SparkSession, name: str, parts: dict[str, DataFrame]) -> DataFrame:
-    """A report written as JSON lines, read back and parsed: every row's values in text order, joined by '|'."""
+    """A report written as JSON lines, read back and parsed: every row's name=value pairs in text order, joined by '|'."""
     path = scratch_path(spark, name)
     writers.write_json_report(reports.report_lines(parts), path)
     lines = spark.read.schema("section string, body string").json(path)
     return union([
         df.select(F.lit(section).alias("section"), F.array_join(F.array_sort(F.array_compact(F.array(
-            *[_as_text(df, c) for c in df.columns]))), "|").alias("line"))
+            *[F.concat(F.lit(f"{c}="), _as_text(df, c)) for c in df.columns]))), "|").alias("line"))
         for section, df in reports.read_lines(lines, parts).items()])
 
 
@@ -397,6 +428,9 @@ FILE_REGISTRY = {
 }
 
 
+FILE_TABLES = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+
+
 @query
 def q_drift_columns(spark, sf):
     """The files' own schemas against expectations, with how many rows have a value in each drifted column."""
@@ -406,6 +440,21 @@ def q_drift_columns(spark, sf):
     return found.join(filled.select("dataset", "column_name", "n_rows", "n_filled"), ["dataset", "column_name"], "left")
 
 
+@query
+def q_drift_files(spark, sf):
+    """Every file's own schema, from its footer, against expectations."""
+    found = [drift.file_drift(drift.file_schemas(spark, f"{sf}/{name}.parquet"), columns).withColumn("dataset", F.lit(name))
+             for name, columns in FILE_REGISTRY.items()]
+    return union(found).withColumn("file", F.regexp_extract("file", "[^/]+$", 0))
+
+
+@query
+def q_file_schemas(spark, sf):
+    """Columns and types of the generic tables' files, as their footers have them."""
+    schemas = drift.file_schemas(spark, *[f"{sf}/{name}.parquet" for name in FILE_TABLES])
+    return schemas.select(F.regexp_extract("file", "[^/]+$", 0).alias("file"), "column_name", "dtype")
+
+
 on_files("drift_enum", lambda t: drift.enum_violations({n: t.dataset(n) for n in rules.REGISTRY}))
 on_files("drift_status", lambda t: drift.drift_status(drift.detect_drift(drifted(t)), list(rules.REGISTRY)))
 on_files("drift_summary", lambda t: drift.drift_summary(

@@ -76,3 +76,25 @@ def test_many_unknown_values_stay_whole_in_the_table(spark):
 def test_latest_days(spark):
     df = spark.sql("SELECT DATE '2024-01-01' + CAST(id AS INT) AS d FROM range(10)")
     assert drift.latest_days(df, "d", 3).count() == 3
+
+
+def test_files_that_disagree_on_a_type(spark, tmp_path, rows):
+    """Read as one table they fail or take the first one's types; their footers tell each file's own."""
+    folder = f"file://{tmp_path}/orders"
+    registry = [("id", "bigint", False, True), ("price", "double", True, True), ("note", "string", True, False)]
+    parts = ["SELECT 1L AS id, 2.5D AS price, 'x' AS note", "SELECT 1 AS id, 2.5D AS price, 'x' AS note",
+             "SELECT 1L AS id, CAST(2.5 AS FLOAT) AS price, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS extra",
+             "SELECT 1L AS id, CAST(2.5 AS DECIMAL(9,2)) AS price, array(1, 2) AS note"]
+    for i, sql in enumerate(parts):
+        spark.sql(sql).coalesce(1).write.parquet(f"{folder}/day={i}")
+    schemas = drift.file_schemas(spark, folder).withColumn("file", F.regexp_extract("file", r"day=(\d)", 1)).cache()
+    assert schemas.filter("file = 2").count() == 3 and schemas.agg(F.sum("n_rows")).first()[0] == 12
+    assert rows(drift.file_drift(schemas, registry)) == sorted([
+        ("1", "id", "TYPE_CHANGE", "BREAKING", "bigint", "int"), ("2", "price", "TYPE_CHANGE", "WARNING", "double", "float"),
+        ("2", "extra", "NEW_COLUMN", "WARNING", None, "timestamp_ntz"),
+        ("2", "note", "MISSING_COLUMN", "WARNING", "string", None),
+        ("3", "price", "TYPE_CHANGE", "BREAKING", "double", "decimal(9,2)"),
+        ("3", "note", "TYPE_CHANGE", "BREAKING", "string", "array<int>")], key=str)
+    assert rows(drift.file_conflicts(schemas)) == sorted([
+        ("id", "bigint", 3, 3), ("id", "int", 1, 1), ("price", "double", 2, 2), ("price", "float", 1, 1),
+        ("price", "decimal(9,2)", 1, 1), ("note", "string", 2, 2), ("note", "array<int>", 1, 1)], key=str)

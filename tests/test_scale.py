@@ -104,3 +104,12 @@ def test_enriched_activity_splits_a_hot_subscriber(spark, tables, no_broadcast):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+@pytest.mark.parametrize(("name", "scans"), [("price_percentiles", 1), ("late_domain_stats", 2)])
+def test_percentiles_read_their_source_once(spark, name, scans):
+    """All levels come out of one shuffle; the second scan of the lateness table is that of its other columns."""
+    df = entry.queries()[name](spark, SMALL)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert len(re.findall("FileScan", final)) == scans and len(re.findall("ReusedExchange", final)) == 3
