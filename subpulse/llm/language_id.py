@@ -42,13 +42,13 @@ def letters(text: str) -> Column:
 
 
 def learn_dictionaries(labelled: DataFrame, excerpts: int = EXCERPTS, chars: int = EXCERPT_CHARS) -> dict[str, bytes]:
-    """lang -> dictionary, from the excerpts of the rows that come first by the hash of their ids.
+    """lang -> dictionary, from the excerpts of the rows that come first by the hash of id and text.
 
     Languages are counted first. A share of each, by hash, that leaves about four
     times the excerpts needed goes on, so no task sees more than that of a
     language, however many rows it has.
     """
-    place = F.xxhash64(id_text("doc_id"), F.lit("language"))
+    place = F.xxhash64(id_text("doc_id"), F.lit("language"), "text")
     counts = labelled.filter("lang IS NOT NULL").groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("rows"))
     among = F.pmod("place", F.lit(1 << 40)) * F.col("rows").cast("double") < float(4 * excerpts * (1 << 40))
     start = F.pmod("place", F.greatest(F.length("text") - chars, F.lit(0)) + 1).cast("int") + 1

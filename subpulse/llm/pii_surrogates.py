@@ -6,10 +6,11 @@ same entity reads the same everywhere, however it is written: a phone number
 keeps its punctuation and a name its title. Phones are told by their last ten
 digits, with or without what dials a country. Names are found after titles; a
 second pass replaces them wherever else their own text has them. Surrogates fit their type: card
-numbers pass the Luhn check, addresses are valid, given names follow the gender
-of the title and the script of the name. A surrogate that two entities share,
-or that is an entity of the corpus itself, is made again from the next attempt
-until all are distinct. Attempts make room: names gain a syllable each, and what
+numbers pass the Luhn check, addresses are valid, given names follow the script
+of the name and the gender that most of its titles tell, so that a person stays
+one under any title. A surrogate that two entities share, or that is an entity of
+the corpus itself, is made again from the next attempt until all are distinct;
+given and family names are one space. Attempts make room: names gain a syllable each, and what
 is short, like mailboxes, secrets and phones, gains digits (``GROWS``), so there
 are surrogates for any number of entities.
 
@@ -89,8 +90,7 @@ SECRET_HEAD, SECRET_VALUE = r"^[^=:]+[=:][ \t]*[\"']?", r"^[^=:]+[=:][ \t]*[\"']
 WORD_OR_NAME = rf"(?<![\p{{L}}\p{{N}}_]){_NAME}"
 PATTERN = "|".join(KINDS.values())
 #: A text without any of these holds no entity.
-NEEDED = rf"[@=:\d]|[0-9a-f]{{32}}|{_TITLE} \p{{Lu}}"
-MOST_ATTEMPTS = 40
+NEEDED = rf"[@=:\d]|[0-9a-f]{{32}}|AKIA[0-9A-Z]{{16}}|{_TITLE} \p{{Lu}}"
 #: From this attempt on a surrogate is longer than its entity, by so many digits an attempt.
 GROWS = {"email": (1, 2), "secret": (1, 2), "phone": (4, 1), "ssn": (20, 1)}
 #: From this attempt on an IP address is one of version 6, as there are only so many of version 4.
@@ -163,7 +163,10 @@ def mentions(documents: DataFrame) -> DataFrame:
 
 
 def classified(found: DataFrame) -> DataFrame:
-    """Each distinct mention with its kind (NULL: leave it alone) and its entities, an array of (kind, canon)."""
+    """Each distinct mention with its kind (NULL: leave it alone) and its entities, an array of (kind, canon, gender).
+
+    The gender is that of a person's title; a given name is one entity whatever titles stand before it.
+    """
     kind = F.coalesce(*(F.when(F.col("mention").rlike(f"^(?:{pattern})$"), F.lit(name))
                         for name, pattern in KINDS.items()))
     title = F.regexp_extract("mention", f"^({_TITLE}) ", 1)
@@ -171,8 +174,8 @@ def classified(found: DataFrame) -> DataFrame:
     gender = F.coalesce(*(F.when(bare.isin(titles), F.lit(g)) for g, titles in TITLES.items()))
     names = F.split(F.expr("substring(mention, length(title) + 2)"), " ")
     tokens = F.transform("names", lambda n, i: F.struct(
-        F.when(i == F.size("names") - 1, F.lit("family")).otherwise(F.concat(F.lit("given_"), F.col("gender"))).alias(
-            "kind"), n.alias("canon")))
+        F.when(i == F.size("names") - 1, F.lit("family")).otherwise(F.lit("given")).alias("kind"), n.alias("canon"),
+        F.col("gender").alias("gender")))
     canon = (F.when(F.col("kind") == "email", F.lower("mention"))
              .when(F.col("kind") == "secret", F.regexp_extract("mention", SECRET_VALUE, 1))
              .when(F.col("kind") == "phone", _phone_end(_digits("mention")))
@@ -186,7 +189,7 @@ def classified(found: DataFrame) -> DataFrame:
                                                 F.col("kind")))
     return (kinds.withColumns({"title": title, "gender": gender}).withColumn("names", names)
             .withColumn("entities", F.when(F.col("kind") == "person", tokens).otherwise(
-                F.array(F.struct(F.col("kind").alias("kind"), canon.alias("canon")))))
+                F.array(F.struct(F.col("kind").alias("kind"), canon.alias("canon"), F.lit(None).cast("string").alias("gender")))))
             .select("mention", "n", "kind", "title", "entities"))
 
 
@@ -222,7 +225,7 @@ def _made(key: str) -> Column:
             first, second = (_pick(GIVEN[script, gender], seed, i) for i in (0, 4))
             more = F.when(attempt == 0, F.lit("")).when(attempt < 4, F.concat(F.lit("-"), second)).otherwise(
                 F.concat(F.lit("-"), second, F.lit("-"), syllables))
-            made = made.when(F.col("kind") == f"given_{gender}", F.concat(first, more))
+            made = made.when((F.col("kind") == "given") & (F.col("gender") == gender), F.concat(first, more))
         return made
 
     return (F.when(F.col("kind") == "email", email)
@@ -236,28 +239,38 @@ def _made(key: str) -> Column:
 
 
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, canon, surrogate) for distinct (kind, canon): no two alike, and none that the corpus itself has."""
+    """(kind, canon, surrogate) for distinct (kind, canon[, gender]): no two alike, and none that the corpus itself has.
+
+    Given and family names are one space: a made name of either kind is no real name of the other. The spaces grow
+    with the attempts, so this ends.
+    """
+    if "gender" not in entities.columns:
+        entities = entities.withColumn("gender", F.lit(None).cast("string"))
+    entities = entities.withColumn("space", F.when(F.col("kind").isin("given", "family"), "name").otherwise(F.col("kind")))
     made = settle(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", _made(key)), "surrogates")
-    for _ in range(MOST_ATTEMPTS):
+    while True:
         # of those that share a surrogate, the first by canonical form may keep it
-        rank = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("attempt", "canon"))
-        real = made.select("kind", F.col("canon").alias("surrogate"), F.lit(True).alias("real"))
-        rated = settle(made.withColumn("rank", rank).join(real, ["kind", "surrogate"], "left").select(
-            "kind", "canon", "attempt", "surrogate",
+        rank = F.row_number().over(Window.partitionBy("space", "surrogate").orderBy("attempt", "canon", "kind"))
+        real = made.select("space", F.col("canon").alias("surrogate"), F.lit(True).alias("real")).distinct()
+        rated = settle(made.withColumn("rank", rank).join(real, ["space", "surrogate"], "left").select(
+            "space", "kind", "canon", "gender", "attempt", "surrogate",
             ((F.col("rank") > 1) | F.coalesce("real", F.lit(False))).alias("again")), "surrogates")
         if rated.filter("again").isEmpty():
             return rated.select("kind", "canon", "surrogate")
         made = settle(rated.withColumn("attempt", F.col("attempt") + F.col("again").cast("int")).withColumn(
             "surrogate", F.when(F.col("again"), _made(key)).otherwise(F.col("surrogate"))).drop("again"), "surrogates")
-    raise ValueError("too few surrogates of some kind")
 
 
 def replacements(found: DataFrame, key: str) -> DataFrame:
     """(mention, n, kind, replacement) of every distinct mention."""
     known = settle(classified(found), "mentions")
-    parts = known.filter("kind IS NOT NULL").select("mention", F.posexplode("entities").alias("at", "entity")).select(
-        "mention", "at", "entity.kind", "entity.canon")
-    made = surrogates(parts.select("kind", "canon").distinct(), key)
+    parts = known.filter("kind IS NOT NULL").select("mention", "n", F.posexplode("entities").alias("at", "entity")).select(
+        "mention", "at", "n", "entity.kind", "entity.canon", "entity.gender")
+    # a name's gender is that of most of its titles that tell one, so that one person stays one under any title
+    per_gender = parts.groupBy("kind", "canon", "gender").agg(F.sum("n").alias("n"))
+    telling = F.struct((F.col("gender") != "n").alias("tells"), "n", "gender")
+    one = per_gender.groupBy("kind", "canon").agg(F.max(telling).alias("most")).select("kind", "canon", "most.gender")
+    made = surrogates(one, key)
     # an entity has few spellings, so these joins have no hot keys
     joined = parts.join(made, ["kind", "canon"]).groupBy("mention").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "surrogate"))),

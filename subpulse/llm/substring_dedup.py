@@ -1,17 +1,12 @@
 """Substring dedup: words under a window of words that also starts elsewhere are removed.
 
-A window is a suffix of a text cut after 35 words, that is, a path of a suffix
-tree down to that depth. Two windows are equal exactly if they end in the same
-node there; such a node is internal if two or more suffixes reach it, and the
-spans of neighbouring suffixes that do are the repeats.
-
-The tree is built in parts. Suffixes go to parts by a phrase of eight words. It
-is not their first one, as every suffix would then travel with 35 words of its
-own, but the phrase with the smallest hash inside the window: equal windows hold
-the same one, and neighbouring suffixes mostly share it and travel together, as
-one row with the 48-bit labels of their nodes. All phrases are counted first.
-Where a phrase has more rows than fit into a part in memory, its suffixes are
-told apart by their whole 35 words instead, so prefixes are as long as it takes.
+Windows are found by hashes, in parts; no suffix tree is built (README says why).
+Equal windows share the hash of their words. They meet in the part of a phrase of
+eight words: the one with the smallest hash inside the window, which equal windows
+have in common and neighbouring windows mostly share, so that these travel together,
+as one row with a 48-bit label for each. All phrases are counted first. Where a
+phrase has more rows than fit into a part in memory, its windows go by the hash of
+all their words instead.
 
 Windows that repeat within a task's slice of rows are settled there, and only
 the first of them travels: a text that a third of all rows share sends one row a
@@ -205,7 +200,7 @@ def suffix_rows(documents: DataFrame, long: np.ndarray, window: int) -> DataFram
 
 
 def _deep_nodes(window: int):
-    """Rows in order of phrase -> the spans of starts whose node more than one suffix reaches."""
+    """Rows in order of phrase -> the spans of starts whose window more than one place has."""
     def spans(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         phrase, at = (rows.column(c).to_numpy() for c in ("phrase", "at"))
         labels = rows.column("labels").combine_chunks()
