@@ -875,6 +875,13 @@ def report(parts: dict[str, str]) -> str:
         for section, query in parts.items())
 
 
+O["csv_unparsed"] = """
+WITH cells AS (
+  SELECT 'half=' || o_orderkey % 2 AS folder, 'o_totalprice' AS column_name,
+         CASE WHEN o_orderkey % 97 = 0 THEN 'n/a' WHEN o_orderkey % 89 = 0 THEN '1,250.00' END AS cell FROM orders
+  UNION ALL
+  SELECT 'half=' || o_orderkey % 2, 'o_orderdate', CASE WHEN o_orderkey % 83 = 0 THEN 'day ' || o_orderkey % 5 END FROM orders)
+SELECT folder, column_name, cell, COUNT(*) AS n_rows FROM cells WHERE cell IS NOT NULL GROUP BY ALL"""
 for _name in ("daily_active", "weekly_active", "daily_readers"):
     O[f"{_name}_from_state"] = O[_name]
 O["active_between"] = with_ctes("""

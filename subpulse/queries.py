@@ -17,7 +17,7 @@ from subpulse.plans import daily_active as metric
 from subpulse.session import scratch_path
 from subpulse.sinks import writers
 from subpulse.sources import Tables, from_driver_tables, read_csv, read_parquet
-from subpulse.sources.readers import landing_registry, registered_schema
+from subpulse.sources.readers import landing_registry, registered_schema, unparsed_cells
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,22 @@ def q_csv_scan(spark, sf):
     return read_csv(spark, path, registered_schema("subscribers"))
 
 
+@query
+def q_csv_unparsed(spark, sf):
+    """Orders as CSV with cells that do not parse, in two folders; each bad text with its folder, column and rows."""
+    orders, path = native(spark, sf, "orders"), scratch_path(spark, "orders-csv")
+    key = F.col("o_orderkey")
+    orders.select(
+        (key % 2).alias("half"), "o_orderkey",
+        F.when(key % 97 == 0, "n/a").when(key % 89 == 0, "1,250.00").otherwise(F.col("o_totalprice").cast("string"))
+        .alias("o_totalprice"),
+        F.when(key % 83 == 0, F.concat(F.lit("day "), key % 5)).otherwise(F.col("o_orderdate").cast("date").cast("string"))
+        .alias("o_orderdate")).write.partitionBy("half").option("header", True).csv(path)
+    bad = unparsed_cells(spark, path, "o_orderkey bigint, o_totalprice double, o_orderdate date")
+    return bad.withColumn("folder", F.regexp_extract("file", "(half=[0-9])", 1)).groupBy("folder", "column_name", "cell").agg(
+        F.sum("n_rows").alias("n_rows"))
+
+
 @query
 def q_parquet_scan(spark, sf):
     return native(spark, sf, "orders").filter("o_orderstatus = 'F'").select(

@@ -18,12 +18,19 @@ def registered_schema(dataset: str) -> T.StructType:
         f"{name} {dtype}{'' if nullable else ' NOT NULL'}" for name, dtype, nullable, _ in REGISTRY[dataset]))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, keep_extra: bool = False) -> DataFrame:
+#: What a declared column holds that is not of its type: the cell's column and text.
+RESCUED = "array<struct<column_name: string, cell: string>>"
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, keep_extra: bool = False,
+             rescued: str | None = None) -> DataFrame:
     """CSV with a header: the declared columns, found by name and cast; text that does not parse is NULL.
 
     Only the header is read ahead, no type is inferred. A declared column that
     the file lacks is an error. With ``keep_extra`` undeclared columns follow as
-    text, so that a drift check sees them.
+    text, so that a drift check sees them. With ``rescued`` a column of that name
+    holds every cell of the row that has a text but no value of its type, as
+    (column_name, cell); it is empty for a row that parses.
     """
     declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
@@ -31,7 +38,21 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, keep_ex
     if missing:
         raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
     extra = [c for c in raw.columns if c not in declared.names] if keep_extra else []
-    return raw.select(*[_quoted(f.name).try_cast(f.dataType).alias(f.name) for f in declared], *map(_quoted, extra))
+    typed = [_quoted(f.name).try_cast(f.dataType).alias(f.name) for f in declared]
+    lost = [F.when(_quoted(f.name).isNotNull() & _quoted(f.name).try_cast(f.dataType).isNull(),
+                   F.struct(F.lit(f.name).alias("column_name"), _quoted(f.name).alias("cell"))) for f in declared]
+    beside = [F.array_compact(F.array(*lost)).cast(RESCUED).alias(rescued)] if rescued else []
+    return raw.select(*typed, *map(_quoted, extra), *beside)
+
+
+def unparsed_cells(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """(file, column_name, cell, n_rows): every text that does not parse, by file, with how many rows have it.
+
+    One pass over the text, combined on the map side; the typed columns are not built.
+    """
+    cells = read_csv(spark, path, schema, rescued="_rescued").select(
+        F.col("_metadata.file_path").alias("file"), F.inline("_rescued"))
+    return cells.groupBy("file", "column_name", "cell").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def _quoted(name: str) -> Column:

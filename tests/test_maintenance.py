@@ -13,7 +13,7 @@ from subpulse.queries import AS_OF, FIRST_LOAD
 from subpulse.session import scratch_path, shared_dir
 from subpulse.sinks import writers
 from subpulse.sources import Tables, from_registry, read_parquet
-from subpulse.sources.readers import landing_registry, read_csv, registered_schema
+from subpulse.sources.readers import landing_registry, read_csv, registered_schema, unparsed_cells
 
 
 @pytest.fixture
@@ -147,3 +147,19 @@ def test_scratch_goes_with_the_driver(tmp_path):
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120, capture_output=True,
                    cwd=Path(__file__).resolve().parents[1])
     assert not list(tmp_path.rglob("*.parquet"))
+
+
+def test_cells_that_do_not_parse_are_kept_beside_the_typed_columns(spark, tmp_path, rows):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,price,when,more\n1,2.5,2024-01-02,x\nzwei,2.5,2024-01-02,y\n3,,,z\n")
+    (folder / "b.csv").write_text('id,price,when,more\n4,"1,5",tomorrow,x\n5,"1,5",2024-13-01,y\n')
+    schema = "id int, price double, when date"
+    df = read_csv(spark, f"file://{folder}", schema, keep_extra=True, rescued="bad")
+    assert df.columns == ["id", "price", "when", "more", "bad"]
+    got = {r.id: [tuple(c) for c in r.bad] for r in df.collect()}
+    assert got == {1: [], None: [("id", "zwei")], 3: [], 4: [("price", "1,5"), ("when", "tomorrow")],
+                   5: [("price", "1,5"), ("when", "2024-13-01")]}
+    assert rows(unparsed_cells(spark, f"file://{folder}", schema).withColumn("file", F.regexp_extract("file", "[^/]+$", 0))) \
+        == sorted([("a.csv", "id", "zwei", 1), ("b.csv", "price", "1,5", 2), ("b.csv", "when", "tomorrow", 1),
+                   ("b.csv", "when", "2024-13-01", 1)], key=str)
