@@ -516,6 +516,10 @@ SELECT 'raw_subscribers' AS asset, COUNT(*) AS row_count, MAX(TRY_CAST(created_a
     + "UNION ALL SELECT 'orders', COUNT(*), MAX(o_orderdate) FROM orders "
       "UNION ALL SELECT 'region', COUNT(*), NULL FROM region")
 
+O["stored_metadata"] = with_ctes(f"""
+SELECT 'orders' AS asset, COUNT(*) AS row_count, MAX(o_orderdate) AS freshest, true AS is_known FROM orders
+UNION ALL SELECT 'events', COUNT(*), MAX(ts), true FROM events UNION ALL SELECT 'region', COUNT(*), NULL, false FROM region
+UNION ALL SELECT 'stg_events_news', COUNT(*), MAX(event_timestamp_clean), true FROM ({staged('news')})""")
 O["stg_subscribers"] = with_ctes("SELECT * FROM stg_subscribers")
 for _p in PRODUCTS:
     O[f"stg_events_{_p}"] = with_ctes(staged(_p))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from subpulse import rules
 from subpulse.functions.expressions import keyed
 from subpulse.functions.local import constant_table
+from subpulse.sources.footers import open_footer
 
 EVENT_COLUMNS = ["dataset", "column_name", "drift_type", "severity", "expected", "actual", "detail"]
 
@@ -182,17 +183,11 @@ def spark_type(dtype: pa.DataType) -> str:
 
 def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Paths of Parquet files -> a row per file and column. Reads footers only."""
-    import pyarrow.fs as stores
-    import pyarrow.parquet as pq
-
     for batch in batches:
         out: list[tuple[str, str, str, int]] = []
         for path in batch.column(0).to_pylist():
-            store, inside = stores.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith(
-                "file:/") and not path.startswith("file://") else path)
-            with store.open_input_file(inside) as file:
-                footer = pq.ParquetFile(file)
-                out += [(path, f.name, spark_type(f.type), footer.metadata.num_rows) for f in footer.schema_arrow]
+            footer = open_footer(path)
+            out += [(path, f.name, spark_type(f.type), footer.num_rows) for f in footer.schema.to_arrow_schema()]
         columns = list(zip(*out, strict=True)) or [(), (), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
                                           pa.array(columns[2], pa.string()), pa.array(columns[3], pa.int64())],

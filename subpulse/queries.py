@@ -16,7 +16,7 @@ from subpulse.plans import activity_state, bundles, dashboard, health, maintenan
 from subpulse.plans import daily_active as metric
 from subpulse.session import scratch_path
 from subpulse.sinks import writers
-from subpulse.sources import Tables, from_driver_tables, read_csv, read_parquet
+from subpulse.sources import Tables, footers, from_driver_tables, read_csv, read_parquet
 from subpulse.sources.readers import landing_registry, registered_schema, unparsed_cells
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -255,6 +255,17 @@ def q_asset_metadata(spark, sf):
     })
 
 
+@query
+def q_stored_metadata(spark, sf):
+    """Rows and newest value of stored tables from their footers; a staged table is one of many files."""
+    staged = scratch_path(spark, "staged")
+    news = staging.stage_events(from_driver_tables(spark, sf).product("news"), AS_OF)
+    writers.write_by_date(news.select("event_id", "event_timestamp_clean", "event_date"), staged)
+    return footers.stored_metadata(spark, {
+        "orders": (f"{sf}/orders.parquet", "o_orderdate"), "events": (f"{sf}/events.parquet", "ts"),
+        "region": (f"{sf}/region.parquet", None), "stg_events_news": (staged, "event_timestamp_clean")})
+
+
 # --- staging -----------------------------------------------------------------
 
 on_tables("stg_subscribers", lambda t: staging.stage_subscribers(t.subscribers, AS_OF))

@@ -163,3 +163,22 @@ def test_cells_that_do_not_parse_are_kept_beside_the_typed_columns(spark, tmp_pa
     assert rows(unparsed_cells(spark, f"file://{folder}", schema).withColumn("file", F.regexp_extract("file", "[^/]+$", 0))) \
         == sorted([("a.csv", "id", "zwei", 1), ("b.csv", "price", "1,5", 2), ("b.csv", "when", "tomorrow", 1),
                    ("b.csv", "when", "2024-13-01", 1)], key=str)
+
+
+def test_metadata_from_footers_says_where_it_does_not_know(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from datetime import datetime
+
+    from subpulse.sources.footers import stored_metadata
+    days = [datetime(2024, 1, d) for d in (3, 9, 5)]
+    for name, table, statistics in (
+            ("whole/a", {"t": days}, True), ("whole/b", {"t": pa.array([None, None], pa.timestamp("us"))}, True),
+            ("blind/a", {"t": days}, True), ("blind/b", {"t": days}, False), ("other/a", {"x": [1]}, True)):
+        path = tmp_path / f"{name}.parquet"
+        path.parent.mkdir(exist_ok=True)
+        pq.write_table(pa.table(table), path, write_statistics=statistics, row_group_size=2)
+    found = stored_metadata(spark, {n: (f"file://{tmp_path}/{n}", "t") for n in ("whole", "blind", "other")})
+    assert {tuple(r) for r in found.collect()} == {
+        ("whole", 5, datetime(2024, 1, 9), True), ("blind", 6, None, False), ("other", 1, None, False)}
+    assert "ReadSchema: struct<path:string>" in found._jdf.queryExecution().executedPlan().toString()  # no content
