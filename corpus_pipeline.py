@@ -23,23 +23,36 @@ NEAR = ngram_join.Likeness(words=5, least=80, of=100)
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below ``TOXIC_FROM``. NULL, empty and wordless texts score 0 and stay; equal texts go or
+    stay together, with any id; without labelled rows all stay.
+    """
     score_of = toxicity.scorer(spark, toxicity_model(docs, table(spark, sf_dir, "labels")))
     return docs.filter(score_of(F.col("text")) < TOXIC_FROM)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for white space, the row with the smallest id. NULL and empty texts are one such
+    text; NULL ids come last; of rows that repeat id and text one stays.
+    """
     return exact_dedup.keep_first(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates, the row with the smallest id; NULL ids come last. Texts without words are
+    alike to nothing and stay. Rows that repeat both id and text stay or go together.
+    """
     return ngram_join.keep_one(docs, NEAR)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the mix takes them: not at all, once or twice. NULL is a source of its own, the last; rows of
+    one id are taken alike; texts without words are taken as often as their place says, at no cost.
+    """
     return mixing.mixed(docs)
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, number and digest of the token ids, digest of the decoded text, a row per row; NULL counts as empty."""
     return piece_codec.digested(piece_codec.round_trip(docs, public_tokenizers.path(PIECES)))
 
 

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -9,13 +10,15 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import sentencepiece
 from compare import compare, connect
 from conftest import MEDIUM, SMALL
 
 import __spark_entry__ as entry
-from subpulse.llm import ngram_join
-from subpulse.llm.queries import QUERIES
+from subpulse.llm import language_id, ngram_join, toxicity
+from subpulse.llm.common import id_remainder
+from subpulse.llm.queries import QUERIES, toxicity_model
 from tests.llm.conftest import crc, words
 
 
@@ -66,6 +69,51 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(p for t, p in held_out if not t) <= 0.01 * sum(1 - t for t, _ in held_out)
 
 
+def test_toxicity_against_plain_loops(spark, docs):
+    """The same model, word by word and passage by passage."""
+    model = toxicity_model(spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet"))
+
+    def score(text):
+        words = [w for w, before in zip(words_ := (text or "").encode().split(), [None, *words_]) if w != before]
+        if not words:
+            return 0.0
+        facts = []
+        for word in words:
+            ids, counts = toxicity.subwords([word])
+            facts.append((sum(float(model.slope[i]) for i in ids), int(counts[0])))
+        width, free, sums, best = min(toxicity.PASSAGE, len(words)), set(range(len(words))), [0.0, 0], -math.inf
+        for k in range(toxicity.WORST):
+            left = [i for i in range(len(words) - width + 1) if set(range(i, i + width)) <= free]
+            if left:
+                at = max(left, key=lambda i: (sum(e for e, _ in facts[i:i + width])
+                                              / sum(n for _, n in facts[i:i + width]), -i))
+                free -= set(range(at, at + width))
+                sums = [sums[0] + sum(e for e, _ in facts[at:at + width]), sums[1] + sum(n for _, n in facts[at:at + width])]
+            best = max(best, sums[0] / sums[1] + model.bias[k])
+        return 1 / (1 + math.exp(-best))
+
+    got = {r.doc_id: r.score for r in rows_of(spark, "op2_toxicity")}
+    some = [r for r in docs if len(r.text or "") < 4000]
+    assert len(some) > 100
+    for r in some:
+        assert got[r.doc_id] == pytest.approx(score(r.text), abs=1e-6)
+
+
+def test_language_against_plain_compression(spark, docs):
+    """The same dictionaries, one text and one compressor at a time."""
+    df = spark.read.parquet(f"{SMALL}/documents.parquet")
+    dictionaries = language_id.learn_dictionaries(df.filter(id_remainder("doc_id", 5) != 0))
+    got = {r.doc_id: r.lang_pred for r in rows_of(spark, "op9_language_id")}
+    for r in docs:
+        letters = regex.sub(r"[^\p{L}]+", " ", (r.text or "").lower())
+        if not letters.strip():
+            assert got[r.doc_id] == "und"
+            continue
+        sizes = {lang: language_id.compressed_sizes(letters.encode(), language_id._compressors((content,)))[0]
+                 for lang, content in dictionaries.items()}
+        assert sizes[got[r.doc_id]] == min(sizes.values())
+
+
 def brute_force_groups(texts, n, least, of):
     sets = {}
     for i, text in texts.items():
