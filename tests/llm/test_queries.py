@@ -74,7 +74,8 @@ def test_toxicity_against_plain_loops(spark, docs):
     model = toxicity_model(spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet"))
 
     def score(text):
-        words = [w for w, before in zip(words_ := (text or "").encode().split(), [None, *words_]) if w != before]
+        every = (text or "").encode().split()
+        words = [w for w, before in zip(every, [None, *every]) if w != before]
         if not words:
             return 0.0
         facts = []
