@@ -383,7 +383,18 @@ def _from_hubs(stars: DataFrame, documents: DataFrame, nodes: DataFrame, like: L
     place = (F.col("d") - F.count(F.lit(1)).over(Window.partitionBy("key.hub", "node")) + F.row_number().over(in_order) - 1)
     most = F.floor(F.col("n") * (like.of - like.least) / like.least)  # the elements that any partner may differ in
     rarest = settle_lean(met.withColumn("place", place).filter(F.col("place") <= most).drop("held"), "rarest")
-    a, b = (rarest.toDF(*[c if c == "key" else f"{x}_{c}" for c in rarest.columns]) for x in "ab")
+    # those that are alike to each other but not to the hub become groups of their own, again by one hub each
+    rank = rarest.groupBy("node").agg(F.struct(F.count(F.lit(1)), "node").alias("rank"))
+    ranked = settle_lean(rarest.select("key", "node").join(rank, "node"), "ranked")
+    next_hubs = settle_lean(ranked.groupBy("key").agg(F.max("rank").alias("next")), "next_hubs")
+    star = ranked.join(next_hubs, "key").groupBy("node").agg(F.max("next").alias("next")).select(
+        F.col("next.node").alias("a"), F.col("node").alias("b")).filter("a <> b")
+    near = _linked(star, documents, nodes, like)
+    own = settle_lean(rarest.select("node", "root").distinct(), "own_roots")
+    joined = near.join(own.toDF("a", "root_a"), "a").join(own.toDF("b", "root_b"), "b").select("root_a", "root_b")
+    tops = components(joined, "root_a", "root_b").toDF("root", "top")
+    apart = settle_lean(rarest.join(tops, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top"), "apart")
+    a, b = (apart.toDF(*[c if c == "key" else f"{x}_{c}" for c in apart.columns]) for x in "ab")
     still = F.least(F.col("a_d") - F.col("a_place"), F.col("b_d") - F.col("b_place"))
     pairs = a.join(b, "key").filter(
         (F.col("a_root") != F.col("b_root")) & (F.col("a_node") < F.col("b_node"))
@@ -391,8 +402,9 @@ def _from_hubs(stars: DataFrame, documents: DataFrame, nodes: DataFrame, like: L
         & ((F.col("a_d") + F.col("b_d") - 2 * still) * (like.of + like.least)
            <= (F.col("a_n") + F.col("b_n")) * (like.of - like.least)))
     pairs = settle_lean(pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), "pairs")
-    links = settle_lean(differ.filter("alike").select(F.col("hub").alias("a"), F.col("node").alias("b")), "hub_links")
-    discard(sets, differ, counts, rarest)
+    links = settle_lean(differ.filter("alike").select(F.col("hub").alias("a"), F.col("node").alias("b")).union(near),
+                        "hub_links")
+    discard(sets, differ, counts, rarest, ranked, next_hubs, own, apart, near)
     return links, pairs
 
 
