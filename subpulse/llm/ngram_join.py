@@ -392,7 +392,9 @@ def _from_hubs(stars: DataFrame, documents: DataFrame, nodes: DataFrame, like: L
     near = _linked(star, documents, nodes, like)
     own = settle_lean(rarest.select("node", "root").distinct(), "own_roots")
     joined = near.join(own.toDF("a", "root_a"), "a").join(own.toDF("b", "root_b"), "b").select("root_a", "root_b")
-    tops = components(joined, "root_a", "root_b").toDF("root", "top")
+    with_hub = differ.filter("alike").select("hub", F.col("root").alias("root_a"))
+    through_hub = with_hub.join(with_hub.groupBy("hub").agg(F.min("root_a").alias("root_b")), "hub").drop("hub")
+    tops = components(joined.union(through_hub), "root_a", "root_b").toDF("root", "top")
     apart = settle_lean(rarest.join(tops, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top"), "apart")
     a, b = (apart.toDF(*[c if c == "key" else f"{x}_{c}" for c in apart.columns]) for x in "ab")
     still = F.least(F.col("a_d") - F.col("a_place"), F.col("b_d") - F.col("b_place"))
