@@ -63,9 +63,13 @@ SPARE = 2
 TINY, TRIALS = 12, 8
 FIRST_OF_TWO, SECOND_OF_TWO = [0, 0, 1], [1, 2, 2]
 DIGESTED = "doc_id long, text_key long, node long, proof long, n_shingles long, sketch binary"
+DIFFERING = ("hub long, node long, root long, n long, d long, need long, alike boolean, "
+             "beyond array<long>, sieved array<long>, lacking array<long>")
 LEAST_SKETCH = 512
 #: Nodes of a signature that are compared with each other; where there are more, differences from a hub decide.
 LEAF = 16
+#: The range of hashes to sieve by is so many times the share of a set that alike sets may lack.
+SIEVE = 2
 #: One document in so many tells which signatures are frequent: those with more than a share of all rows, fewer than MOST_HOT.
 SAMPLED, HOT_SIGNATURE, MOST_HOT, SALTS = 64, 500, 10_000, 100
 
@@ -339,26 +343,43 @@ def _linked(pairs: DataFrame, documents: DataFrame, nodes: DataFrame, like: Like
 
 
 def _differences(like: Likeness):
-    """Rows (hub, node, root, hub_set, node_set) -> what each node differs in from its hub, and whether they are alike."""
+    """Rows (hub, node, root, hub_set, node_set) -> what each node has beyond its hub, a hash range of that to sieve
+    by, what it lacks of the hub if that can matter, how many both are, and whether node and hub are alike.
+    """
+    below = (like.of - like.least) * SIEVE * 2 ** 64 // like.of - 2 ** 63
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, sizes, alike = [], [], []
+            lists, rows = ([], [], []), []
             for hub, node in zip(batch.column("hub_set"), batch.column("node_set"), strict=True):
                 hub, node = hub.values.to_numpy(), node.values.to_numpy()
-                differs = np.setxor1d(hub, node, assume_unique=True)
-                found.append(differs)
-                sizes.append(len(node))
-                alike.append(len(differs) * (like.of + like.least) <= (len(hub) + len(node)) * (like.of - like.least))
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+                beyond = node[~np.isin(node, hub, assume_unique=True)]
+                d = 2 * len(beyond) + len(hub) - len(node)
+                sieved = beyond[beyond < below]
+                matters = len(beyond) * like.least <= len(node) * (like.of - like.least)
+                lacking = hub[~np.isin(hub, node, assume_unique=True)] if matters else hub[:0]
+                for to, found in zip(lists, (beyond, sieved, lacking), strict=True):
+                    to.append(found)
+                rows.append((len(node), d, len(sieved) - len(node) * (like.of - like.least) // like.of,
+                             d * (like.of + like.least) <= (len(hub) + len(node)) * (like.of - like.least)))
+            n, d, need, alike = zip(*rows, strict=True) if rows else ((),) * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column("hub"), batch.column("node"), batch.column("root"), pa.array(sizes, pa.int64()),
-                 pa.array(alike, pa.bool_()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))],
-                ["hub", "node", "root", "n", "alike", "differences"])
+                [batch.column("hub"), batch.column("node"), batch.column("root"), pa.array(n, pa.int64()),
+                 pa.array(d, pa.int64()), pa.array(need, pa.int64()), pa.array(alike, pa.bool_()),
+                 *(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)], dtype=np.int32)),
+                                            pa.array(np.concatenate([np.zeros(0, np.int64), *x]))) for x in lists)],
+                DIFFERING.replace(" long", "").replace(" boolean", "").replace(" array<long>", "").split(", "))
 
     return run
 
 
+def _met(each: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (key, node, root, ...) whose key nodes of another root have too, and the settled table of these keys."""
+    counts = settle_lean(each.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("root").alias("low"),
+                                                 F.max("root").alias("high")).filter("low <> high").select("key", "held"), "counts")
+    return lookup(each, counts, "key", total, "held"), counts
+
+
 def _from_hubs(stars: DataFrame, documents: DataFrame, nodes: DataFrame, like: Likeness) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) between hubs and nodes of ``stars`` (hub, node, root), and pairs of a hub's nodes that may be alike.
 
@@ -366,23 +387,45 @@ def _from_hubs(stars: DataFrame, documents: DataFrame, nodes: DataFrame, like: L
     They differ from each other in p + q - 2 s, which must not exceed the limit,
     so s is at least (p + q - limit) / 2; that is more than 0 unless both are alike
     to the hub, and then they are in one group already.
+
+    Of the elements that a node has beyond the hub, an alike node lacks a share of
+    (of - least) / of of the node's size at most. A node with more of them that no
+    node of another group has, be it in one range of hashes, is left out before
+    the others are counted. What nodes lack of the hub comes last in order, so it
+    matters only to nodes that have little beyond the hub.
     """
     either = stars.select(F.col("hub").alias("node")).union(stars.select("node")).distinct()
     sets = settle_lean(_sets(documents, nodes.join(either, "node", "left_semi"), like).dropDuplicates(["node"]), "sets")
     both = (stars.join(sets.withColumnRenamed("set", "node_set"), "node")
             .join(sets.select(F.col("node").alias("hub"), F.col("set").alias("hub_set")), "hub"))
     differ = settle_lean(both.select("hub", "node", "root", "hub_set", "node_set").mapInArrow(
-        _differences(like), "hub long, node long, root long, n long, alike boolean, differences array<long>"), "differences")
-    each = differ.withColumn("element", F.explode("differences")).select(
-        F.struct("hub", "element").alias("key"), "node", "root", "n", F.size("differences").alias("d"))
-    counts = settle_lean(each.groupBy("key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1"), "counts")
-    total = differ.agg(F.sum(F.size("differences"))).first()[0] or 0
-    # rarest first; those that no other node has come before all, and need not be joined
-    in_order = Window.partitionBy("key.hub", "node").orderBy("held", "key.element")
-    met = lookup(each, counts, "key", total, "held")
-    place = (F.col("d") - F.count(F.lit(1)).over(Window.partitionBy("key.hub", "node")) + F.row_number().over(in_order) - 1)
-    most = F.floor(F.col("n") * (like.of - like.least) / like.least)  # the elements that any partner may differ in
-    rarest = settle_lean(met.withColumn("place", place).filter(F.col("place") <= most).drop("held"), "rarest")
+        _differences(like), DIFFERING), "differences")
+    # nodes alike to one hub are one group
+    with_hub = differ.filter("alike").select("hub", F.col("root").alias("root_a"))
+    through_hub = with_hub.join(with_hub.groupBy("hub").agg(F.min("root_a").alias("root_b")), "hub").drop("hub")
+    tops = components(through_hub, "root_a", "root_b").toDF("root", "top")
+    grouped = settle_lean(differ.join(tops, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top"), "grouped")
+    total, sieve_total = grouped.agg(F.sum(F.size("beyond") + F.size("lacking")), F.sum(F.size("sieved"))).first()
+    sieve = grouped.select("hub", "node", "root", "need", F.explode("sieved").alias("element")).select(
+        F.struct("hub", "element").alias("key"), "node", "root", "need")
+    met, sieve_counts = _met(sieve, sieve_total or 0)
+    enough = met.groupBy("key.hub", "node").agg(F.count(F.lit(1)).alias("n_met"), F.max("need").alias("need")).filter(
+        "n_met >= need").select("hub", "node")
+    left = settle_lean(grouped.filter("need > 0").join(enough, ["hub", "node"], "left_semi").unionByName(
+        grouped.filter("need <= 0")).drop("sieved", "need", "alike"), "left")
+    each = left.select("hub", "node", "root", "n", "d", F.size("beyond").alias("out"), F.size("lacking").alias("lacks"),
+                       F.posexplode(F.concat("beyond", "lacking")).alias("at", "element")).select(
+        F.struct("hub", "element").alias("key"), "node", "root", "n", "d", "out", "lacks",
+        (F.col("at") >= F.col("out")).alias("of_hub"))
+    met, counts = _met(each, total or 0)
+    # rarest first; those that no node of another group has come before all, and need not be joined
+    in_order = Window.partitionBy("key.hub", "node", "of_hub").orderBy("held", "key.element")
+    n_met = F.count(F.lit(1)).over(Window.partitionBy("key.hub", "node", "of_hub"))
+    listed = F.when(F.col("of_hub"), F.col("out") + F.col("lacks")).otherwise(F.col("out"))
+    # the elements that any partner may differ in: in all, and of those beyond the hub
+    most = F.floor(F.col("n") * (like.of - like.least) / F.when(F.col("of_hub"), like.least).otherwise(like.of))
+    rarest = settle_lean(met.withColumn("place", listed - n_met + F.row_number().over(in_order) - 1)
+                         .filter(F.col("place") <= most).drop("held", "out", "lacks", "of_hub"), "rarest")
     # those that are alike to each other but not to the hub become groups of their own, again by one hub each
     rank = rarest.groupBy("node").agg(F.struct(F.count(F.lit(1)), "node").alias("rank"))
     ranked = settle_lean(rarest.select("key", "node").join(rank, "node"), "ranked")
@@ -392,10 +435,9 @@ def _from_hubs(stars: DataFrame, documents: DataFrame, nodes: DataFrame, like: L
     near = _linked(star, documents, nodes, like)
     own = settle_lean(rarest.select("node", "root").distinct(), "own_roots")
     joined = near.join(own.toDF("a", "root_a"), "a").join(own.toDF("b", "root_b"), "b").select("root_a", "root_b")
-    with_hub = differ.filter("alike").select("hub", F.col("root").alias("root_a"))
-    through_hub = with_hub.join(with_hub.groupBy("hub").agg(F.min("root_a").alias("root_b")), "hub").drop("hub")
-    tops = components(joined.union(through_hub), "root_a", "root_b").toDF("root", "top")
-    apart = settle_lean(rarest.join(tops, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top"), "apart")
+    again = components(joined, "root_a", "root_b").toDF("root", "top")
+    now = own.join(again, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    apart = settle_lean(rarest.drop("root").join(now, "node"), "apart")
     a, b = (apart.toDF(*[c if c == "key" else f"{x}_{c}" for c in apart.columns]) for x in "ab")
     still = F.least(F.col("a_d") - F.col("a_place"), F.col("b_d") - F.col("b_place"))
     pairs = a.join(b, "key").filter(
@@ -406,7 +448,7 @@ def _from_hubs(stars: DataFrame, documents: DataFrame, nodes: DataFrame, like: L
     pairs = settle_lean(pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), "pairs")
     links = settle_lean(differ.filter("alike").select(F.col("hub").alias("a"), F.col("node").alias("b")).union(near),
                         "hub_links")
-    discard(sets, differ, counts, rarest, ranked, next_hubs, own, apart, near)
+    discard(sets, differ, grouped, sieve_counts, left, counts, rarest, ranked, next_hubs, own, apart, near)
     return links, pairs
 
 
@@ -462,12 +504,28 @@ def near_duplicates(documents: DataFrame, like: Likeness = Likeness()) -> DataFr
     within = a.join(b, "signature").filter(
         (F.col("a_root") != F.col("b_root")) & (F.col("a_node") < F.col("b_node"))
         & _sizes_fit(F.col("a_n"), F.col("b_n"), like)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    stars = settle_lean(open_members.filter(F.col("size") > LEAF).join(hubs, "signature").select(
-        F.col("hub.node").alias("hub"), "node", "root").filter("hub <> node").distinct(), "stars")
+    met = settle_lean(open_members.filter(F.col("size") > LEAF).join(hubs, "signature").select("hub", "node", "root").distinct(),
+                      "met")
+    # many nodes first with every hub they meet: what is alike to it is one group
+    hub_roots = settle_lean(met.select("hub").distinct().select("hub", F.col("hub.node").alias("node")).join(
+        roots, "node", "left").select("hub", F.coalesce("root", "node").alias("hub_root")), "hub_roots")
+    near = _linked(met.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).filter("a <> b"), documents, nodes, like)
+    by_node = met.select(F.col("node").alias("b"), F.col("root").alias("root_b")).distinct()
+    by_hub = hub_roots.select(F.col("hub.node").alias("a"), F.col("hub_root").alias("root_a"))
+    tops = components(near.join(by_hub, "a").join(by_node, "b").select("root_a", "root_b"), "root_a", "root_b").toDF("root", "top")
+    # hubs of one group are one: the one that most nodes are alike to
+    n_alike = near.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n_alike"))
+    group = hub_roots.select("hub", "hub.node", F.col("hub_root").alias("root")).join(tops, "root", "left").join(
+        n_alike, "node", "left").select("hub", F.coalesce("top", "root").alias("group"),
+                                        F.struct(F.coalesce("n_alike", F.lit(0)), "hub").alias("rank"))
+    top_hubs = group.join(group.groupBy("group").agg(F.max("rank").alias("top")), "group").select(
+        "hub", F.col("top.hub.node").alias("top_hub"))
+    stars = settle_lean(met.join(top_hubs, "hub").join(tops, "root", "left").select(
+        F.col("top_hub").alias("hub"), "node", F.coalesce("top", "root").alias("root")).filter("hub <> node").distinct(), "stars")
     hub_links, may_be = _from_hubs(stars, documents, nodes, like)
     across = settle_lean(buckets.filter("size = 2").select("a", "b").union(within).union(may_be).distinct(), "across")
-    discard(buckets, mixed, open_members, hubs, stars, may_be)
-    more = _linked(across, documents, nodes, like).union(hub_links)
+    discard(buckets, mixed, open_members, hubs, met, hub_roots, stars, may_be)
+    more = _linked(across, documents, nodes, like).union(hub_links).union(near)
     ends = nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     joined = (more.join(ends.toDF("a", "root_a"), "a").join(ends.toDF("b", "root_b"), "b").select("root_a", "root_b"))
     tops = components(joined, "root_a", "root_b").toDF("root", "top")

@@ -201,6 +201,26 @@ def test_differences_from_hubs(spark, monkeypatch, n, least):
     assert 12 < len({c for _, c in want.values()}) < len(texts)
 
 
+def test_texts_that_share_a_passage_only(spark, monkeypatch):
+    """Few of their words are looked up among the differences from hubs: most texts have too much that no other has."""
+    looked_up, lookup = [], ngram_join.lookup
+
+    def counted(rows, facts, key, *rest):
+        found = lookup(rows, facts, key, *rest)
+        if key == "key":
+            looked_up.append(found.count())
+        return found
+
+    monkeypatch.setattr(ngram_join, "lookup", counted)
+    passage = " ".join(f"p{j}" for j in range(60))
+    texts = {i: passage + " " + " ".join(f"t{i}w{j}" for j in range(80)) for i in range(200)}
+    texts |= {200 + i: texts[i].replace(f"t{i}w40 ", "other ") for i in range(20)}
+    want = brute_force_groups(texts, 5, 80, 100)
+    assert groups_of(spark, texts, ngram_join.Likeness(5, 80, 100)) == want
+    assert len(set(c for _, c in want.values())) == 200
+    assert looked_up and sum(looked_up) < 20 * len(texts)
+
+
 @pytest.mark.parametrize("size", [3, 9, 13, 17, 25, 60, 900])
 def test_alike_sets_share_a_signature(size):
     """Over many random pairs at the very limit, also of two sizes."""
