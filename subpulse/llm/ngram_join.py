@@ -16,12 +16,14 @@ Equal sets are one node, however many documents have them. Each node is compared
 first with the node that shares most signatures among those it meets, and the
 links found are contracted into groups: copies of one original, however many, are
 one group after as many comparisons. Of what shares a signature and is not yet
-one group, up to ``LEAF`` nodes are compared with each other. More of them are
-compared with one, the hub, and keep only what they differ in from it. Neither of
-two such nodes is alike to the other unless they share enough of these
-differences, so they are joined on their rarest ones (as many as they could not
-all miss) and only where what follows can still reach the overlap needed. No
-signature makes all pairs of a group, and no link between groups is lost.
+one group, up to ``LEAF`` nodes are compared with each other. Where there are more,
+nodes with too many elements that no other node has are left out, once and for all
+hubs. The others are compared with one of them, the hub, that has the fewest such
+elements, so it is near the middle of its copies, and keep only what they differ
+in from it. Neither of two such nodes is alike to the other unless they share
+enough of these differences, so they are joined on their rarest ones (as many as
+they could not all miss) and only where what follows can still reach the overlap
+needed. No signature makes all pairs of a group, and no link between groups is lost.
 
 Before sets are compared, sketches rule out pairs that differ too much: one bit
 per partition of the domain, twice as many as the set has elements, tells
@@ -63,13 +65,11 @@ SPARE = 2
 TINY, TRIALS = 12, 8
 FIRST_OF_TWO, SECOND_OF_TWO = [0, 0, 1], [1, 2, 2]
 DIGESTED = "doc_id long, text_key long, node long, proof long, n_shingles long, sketch binary"
-DIFFERING = ("hub long, node long, root long, n long, d long, need long, alike boolean, "
-             "beyond array<long>, sieved array<long>, lacking array<long>")
+DIFFERING = ("hub long, node long, root long, n long, d long, out long, alike boolean, "
+             "beyond array<long>, lacking array<long>")
 LEAST_SKETCH = 512
 #: Nodes of a signature that are compared with each other; where there are more, differences from a hub decide.
 LEAF = 16
-#: The range of hashes to sieve by is so many times the share of a set that alike sets may lack.
-SIEVE = 2
 #: One document in so many tells which signatures are frequent: those with more than a share of all rows, fewer than MOST_HOT.
 SAMPLED, HOT_SIGNATURE, MOST_HOT, SALTS = 64, 500, 10_000, 100
 
@@ -325,47 +325,84 @@ def _sets(documents: DataFrame, wanted: DataFrame, like: Likeness) -> DataFrame:
             .filter("text IS NOT NULL").mapInArrow(run, "node long, set array<long>"))
 
 
-def _linked(pairs: DataFrame, documents: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
-    """Those (a, b) of ``pairs`` that are alike. Only sets whose sketches leave it open are built again."""
+def _linked(pairs: DataFrame, documents: DataFrame, nodes: DataFrame, like: Likeness,
+            built: DataFrame | None = None) -> DataFrame:
+    """Those (a, b) of ``pairs`` that are alike. Only sets whose sketches leave it open are built again, unless all are
+    ``built`` (node, set, ...).
+    """
     sides = [nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
              for x in "ab"]
     # a may be a hub, with many pairs: its sketch and its set join last
     fit = pairs.join(sides[1], "b").join(sides[0], "a").filter(_sizes_fit(F.col("n_a"), F.col("n_b"), like))
     likely = settle_lean(fit.mapInArrow(_may_be_alike(like), "a long, b long"), "likely")
-    either = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    sets = settle_lean(_sets(documents, nodes.join(either, "node", "left_semi"), like), "sets")
+    sets = built
+    if built is None:
+        either = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+        sets = settle_lean(_sets(documents, nodes.join(either, "node", "left_semi"), like), "sets")
     set_a = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     set_b = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
     links = settle_lean(likely.join(set_b, "b").join(set_a, "a").filter(_alike("set_a", "set_b", like)).select("a", "b"),
                         "links")
-    discard(likely, sets)
+    discard(likely, *([sets] if built is None else []))
     return links
 
 
-def _differences(like: Likeness):
-    """Rows (hub, node, root, hub_set, node_set) -> what each node has beyond its hub, a hash range of that to sieve
-    by, what it lacks of the hub if that can matter, how many both are, and whether node and hub are alike.
+def _candidates(met: DataFrame, documents: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
+    """(node, root, set, shared) of the nodes of ``met`` (hub, node, root) that can be alike to another one of them;
+    ``shared`` is what other nodes have too of a set.
+
+    Of a node's elements an alike node lacks a share of (of - least) / of at most.
+    A node with more of them that no other node has is alike to none, whatever
+    hubs it meets. Each set is looked at once, and an element that many have is
+    only counted.
+    """
+    own = met.select("node", "root").distinct()
+    sets = settle_lean(_sets(documents, nodes.join(own, "node", "left_semi"), like).dropDuplicates(["node"])
+                       .join(own, "node"), "sets")
+    held = sets.select("node", F.explode("set").alias("element")).groupBy("element").agg(
+        F.min("node").alias("node"), F.count(F.lit(1)).alias("held"))
+    alone = held.filter("held = 1").groupBy("node").agg(F.collect_list("element").alias("alone"))
+    shared = F.when(F.col("alone").isNull(), F.col("set")).otherwise(F.array_except("set", "alone"))
+    found = settle_lean(sets.join(alone, "node", "left").select("node", "root", "set", shared.alias("shared")).filter(
+        F.size("shared") * like.of >= F.size("set") * like.least), "candidates")
+    discard(sets)
+    return found
+
+
+def _stars(met: DataFrame, sets: DataFrame) -> DataFrame:
+    """(hub, node) of the nodes in ``sets`` that meet; of all that met one hub, that with the least part of its own is
+    the new one. Two nodes that had a hub in common have one again, or are alone with it.
     """
-    below = (like.of - like.least) * SIEVE * 2 ** 64 // like.of - 2 ** 63
+    rank = sets.select("node", F.struct((F.size("shared") / F.size("set")).alias("share"), "node").alias("rank"))
+    ranked = settle_lean(met.select("hub", "node").join(rank, "node"), "ranked_met")
+    best = settle_lean(ranked.groupBy("hub").agg(F.max("rank").alias("best")), "best")
+    stars = settle_lean(ranked.join(best, "hub").select(F.col("best.node").alias("hub"), "node").filter(
+        "hub <> node").distinct(), "met_stars")
+    discard(ranked, best)
+    return stars
 
+
+def _differences(like: Likeness):
+    """Rows (hub, node, root, hub_set, node_set, shared) -> how many elements each node has beyond its hub, those of
+    them that other nodes have too, what it lacks of the hub if that can matter, how many elements differ in all, and
+    whether node and hub are alike.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists, rows = ([], [], []), []
-            for hub, node in zip(batch.column("hub_set"), batch.column("node_set"), strict=True):
-                hub, node = hub.values.to_numpy(), node.values.to_numpy()
-                beyond = node[~np.isin(node, hub, assume_unique=True)]
-                d = 2 * len(beyond) + len(hub) - len(node)
-                sieved = beyond[beyond < below]
-                matters = len(beyond) * like.least <= len(node) * (like.of - like.least)
-                lacking = hub[~np.isin(hub, node, assume_unique=True)] if matters else hub[:0]
-                for to, found in zip(lists, (beyond, sieved, lacking), strict=True):
-                    to.append(found)
-                rows.append((len(node), d, len(sieved) - len(node) * (like.of - like.least) // like.of,
-                             d * (like.of + like.least) <= (len(hub) + len(node)) * (like.of - like.least)))
-            n, d, need, alike = zip(*rows, strict=True) if rows else ((),) * 4
+            lists, rows = ([], []), []
+            for hub, node, shared in zip(batch.column("hub_set"), batch.column("node_set"), batch.column("shared"), strict=True):
+                hub, node, shared = (x.values.to_numpy() for x in (hub, node, shared))
+                lacking = hub[~np.isin(hub, node, assume_unique=True)]
+                out = len(node) - len(hub) + len(lacking)
+                d = out + len(lacking)
+                matters = out * like.least <= len(node) * (like.of - like.least)
+                lists[0].append(shared[~np.isin(shared, hub, assume_unique=True)])
+                lists[1].append(lacking if matters else hub[:0])
+                rows.append((len(node), d, out, d * (like.of + like.least) <= (len(hub) + len(node)) * (like.of - like.least)))
+            n, d, out, alike = zip(*rows, strict=True) if rows else ((),) * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column("hub"), batch.column("node"), batch.column("root"), pa.array(n, pa.int64()),
-                 pa.array(d, pa.int64()), pa.array(need, pa.int64()), pa.array(alike, pa.bool_()),
+                 pa.array(d, pa.int64()), pa.array(out, pa.int64()), pa.array(alike, pa.bool_()),
                  *(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)], dtype=np.int32)),
                                             pa.array(np.concatenate([np.zeros(0, np.int64), *x]))) for x in lists)],
                 DIFFERING.replace(" long", "").replace(" boolean", "").replace(" array<long>", "").split(", "))
@@ -380,59 +417,57 @@ def _met(each: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
     return lookup(each, counts, "key", total, "held"), counts
 
 
-def _from_hubs(stars: DataFrame, documents: DataFrame, nodes: DataFrame, like: Likeness) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b) between hubs and nodes of ``stars`` (hub, node, root), and pairs of a hub's nodes that may be alike.
+def _from_hubs(stars: DataFrame, sets: DataFrame, documents: DataFrame, nodes: DataFrame,
+               like: Likeness) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) between hubs and nodes of ``stars`` (hub, node, root), and pairs of a hub's nodes that may be alike;
+    ``sets`` are those of ``_candidates``.
 
     Let two nodes differ from their hub in p and q elements and share s of these.
     They differ from each other in p + q - 2 s, which must not exceed the limit,
     so s is at least (p + q - limit) / 2; that is more than 0 unless both are alike
-    to the hub, and then they are in one group already.
+    to the hub, and then they are in one group already. If one is alike to the hub,
+    the other one differs from it by more than their limit, so s is larger.
 
-    Of the elements that a node has beyond the hub, an alike node lacks a share of
-    (of - least) / of of the node's size at most. A node with more of them that no
-    node of another group has, be it in one range of hashes, is left out before
-    the others are counted. What nodes lack of the hub comes last in order, so it
-    matters only to nodes that have little beyond the hub.
+    Elements that no node of another group has come first in order, and those that
+    no other node has at all are only counted. What nodes lack of the hub comes
+    last, so it matters only to nodes that have little beyond the hub.
     """
-    either = stars.select(F.col("hub").alias("node")).union(stars.select("node")).distinct()
-    sets = settle_lean(_sets(documents, nodes.join(either, "node", "left_semi"), like).dropDuplicates(["node"]), "sets")
-    both = (stars.join(sets.withColumnRenamed("set", "node_set"), "node")
+    both = (stars.join(sets.select("node", F.col("set").alias("node_set"), "shared"), "node")
             .join(sets.select(F.col("node").alias("hub"), F.col("set").alias("hub_set")), "hub"))
-    differ = settle_lean(both.select("hub", "node", "root", "hub_set", "node_set").mapInArrow(
+    differ = settle_lean(both.select("hub", "node", "root", "hub_set", "node_set", "shared").mapInArrow(
         _differences(like), DIFFERING), "differences")
     # nodes alike to one hub are one group
     with_hub = differ.filter("alike").select("hub", F.col("root").alias("root_a"))
     through_hub = with_hub.join(with_hub.groupBy("hub").agg(F.min("root_a").alias("root_b")), "hub").drop("hub")
     tops = components(through_hub, "root_a", "root_b").toDF("root", "top")
-    grouped = settle_lean(differ.join(tops, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top"), "grouped")
-    total, sieve_total = grouped.agg(F.sum(F.size("beyond") + F.size("lacking")), F.sum(F.size("sieved"))).first()
-    sieve = grouped.select("hub", "node", "root", "need", F.explode("sieved").alias("element")).select(
-        F.struct("hub", "element").alias("key"), "node", "root", "need")
-    met, sieve_counts = _met(sieve, sieve_total or 0)
-    enough = met.groupBy("key.hub", "node").agg(F.count(F.lit(1)).alias("n_met"), F.max("need").alias("need")).filter(
-        "n_met >= need").select("hub", "node")
-    left = settle_lean(grouped.filter("need > 0").join(enough, ["hub", "node"], "left_semi").unionByName(
-        grouped.filter("need <= 0")).drop("sieved", "need", "alike"), "left")
-    each = left.select("hub", "node", "root", "n", "d", F.size("beyond").alias("out"), F.size("lacking").alias("lacks"),
-                       F.posexplode(F.concat("beyond", "lacking")).alias("at", "element")).select(
-        F.struct("hub", "element").alias("key"), "node", "root", "n", "d", "out", "lacks",
-        (F.col("at") >= F.col("out")).alias("of_hub"))
-    met, counts = _met(each, total or 0)
+    grouped = differ.join(tops, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
+    # read by several joins, and made once
+    each = settle_lean(grouped.select(
+        "hub", "node", "root", "n", "d", "out", "alike", F.size("beyond").alias("listed"), F.size("lacking").alias("lacks"),
+        F.posexplode(F.concat("beyond", "lacking")).alias("at", "element")).select(
+        F.struct("hub", "element").alias("key"), "node", "root", "n", "d", "out", "alike", "lacks",
+        (F.col("at") >= F.col("listed")).alias("of_hub")), "each")
+    total = each.count()
+    met, counts = _met(each, total)
     # rarest first; those that no node of another group has come before all, and need not be joined
     in_order = Window.partitionBy("key.hub", "node", "of_hub").orderBy("held", "key.element")
     n_met = F.count(F.lit(1)).over(Window.partitionBy("key.hub", "node", "of_hub"))
     listed = F.when(F.col("of_hub"), F.col("out") + F.col("lacks")).otherwise(F.col("out"))
     # the elements that any partner may differ in: in all, and of those beyond the hub
     most = F.floor(F.col("n") * (like.of - like.least) / F.when(F.col("of_hub"), like.least).otherwise(like.of))
+    # the partner of a node alike to the hub is not, so it has more of its own
+    unlike_hub = 2 * F.col("place") * (like.of + like.least) < (
+        F.col("d") * (like.of + like.least) + (2 * F.col("out") - F.col("d")) * (like.of - like.least))
     rarest = settle_lean(met.withColumn("place", listed - n_met + F.row_number().over(in_order) - 1)
-                         .filter(F.col("place") <= most).drop("held", "out", "lacks", "of_hub"), "rarest")
+                         .filter((F.col("place") <= most) & (~F.col("alike") | unlike_hub))
+                         .drop("held", "out", "lacks", "of_hub", "alike"), "rarest")
     # those that are alike to each other but not to the hub become groups of their own, again by one hub each
     rank = rarest.groupBy("node").agg(F.struct(F.count(F.lit(1)), "node").alias("rank"))
     ranked = settle_lean(rarest.select("key", "node").join(rank, "node"), "ranked")
     next_hubs = settle_lean(ranked.groupBy("key").agg(F.max("rank").alias("next")), "next_hubs")
     star = ranked.join(next_hubs, "key").groupBy("node").agg(F.max("next").alias("next")).select(
         F.col("next.node").alias("a"), F.col("node").alias("b")).filter("a <> b")
-    near = _linked(star, documents, nodes, like)
+    near = _linked(star, documents, nodes, like, sets)
     own = settle_lean(rarest.select("node", "root").distinct(), "own_roots")
     joined = near.join(own.toDF("a", "root_a"), "a").join(own.toDF("b", "root_b"), "b").select("root_a", "root_b")
     again = components(joined, "root_a", "root_b").toDF("root", "top")
@@ -448,7 +483,7 @@ def _from_hubs(stars: DataFrame, documents: DataFrame, nodes: DataFrame, like: L
     pairs = settle_lean(pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), "pairs")
     links = settle_lean(differ.filter("alike").select(F.col("hub").alias("a"), F.col("node").alias("b")).union(near),
                         "hub_links")
-    discard(sets, differ, grouped, sieve_counts, left, counts, rarest, ranked, next_hubs, own, apart, near)
+    discard(differ, each, counts, rarest, ranked, next_hubs, own, apart, near)
     return links, pairs
 
 
@@ -504,27 +539,27 @@ def near_duplicates(documents: DataFrame, like: Likeness = Likeness()) -> DataFr
     within = a.join(b, "signature").filter(
         (F.col("a_root") != F.col("b_root")) & (F.col("a_node") < F.col("b_node"))
         & _sizes_fit(F.col("a_n"), F.col("b_n"), like)).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    met = settle_lean(open_members.filter(F.col("size") > LEAF).join(hubs, "signature").select("hub", "node", "root").distinct(),
-                      "met")
-    # many nodes first with every hub they meet: what is alike to it is one group
-    hub_roots = settle_lean(met.select("hub").distinct().select("hub", F.col("hub.node").alias("node")).join(
-        roots, "node", "left").select("hub", F.coalesce("root", "node").alias("hub_root")), "hub_roots")
-    near = _linked(met.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).filter("a <> b"), documents, nodes, like)
-    by_node = met.select(F.col("node").alias("b"), F.col("root").alias("root_b")).distinct()
-    by_hub = hub_roots.select(F.col("hub.node").alias("a"), F.col("hub_root").alias("root_a"))
-    tops = components(near.join(by_hub, "a").join(by_node, "b").select("root_a", "root_b"), "root_a", "root_b").toDF("root", "top")
+    met = settle_lean(open_members.filter(F.col("size") > LEAF).join(hubs, "signature").select(
+        F.col("hub.node").alias("hub"), "node", "root").distinct(), "met")
+    # of many nodes those that can be alike to any, first with every hub they meet: what is alike to it is one group
+    sets = _candidates(met, documents, nodes, like)
+    met_stars = _stars(met, sets)
+    near = _linked(met_stars.toDF("a", "b"), documents, nodes, like, sets)
+    placed = sets.select("node", "root")
+    tops = components(near.join(placed.toDF("a", "root_a"), "a").join(placed.toDF("b", "root_b"), "b").select("root_a", "root_b"),
+                      "root_a", "root_b").toDF("root", "top")
+    groups = settle_lean(placed.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "groups")
     # hubs of one group are one: the one that most nodes are alike to
-    n_alike = near.groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("n_alike"))
-    group = hub_roots.select("hub", "hub.node", F.col("hub_root").alias("root")).join(tops, "root", "left").join(
-        n_alike, "node", "left").select("hub", F.coalesce("top", "root").alias("group"),
-                                        F.struct(F.coalesce("n_alike", F.lit(0)), "hub").alias("rank"))
-    top_hubs = group.join(group.groupBy("group").agg(F.max("rank").alias("top")), "group").select(
-        "hub", F.col("top.hub.node").alias("top_hub"))
-    stars = settle_lean(met.join(top_hubs, "hub").join(tops, "root", "left").select(
-        F.col("top_hub").alias("hub"), "node", F.coalesce("top", "root").alias("root")).filter("hub <> node").distinct(), "stars")
-    hub_links, may_be = _from_hubs(stars, documents, nodes, like)
+    n_alike = near.groupBy(F.col("a").alias("hub")).agg(F.count(F.lit(1)).alias("n_alike"))
+    group = met_stars.select("hub").distinct().join(groups.toDF("hub", "root"), "hub").join(n_alike, "hub", "left").select(
+        "hub", "root", F.struct(F.coalesce("n_alike", F.lit(0)), "hub").alias("rank"))
+    top_hubs = group.join(group.groupBy("root").agg(F.max("rank").alias("top")), "root").select(
+        "hub", F.col("top.hub").alias("top_hub"))
+    stars = settle_lean(met_stars.join(top_hubs, "hub").select(F.col("top_hub").alias("hub"), "node").filter(
+        "hub <> node").distinct().join(groups, "node"), "stars")
+    hub_links, may_be = _from_hubs(stars, sets, documents, nodes, like)
     across = settle_lean(buckets.filter("size = 2").select("a", "b").union(within).union(may_be).distinct(), "across")
-    discard(buckets, mixed, open_members, hubs, met, hub_roots, stars, may_be)
+    discard(buckets, mixed, open_members, hubs, met, sets, met_stars, groups, stars, may_be)
     more = _linked(across, documents, nodes, like).union(hub_links).union(near)
     ends = nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     joined = (more.join(ends.toDF("a", "root_a"), "a").join(ends.toDF("b", "root_b"), "b").select("root_a", "root_b"))

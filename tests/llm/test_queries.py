@@ -221,6 +221,30 @@ def test_texts_that_share_a_passage_only(spark, monkeypatch):
     assert looked_up and sum(looked_up) < 20 * len(texts)
 
 
+def test_cloud_of_near_copies(spark, monkeypatch):
+    """Copies of one text with a few words changed, just too many or just not: what one of them lacks is no pair of all."""
+    found, from_hubs = [], ngram_join._from_hubs
+
+    def counted(*given):
+        links, pairs = from_hubs(*given)
+        found.append((given[0].count(), pairs.count()))
+        return links, pairs
+
+    monkeypatch.setattr(ngram_join, "_from_hubs", counted)
+    rng, base = random.Random(5), [f"b{j}" for j in range(150)]
+    texts = {0: " ".join(base)}
+    for i in range(1, 400):
+        words = base + [f"e{i}a{j}" for j in range(rng.randrange(4))]
+        for at in rng.sample(range(150), rng.randrange(3, 6)):
+            words[at] = f"s{i}a{at}"
+        texts[i] = " ".join(words)
+    want = brute_force_groups(texts, 5, 80, 100)
+    assert groups_of(spark, texts, ngram_join.Likeness(5, 80, 100)) == want
+    assert 1 < len({c for _, c in want.values()}) < len(texts)
+    (stars, pairs), = found
+    assert stars < 2 * len(texts) and pairs < len(texts)
+
+
 @pytest.mark.parametrize("size", [3, 9, 13, 17, 25, 60, 900])
 def test_alike_sets_share_a_signature(size):
     """Over many random pairs at the very limit, also of two sizes."""
